@@ -125,7 +125,7 @@ def score_models(rows: DataFrame, models, split: str = "test") -> DataFrame:
     )
 
 
-def classify_records(records: DataFrame, models, id_col: str, features: str = "features") -> DataFrame:
+def classify_records(records: DataFrame, models, keep, features: str = "features") -> DataFrame:
     """M9: predicted class name per record from k one-vs-all models (lowest margin wins).
 
     ``models``: collected rows with ``class_a`` (the target class) and ``weights``.
@@ -139,7 +139,8 @@ def classify_records(records: DataFrame, models, id_col: str, features: str = "f
     if W.nbytes > MAX_BROADCAST_WEIGHTS_BYTES:
         raise ValueError("weight matrix exceeds the broadcast bound")
     bc = spark.sparkContext.broadcast((W, icpt, names))
-    id_type = records.schema[id_col].dataType.simpleString()
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    kept = ", ".join(f"`{c}` {records.schema[c].dataType.simpleString()}" for c in keep)
 
     def predict_batches(batches):
         Wm, b0, cls = bc.value
@@ -149,12 +150,11 @@ def classify_records(records: DataFrame, models, id_col: str, features: str = "f
             X = arrow_matrix(batch.column(features), Wm.shape[0])
             margins = X @ Wm + b0[None, :]
             best = np.argmin(margins, axis=1)
-            yield pa.RecordBatch.from_pydict({
-                id_col: batch.column(id_col),
-                "predicted_class": pa.array([cls[k] for k in best], type=pa.string()),
-                "margin": pa.array(margins[np.arange(len(best)), best]),
-            })
-
-    return records.select(id_col, features).mapInArrow(
-        predict_batches, f"{id_col} {id_type}, predicted_class string, margin double"
+            cols = {c: batch.column(c) for c in keep}
+            cols["predicted_class"] = pa.array([cls[k] for k in best], type=pa.string())
+            cols["margin"] = pa.array(margins[np.arange(len(best)), best])
+            yield pa.RecordBatch.from_pydict(cols)
+
+    return records.select(*keep, features).mapInArrow(
+        predict_batches, f"{kept}, predicted_class string, margin double"
     )
