@@ -21,9 +21,18 @@ TEXT_DIMS = 256
 TEXT_NGRAM = 3
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the input over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) before CPU-heavy per-row work.  Inputs that already
+    have that many splits -- any large input -- are left untouched."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def text_features(df: DataFrame, text_col: str = "text", out_col: str = "features",
-                  dims: int = TEXT_DIMS, n: int = TEXT_NGRAM) -> DataFrame:
-    """Lower-cased character n-grams -> hashed counts -> unit length, as array<double>."""
+                  dims: int = TEXT_DIMS, n: int = TEXT_NGRAM, min_partitions: int | None = None) -> DataFrame:
+    """Lower-cased character n-grams of the whole text -> hashed counts -> unit
+    length, as array<double>."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import HashingTF, NGram, Normalizer, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
@@ -36,7 +45,7 @@ def text_features(df: DataFrame, text_col: str = "text", out_col: str = "feature
         HashingTF(numFeatures=dims, inputCol=grams, outputCol=tf),
         Normalizer(p=2.0, inputCol=tf, outputCol=unit),
     ])
-    out = pipe.fit(df.limit(0)).transform(df)
+    out = pipe.fit(df.limit(0)).transform(spread(df, min_partitions))
     return out.withColumn(out_col, vector_to_array(unit, "float64")).drop(chars, grams, tf, unit)
 
 

@@ -204,7 +204,7 @@ def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, to
     )
     by_size = {sz: [s for s in specs if s.size == sz] for sz in sizes}
 
-    def fit_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit_group(key, pdf):
         size = int(key[0])
         group_specs = by_size[size]
         a, b, is_all, sz = spec_arrays(group_specs, index)

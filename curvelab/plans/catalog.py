@@ -340,9 +340,14 @@ def q_featurize_text(spark, sf_dir):
 
 
 def lang_rows(spark, sf_dir) -> DataFrame:
+    """Featurize once, number each language's documents by ``doc_id`` and keep the
+    result as a written table in the shared folder (training reads
+    ``num <= max(size)`` with pushdown, scoring streams the whole table)."""
+    from curvelab.session import materialize
+
     feats = text_features(_documents(spark, sf_dir))
     numbered = class_ordinal(feats, "lang", "doc_id", out_col="num")
-    return numbered.select(F.col("lang").alias("class_name"), "num", "features", "doc_id")
+    return materialize(numbered.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
 
 
 def q_learning_curve_lang(spark, sf_dir):
@@ -355,10 +360,12 @@ def q_learning_curve_quality(spark, sf_dir):
     lbl = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     # labels holds one row per doc_id, far smaller than documents: AQE picks the join
     joined = docs.join(lbl, "doc_id").withColumn("quality", F.concat(F.lit("q"), F.col("quality").cast("string")))
+    from curvelab.session import materialize
+
     feats = text_features(joined)
-    rows = class_ordinal(feats, "quality", "doc_id", out_col="num").select(
+    rows = materialize(class_ordinal(feats, "quality", "doc_id", out_col="num").select(
         F.col("quality").alias("class_name"), "num", "features"
-    )
+    ), "quality_rows")
     return curves.learning_curve(rows, TASK_1V1, "q0,q1", LANG_SIZES)
 
 

@@ -69,3 +69,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing the
+    plan) and gives later scans Parquet pushdown and column pruning."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
