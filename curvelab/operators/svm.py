@@ -36,6 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -244,7 +245,10 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
     iters_of = np.array([s.iters for s in specs])
     train = training_rows(rows, specs)
     if checkpoint:
-        train = train.checkpoint(eager=True)  # reliable: written to the shared checkpoint folder
+        # reliable copy in the shared checkpoint folder (a lost executor re-reads it
+        # instead of recomputing the plan), kept in memory for the passes
+        train = train.checkpoint(eager=True)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     W = None
     n_t = None
     done = np.zeros(T, dtype=bool)
@@ -313,6 +317,7 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
         iters_run[todo] = i
         if i >= 2:
             done[todo] = converged(Wt, W[:, todo], tol)
+    train.unpersist()
     if W is None:
         W = np.zeros((0, T))
         n_t = np.zeros(T, dtype=np.int64)
