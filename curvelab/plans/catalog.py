@@ -127,6 +127,19 @@ def q_labeled_line_parse(spark, sf_dir):
 # ---------------------------------------------------------------- A5, F1-F3, P5-P8, J2
 
 
+def q_count_rows(spark, sf_dir):
+    return metrics.count_rows(_rows(spark, sf_dir))
+
+
+def q_check_classes(spark, sf_dir):
+    """F6 on the pass path: the requested classes exist; their row counts."""
+    from curvelab.plans.requests import check_classes
+
+    r = _rows(spark, sf_dir)
+    known = check_classes(r, ["breed_b", "breed_i"])
+    return spark.createDataFrame([(c, known[c]) for c in ("breed_b", "breed_i")], "class_name string, n_rows bigint")
+
+
 def q_class_counts(spark, sf_dir):
     return metrics.class_counts(_rows(spark, sf_dir))
 
@@ -327,6 +340,38 @@ def q_classify_records(spark, sf_dir):
 # ---------------------------------------------------------------- M10, text curves, M7, M8
 
 
+def block_pool_factory(blocks: int = 8):
+    """Stand-in for a pretrained extractor: sums of consecutive blocks of the input
+    vector (64 -> 8 dims).  Built once per task, applied to whole Arrow batches."""
+    import numpy as np
+
+    def model(batch):
+        X = np.stack(batch.to_numpy()).astype(np.float64)
+        return X.reshape(len(X), blocks, -1).sum(axis=2)
+
+    return model
+
+
+def q_featurize_model(spark, sf_dir):
+    from curvelab.operators.featurize import featurize
+
+    emb = read_table(spark, sf_dir, "embeddings")
+    out = featurize(emb.select("vec_id", F.col("embedding").cast("array<double>").alias("raw")),
+                    block_pool_factory, "raw", dims=8)
+    return out.select("vec_id", F.posexplode("features").alias("dim0", "v")).select(
+        "vec_id", (F.col("dim0") + 1).cast("int").alias("dim"), F.round("v", 6).alias("value"))
+
+
+def q_skip_if_featurized(spark, sf_dir):
+    """Documents still to featurize when the rows of ``labels`` stand for an
+    existing feature table."""
+    from curvelab.operators.featurize import skip_if_featurized
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    done = read_table(spark, sf_dir, "labels").select("doc_id")
+    return skip_if_featurized(docs, done, key="doc_id")
+
+
 def _documents(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
@@ -403,6 +448,8 @@ QUERIES = {
     "feature_line_roundtrip": q_feature_line_roundtrip,
     "feature_json_parse": q_feature_json_parse,
     "labeled_line_parse": q_labeled_line_parse,
+    "count_rows": q_count_rows,
+    "check_classes": q_check_classes,
     "class_counts": q_class_counts,
     "split_threshold": q_split_threshold,
     "split_quota": q_split_quota,
@@ -428,6 +475,8 @@ QUERIES = {
     "missing_models": q_missing_models,
     "get_or_train": q_get_or_train,
     "classify_records": q_classify_records,
+    "featurize_model": q_featurize_model,
+    "skip_if_featurized": q_skip_if_featurized,
     "featurize_text": q_featurize_text,
     "learning_curve_lang": q_learning_curve_lang,
     "learning_curve_quality": q_learning_curve_quality,

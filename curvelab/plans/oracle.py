@@ -208,6 +208,14 @@ FROM (SELECT vec_id, parts,
       FROM (SELECT vec_id, string_split(CAST(label AS VARCHAR) || ',' ||
                    array_to_string(list_transform({QUANT}, lambda v: CAST(v AS VARCHAR)), ','), ',') AS parts
             FROM class_rows))"""
+    q["count_rows"] = _with(CLASS_ROWS) + "SELECT count(*) AS n_rows FROM class_rows"
+    q["check_classes"] = _with(CLASS_ROWS) + \
+        "SELECT class_name, count(*) AS n_rows FROM class_rows WHERE class_name IN ('breed_b', 'breed_i') GROUP BY class_name"
+    q["featurize_model"] = """SELECT vec_id, CAST(b + 1 AS INTEGER) AS dim, round(sum(CAST(x AS DOUBLE)), 6) AS value
+FROM (SELECT vec_id, unnest(embedding) AS x, (generate_subscripts(embedding, 1) - 1) // 8 AS b FROM embeddings)
+GROUP BY vec_id, b"""
+    q["skip_if_featurized"] = """SELECT d.doc_id, d.lang FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
     q["class_counts"] = _with(CLASS_ROWS) + "SELECT class_name, count(*) AS n_rows FROM class_rows GROUP BY class_name"
     q["split_threshold"] = _with(CLASS_ROWS) + """SELECT vec_id, class_name, num,
        CASE WHEN num <= 10 THEN 'train' ELSE 'test' END AS split FROM class_rows"""
