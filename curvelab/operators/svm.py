@@ -22,8 +22,11 @@ Trainers:
     ``applyInPandas`` group per size; in memory per group:
     ``size x classes x dims`` numbers.  Default for learning curves.
   * ``train_iterative`` -- any training-set size: one Spark job per
-    iteration for all models (``mapInArrow`` partial gradients, JVM vector sum),
-    weights broadcast, input checkpointed to the shared folder.
+    iteration for all models (``mapInArrow`` partial gradients per partition,
+    then a JVM vector-sum aggregate -- or, when partitions x models x dims is
+    below a byte bound, a single stage summed on the driver); weights
+    broadcast; input checkpointed to the shared folder and packed into
+    partitions of a set byte size.
   * ``train_mllib``     -- MLlib ``SVMWithSGD`` on one model, parity checks only.
 """
 
@@ -226,7 +229,8 @@ def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, to
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, partition_bytes: int = 64 << 20,
+                    direct_bytes: int = 32 << 20) -> DataFrame:
     """One distributed pass per iteration for all models at once.
 
     The driver holds only the weight matrix (dims x models) and receives one
@@ -246,8 +250,20 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
     train = training_rows(rows, specs)
     if checkpoint:
         # reliable copy in the shared checkpoint folder (a lost executor re-reads it
-        # instead of recomputing the plan), kept in memory for the passes
+        # instead of recomputing the plan)
         train = train.checkpoint(eager=True)
+    # after the num <= max(size) filter most scan partitions are near empty; every
+    # pass would still launch one task each, so pack the (checkpointed) rows into
+    # partitions of about ``partition_bytes`` -- after the checkpoint, so the scan
+    # itself keeps its full parallelism
+    n_rows = train.count()
+    first = train.select(F.size("features").alias("d")).limit(1).collect()
+    d_est = int(first[0]["d"]) if first else 1
+    want = max(1, math.ceil(n_rows * (8 * d_est + 64) / partition_bytes))
+    n_parts = train.rdd.getNumPartitions()
+    if want < n_parts:
+        train = train.coalesce(want)
+        n_parts = want
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     W = None
     n_t = None
@@ -289,11 +305,16 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
             )
 
         parts = train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
-        summed = (
-            parts.groupBy("t")
-            .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
-            .collect()
-        )
+        if n_parts * todo.size * d_est * 8 <= direct_bytes:
+            # few partial rows: one stage, summed on the driver (size checked above)
+            summed = parts.collect()
+        else:
+            # partial sums combined by a JVM vector aggregate; driver gets one row per model
+            summed = (
+                parts.groupBy("t")
+                .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
+                .collect()
+            )
         bc.destroy()
         if not summed:
             break
@@ -303,8 +324,9 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
         G = np.zeros((d, todo.size))
         n_now = np.zeros(todo.size, dtype=np.int64)
         for r in summed:
-            G[:, r["t"]] = r["g"].toArray()
-            n_now[r["t"]] = r["n"]
+            g = r["g"]
+            G[:, r["t"]] += g.toArray() if hasattr(g, "toArray") else np.asarray(g, dtype=np.float64)
+            n_now[r["t"]] += r["n"]
         if n_t is None:
             n_t = np.zeros(T, dtype=np.int64)
             n_t[todo] = n_now

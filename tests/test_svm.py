@@ -50,11 +50,12 @@ def test_mllib_parity_late_stop(rows):
     assert np.max(np.abs(np.array(w_ml) - W[:, 0])) < 1e-12
 
 
-def test_grouped_equals_iterative(rows):
+@pytest.mark.parametrize("direct_bytes", [0, 32 << 20])  # 0 forces the JVM vector-sum aggregate
+def test_grouped_equals_iterative(rows, direct_bytes):
     specs = [ModelSpec(TASK_1VALL, c, None, s, 30) for c in ("breed_a", "breed_j") for s in (3, 25)]
     specs += [ModelSpec(TASK_1V1, "breed_b", "breed_d", 7, 30)]
     g = {tuple(r[:5]): r for r in svm.train_grouped(rows, specs).collect()}
-    it = {tuple(r[:5]): r for r in svm.train_iterative(rows, specs).collect()}
+    it = {tuple(r[:5]): r for r in svm.train_iterative(rows, specs, direct_bytes=direct_bytes).collect()}
     assert g.keys() == it.keys() == {s.key() for s in specs}
     for k in g:
         assert g[k]["n_train"] == it[k]["n_train"]
