@@ -65,7 +65,8 @@ def train_local(features: DataFrame, n_train: int, out_dir: str, classes=None, i
     staged = spark.read.text(p["features"]).select("value", "split")
     from curvelab.sources.readers import parse_labeled_lines
 
-    parsed = parse_labeled_lines(staged).join(F.broadcast(mapping), F.col("label").cast("int") == F.col("label_idx"))
+    # one row per class; AQE broadcasts it from its measured size
+    parsed = parse_labeled_lines(staged).join(mapping, F.col("label").cast("int") == F.col("label_idx"))
     train_rows = parsed.select(
         "class_name", "features",
         F.when(F.col("split") == "train", F.lit(1)).otherwise(F.lit(n + 1)).alias("num"),
@@ -106,7 +107,7 @@ def test_saved(spark: SparkSession, out_dir: str, classes=None) -> DataFrame:
         raise RequestError("no saved one-vs-all models")
     named = test.withColumn("label_idx", F.col("label").cast("int"))
     pred = scoring.classify_records(named, models, keep=["label"])
-    decoded = pred.join(F.broadcast(mapping.select(F.col("label_idx").cast("double").alias("prediction"),
-                                                   F.col("class_name").alias("predicted_class"))),
+    decoded = pred.join(mapping.select(F.col("label_idx").cast("double").alias("prediction"),
+                                       F.col("class_name").alias("predicted_class")),
                         "predicted_class", "left")
     return metrics.error_counts(decoded)
