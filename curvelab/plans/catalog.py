@@ -282,6 +282,32 @@ def q_learning_curve_iterative(spark, sf_dir):
                                  trainer="iterative")
 
 
+def q_learning_curve_1vall_100(spark, sf_dir):
+    """The published sweep at the reference's default 100 iterations, every class as target."""
+    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES)
+
+
+def q_learning_curve_1v1_100(spark, sf_dir):
+    return curves.learning_curve(_rows(spark, sf_dir), TASK_1V1, "breed_c,breed_h", PUBLISHED_SIZES)
+
+
+def q_learning_curve_iterative_100(spark, sf_dir):
+    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES, trainer="iterative")
+
+
+def q_svm_weights_stop(spark, sf_dir):
+    """Weights when the stop rule fires early (tolerance 0.05)."""
+    r = _rows(spark, sf_dir)
+    specs = [ModelSpec(TASK_1VALL, c, None, s, 100) for c in ("breed_a", "breed_f") for s in (5, 30)]
+    specs += [ModelSpec(TASK_1V1, "breed_b", "breed_c", 20, 100)]
+    m = svm.train_grouped(r, specs, tol=0.05)
+    return m.select(
+        "task_type", "class_a", "class_b", "size", "iters", "iters_run",
+        F.posexplode("weights").alias("dim0", "w"),
+    ).select("task_type", "class_a", "class_b", "size", "iters", "iters_run",
+             (F.col("dim0") + 1).cast("int").alias("dim"), F.round("w", 6).alias("weight"))
+
+
 def q_curve_table(spark, sf_dir):
     c = curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "breed_a", PUBLISHED_SIZES, iters=1)
     return metrics.curve_table(c)
@@ -471,6 +497,10 @@ QUERIES = {
     "learning_curve_1v1": q_learning_curve_1v1,
     "learning_curve_1vall": q_learning_curve_1vall,
     "learning_curve_iterative": q_learning_curve_iterative,
+    "learning_curve_1vall_100": q_learning_curve_1vall_100,
+    "learning_curve_1v1_100": q_learning_curve_1v1_100,
+    "learning_curve_iterative_100": q_learning_curve_iterative_100,
+    "svm_weights_stop": q_svm_weights_stop,
     "curve_table": q_curve_table,
     "missing_models": q_missing_models,
     "get_or_train": q_get_or_train,

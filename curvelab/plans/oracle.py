@@ -83,6 +83,41 @@ def _svm_ctes(iters: int) -> list[str]:
     return ctes
 
 
+def _svm_recursive_ctes(tol: float = 0.001) -> list[str]:
+    """Any number of iterations (the ``iters`` column of ``models``) with the stop
+    rule, as one recursive CTE carrying each model's weight list; ends in ``w``
+    (mid, dim, w), ``ntr`` (mid, n) and ``wl`` (mid, w list, iters_run)."""
+    return [
+        """tr AS (
+  SELECT m.mid, r.vec_id, r.features,
+         CASE WHEN r.class_name = m.class_a THEN -1.0 ELSE 1.0 END AS ys
+  FROM models m JOIN class_rows r
+    ON r.num <= m.size AND (m.task_type = '1vsall' OR r.class_name = m.class_a OR r.class_name = m.class_b))""",
+        "ntr AS (SELECT mid, count(*) AS n FROM tr GROUP BY mid)",
+        f"""it(mid, i, w, done) AS (
+  SELECT mid, 0, list_transform(range((SELECT max(len(features)) FROM class_rows)), lambda k: 0.0::DOUBLE), false
+  FROM models
+  UNION ALL
+  SELECT mid, i, w,
+         i >= 2 AND sqrt(list_sum(list_transform(list_zip(w, w_old), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+             < {tol} * greatest(sqrt(list_sum(list_transform(w, lambda v: v * v))), 1.0)
+  FROM (
+    SELECT s.mid, s.i + 1 AS i, s.w AS w_old,
+           list_transform(list_zip(s.w, g.s), lambda p: p[1] * (1.0 - (1.0 / sqrt(s.i + 1.0)) * 0.01)
+                                                  - (1.0 / sqrt(s.i + 1.0)) * ((-p[2]) / ntr.n)) AS w
+    FROM it s
+    JOIN (SELECT t.mid,
+                 list_reduce(list(list_transform(t.features, lambda x:
+                     CASE WHEN t.ys * list_dot_product(t.features, s2.w) < 1.0 THEN t.ys * x ELSE 0.0 END)),
+                   lambda a, b: list_transform(list_zip(a, b), lambda p: p[1] + p[2])) AS s
+          FROM tr t JOIN it s2 ON s2.mid = t.mid GROUP BY t.mid) g ON g.mid = s.mid
+    JOIN ntr ON ntr.mid = s.mid JOIN models m ON m.mid = s.mid
+    WHERE s.i < m.iters AND NOT s.done))""",
+        "wl AS (SELECT mid, arg_max(w, i) AS w, max(i) AS iters_run FROM it GROUP BY mid)",
+        """w AS (SELECT mid, unnest(w) AS w, generate_subscripts(w, 1) AS dim FROM wl)""",
+    ]
+
+
 def _score_ctes(split: str = "test") -> list[str]:
     cmp = ">" if split == "test" else "<="
     return [
@@ -104,8 +139,12 @@ def _score_ctes(split: str = "test") -> list[str]:
     ]
 
 
-def _curve_sql(specs, iters: int) -> str:
-    body = _with(CLASS_ROWS, _models_cte(specs), *_svm_ctes(iters), *_score_ctes("test"))
+def _curve_sql(specs, iters: int, tol: float = 0.001) -> str:
+    if iters in (1, 2):
+        body = _with(CLASS_ROWS, _models_cte(specs), *_svm_ctes(iters), *_score_ctes("test"))
+    else:
+        body = "WITH RECURSIVE " + _with(CLASS_ROWS, _models_cte(specs), *_svm_recursive_ctes(tol),
+                                         *_score_ctes("test"))[len("WITH "):]
     n_test, n_wrong, n_pos = "coalesce(sc.n_test, 0)", "coalesce(sc.n_wrong, 0)", "coalesce(sc.n_pos, 0)"
     return body + f"""SELECT m.task_type, m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size,
        CAST(m.iters AS INTEGER) AS iters, CAST(ntr.n AS BIGINT) AS n_train,
@@ -269,6 +308,16 @@ CROSS JOIN (VALUES ('train'), ('test')) AS sp(split)"""
     q["learning_curve_1v1"] = _curve_sql([("1vs1", "breed_c", "breed_h", s, 2) for s in PUBLISHED_SIZES], 2)
     q["learning_curve_1vall"] = _curve_sql(_vall(CLASSES, PUBLISHED_SIZES, 2), 2)
     q["learning_curve_iterative"] = q["learning_curve_1vall"]
+    q["learning_curve_1vall_100"] = _curve_sql(_vall(CLASSES, PUBLISHED_SIZES, 100), 100)
+    q["learning_curve_1v1_100"] = _curve_sql([("1vs1", "breed_c", "breed_h", s, 100) for s in PUBLISHED_SIZES], 100)
+    q["learning_curve_iterative_100"] = q["learning_curve_1vall_100"]
+    stop_specs = [("1vsall", c, None, s, 100) for c in ("breed_a", "breed_f") for s in (5, 30)]
+    stop_specs += [("1vs1", "breed_b", "breed_c", 20, 100)]
+    q["svm_weights_stop"] = "WITH RECURSIVE " + _with(
+        CLASS_ROWS, _models_cte(stop_specs), *_svm_recursive_ctes(0.05))[len("WITH "):] + """SELECT m.task_type,
+       m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size, CAST(m.iters AS INTEGER) AS iters,
+       CAST(wl.iters_run AS INTEGER) AS iters_run, CAST(w.dim AS INTEGER) AS dim, round(w.w, 6) AS weight
+FROM models m JOIN wl ON m.mid = wl.mid JOIN w ON m.mid = w.mid"""
     q["curve_table"] = (
         "SELECT task_type, class_a, class_b, size, success_pct FROM ("
         + _curve_sql(_vall(["breed_a"], PUBLISHED_SIZES, 1), 1) + ")"
