@@ -318,6 +318,22 @@ CROSS JOIN (VALUES ('train'), ('test')) AS sp(split)"""
        m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size, CAST(m.iters AS INTEGER) AS iters,
        CAST(wl.iters_run AS INTEGER) AS iters_run, CAST(w.dim AS INTEGER) AS dim, round(w.w, 6) AS weight
 FROM models m JOIN wl ON m.mid = wl.mid JOIN w ON m.mid = w.mid"""
+    # M7: quota split of 10 files per class (file names carry the ordinal, so the
+    # first 10 by (number, name) are num <= 10); 20 iterations; training error
+    local_specs = _vall(CLASSES, [10], 20)
+    q["train_local"] = "WITH RECURSIVE " + _with(
+        CLASS_ROWS, _models_cte(local_specs), *_svm_recursive_ctes(), *_score_ctes("train"))[len("WITH "):] + f"""SELECT
+       m.task_type, m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size, CAST(m.iters AS INTEGER) AS iters,
+       CAST(coalesce(sc.n_test, 0) AS BIGINT) AS n_train, CAST(coalesce(sc.n_wrong, 0) AS BIGINT) AS n_wrong,
+       {_ratio('coalesce(sc.n_wrong, 0)', 'coalesce(sc.n_test, 0)', 6)} AS error_rate
+FROM models m LEFT JOIN sc ON m.mid = sc.mid"""
+    # M8: the saved 1 vs 1 model of that run against the held-out files
+    q["saved_model_test"] = "WITH RECURSIVE " + _with(
+        CLASS_ROWS, _models_cte([("1vs1", "breed_a", "breed_b", 10, 20)]), *_svm_recursive_ctes(),
+        *_score_ctes("test"))[len("WITH "):] + f"""SELECT CAST(sc.n_test AS BIGINT) AS n_rows,
+       CAST(sc.n_wrong AS BIGINT) AS n_wrong, {_ratio('sc.n_wrong', 'sc.n_test', 6)} AS error_rate,
+       {_ratio('sc.n_test - sc.n_wrong', 'sc.n_test', 2, 100)} AS success_pct
+FROM sc"""
     q["curve_table"] = (
         "SELECT task_type, class_a, class_b, size, success_pct FROM ("
         + _curve_sql(_vall(["breed_a"], PUBLISHED_SIZES, 1), 1) + ")"
