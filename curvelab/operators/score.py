@@ -29,8 +29,29 @@ from curvelab.operators.svm import (
     spec_arrays,
 )
 
-# Upper bound for a broadcast weight matrix (models x dims x 8 bytes).
-MAX_BROADCAST_WEIGHTS_BYTES = 512 << 20
+# Upper bound for one broadcast weight matrix (models x dims x 8 bytes) and for the
+# models scored in one pass; larger model sets are scored in several passes.
+MAX_BROADCAST_WEIGHTS_BYTES = 256 << 20
+MAX_MODELS_PER_PASS = 1024
+# Rows of an Arrow batch multiplied at once: keeps rows x max(dims, models) x 8 bytes
+# near this size whatever the vector width.
+SLICE_BYTES = 32 << 20
+
+
+def slice_rows(width: int) -> int:
+    """Rows per matrix product for vectors / model sets of ``width`` (driver side)."""
+    return max(1, SLICE_BYTES // (8 * max(width, 1)))
+
+
+def row_slices(n: int, step: int):
+    for start in range(0, n, step):
+        yield start, min(n, start + step)
+
+
+def model_chunks(models, dims: int):
+    """Split a model list so each piece stays under both per-pass bounds."""
+    per = max(1, min(MAX_MODELS_PER_PASS, MAX_BROADCAST_WEIGHTS_BYTES // (8 * max(dims, 1))))
+    return [models[i:i + per] for i in range(0, len(models), per)]
 
 
 def margin_expr(features, weights, intercept: float = 0.0):
@@ -56,8 +77,6 @@ def _model_specs(models) -> tuple[list[ModelSpec], np.ndarray]:
     for j, w in enumerate(weights):
         if len(w):
             W[:, j] = w
-    if W.nbytes > MAX_BROADCAST_WEIGHTS_BYTES:
-        raise ValueError(f"weight matrix of {W.nbytes} bytes exceeds the broadcast bound")
     return specs, W
 
 
@@ -65,6 +84,8 @@ def score_models(rows: DataFrame, models, split: str = "test") -> DataFrame:
     """Per-model ``n_rows, n_wrong, n_pos`` on the test (``num > size``) or train split.
 
     ``models``: collected model rows (task_type, class_a, class_b, size, iters, weights).
+    Model sets above the per-pass bounds are scored in several passes (union of
+    small aggregates).
     """
     spark = rows.sparkSession
     models = list(models)
@@ -72,35 +93,50 @@ def score_models(rows: DataFrame, models, split: str = "test") -> DataFrame:
                  "n_rows bigint, n_wrong bigint, n_pos bigint"
     if not models:
         return spark.createDataFrame([], out_schema)
+    dims = max(len(m["weights"]) for m in models)
+    parts = [_score_pass(rows, chunk, split) for chunk in model_chunks(models, dims)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _score_pass(rows: DataFrame, models, split: str) -> DataFrame:
+    spark = rows.sparkSession
     specs, W = _model_specs(models)
     index = class_index(specs)
     a, b, is_all, sizes = spec_arrays(specs, index)
     train = split == "train"
-    bc = spark.sparkContext.broadcast((W, a, b, is_all, sizes, index, train))
+    bc = spark.sparkContext.broadcast((W, a, b, is_all, sizes, index, train, slice_rows(max(W.shape))))
 
     def count_batches(batches):
-        Wm, ta, tb, tall, tsz, idx, is_train = bc.value
-        n = wrong = pos = None
+        Wm, ta, tb, tall, tsz, idx, is_train, step = bc.value
+        n = np.zeros(Wm.shape[1], dtype=np.int64)
+        wrong = np.zeros_like(n)
+        pos = np.zeros_like(n)
+        seen = False
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            X = arrow_matrix(batch.column("features"), Wm.shape[0] or None)
-            codes = arrow_codes(batch.column("class_name"), idx)
-            nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-            M, Y = masks(codes, nums, ta, tb, tall, tsz, train=is_train)
-            P = (X @ Wm) > 0.0
-            bad = (P != (Y > 0.5)) & M
-            cn, cw, cp = M.sum(0), bad.sum(0), ((Y > 0.5) & M).sum(0)
-            n = cn if n is None else n + cn
-            wrong = cw if wrong is None else wrong + cw
-            pos = cp if pos is None else pos + cp
-        if n is None:
+            seen = True
+            feats = batch.column("features")
+            codes_all = arrow_codes(batch.column("class_name"), idx)
+            nums_all = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in row_slices(batch.num_rows, step):
+                X = arrow_matrix(feats.slice(lo, hi - lo), Wm.shape[0] or None)
+                M, Y = masks(codes_all[lo:hi], nums_all[lo:hi], ta, tb, tall, tsz, train=is_train)
+                P = (X @ Wm) > 0.0
+                Yb = Y > 0.5
+                n += M.sum(0)
+                wrong += ((P != Yb) & M).sum(0)
+                pos += (Yb & M).sum(0)
+        if not seen:
             return
         yield pa.RecordBatch.from_pydict({
             "m": pa.array(np.arange(len(n), dtype=np.int32)),
-            "n_rows": pa.array(n.astype(np.int64)),
-            "n_wrong": pa.array(wrong.astype(np.int64)),
-            "n_pos": pa.array(pos.astype(np.int64)),
+            "n_rows": pa.array(n),
+            "n_wrong": pa.array(wrong),
+            "n_pos": pa.array(pos),
         })
 
     cond = (F.col("num") <= F.lit(int(sizes.max()))) if train else (F.col("num") > F.lit(int(sizes.min())))
@@ -114,7 +150,7 @@ def score_models(rows: DataFrame, models, split: str = "test") -> DataFrame:
         [(j, s.task_type, s.class_a, s.class_b, s.size, s.iters) for j, s in enumerate(specs)],
         "m int, task_type string, class_a string, class_b string, size int, iters int",
     )
-    # meta has one row per requested model: bounded by the request, safe to broadcast
+    # meta has one row per model of this pass: bounded by MAX_MODELS_PER_PASS
     return (
         F.broadcast(meta)
         .join(summed, "m", "left")
@@ -129,30 +165,51 @@ def classify_records(records: DataFrame, models, keep, features: str = "features
     """M9: predicted class name per record from k one-vs-all models (lowest margin wins).
 
     ``models``: collected rows with ``class_a`` (the target class) and ``weights``.
-    Ties go to the alphabetically first class.
+    Ties go to the alphabetically first class.  Above the per-pass bounds the
+    models are split into chunks, each chunk gives its best class per record,
+    and ``min_by`` over the chunks picks the overall one (then ``keep`` must
+    identify records).
     """
-    spark = records.sparkSession
     models = sorted(models, key=lambda r: r["class_a"])
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    dims = max(len(m["weights"]) for m in models)
+    chunks = model_chunks(models, dims)
+    if len(chunks) == 1:
+        return _classify_pass(records, chunks[0], keep, features)
+    best = None
+    for chunk in chunks:
+        part = _classify_pass(records, chunk, keep, features)
+        best = part if best is None else best.unionByName(part)
+    pick = F.min_by(F.struct(F.col("margin"), F.col("predicted_class")),
+                    F.struct(F.col("margin"), F.col("predicted_class")))
+    return best.groupBy(*keep).agg(pick.alias("_b")).select(
+        *keep, F.col("_b.predicted_class").alias("predicted_class"), F.col("_b.margin").alias("margin"))
+
+
+def _classify_pass(records: DataFrame, models, keep, features: str) -> DataFrame:
+    spark = records.sparkSession
     names = [r["class_a"] for r in models]
     W = np.column_stack([np.asarray(r["weights"], dtype=np.float64) for r in models])
     icpt = np.array([float(r["intercept"] or 0.0) for r in models])
-    if W.nbytes > MAX_BROADCAST_WEIGHTS_BYTES:
-        raise ValueError("weight matrix exceeds the broadcast bound")
-    bc = spark.sparkContext.broadcast((W, icpt, names))
-    keep = [keep] if isinstance(keep, str) else list(keep)
+    bc = spark.sparkContext.broadcast((W, icpt, names, slice_rows(max(W.shape))))
     kept = ", ".join(f"`{c}` {records.schema[c].dataType.simpleString()}" for c in keep)
 
     def predict_batches(batches):
-        Wm, b0, cls = bc.value
+        Wm, b0, cls, step = bc.value
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            X = arrow_matrix(batch.column(features), Wm.shape[0])
-            margins = X @ Wm + b0[None, :]
-            best = np.argmin(margins, axis=1)
+            feats = batch.column(features)
+            best = np.zeros(batch.num_rows, dtype=np.int64)
+            low = np.zeros(batch.num_rows)
+            for lo, hi in row_slices(batch.num_rows, step):
+                margins = arrow_matrix(feats.slice(lo, hi - lo), Wm.shape[0]) @ Wm + b0[None, :]
+                k = np.argmin(margins, axis=1)
+                best[lo:hi] = k
+                low[lo:hi] = margins[np.arange(hi - lo), k]
             cols = {c: batch.column(c) for c in keep}
             cols["predicted_class"] = pa.array([cls[k] for k in best], type=pa.string())
-            cols["margin"] = pa.array(margins[np.arange(len(best)), best])
+            cols["margin"] = pa.array(low)
             yield pa.RecordBatch.from_pydict(cols)
 
     return records.select(*keep, features).mapInArrow(

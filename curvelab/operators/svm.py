@@ -18,8 +18,9 @@ Every trainer here fits *many* models at once as a weight matrix
 mask, so a whole learning curve shares its passes over the data.
 
 Trainers:
-  * ``train_grouped``   -- rows joined to the (small) size list, one
-    ``applyInPandas`` group per size; in memory per group:
+  * ``train_grouped``   -- rows joined to the (small) list of (size, model
+    bucket) keys, one ``applyInPandas`` group per key (at most
+    ``MODELS_PER_GROUP`` models); in memory per group:
     ``size x classes x dims`` numbers.  Default for learning curves.
   * ``train_iterative`` -- any training-set size: one Spark job per
     iteration for all models (``mapInArrow`` partial gradients per partition,
@@ -194,23 +195,32 @@ def grouped_memory_bytes(class_count: int, specs, dims: int) -> int:
     return biggest * class_count * dims * 8
 
 
-def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL) -> DataFrame:
-    """One ``applyInPandas`` group per training size; all models of that size share X."""
+# Models trained together in one grouped task; a size with more models is split
+# into several (size, bucket) groups that train in parallel.
+MODELS_PER_GROUP = 64
+
+
+def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
+                  models_per_group: int = MODELS_PER_GROUP) -> DataFrame:
+    """One ``applyInPandas`` group per (training size, model bucket); the models of a
+    group share one feature matrix of the rows with ``num <= size``."""
     spark = rows.sparkSession
-    specs = list(specs)
+    specs = list(dict.fromkeys(specs))
     index = class_index(specs)
-    sizes = sorted({s.size for s in specs})
-    size_df = spark.createDataFrame([(s,) for s in sizes], "size int")
+    groups = {}
+    for sz in sorted({s.size for s in specs}):
+        same = [s for s in specs if s.size == sz]
+        for b in range(0, len(same), models_per_group):
+            groups[(sz, b // models_per_group)] = same[b:b + models_per_group]
+    key_df = spark.createDataFrame(list(groups), "size int, bucket int")
     train = training_rows(rows, specs)
-    # theta join against the literal size list (small by construction)
-    joined = train.join(F.broadcast(size_df), train["num"] <= size_df["size"]).select(
-        "size", "class_name", "num", "features"
+    # theta join against the (size, bucket) list of the request: small by construction
+    joined = train.join(F.broadcast(key_df), train["num"] <= key_df["size"]).select(
+        "size", "bucket", "class_name", "num", "features"
     )
-    by_size = {sz: [s for s in specs if s.size == sz] for sz in sizes}
 
     def fit_group(key, pdf):
-        size = int(key[0])
-        group_specs = by_size[size]
+        group_specs = groups[(int(key[0]), int(key[1]))]
         a, b, is_all, sz = spec_arrays(group_specs, index)
         X = np.asarray(np.stack(pdf["features"].to_numpy()), dtype=np.float64)
         codes = pdf["class_name"].map(index).fillna(-1).to_numpy(dtype=np.int64)
@@ -225,7 +235,7 @@ def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, to
             rows_out.extend(_model_rows([group_specs[j] for j in cols], W, run, n_t))
         return pd.DataFrame(rows_out, columns=[f.split()[0] for f in MODEL_SCHEMA.split(", ")])
 
-    return joined.groupBy("size").applyInPandas(fit_group, MODEL_SCHEMA)
+    return joined.groupBy("size", "bucket").applyInPandas(fit_group, MODEL_SCHEMA)
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,

@@ -44,3 +44,18 @@ def test_score_plan_has_no_model_join(rows):
     plan = scoring.score_models(rows, models)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan or "PythonMapInArrow" in plan
     assert "CartesianProduct" not in plan
+
+
+def test_chunked_passes_and_slices_agree(rows, monkeypatch):
+    specs = [ModelSpec(TASK_1VALL, c, None, s, 5) for c in ("breed_a", "breed_b", "breed_c") for s in (3, 10)]
+    models = svm.train_grouped(rows, specs).collect()
+    whole = sorted(map(tuple, scoring.score_models(rows, models).collect()))
+    records = rows.filter(F.col("num") > 20)
+    cls_whole = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id").collect()))
+    monkeypatch.setattr(scoring, "MAX_MODELS_PER_PASS", 2)
+    monkeypatch.setattr(scoring, "SLICE_BYTES", 8 * 64 * 7)  # 7-row slices
+    assert len(scoring.model_chunks(models, 64)) == 3
+    assert sorted(map(tuple, scoring.score_models(rows, models).collect())) == whole
+    chunked = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id").collect()))
+    assert [r[:2] for r in chunked] == [r[:2] for r in cls_whole]
+    assert np.allclose([r[2] for r in chunked], [r[2] for r in cls_whole], rtol=0, atol=1e-12)

@@ -85,3 +85,12 @@ def test_auto_trainer_choice():
     specs = [ModelSpec(TASK_1VALL, "a", None, 100, 100)]
     assert svm.choose_trainer(10, specs, 64) == "grouped"
     assert svm.choose_trainer(100_000, specs, 4096) == "iterative"
+
+
+def test_model_buckets_do_not_change_weights(rows):
+    specs = [ModelSpec(TASK_1VALL, f"breed_{c}", None, s, 10) for c in "abcde" for s in (3, 8)]
+    one = {tuple(r[:5]): r["weights"] for r in svm.train_grouped(rows, specs).collect()}
+    many = {tuple(r[:5]): r["weights"] for r in svm.train_grouped(rows, specs, models_per_group=2).collect()}
+    assert one.keys() == many.keys() and len(one) == 10
+    for k in one:
+        assert np.max(np.abs(np.array(one[k]) - np.array(many[k]))) < 1e-12
