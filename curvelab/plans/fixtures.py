@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelab.functions.vectors import encode_feature_line, quantize, to_double_array
+from curvelab.functions.vectors import encode_feature_line, quantize
 from curvelab.operators.ordinal import class_ordinal
 from curvelab.session import table_path
 
@@ -34,7 +34,9 @@ def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label",
         class_name_of("label").alias("class_name"),
         "num",
-        to_double_array("embedding").alias("features"),
+        # kept as array<float>: half the bytes through shuffles and Arrow; the
+        # trainers widen to float64 inside the task (exact)
+        F.col("embedding").alias("features"),
     )
 
 

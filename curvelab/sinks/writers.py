@@ -38,10 +38,16 @@ def write_label_map(label_map: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def write_features(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                   partition_by: str | None = None) -> None:
+                   partition_by: str | None = None, cluster_by: str | None = "num") -> None:
     """K3: one dataset (not one object per image): Parquet, ``class,num,f1, f2`` text,
-    or JSON-array text."""
+    or JSON-array text.
+
+    Parquet files are sorted by ``cluster_by`` inside each task (no shuffle), so
+    row-group statistics let a training scan (``num <= max(size)``) skip most of
+    the table."""
     if fmt == "parquet":
+        if cluster_by and cluster_by in df.columns:
+            df = df.sortWithinPartitions(cluster_by)
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(partition_by)
