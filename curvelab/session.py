@@ -7,9 +7,11 @@ setting is missing *and* the master is local, which is the test setup.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -31,10 +33,47 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "curve
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Shared folder configured and this package importable on every executor."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Zip the ``curvelab`` package once per application and ``addPyFile`` it, so
+    Python workers can import it wherever the driver was started (the same as
+    ``--py-files``; a cluster that installs the package may skip this)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return _SHIPPED[app]
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, dirs, names in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    zf.write(full, os.path.relpath(full, root))
+    out_dir = tempfile.mkdtemp(prefix="curvelab-code-")
+    path = os.path.join(out_dir, "curvelab.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED[app] = path
+    return path
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -13,7 +13,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from curvelab.session import ensure_checkpoint_dir
+    from curvelab.session import prepare
 
     s = (
         SparkSession.builder.master("local[*]")
@@ -26,7 +26,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    prepare(s)
     yield s
 
 

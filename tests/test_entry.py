@@ -40,3 +40,26 @@ def test_oracle_match(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), cols)
+
+
+def test_workers_import_package_from_any_cwd(tmp_path):
+    """Python UDFs must find the package even when the driver starts elsewhere."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+spec = importlib.util.spec_from_file_location("se", {os.path.join(repo, '__spark_entry__.py')!r})
+se = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(se)
+print("ROWS", len(se.queries()["eval_1v1"](spark, "/root/testdata/sf0.001").collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 1" in out.stdout, out.stderr[-2000:]
