@@ -18,13 +18,13 @@ def _one(spark, expr, value):
 
 
 def test_base_name(spark):
-    assert _one(spark, base_name, "s3://bucket/a/b/yorkshire_terrier_12.jpg") == "yorkshire_terrier_12.jpg"
+    assert _one(spark, base_name, "s3://bucket/a/b/border_collie_12.jpg") == "border_collie_12.jpg"
     assert _one(spark, base_name, "plain.jpg") == "plain.jpg"
 
 
 def test_class_from_first_digit(spark):
     f = class_from_first_digit
-    assert _one(spark, f, "yorkshire_terrier_102.jpg.json") == "yorkshire_terrier"
+    assert _one(spark, f, "border_collie_102.jpg.json") == "border_collie"
     assert _one(spark, f, "great_pyrenees_3.jpg.json") == "great_pyrenees"
     assert _one(spark, f, "12_cat.jpg.json") is None        # first digit at position 0
     assert _one(spark, f, "cat.jpg.json") is None           # no digit at all
@@ -36,7 +36,7 @@ def test_class_and_num(spark):
         r = spark.createDataFrame([(v,)], "v string").select(class_and_num("v").alias("o")).first()["o"]
         return (r["class_name"], r["num"])
 
-    assert both("yorkshire_terrier_102.jpg") == ("yorkshire_terrier", 102)
+    assert both("border_collie_102.jpg") == ("border_collie", 102)
     assert both("american_pit_bull_terrier_7.jpg") == ("american_pit_bull_terrier", 7)
     assert both("beagle12.jpg") == (None, None)              # no underscore before the number
     assert both("beagle_12.png") == (None, None)             # wrong suffix
