@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,20 +19,31 @@ def split_threshold(df: DataFrame, size: int, num_col: str = "num") -> DataFrame
 
 
 def split_quota(df: DataFrame, n_train: int, class_col: str = "class_name", order_cols=("num", "file_name"),
-                key_cols=None) -> DataFrame:
+                key_cols=None, fan_in: int | None = None) -> DataFrame:
     """the first ``n_train`` rows of each class (by ``order_cols``) train, the rest test.
 
-    Only the top ``n_train`` per class is ranked: ``row_number() <= n`` lets
-    Spark insert a partial ``WindowGroupLimit`` before the shuffle, so each
-    task forwards at most ``n`` rows per class.  The (small) chosen keys are
-    joined back; AQE broadcasts them when they are small.
+    Only the top ``n_train`` per class is ranked (``row_number() <= n`` lets Spark
+    insert a partial ``WindowGroupLimit`` before each shuffle).  With many input
+    partitions a first level keeps the top ``n`` per class within groups of about
+    ``sqrt(P)`` map partitions, so no task receives more than about
+    ``n * sqrt(P)`` candidates of one class however large that class is.  The
+    chosen keys (``n`` per class) are joined back; AQE broadcasts them when small.
     """
     keys = list(key_cols or order_cols)
-    w = Window.partitionBy(class_col).orderBy(*[F.col(c) for c in order_cols])
+    n = int(n_train)
+    order = [F.col(c) for c in order_cols]
+    cand = df.select(class_col, *[c for c in dict.fromkeys(list(order_cols) + keys)])
+    parts = df.rdd.getNumPartitions()
+    fan = fan_in if fan_in is not None else (math.ceil(math.sqrt(parts)) if parts > 64 else 0)
+    if fan and fan > 0:
+        grp = F.floor(F.spark_partition_id() / F.lit(fan))
+        w1 = Window.partitionBy(class_col, "_pg").orderBy(*order)
+        cand = (cand.withColumn("_pg", grp).withColumn("_rn", F.row_number().over(w1))
+                .filter(F.col("_rn") <= F.lit(n)).drop("_rn", "_pg"))
+    w = Window.partitionBy(class_col).orderBy(*order)
     chosen = (
-        df.select(class_col, *[c for c in dict.fromkeys(list(order_cols) + keys)])
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= F.lit(int(n_train)))
+        cand.withColumn("_rn", F.row_number().over(w))
+        .filter(F.col("_rn") <= F.lit(n))
         .select(class_col, *keys)
         .withColumn("_is_train", F.lit(True))
     )

@@ -67,3 +67,12 @@ def test_rounding_is_exact_half_up(spark):
 def test_class_counts(rows):
     got = {r["class_name"]: r["n_rows"] for r in metrics.class_counts(rows).collect()}
     assert sum(got.values()) == rows.count() and len(got) == 10
+
+
+def test_split_quota_two_level_same_result(rows):
+    named = rows.select("vec_id", "class_name",
+                        F.concat("class_name", F.lit("_"), F.col("num").cast("string")).alias("file_name"))
+    spread = named.repartition(12)
+    one = {r["file_name"]: r["split"] for r in splits.split_quota(spread, 5, order_cols=("file_name",), fan_in=0).collect()}
+    two = {r["file_name"]: r["split"] for r in splits.split_quota(spread, 5, order_cols=("file_name",), fan_in=3).collect()}
+    assert one == two and sum(v == "train" for v in one.values()) == 50
