@@ -50,9 +50,10 @@ def missing_models(requested: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def existing_models(requested: DataFrame, models: DataFrame) -> DataFrame:
-    """Models whose key was requested (left semi join; the key list is small)."""
-    return models.join(F.broadcast(requested.select(*KEY_COLS)), key_match(models, requested.select(*KEY_COLS)),
-                       "left_semi")
+    """Models whose key was requested (left semi join; the key list is small).
+    One row per key even if two runs appended the same model."""
+    req = requested.select(*KEY_COLS)
+    return models.join(F.broadcast(req), key_match(models, req), "left_semi").dropDuplicates(KEY_COLS)
 
 
 def save_models(models: DataFrame, path: str, mode: str = "append") -> None:

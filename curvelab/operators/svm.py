@@ -377,8 +377,11 @@ def train(rows: DataFrame, specs, trainer: str = "auto", class_count: int | None
           dims: int | None = None, **kw) -> DataFrame:
     specs = list(specs)
     if trainer == "auto":
-        if class_count is None or dims is None:
-            raise ValueError("auto trainer needs class_count and dims")
+        if dims is None:
+            first = rows.select(F.size("features").alias("d")).limit(1).collect()
+            dims = int(first[0]["d"]) if first else 0
+        if class_count is None:
+            class_count = len(class_index(specs))
         trainer = choose_trainer(class_count, specs, dims)
     if trainer == "grouped":
         return train_grouped(rows, specs, **kw)

@@ -30,7 +30,7 @@ def _paths(out_dir: str) -> dict:
 
 
 def train_local(features: DataFrame, n_train: int, out_dir: str, classes=None, iters: int = DEFAULT_ITERS,
-                trainer: str = "grouped") -> DataFrame:
+                trainer: str = "auto") -> DataFrame:
     """M7.  ``features``: ``file_name string, features array<double>``.
 
     Returns the training error per saved model.
@@ -76,7 +76,7 @@ def train_local(features: DataFrame, n_train: int, out_dir: str, classes=None, i
         specs = [ModelSpec(TASK_1V1, names[0], names[1], n, iters)]
     else:
         specs = [ModelSpec(TASK_1VALL, c, None, n, iters) for c in names]
-    trained = svm.train(train_rows, specs, trainer=trainer)
+    trained = svm.train(train_rows, specs, trainer=trainer, class_count=len(names))
     model_table.save_models(model_table.with_version(trained, "local"), p["models"], mode="overwrite")
     saved = model_table.load_models(spark, p["models"]).collect()
     err = scoring.score_models(train_rows, saved, split="train")

@@ -34,3 +34,13 @@ def test_get_or_train_trains_only_missing(spark, rows, shared):
 
 def test_load_missing_table_is_empty(spark, shared):
     assert mt.load_models(spark, shared("nothing")).count() == 0
+
+
+def test_duplicate_appends_return_one_model(spark, rows, shared):
+    path = shared("models")
+    spec = [ModelSpec(TASK_1VALL, "breed_c", None, 4, 3)]
+    m = mt.with_version(svm.train_grouped(rows, spec), "v1")
+    mt.save_models(m, path)
+    mt.save_models(m, path)
+    got = mt.get_or_train(rows, spec, path, "v1", lambda r, s: svm.train_grouped(r, s)).collect()
+    assert len(got) == 1
