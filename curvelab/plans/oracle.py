@@ -172,8 +172,8 @@ FROM models m JOIN w ON m.mid = w.mid"""
 def _pair_pred_ctes() -> list[str]:
     specs = [("1vs1", "breed_a", "breed_b", 10, 1)]
     return [CLASS_ROWS, _models_cte(specs), *_svm_ctes(1), """pred AS (
-  SELECT r.vec_id, r.class_name, CASE WHEN r.class_name = 'breed_a' THEN 0.0 ELSE 1.0 END AS label,
-         CASE WHEN sum(x.x * w.w) > 0 THEN 1.0 ELSE 0.0 END AS prediction
+  SELECT r.vec_id, r.class_name, CAST(CASE WHEN r.class_name = 'breed_a' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label,
+         CAST(CASE WHEN sum(x.x * w.w) > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction
   FROM (SELECT vec_id, class_name, unnest(features) AS x, generate_subscripts(features, 1) AS dim
         FROM class_rows WHERE class_name IN ('breed_a', 'breed_b') AND num > 10) x
   JOIN class_rows r ON r.vec_id = x.vec_id
@@ -189,7 +189,7 @@ FROM {src}"""
 
 
 def _summary(col: str = "features") -> str:
-    return (f"len({col}) AS n_dims, CAST(list_sum({col}) AS BIGINT) AS sum_q, "
+    return (f"CAST(len({col}) AS INTEGER) AS n_dims, CAST(list_sum({col}) AS BIGINT) AS sum_q, "
             f"CAST({col}[1] AS BIGINT) AS first_q, CAST({col}[len({col})] AS BIGINT) AS last_q")
 
 
@@ -265,10 +265,10 @@ FROM (SELECT vec_id, file_name, {first_digit.format('file_name')} AS class_name
     q["filter_two_classes"] = _with(CLASS_ROWS) + \
         "SELECT vec_id, class_name FROM class_rows WHERE class_name IN ('breed_c', 'breed_g')"
     q["label_1v1"] = _with(CLASS_ROWS) + """SELECT vec_id, class_name,
-       CASE WHEN class_name = 'breed_c' THEN 0.0 ELSE 1.0 END AS label
+       CAST(CASE WHEN class_name = 'breed_c' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label
 FROM class_rows WHERE class_name IN ('breed_c', 'breed_g')"""
     q["label_1vall"] = _with(CLASS_ROWS) + """SELECT vec_id, class_name,
-       CASE WHEN class_name = 'breed_e' THEN 0.0 ELSE 1.0 END AS label FROM class_rows"""
+       CAST(CASE WHEN class_name = 'breed_e' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label FROM class_rows"""
     label_map = """lm AS (SELECT class_name, CAST(dense_rank() OVER (ORDER BY class_name) - 1 AS INTEGER) AS label_idx
        FROM (SELECT DISTINCT class_name FROM class_rows WHERE class_name IS NOT NULL))"""
     q["label_index"] = _with(CLASS_ROWS, label_map) + \
@@ -293,8 +293,8 @@ CROSS JOIN (VALUES ('train'), ('test')) AS sp(split)"""
     q["training_error"] = _with(
         CLASS_ROWS, _models_cte([("1vsall", "breed_d", None, 20, 1)]), *_svm_ctes(1),
         """pred AS (
-  SELECT x.vec_id, CASE WHEN x.class_name = 'breed_d' THEN 0.0 ELSE 1.0 END AS label,
-         CASE WHEN sum(x.x * w.w) > 0 THEN 1.0 ELSE 0.0 END AS prediction
+  SELECT x.vec_id, CAST(CASE WHEN x.class_name = 'breed_d' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label,
+         CAST(CASE WHEN sum(x.x * w.w) > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction
   FROM (SELECT vec_id, class_name, unnest(features) AS x, generate_subscripts(features, 1) AS dim
         FROM class_rows WHERE num <= 20) x JOIN w ON w.dim = x.dim
   GROUP BY x.vec_id, x.class_name)""",
