@@ -33,19 +33,21 @@ def text_features(df: DataFrame, text_col: str = "text", out_col: str = "feature
                   dims: int = TEXT_DIMS, n: int = TEXT_NGRAM, min_partitions: int | None = None) -> DataFrame:
     """Lower-cased character n-grams of the whole text -> hashed counts -> unit
     length, as array<double>."""
-    from pyspark.ml import Pipeline
     from pyspark.ml.feature import HashingTF, NGram, Normalizer, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
 
     chars, grams, tf, unit = "_fz_chars", "_fz_grams", "_fz_tf", "_fz_unit"
-    pipe = Pipeline(stages=[
+    # all four are plain transformers (nothing to fit): JVM-side, row by row
+    stages = [
         RegexTokenizer(inputCol=text_col, outputCol=chars, pattern=".", gaps=False, minTokenLength=1,
                        toLowercase=True),
         NGram(n=n, inputCol=chars, outputCol=grams),
         HashingTF(numFeatures=dims, inputCol=grams, outputCol=tf),
         Normalizer(p=2.0, inputCol=tf, outputCol=unit),
-    ])
-    out = pipe.fit(df.limit(0)).transform(spread(df, min_partitions))
+    ]
+    out = spread(df, min_partitions)
+    for stage in stages:
+        out = stage.transform(out)
     return out.withColumn(out_col, vector_to_array(unit, "float64")).drop(chars, grams, tf, unit)
 
 

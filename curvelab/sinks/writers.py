@@ -62,32 +62,31 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
 def save_mllib_model(model: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4 in MLlib's folder layout (readable by ``SVMModel.load``): one model row
-    with ``weights array<double>, intercept, threshold``."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.mllib.linalg import VectorUDT  # noqa: F401  (layout uses the mllib vector type)
+    with ``weights array<double>, intercept, threshold``.  The layout is one JSON
+    metadata line plus a one-row Parquet file holding the old-style vector."""
+    from pyspark.mllib.linalg import Vectors as MVectors
+    from pyspark.mllib.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, StructField, StructType
 
     spark = model.sparkSession
-    first = model.select(F.size("weights").alias("d")).first()
-    dims = int(first["d"]) if first else 0
+    rows = model.select("weights", "intercept", "threshold").limit(2).collect()  # one model
+    if len(rows) != 1:
+        raise ValueError("save_mllib_model writes exactly one model")
+    r = rows[0]
     meta = json.dumps({
         "class": "org.apache.spark.mllib.classification.SVMModel",
         "version": "1.0",
-        "numFeatures": dims,
+        "numFeatures": len(r["weights"]),
         "numClasses": 2,
     })
     spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode(mode).text(f"{path}/metadata")
-    data = model.select(array_to_vector("weights").alias("weights"), "intercept", "threshold")
-    # the mllib reader expects the old vector type; convert through the mllib UDT
-    from pyspark.mllib.linalg import Vectors as MVectors
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    rows = [(MVectors.dense(r["weights"].toArray()), float(r["intercept"]), r["threshold"]) for r in data.limit(1).collect()]
     schema = StructType([
         StructField("weights", VectorUDT(), False),
         StructField("intercept", DoubleType(), False),
         StructField("threshold", DoubleType(), True),
     ])
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode(mode).parquet(f"{path}/data")
+    data = [(MVectors.dense(r["weights"]), float(r["intercept"]), r["threshold"])]
+    spark.createDataFrame(data, schema).coalesce(1).write.mode(mode).parquet(f"{path}/data")
 
 
 def write_results(curve: DataFrame, path: str, mode: str = "overwrite") -> None:
