@@ -20,7 +20,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from curvelab.functions.names import base_name, class_and_num
+from curvelab.operators import models as model_table
+from curvelab.operators import score as scoring
 from curvelab.operators.featurize import featurize
+from curvelab.operators.svm import TASK_1VALL
 from curvelab.sources.readers import parse_feature_json
 
 
@@ -74,3 +77,31 @@ def featurize_new_files(spark: SparkSession, input_dir: str, output_dir: str, ch
     for p in query.recentProgress:
         written += int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
     return written
+
+
+def classify_new_files(spark: SparkSession, input_dir: str, model_path: str, output_dir: str, checkpoint_dir: str,
+                       size: int | None = None, iters: int | None = None, glob: str = "*.json",
+                       max_files_per_trigger: int | None = None) -> int:
+    """M9 as a stream: class names for JSON feature files that arrived since the
+    last run, from the saved one-vs-all models (one per class; lowest margin
+    wins), appended to ``output_dir``.  Returns the rows written by this run."""
+    saved = model_table.load_models(spark, model_path).filter(F.col("task_type") == TASK_1VALL)
+    if size is not None:
+        saved = saved.filter(F.col("size") == F.lit(size))
+    if iters is not None:
+        saved = saved.filter(F.col("iters") == F.lit(iters))
+    models = saved.collect()  # one row per class
+    if not models or len({m["class_a"] for m in models}) != len(models):
+        raise ValueError("need exactly one saved one-vs-all model per class")
+    records = _json_stream(spark, input_dir, glob, max_files_per_trigger)
+    predicted = scoring.classify_records(records, models, keep=["file_name"])
+    query = (
+        predicted.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint_dir)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(output_dir)
+    )
+    query.awaitTermination()
+    return sum(int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
+               for p in query.recentProgress)

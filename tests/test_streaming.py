@@ -41,3 +41,28 @@ def test_image_stream(spark, shared):
     assert n == 2
     rows = spark.read.parquet(out).collect()
     assert all(r["features"] == [5.0, 1.0, 2.0] for r in rows)
+
+
+def test_classify_stream(spark, rows, shared):
+    from curvelab.operators import models as mt
+    from curvelab.operators import svm
+    from curvelab.operators.svm import ModelSpec
+    from curvelab.streaming import classify_new_files
+
+    path = shared("models")
+    specs = [ModelSpec("1vsall", c, None, 10, 5) for c in ("breed_a", "breed_b")]
+    mt.save_models(mt.with_version(svm.train_grouped(rows, specs), "v1"), path)
+    src = shared("in").replace("file:", "")
+    out, ck = shared("out"), shared("ck")
+    os.makedirs(src, exist_ok=True)
+    picked = rows.filter("num = 30").limit(3).collect()
+    for r in picked[:2]:
+        with open(f"{src}/{r['class_name']}_{r['num']}.jpg.json", "w") as f:
+            json.dump([float(x) for x in r["features"]], f)
+    assert classify_new_files(spark, src, path, out, ck) == 2
+    r = picked[2]
+    with open(f"{src}/{r['class_name']}_{r['num']}.jpg.json", "w") as f:
+        json.dump([float(x) for x in r["features"]], f)
+    assert classify_new_files(spark, src, path, out, ck) == 1
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 3 and {g["predicted_class"] for g in got} <= {"breed_a", "breed_b"}
