@@ -403,11 +403,10 @@ def _documents(spark, sf_dir):
 
 
 def q_featurize_text(spark, sf_dir):
+    """Every non-zero feature of every document (whole text), 6 decimals."""
     feats = text_features(_documents(spark, sf_dir))
-    return feats.select(
-        "doc_id", "lang", F.size("features").alias("n_dims"),
-        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"),
-    )
+    return feats.select("doc_id", F.posexplode("features").alias("dim0", "v")).where(F.col("v") != 0).select(
+        "doc_id", (F.col("dim0") + 1).cast("int").alias("dim"), F.round("v", 6).alias("value"))
 
 
 def lang_rows(spark, sf_dir) -> DataFrame:

@@ -139,11 +139,12 @@ def _score_ctes(split: str = "test") -> list[str]:
     ]
 
 
-def _curve_sql(specs, iters: int, tol: float = 0.001) -> str:
+def _curve_sql(specs, iters: int, tol: float = 0.001, base: tuple = None) -> str:
+    base = base or (CLASS_ROWS,)
     if iters in (1, 2):
-        body = _with(CLASS_ROWS, _models_cte(specs), *_svm_ctes(iters), *_score_ctes("test"))
+        body = _with(*base, _models_cte(specs), *_svm_ctes(iters), *_score_ctes("test"))
     else:
-        body = "WITH RECURSIVE " + _with(CLASS_ROWS, _models_cte(specs), *_svm_recursive_ctes(tol),
+        body = "WITH RECURSIVE " + _with(*base, _models_cte(specs), *_svm_recursive_ctes(tol),
                                          *_score_ctes("test"))[len("WITH "):]
     n_test, n_wrong, n_pos = "coalesce(sc.n_test, 0)", "coalesce(sc.n_wrong, 0)", "coalesce(sc.n_pos, 0)"
     return body + f"""SELECT m.task_type, m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size,
@@ -157,6 +158,48 @@ FROM models m JOIN ntr ON m.mid = ntr.mid LEFT JOIN sc ON m.mid = sc.mid"""
 
 CLASSES = [f"breed_{chr(97 + i)}" for i in range(10)]
 
+# Hashed character trigrams of the whole lower-cased text without line breaks:
+# key = (c0 << 42) xor (c1 << 21) xor c2, bucket = ((key * M) mod 2^64 >> 40) mod 256,
+# counts scaled to unit length (same fixed values as the Spark featurizer).
+TRIGRAM_COUNTS = r"""
+tg_cp AS (
+  SELECT doc_id, list_transform(string_split(regexp_replace(lower(text), '[\n\r\x{0085}\x{2028}\x{2029}]', '', 'g'), ''),
+                                lambda c: CAST(unicode(c) AS BIGINT)) AS cp
+  FROM documents),
+tg_key AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(cp) - 1),
+                                       lambda i: xor(xor(cp[i] << 42, cp[i + 1] << 21), cp[i + 2]))) AS key
+  FROM tg_cp WHERE len(cp) >= 3),
+tg_cnt AS (
+  SELECT doc_id, CAST(((CAST(key AS HUGEINT) * CAST('11400714819323198485' AS HUGEINT))
+                        % CAST('18446744073709551616' AS HUGEINT)) // CAST(1099511627776 AS HUGEINT) AS BIGINT) % 256 AS bucket,
+         count(*) AS n
+  FROM tg_key GROUP BY ALL),
+tg_val AS (
+  SELECT c.doc_id, c.bucket, c.n / sqrt(z.s) AS v
+  FROM tg_cnt c JOIN (SELECT doc_id, sum(n * n) AS s FROM tg_cnt GROUP BY doc_id) z ON c.doc_id = z.doc_id)"""
+
+TRIGRAM_VECTORS = TRIGRAM_COUNTS + r""",
+tg_vec AS (
+  SELECT d.doc_id, list(coalesce(v.v, 0.0) ORDER BY r.b) AS features
+  FROM documents d CROSS JOIN range(0, 256) AS r(b)
+  LEFT JOIN tg_val v ON v.doc_id = d.doc_id AND v.bucket = r.b
+  GROUP BY d.doc_id)"""
+
+LANG_ROWS = TRIGRAM_VECTORS + """,
+class_rows AS (
+  SELECT d.doc_id AS vec_id, d.lang AS class_name,
+         CAST(row_number() OVER (PARTITION BY d.lang ORDER BY d.doc_id) AS INTEGER) AS num, t.features
+  FROM documents d JOIN tg_vec t ON t.doc_id = d.doc_id)"""
+
+QUALITY_ROWS = TRIGRAM_VECTORS + """,
+class_rows AS (
+  SELECT d.doc_id AS vec_id, 'q' || CAST(l.quality AS VARCHAR) AS class_name,
+         CAST(row_number() OVER (PARTITION BY l.quality ORDER BY d.doc_id) AS INTEGER) AS num, t.features
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN tg_vec t ON t.doc_id = d.doc_id)"""
+
+LANG_SIZES = [3, 5, 10, 16]
+
 
 def _vall(classes, sizes, iters):
     return [("1vsall", c, None, s, iters) for c in classes for s in sizes]
@@ -334,6 +377,12 @@ FROM models m LEFT JOIN sc ON m.mid = sc.mid"""
        CAST(sc.n_wrong AS BIGINT) AS n_wrong, {_ratio('sc.n_wrong', 'sc.n_test', 6)} AS error_rate,
        {_ratio('sc.n_test - sc.n_wrong', 'sc.n_test', 2, 100)} AS success_pct
 FROM sc"""
+    q["featurize_text"] = _with(TRIGRAM_COUNTS) + """SELECT doc_id, CAST(bucket + 1 AS INTEGER) AS dim,
+       round(v, 6) AS value FROM tg_val"""
+    langs = ["de", "en", "es", "fr"]
+    q["learning_curve_lang"] = _curve_sql(_vall(langs, LANG_SIZES, 100), 100, base=(LANG_ROWS,))
+    q["learning_curve_quality"] = _curve_sql([("1vs1", "q0", "q1", s, 100) for s in LANG_SIZES], 100,
+                                             base=(QUALITY_ROWS,))
     q["curve_table"] = (
         "SELECT task_type, class_a, class_b, size, success_pct FROM ("
         + _curve_sql(_vall(["breed_a"], PUBLISHED_SIZES, 1), 1) + ")"

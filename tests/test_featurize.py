@@ -1,9 +1,11 @@
 """M10 / M11 and the signal test: text features separate languages."""
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from curvelab.operators.featurize import featurize, skip_if_featurized, text_features
+from curvelab.operators.featurize import featurize, skip_if_featurized, text_features, trigram_vectors
 from curvelab.operators.ordinal import class_ordinal
 from curvelab.plans.curves import learning_curve
 from tests.conftest import SF_MID, SF_SMALL
@@ -32,19 +34,31 @@ def test_skip_if_featurized(spark):
     assert sorted(r[0] for r in skip_if_featurized(inputs, done).collect()) == ["a.jpg", "c.jpg"]
 
 
-def test_text_features_whole_text(spark):
+@pytest.mark.parametrize("method", ["arrow", "jvm"])
+def test_text_features_whole_text(spark, method):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    f = text_features(docs).select("doc_id", "features", "n_chars").collect()
+    f = text_features(docs, method=method).select("doc_id", "features", "n_chars").collect()
     assert len(f) == docs.count()
     for r in f:
         assert len(r["features"]) == 256
         assert abs(sum(x * x for x in r["features"]) - 1.0) < 1e-9 or r["n_chars"] < 3
 
 
-def test_language_signal(spark):
+@pytest.mark.parametrize("method", ["arrow", "jvm"])
+def test_language_signal(spark, method):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
-    feats = class_ordinal(text_features(docs), "lang", "doc_id", out_col="num")
+    feats = class_ordinal(text_features(docs, method=method), "lang", "doc_id", out_col="num")
     rows = feats.select(F.col("lang").alias("class_name"), "num", "features").cache()
     curve = learning_curve(rows, "1vsall", "all", [3, 10]).collect()
     for r in curve:
         assert r["success_pct"] > r["majority_pct"], r
+
+
+def test_trigram_vectors_whole_text_and_breaks():
+    long = "abc" * 50_000 + "zzz"
+    v = trigram_vectors(pd.Series([long, "ab", "a\nbc", "abc"]), 16)
+    assert abs(np.linalg.norm(v[0]) - 1.0) < 1e-12 and v[0].min() >= 0
+    assert not v[1].any()                    # fewer than 3 characters
+    assert np.array_equal(v[2], v[3])        # line breaks are skipped like a regex '.'
+    # the last trigram of a long text counts: it changes the vector
+    assert not np.array_equal(v[0], trigram_vectors(pd.Series(["abc" * 50_000]), 16)[0])
