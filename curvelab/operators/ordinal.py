@@ -21,6 +21,8 @@ tasks:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,3 +75,69 @@ def class_ordinal(
         .withColumn(out_col, (F.col("_ord_off") + F.row_number().over(within)).cast("int"))
         .drop(_BUCKET, _KEY, "_ord_off", "_ord_cls", "_ord_b")
     )
+
+
+def top_per_class(df: DataFrame, n: int, class_col: str, order_cols, key_cols=None,
+                  fan_in: int | None = None, rank_col: str = "_rn") -> DataFrame:
+    """The first ``n`` rows of each class by ``order_cols``: ``class, keys..., rank``.
+
+    ``row_number() <= n`` lets Spark put a partial ``WindowGroupLimit`` before
+    each shuffle, so a map task sends at most ``n`` rows per class.  With many
+    input partitions a first level keeps the top ``n`` per class within groups of
+    about ``sqrt(P)`` map partitions, so no task receives more than about
+    ``n * sqrt(P)`` candidates of one class however large that class is.  Only
+    the class, order and key columns are read.
+    """
+    keys = list(key_cols or order_cols)
+    order = [F.col(c) for c in order_cols]
+    cand = df.select(class_col, *dict.fromkeys(list(order_cols) + keys))
+    parts = df.rdd.getNumPartitions()
+    fan = fan_in if fan_in is not None else (math.ceil(math.sqrt(parts)) if parts > 64 else 0)
+    if fan and fan > 0:
+        grp = F.floor(F.spark_partition_id() / F.lit(fan))
+        w1 = Window.partitionBy(class_col, "_pg").orderBy(*order)
+        cand = (cand.withColumn("_pg", grp).withColumn("_rn1", F.row_number().over(w1))
+                .filter(F.col("_rn1") <= F.lit(n)).drop("_rn1", "_pg"))
+    w = Window.partitionBy(class_col).orderBy(*order)
+    return (cand.withColumn(rank_col, F.row_number().over(w))
+            .filter(F.col(rank_col) <= F.lit(n))
+            .select(class_col, *keys, rank_col))
+
+
+# Largest head (rows) joined back by broadcast; a head row is a class, a key and
+# a position (well under 100 bytes), so this bounds the broadcast near 100 MB.
+HEAD_BROADCAST_ROWS = 1_000_000
+
+
+def class_ordinal_head(df: DataFrame, class_col: str, order_col: str, n: int, out_col: str = "num",
+                       fan_in: int | None = None) -> DataFrame:
+    """Ordinal for consumers that compare it only with thresholds ``<= n``.
+
+    The first ``n`` rows of each class get their exact 1-based position by
+    ``order_col``; every later row gets ``n + 1``, which compares with every
+    threshold ``t <= n`` exactly as its true position does (``> t``).  No row is
+    dropped.  A learning curve with sizes up to ``n`` gives the same result on
+    this column as on the full ordinal.
+
+    Cost: the full ordinal must move every (wide) row through a shuffle; this
+    one ranks only ``(class, key)`` of the per-class top ``n`` (``top_per_class``:
+    partial limits before each shuffle, bounded per task even for a hot class)
+    and joins that head back.  The head holds at most ``n x classes`` rows; it is
+    written to the shared folder, its row count read from the file footers, and
+    it is broadcast only below ``HEAD_BROADCAST_ROWS`` (else a shuffle join).
+    ``order_col`` should be unique inside a class; tied keys share the first
+    position (the head is distinct on ``(class, key)``, so rows never multiply).
+    """
+    from curvelab.session import materialize
+
+    n = int(n)
+    head = (top_per_class(df, n, class_col, [order_col], fan_in=fan_in, rank_col="_oh_rank")
+            .groupBy(class_col, order_col).agg(F.min("_oh_rank").alias("_oh_rank"))
+            .select(F.col(class_col).alias("_oh_cls"), F.col(order_col).alias("_oh_key"), "_oh_rank"))
+    head = materialize(head, "ordinal_head", cluster_by=None)
+    if head.count() <= HEAD_BROADCAST_ROWS:
+        head = F.broadcast(head)
+    on = df[class_col].eqNullSafe(head["_oh_cls"]) & df[order_col].eqNullSafe(head["_oh_key"])
+    return (df.join(head, on, "left")
+            .withColumn(out_col, F.coalesce(F.col("_oh_rank"), F.lit(n + 1)).cast("int"))
+            .drop("_oh_cls", "_oh_key", "_oh_rank"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curvelab.operators.ordinal import top_per_class
+
 
 def filter_two_classes(df: DataFrame, class_a: str, class_b: str, class_col: str = "class_name") -> DataFrame:
     """F1."""
@@ -30,20 +30,8 @@ def split_quota(df: DataFrame, n_train: int, class_col: str = "class_name", orde
     chosen keys (``n`` per class) are joined back; AQE broadcasts them when small.
     """
     keys = list(key_cols or order_cols)
-    n = int(n_train)
-    order = [F.col(c) for c in order_cols]
-    cand = df.select(class_col, *[c for c in dict.fromkeys(list(order_cols) + keys)])
-    parts = df.rdd.getNumPartitions()
-    fan = fan_in if fan_in is not None else (math.ceil(math.sqrt(parts)) if parts > 64 else 0)
-    if fan and fan > 0:
-        grp = F.floor(F.spark_partition_id() / F.lit(fan))
-        w1 = Window.partitionBy(class_col, "_pg").orderBy(*order)
-        cand = (cand.withColumn("_pg", grp).withColumn("_rn", F.row_number().over(w1))
-                .filter(F.col("_rn") <= F.lit(n)).drop("_rn", "_pg"))
-    w = Window.partitionBy(class_col).orderBy(*order)
     chosen = (
-        cand.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= F.lit(n))
+        top_per_class(df, int(n_train), class_col, order_cols, keys, fan_in)
         .select(class_col, *keys)
         .withColumn("_is_train", F.lit(True))
     )

@@ -30,7 +30,7 @@ from curvelab.operators.featurize import text_features
 from curvelab.operators.ordinal import class_ordinal
 from curvelab.operators.svm import TASK_1V1, TASK_1VALL, ModelSpec
 from curvelab.plans import curves
-from curvelab.plans.fixtures import class_rows, files, lines, read_table
+from curvelab.plans.fixtures import class_rows, curve_rows, files, lines, read_table
 from curvelab.sources.readers import parse_feature_json, parse_feature_lines, parse_labeled_lines
 
 # The training sizes of the published sweep.
@@ -43,6 +43,11 @@ def _rows(spark, sf_dir) -> DataFrame:
     return class_rows(spark, sf_dir)
 
 
+def _curve_rows(spark, sf_dir, sizes) -> DataFrame:
+    """Rows for queries whose ``num`` only meets sizes <= max(sizes) and is not output."""
+    return curve_rows(spark, sf_dir, max(sizes))
+
+
 # ---------------------------------------------------------------- P1-P3
 
 
@@ -251,7 +256,7 @@ def q_training_error(spark, sf_dir):
 
 
 def q_success_pct(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [10])
     return curves.learning_curve(r, TASK_1VALL, "all", [10], iters=1).select(
         "class_a", "n_test", "n_wrong", "success_pct"
     )
@@ -261,38 +266,44 @@ def q_success_pct(spark, sf_dir):
 
 
 def q_eval_1v1(spark, sf_dir):
-    return curves.eval_1v1(_rows(spark, sf_dir), "breed_a", "breed_b", 10, iters=1)
+    return curves.eval_1v1(_curve_rows(spark, sf_dir, [10]), "breed_a", "breed_b", 10, iters=1)
 
 
 def q_eval_1vall(spark, sf_dir):
-    return curves.eval_1vall(_rows(spark, sf_dir), "breed_e", 7, iters=1)
+    return curves.eval_1vall(_curve_rows(spark, sf_dir, [7]), "breed_e", 7, iters=1)
 
 
 def q_learning_curve_1v1(spark, sf_dir):
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1V1, "breed_c,breed_h", PUBLISHED_SIZES, iters=2)
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1V1, "breed_c,breed_h", PUBLISHED_SIZES, iters=2)
 
 
 def q_learning_curve_1vall(spark, sf_dir):
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES, iters=2)
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1VALL, "all", PUBLISHED_SIZES, iters=2)
 
 
 def q_learning_curve_iterative(spark, sf_dir):
     """Same curve as ``learning_curve_1vall`` through the distributed per-iteration trainer."""
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES, iters=2,
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1VALL, "all", PUBLISHED_SIZES, iters=2,
                                  trainer="iterative")
 
 
 def q_learning_curve_1vall_100(spark, sf_dir):
     """The published sweep at the reference's default 100 iterations, every class as target."""
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES)
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1VALL, "all", PUBLISHED_SIZES)
 
 
 def q_learning_curve_1v1_100(spark, sf_dir):
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1V1, "breed_c,breed_h", PUBLISHED_SIZES)
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1V1, "breed_c,breed_h", PUBLISHED_SIZES)
 
 
 def q_learning_curve_iterative_100(spark, sf_dir):
-    return curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "all", PUBLISHED_SIZES, trainer="iterative")
+    r = _curve_rows(spark, sf_dir, PUBLISHED_SIZES)
+    return curves.learning_curve(r, TASK_1VALL, "all", PUBLISHED_SIZES, trainer="iterative")
 
 
 def q_svm_weights_stop(spark, sf_dir):
@@ -309,7 +320,8 @@ def q_svm_weights_stop(spark, sf_dir):
 
 
 def q_curve_table(spark, sf_dir):
-    c = curves.learning_curve(_rows(spark, sf_dir), TASK_1VALL, "breed_a", PUBLISHED_SIZES, iters=1)
+    c = curves.learning_curve(_curve_rows(spark, sf_dir, PUBLISHED_SIZES), TASK_1VALL, "breed_a", PUBLISHED_SIZES,
+                              iters=1)
     return metrics.curve_table(c)
 
 
@@ -356,7 +368,7 @@ def q_get_or_train(spark, sf_dir):
 
 
 def q_classify_records(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [10])
     specs = _vall_specs(_classes(r), [10], 1)
     trained = svm.train_grouped(r, specs).collect()
     records = r.filter(F.col("num") > 10)

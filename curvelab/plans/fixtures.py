@@ -4,6 +4,9 @@
   label ordered by ``vec_id`` and ``class_name = 'breed_' || letter``
   (label 0..9 -> a..j; letters because the first-digit rule needs names
   without digits).
+* ``curve_rows``: the same rows for learning curves with sizes up to ``upto``:
+  ``num`` exact for the first ``upto`` rows of each label, ``upto + 1`` after
+  (every comparison with a size <= ``upto`` is unchanged; no row is dropped).
 * ``files``: ``images/<class>_<num>.jpg`` paths for those rows.
 * ``lines``: ``class,num,q1, q2, ...`` text with integer ``q = round(x * 1e6)``.
 """
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvelab.functions.vectors import encode_feature_line, quantize
-from curvelab.operators.ordinal import class_ordinal
+from curvelab.operators.ordinal import class_ordinal, class_ordinal_head
 from curvelab.session import table_path
 
 
@@ -26,9 +29,7 @@ def class_name_of(label_col) -> F.Column:
     return F.concat(F.lit("breed_"), F.chr(F.lit(97) + F.col(label_col)))
 
 
-def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = read_table(spark, sf_dir, "embeddings")
-    numbered = class_ordinal(emb, "label", "vec_id", out_col="num")
+def _named(numbered: DataFrame) -> DataFrame:
     return numbered.select(
         "vec_id",
         "label",
@@ -40,6 +41,18 @@ def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    return _named(class_ordinal(emb, "label", "vec_id", out_col="num"))
+
+
+def curve_rows(spark: SparkSession, sf_dir: str, upto: int) -> DataFrame:
+    """Rows for curves with sizes <= ``upto``: the vectors are never shuffled (only
+    the per-label top ``upto`` of ``(label, vec_id)`` is ranked and joined back)."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    return _named(class_ordinal_head(emb, "label", "vec_id", upto, out_col="num"))
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = class_rows(spark, sf_dir)
     return rows.select(

@@ -25,3 +25,39 @@ def test_hot_class_and_nulls(spark):
     rows = [(i, "hot" if i % 3 else ("cold" if i % 2 else None)) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, c string")
     _check(df, "c", "k")
+
+
+def _check_head(df, cls, key, n):
+    from curvelab.operators.ordinal import class_ordinal_head
+
+    got = class_ordinal_head(df, cls, key, n, out_col="num")
+    want = df.withColumn("want", F.row_number().over(Window.partitionBy(cls).orderBy(key)))
+    want = want.withColumn("want", F.when(F.col("want") <= n, F.col("want")).otherwise(n + 1))
+    j = got.join(want.select(key, "want"), key)
+    assert got.count() == df.count()  # every row kept, none multiplied
+    assert j.filter(F.col("num") != F.col("want")).count() == 0
+
+
+def test_head_matches_row_number_up_to_n(spark):
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    _check_head(emb, "label", "vec_id", 20)
+
+
+def test_head_hot_class_nulls_and_fan_in(spark):
+    from curvelab.operators.ordinal import class_ordinal_head
+
+    rows = [(i, "hot" if i % 3 else ("cold" if i % 2 else None)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, c string").repartition(12)
+    _check_head(df, "c", "k", 50)
+    # the sqrt(P) pre-level gives the same head
+    got = class_ordinal_head(df, "c", "k", 50, fan_in=3).filter(F.col("num") <= 50)
+    assert got.count() == 150
+
+
+def test_head_tied_keys_do_not_multiply_rows(spark):
+    from curvelab.operators.ordinal import class_ordinal_head
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "a")], "k long, c string")
+    got = class_ordinal_head(df, "c", "k", 2, out_col="num")
+    assert got.count() == 4
+    assert sorted(r["num"] for r in got.collect()) == [1, 1, 3, 3]
