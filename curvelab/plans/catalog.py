@@ -27,7 +27,7 @@ from curvelab.operators import models as model_table
 from curvelab.operators import score as scoring
 from curvelab.operators import svm
 from curvelab.operators.featurize import text_features
-from curvelab.operators.ordinal import class_ordinal
+from curvelab.operators.ordinal import class_ordinal_head
 from curvelab.operators.svm import TASK_1V1, TASK_1VALL, ModelSpec
 from curvelab.plans import curves
 from curvelab.plans.fixtures import class_rows, curve_rows, files, lines, read_table
@@ -421,15 +421,17 @@ def q_featurize_text(spark, sf_dir):
         "doc_id", (F.col("dim0") + 1).cast("int").alias("dim"), F.round("v", 6).alias("value"))
 
 
-def lang_rows(spark, sf_dir) -> DataFrame:
-    """Featurize once, number each language's documents by ``doc_id`` and keep the
-    result as a written table in the shared folder (training reads
-    ``num <= max(size)`` with pushdown, scoring streams the whole table)."""
+def lang_rows(spark, sf_dir, upto: int = max(LANG_SIZES)) -> DataFrame:
+    """Number each language's documents by ``doc_id`` (exact up to ``upto``, see
+    ``class_ordinal_head``: only keys are ranked, texts are never shuffled),
+    featurize every whole text once and keep the result as a written table in
+    the shared folder (training reads ``num <= max(size)`` with pushdown,
+    scoring streams the whole table)."""
     from curvelab.session import materialize
 
-    feats = text_features(_documents(spark, sf_dir))
-    numbered = class_ordinal(feats, "lang", "doc_id", out_col="num")
-    return materialize(numbered.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
+    numbered = class_ordinal_head(_documents(spark, sf_dir), "lang", "doc_id", upto, out_col="num")
+    feats = text_features(numbered)
+    return materialize(feats.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
 
 
 def q_learning_curve_lang(spark, sf_dir):
@@ -444,8 +446,8 @@ def q_learning_curve_quality(spark, sf_dir):
     joined = docs.join(lbl, "doc_id").withColumn("quality", F.concat(F.lit("q"), F.col("quality").cast("string")))
     from curvelab.session import materialize
 
-    feats = text_features(joined)
-    rows = materialize(class_ordinal(feats, "quality", "doc_id", out_col="num").select(
+    numbered = class_ordinal_head(joined, "quality", "doc_id", max(LANG_SIZES), out_col="num")
+    rows = materialize(text_features(numbered).select(
         F.col("quality").alias("class_name"), "num", "features"
     ), "quality_rows")
     return curves.learning_curve(rows, TASK_1V1, "q0,q1", LANG_SIZES)
