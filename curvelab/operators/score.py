@@ -150,10 +150,11 @@ def _score_pass(rows: DataFrame, models, split: str) -> DataFrame:
         [(j, s.task_type, s.class_a, s.class_b, s.size, s.iters) for j, s in enumerate(specs)],
         "m int, task_type string, class_a string, class_b string, size int, iters int",
     )
-    # meta has one row per model of this pass: bounded by MAX_MODELS_PER_PASS
+    # both sides have at most one row per model of this pass (MAX_MODELS_PER_PASS):
+    # the counts are the build side of the left join that keeps every model
     return (
-        F.broadcast(meta)
-        .join(summed, "m", "left")
+        meta
+        .join(F.broadcast(summed), "m", "left")
         .select(
             "task_type", "class_a", "class_b", "size", "iters",
             *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("n_rows", "n_wrong", "n_pos")],
