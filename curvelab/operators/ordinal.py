@@ -128,15 +128,13 @@ def class_ordinal_head(df: DataFrame, class_col: str, order_col: str, n: int, ou
     ``order_col`` should be unique inside a class; tied keys share the first
     position (the head is distinct on ``(class, key)``, so rows never multiply).
     """
-    from curvelab.session import materialize
+    from curvelab.session import bounded_broadcast
 
     n = int(n)
     head = (top_per_class(df, n, class_col, [order_col], fan_in=fan_in, rank_col="_oh_rank")
             .groupBy(class_col, order_col).agg(F.min("_oh_rank").alias("_oh_rank"))
             .select(F.col(class_col).alias("_oh_cls"), F.col(order_col).alias("_oh_key"), "_oh_rank"))
-    head = materialize(head, "ordinal_head", cluster_by=None)
-    if head.count() <= HEAD_BROADCAST_ROWS:
-        head = F.broadcast(head)
+    head = bounded_broadcast(head, "ordinal_head", HEAD_BROADCAST_ROWS)
     on = df[class_col].eqNullSafe(head["_oh_cls"]) & df[order_col].eqNullSafe(head["_oh_key"])
     return (df.join(head, on, "left")
             .withColumn(out_col, F.coalesce(F.col("_oh_rank"), F.lit(n + 1)).cast("int"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelab.operators.ordinal import top_per_class
+from curvelab.operators.ordinal import HEAD_BROADCAST_ROWS, top_per_class
+from curvelab.session import bounded_broadcast
 
 
 def filter_two_classes(df: DataFrame, class_a: str, class_b: str, class_col: str = "class_name") -> DataFrame:
@@ -27,16 +28,19 @@ def split_quota(df: DataFrame, n_train: int, class_col: str = "class_name", orde
     partitions a first level keeps the top ``n`` per class within groups of about
     ``sqrt(P)`` map partitions, so no task receives more than about
     ``n * sqrt(P)`` candidates of one class however large that class is.  The
-    chosen keys (``n`` per class) are joined back; AQE broadcasts them when small.
+    chosen keys (``n`` per class) are written to the shared folder, counted,
+    and broadcast back below ``HEAD_BROADCAST_ROWS`` (else a shuffle join).
     """
     keys = list(key_cols or order_cols)
     chosen = (
         top_per_class(df, int(n_train), class_col, order_cols, keys, fan_in)
         .select(class_col, *keys)
         .withColumn("_is_train", F.lit(True))
+        .withColumnsRenamed({c: f"_q_{c}" for c in [class_col] + keys})
     )
+    chosen = bounded_broadcast(chosen, "quota_keys", HEAD_BROADCAST_ROWS)
     return (
-        df.join(chosen.withColumnsRenamed({c: f"_q_{c}" for c in [class_col] + keys}),
+        df.join(chosen,
                 [df[c].eqNullSafe(F.col(f"_q_{c}")) for c in [class_col] + keys], "left")
         .withColumn("split", F.when(F.col("_is_train"), "train").otherwise("test"))
         .drop("_is_train", *[f"_q_{c}" for c in [class_col] + keys])

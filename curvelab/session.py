@@ -122,3 +122,16 @@ def materialize(df, name: str = "table", cluster_by: str | None = "num"):
         df = df.sortWithinPartitions(cluster_by)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bounded_broadcast(df, name: str, max_rows: int):
+    """A join side whose size is known before the join is planned.
+
+    ``df`` is written to the shared folder (``materialize``) and its rows are
+    counted from the Parquet footers; the result carries a broadcast hint only
+    when it holds at most ``max_rows`` rows.  Otherwise the planner's shuffle
+    join is left in place."""
+    from pyspark.sql import functions as F
+
+    side = materialize(df, name, cluster_by=None)
+    return F.broadcast(side) if side.count() <= max_rows else side
