@@ -61,3 +61,17 @@ def test_head_tied_keys_do_not_multiply_rows(spark):
     got = class_ordinal_head(df, "c", "k", 2, out_col="num")
     assert got.count() == 4
     assert sorted(r["num"] for r in got.collect()) == [1, 1, 3, 3]
+
+
+def test_bounded_broadcast_hints_only_under_the_bound(spark):
+    from curvelab.session import bounded_broadcast
+
+    df = spark.range(10).withColumnRenamed("id", "k")
+
+    def hinted(side):
+        return "strategy=broadcast" in side._jdf.queryExecution().analyzed().toString()
+
+    small = bounded_broadcast(df, "t_small", 10)
+    big = bounded_broadcast(df, "t_big", 9)
+    assert hinted(small) and not hinted(big)
+    assert sorted(r["k"] for r in small.collect()) == list(range(10))
