@@ -66,7 +66,7 @@ def main():
         "curve_lang_flagship": lambda: curves.learning_curve(lang_rows(spark, sf_dir), "1vsall", "all", LANG_SIZES),
         "classify_records": classify,
         "class_ordinal": lambda: rows().select("vec_id", "class_name", "num"),
-        "sweep_counts": lambda: splits.sweep_counts(rows(), PUBLISHED_SIZES),
+        "sweep_counts": lambda: splits.sweep_counts(crows(), PUBLISHED_SIZES),
     }
     # warm-up: JVM, Python workers, Arrow
     curves.learning_curve(crows(), "1vs1", "breed_a,breed_b", [3], iters=2).collect()

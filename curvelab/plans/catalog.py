@@ -188,7 +188,7 @@ def q_label_decode(spark, sf_dir):
 
 
 def q_sweep_rows(spark, sf_dir):
-    return splits.sweep_counts(_rows(spark, sf_dir), PUBLISHED_SIZES)
+    return splits.sweep_counts(_curve_rows(spark, sf_dir, PUBLISHED_SIZES), PUBLISHED_SIZES)
 
 
 # ---------------------------------------------------------------- M1, M2, F5, A1-A4
@@ -211,13 +211,13 @@ def _classes(rows: DataFrame) -> list[str]:
 
 
 def q_svm_weights_1iter(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [3, 10])
     specs = _vall_specs(_classes(r), [3, 10], 1)
     return _weights_long(svm.train_grouped(r, specs))
 
 
 def q_svm_weights_2iter(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [3, 10, 5, 20])
     specs = _vall_specs(_classes(r), [3, 10], 2)
     specs += [ModelSpec(TASK_1V1, "breed_a", "breed_b", s, 2) for s in (5, 20)]
     return _weights_long(svm.train_grouped(r, specs))
@@ -228,7 +228,7 @@ def _one_model(rows, spec):
 
 
 def _pair_test_rows(spark, sf_dir, a="breed_a", b="breed_b", size=10):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [size])
     m = _one_model(r, ModelSpec(TASK_1V1, a, b, size, 1))
     test = splits.filter_two_classes(r, a, b).filter(F.col("num") > size)
     test = test.withColumn("label", label_1v1("class_name", a))
@@ -248,7 +248,7 @@ def q_error_rate(spark, sf_dir):
 
 
 def q_training_error(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [20])
     m = _one_model(r, ModelSpec(TASK_1VALL, "breed_d", None, 20, 1))
     train = r.filter(F.col("num") <= 20).withColumn("label", label_1vall("class_name", "breed_d"))
     pred = scoring.svm_predict(train, m["weights"], m["intercept"], m["threshold"])
@@ -308,7 +308,7 @@ def q_learning_curve_iterative_100(spark, sf_dir):
 
 def q_svm_weights_stop(spark, sf_dir):
     """Weights when the stop rule fires early (tolerance 0.05)."""
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [5, 30, 20])
     specs = [ModelSpec(TASK_1VALL, c, None, s, 100) for c in ("breed_a", "breed_f") for s in (5, 30)]
     specs += [ModelSpec(TASK_1V1, "breed_b", "breed_c", 20, 100)]
     m = svm.train_grouped(r, specs, tol=0.05)
@@ -358,7 +358,7 @@ def q_get_or_train(spark, sf_dir):
     the others trained, appended and read back."""
     from curvelab.session import shared_path
 
-    r = _rows(spark, sf_dir)
+    r = _curve_rows(spark, sf_dir, [3, 5, 10])
     path = shared_path(spark, "models")
     first = [ModelSpec(TASK_1V1, "breed_a", "breed_b", 3, 1)]
     model_table.save_models(model_table.with_version(svm.train_grouped(r, first), "v1"), path)
