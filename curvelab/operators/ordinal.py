@@ -17,6 +17,10 @@ tasks:
    class sizes, and the join to the offsets is left to AQE (broadcast when
    the materialised counts are small, shuffle join co-partitioned with the
    window otherwise).
+
+``class_ordinal_head`` serves consumers that only compare the ordinal with
+thresholds up to ``n`` (learning curves): it ranks the keys of the per-class
+top ``n`` and never moves the wide rows.
 """
 
 from __future__ import annotations
