@@ -9,13 +9,16 @@ of at least ``percent`` / 100 and returns the connected components of the links.
     document, and never compared again.  A class of a third of all rows costs one
     pre-aggregated row.
 3.  *Star.*  In every bucket (equal band key) each member is paired with one hub: the
-    member that shares most buckets with most others.  Pairs whose signatures agree too
-    little to reach the threshold are dropped, the others are confirmed on the full sets.
+    member that shares most buckets with most others.  The pair is decided on the full
+    shingle sets, and leaves behind in which shingles the member differs from its hub.
     Pairs grow with the rows of the buckets, not with their square.
-4.  *Rest.*  Two members of a bucket that the confirmed links have not put into one
-    component, and that are not its hub, may still be linked.  Their signatures are
-    compared inside the tasks, bucket block by bucket block, and the survivors are
-    confirmed on the full sets.  So every pair that shares a bucket is decided.
+4.  *Rest.*  Two members of a bucket that the links so far have not put into one component
+    may still be linked.  Both differ from the bucket's hub in known shingles, and these
+    differences alone give the exact size of their intersection: with D the difference of
+    a set from the hub B and r the part of B it lacks, ``|X & Y| = |B| - r(X) - r(Y) + |D(X) & D(Y)|``.
+    So members are compared inside the tasks, hub by hub and block by block, over an inverted
+    index of the differences, without their texts; a task puts out a link only where it joins
+    two components.  So every pair that shares a bucket is decided, and no pairs are emitted.
 
 With 64 permutations (128 values, 32 bands of 4) two sets of similarity 0.8 share no
 bucket with probability (1 - 0.8^4)^32 < 1e-7, and agree on less than ``floor`` of the
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from curvelab.llm.common import staged, wide_input
 from curvelab.llm.components import components
-from curvelab.llm.sketch import MinMax, shingle_sets, similar
+from curvelab.llm.sketch import MinMax, shingle_sets
 
 SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
 SLICE_ROWS = 256
@@ -80,77 +83,194 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int, floor: float, signatures: DataFrame) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose documents' full shingle sets reach ``percent``."""
-    marks = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sig_a"))
-    near = pairs.join(marks, "a").join(marks.toDF("b", "sig_b"), "b")
+STARS = "hub long, doc_id long, linked boolean, n_hub long, n long, lacks long, far boolean, shingles binary"
+
+
+def compare_with_hubs(star: DataFrame, docs: DataFrame, signatures: DataFrame, width: int, percent: int, floor: float) -> DataFrame:
+    """Step 3.  ``star``: hub, doc_id, members (how many members the hub has).
+
+    Gives one row per pair that may be linked or whose hub has other members: whether the
+    full sets reach ``percent``, the sizes of both sets, how many of the hub's shingles the member
+    lacks, and for hubs with other members the shingles in which it differs from the hub (of a ``far``
+    member, with less than ``FAR`` in common, all its own)."""
+    marks = signatures.select(F.col("doc_id"), F.col("signature").alias("sig"))
+    near = star.join(marks, "doc_id").join(marks.toDF("hub", "sig_hub"), "hub")
 
     def screen(batches):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            sig = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b")]
-            keep = pa.array(_agreement(*sig) >= floor)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+            sig = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig", "sig_hub")]
+            keep = (_agreement(*sig) >= floor) | (batch.column("members").to_numpy() > 1)
+            yield batch.filter(pa.array(keep)).select(["hub", "doc_id", "members"])
 
-    near = staged(near.mapInArrow(screen, "a long, b long"), "near_pairs")
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    texts = staged(wide_input(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").distinct(), "near_texts")
+    near = staged(near.mapInArrow(screen, "hub long, doc_id long, members long"), "star_pairs")
+    wanted = near.select("doc_id").union(near.select("hub")).distinct()
+    texts = staged(wide_input(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").distinct(), "star_texts")
     both = (
-        near.join(texts.toDF("a", "text_a"), "a")
-        .join(texts.toDF("b", "text_b"), "b")
-        .select("a", "b", "text_a", "text_b")
+        near.join(texts, "doc_id")
+        .join(texts.toDF("hub", "hub_text"), "hub")
+        .select("hub", "doc_id", "members", "text", "hub_text")
     )
 
-    def verify(batches):
+    def compare(batches):
+        # the join leaves rows of one hub together: its set is made once
+        last, hub_set = None, None
         for batch in _slices(batches):
-            left, right = (shingle_sets(batch.column(c), width) for c in ("text_a", "text_b"))
-            keep = pa.array([similar(x, y, percent) for x, y in zip(left, right)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
-
-    return staged(both.mapInArrow(verify, "a long, b long"), "links")
-
-
-def _rest_pairs(members: DataFrame, floor: float, block: int) -> DataFrame:
-    """Pairs of different components inside one bucket whose signatures agree enough.
-
-    ``members``: key, doc_id, component, signature, n (members of the bucket).  A bucket
-    of more than ``block`` members is cut into blocks by a hash of the document, and
-    each pair of blocks is one group, so no task holds more than two blocks."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+            out = []
+            hub_texts = batch.column("hub_text")
+            for i, (hub, doc, members, mine) in enumerate(
+                zip(
+                    batch.column("hub").to_pylist(),
+                    batch.column("doc_id").to_pylist(),
+                    batch.column("members").to_pylist(),
+                    shingle_sets(batch.column("text"), width),
+                )
+            ):
+                text = hub_texts[i].as_py()
+                if last != text:
+                    last, hub_set = text, shingle_sets(pa.array([text], pa.string()), width)[0]
+                common = len(np.intersect1d(mine, hub_set, assume_unique=True))
+                far = common < FAR * max(len(mine), len(hub_set))
+                shingles = None
+                if members > 1:
+                    shingles = (mine if far else np.setxor1d(mine, hub_set, assume_unique=True)).tobytes()
+                linked = common > 0 and 100 * common >= percent * (len(mine) + len(hub_set) - common)
+                out.append((hub, doc, linked, len(hub_set), len(mine), len(hub_set) - common, far, shingles))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), _STAR_TYPES)], names=_STAR_NAMES)
+
+    return both.mapInArrow(compare, STARS)
+
+
+#: A member with less than this share of shingles in common is kept by its own set, which is then the shorter one.
+FAR = 0.3
+_STAR_NAMES = [c.split()[0] for c in STARS.split(", ")]
+_STAR_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+
+
+class _Index:
+    """Members by shingle, for shingles that at least two of them hold."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(self.n), [len(s) for s in sets])
+        order = np.argsort(flat, kind="stable")
+        self.values, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
+        self.owners = owner[order]
+
+    def overlaps(self, one: np.ndarray) -> np.ndarray:
+        """How many shingles each member shares with this set."""
+        at = np.searchsorted(self.values, one)
+        at[at == len(self.values)] = 0
+        at = at[self.values[at] == one] if len(self.values) else at[:0]
+        at = at[self.count[at] > 1]
+        hits = [self.owners[f : f + c] for f, c in zip(self.first[at].tolist(), self.count[at].tolist())]
+        return np.bincount(np.concatenate(hits), minlength=self.n) if hits else np.zeros(self.n, np.int64)
+
+
+def _linked_across(ids, comp, own, sizes, lacks, far, sets, n_hub, hub_set, percent, cross) -> list[tuple[int, int]]:
+    """Links between different components among a hub's members.  ``cross``: only pairs of different ``own``."""
+    place = {c: c for c in comp.tolist()}
+
+    def root(c):
+        while place[c] != c:
+            place[c] = place[place[c]]
+            c = place[c]
+        return c
+
+    values, counts = np.unique(comp, return_counts=True)
+    minor = comp != values[counts.argmax()]
+    found: list[tuple[int, int]] = []
+
+    def take(x: int, rows: np.ndarray, both: np.ndarray) -> None:
+        ok = 100 * both >= percent * (sizes[x] + sizes[rows] - both)
+        if cross:
+            ok &= own[rows] != own[x]
+        for y in rows[ok].tolist():
+            a, b = root(int(comp[x])), root(int(comp[y]))
+            if a != b:
+                place[max(a, b)] = min(a, b)
+                found.append((int(ids[x]), int(ids[y])))
+
+    close = np.flatnonzero(~far)
+    if minor[close].any():
+        # near members: intersections from the differences alone
+        index = _Index([sets[i] for i in close])
+        for x in close[minor[close]]:
+            take(x, close, n_hub - lacks[x] - lacks[close] + index.overlaps(sets[x]))
+    if far.any():
+        # far members: against everyone's full sets
+        full = [s if f else np.setxor1d(s, hub_set, assume_unique=True) for s, f in zip(sets, far)]
+        index = _Index(full)
+        everyone = np.arange(len(ids))
+        for x in np.flatnonzero(far):
+            take(x, everyone, index.overlaps(full[x]))
+    return found
+
+
+def rest_links(members: DataFrame, hub_sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Step 4: links (a, b) between different components of one hub's members.
+
+    ``members``: the rows of ``STARS`` with component and members; ``hub_sets``: hub, shingles.  A hub
+    of more than ``block`` members is cut into blocks by a hash of the document, and each pair
+    of blocks is one group, so no task holds more than two blocks."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
     dealt = (
-        members.withColumn("own", own)
+        members.withColumn("own", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .select("key", "i", "j", "own", "doc_id", "component", "signature")
+        .select(
+            "hub",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            "own",
+            "doc_id",
+            "component",
+            "n_hub",
+            "n",
+            "lacks",
+            "far",
+            "shingles",
+        )
+    )
+    counts = members.groupBy("hub").agg(F.max(blocks).alias("k"))
+    centres = (
+        hub_sets.join(counts, "hub")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .withColumn("j", F.explode(F.sequence(F.col("i"), F.col("k") - 1)))
+        .selectExpr(
+            "hub", "i", "j", "-1 AS own", "hub AS doc_id", "hub AS component", "0L AS n_hub", "0L AS n", "0L AS lacks", "true AS far", "shingles"
+        )
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        ids = group.column("doc_id").to_numpy()
-        comp = group.column("component").to_numpy()
         own = group.column("own").to_numpy()
-        first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
-        # pairs inside the largest component need no look, so its members are never the left side
-        values, counts = np.unique(comp, return_counts=True)
-        minor = comp != values[counts.argmax()]
-        out_a, out_b = [], []
-        for x in np.flatnonzero(minor):
-            side = comp != comp[x]
-            side &= ~minor | (ids > ids[x])
-            if first != second:
-                side &= own != own[x]
-            at = np.flatnonzero(side)
-            if len(at):
-                at = at[_agreement(sig[at], sig[x]) >= floor]
-                out_a.append(np.full(len(at), ids[x]))
-                out_b.append(ids[at])
-        empty = [np.empty(0, np.int64)]
-        return pa.table({"a": np.concatenate(out_a or empty), "b": np.concatenate(out_b or empty)})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+        get = lambda c: group.column(c).to_numpy()[own >= 0]
+        sets = [np.frombuffer(b, np.uint64) for b in group.column("shingles").to_pylist()]
+        hub_set = next((s for s, o in zip(sets, own) if o < 0), np.empty(0, np.uint64))
+        sets = [s for s, o in zip(sets, own) if o >= 0]
+        cross = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+        links = []
+        if len(sets) > 1:
+            links = _linked_across(
+                get("doc_id"), get("component"), get("own"), get("n"), get("lacks"), get("far"), sets, get("n_hub").max(), hub_set, percent, cross
+            )
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.union(centres).groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _sets_of(hubs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(hub, shingles) of the hubs' texts."""
+    texts = wide_input(docs, "doc_id", "text").join(hubs.select(F.col("hub").alias("doc_id")), "doc_id", "left_semi")
+
+    def run(batches):
+        for batch in _slices(batches):
+            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["hub", "shingles"])
+
+    return texts.mapInArrow(run, "hub long, shingles binary").dropDuplicates(["hub"])
 
 
 def near_duplicates(
@@ -159,7 +279,7 @@ def near_duplicates(
     percent: int = 80,
     permutations: int = 64,
     rows: int = 4,
-    block: int = 1024,
+    block: int = 4096,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     spread = math.sqrt(percent / 100 * (1 - percent / 100) / (2 * permutations))
@@ -177,28 +297,24 @@ def near_duplicates(
     weight = buckets.groupBy("doc_id").agg(F.sum("n").alias("weight"))
     weighed = buckets.join(weight, "doc_id")
     hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("neg"))).alias("top"))
-    hubs = staged(hubs.select("key", (-F.col("top.neg")).alias("hub")), "hubs")
-    star = buckets.join(hubs, "key").where("doc_id <> hub")
-    star = star.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+    hubs = hubs.select("key", (-F.col("top.neg")).alias("hub"))
+    star = staged(buckets.join(hubs, "key").where("doc_id <> hub").select("hub", "doc_id").distinct(), "star")
+    star = star.join(star.groupBy("hub").agg(F.count("*").alias("members")), "hub")
     signatures = reps.select("doc_id", "signature")
-    links = confirm(star, docs, width, percent, floor, signatures)
+    stars = staged(compare_with_hubs(star, docs, signatures, width, percent, floor), "stars")
+    links = stars.where("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     groups = components(links, "a", "b")
 
     placed = (
-        buckets.join(hubs, "key")
-        .where("doc_id <> hub")
+        stars.where("shingles is not null")
         .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        .withColumn("component", F.coalesce("component", "doc_id"))
     )
-    open_keys = (
-        placed.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi")
-        .select("key", "n")
+    open_hubs = placed.groupBy("hub").agg(
+        F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
-    members = placed.join(open_keys, "key").join(signatures, "doc_id")
-    rest = _rest_pairs(members, floor, block).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = confirm(rest, docs, width, percent, floor, signatures)
+    open_hubs = staged(open_hubs.where("lo <> hi").select("hub", "members"), "open_hubs")
+    more = staged(rest_links(placed.join(open_hubs, "hub"), _sets_of(open_hubs, docs, width), percent, block), "more_links")
     groups = components(links.union(more), "a", "b")
 
     labels = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(

@@ -130,14 +130,3 @@ class MinMax:
         keys = (grouped * self.band_coef).sum(axis=2, dtype=np.uint64)
         keys += np.arange(1, self.bands + 1, dtype=np.uint64) * _U64(0x9E3779B97F4A7C15)
         return mix64(keys).view(np.int64)
-
-
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """``100 * |a & b| >= percent * |a | b|`` on sorted distinct hashes, both non-empty."""
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if len(small) == 0 or 100 * len(small) < percent * len(large):
-        return False
-    at = np.searchsorted(large, small)
-    at[at == len(large)] = 0
-    both = int(np.count_nonzero(large[at] == small))
-    return 100 * both >= percent * (len(a) + len(b) - both)
