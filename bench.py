@@ -29,7 +29,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from curvelab.operators import score as scoring  # noqa: E402
 from curvelab.operators import splits, svm  # noqa: E402
-from curvelab.operators.svm import TASK_1VALL, ModelSpec  # noqa: E402
 from curvelab.plans import curves  # noqa: E402
 from curvelab.plans.catalog import PUBLISHED_SIZES, LANG_SIZES, lang_rows  # noqa: E402
 from curvelab.plans.fixtures import class_rows, curve_rows  # noqa: E402
@@ -49,13 +48,12 @@ def main():
         return class_rows(spark, sf_dir)
 
     def crows():
-        # curves only compare num with sizes <= 100: the vectors are never shuffled
+        # curves only compare num with sizes <= 100: only the key ranges that hold them are shuffled
         return curve_rows(spark, sf_dir, max(PUBLISHED_SIZES))
 
     def classify():
         r = crows()
-        names = sorted(x[0] for x in r.select("class_name").distinct().collect())
-        models = svm.train_grouped(r, [ModelSpec(TASK_1VALL, c, None, 100, 100) for c in names]).collect()
+        models = svm.train_grouped(r, curves.all_targets(r, [100], 100))
         return scoring.classify_records(r, models, "vec_id").groupBy("predicted_class").count()
 
     jobs = {

@@ -36,7 +36,7 @@ def class_and_num(name) -> Column:
     """struct(class_name, num) from ``<class>_<num>.jpg``; nulls when the form is wrong."""
     n = _col(name)
     cls = F.nullif(F.regexp_extract(n, CLASS_NUM_PATTERN, 1), F.lit(""))
-    num = F.nullif(F.regexp_extract(n, CLASS_NUM_PATTERN, 2), F.lit("")).try_cast("int")
+    num = F.nullif(F.regexp_extract(n, CLASS_NUM_PATTERN, 2), F.lit("")).try_cast("bigint")
     return F.struct(cls.alias("class_name"), num.alias("num"))
 
 

@@ -21,43 +21,52 @@ TEXT_DIMS = 256
 TEXT_NGRAM = 3
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the input over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) before CPU-heavy per-row work.  Inputs that already
-    have that many splits -- any large input -- are left untouched."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 # Fixed values of the Arrow text featurizer: characters dropped before n-grams (line
 # terminators, as a regex '.' skips them) and the multiplier of the trigram hash.
 LINE_BREAKS = "\n\r\u0085\u2028\u2029"
 TRIGRAM_MULT = 0x9E3779B97F4A7C15
 
 
-def trigram_vectors(texts: pd.Series, dims: int = TEXT_DIMS) -> pd.Series:
-    """Hashed character-trigram counts of each whole text, scaled to unit length.
+def trigram_matrix(texts, dims: int = TEXT_DIMS) -> np.ndarray:
+    """Hashed character-trigram counts of each whole text, scaled to unit length: (n, dims).
 
-    Per text: code points -> one 63-bit key per trigram -> multiplicative hash
-    -> bucket counts (numpy, no Python loop over characters)."""
+    The code points of a whole batch lie in one buffer; a trigram key is made at every
+    position that has two more characters of the same text behind it, hashed
+    multiplicatively, and counted by (text, bucket) in one ``bincount``."""
     drop = str.maketrans("", "", LINE_BREAKS)
-    mult = np.uint64(TRIGRAM_MULT)
-    out = []
+    clean = [(t or "").lower().translate(drop) for t in texts]
+    sizes = np.array([len(t) for t in clean], np.int64)
+    points = np.frombuffer("".join(clean).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out = np.zeros((len(clean), dims))
+    if len(points) >= 3:
+        row = np.repeat(np.arange(len(clean)), sizes)
+        inside = row[2:] == row[:-2]
+        wide = points.astype(np.uint64)
+        key = (wide[:-2] << np.uint64(42)) ^ (wide[1:-1] << np.uint64(21)) ^ wide[2:]
+        bucket = ((key * np.uint64(TRIGRAM_MULT)) >> np.uint64(40)).astype(np.int64) % dims
+        cells = (row[:-2] * dims + bucket)[inside]
+        out = np.bincount(cells, minlength=len(clean) * dims).astype(np.float64).reshape(len(clean), dims)
+    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return out / np.where(norm > 0, norm, 1.0)
+
+
+def trigram_vectors(texts: pd.Series, dims: int = TEXT_DIMS, batch_chars: int = 4 << 20) -> pd.Series:
+    """``trigram_matrix`` over groups of texts of about ``batch_chars`` characters (a longer text is
+    a group of its own)."""
+    out, group, size = [], [], 0
     for t in texts:
-        cp = np.frombuffer((t or "").lower().translate(drop).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        v = np.zeros(dims)
-        if len(cp) >= 3:
-            key = (cp[:-2] << np.uint64(42)) ^ (cp[1:-1] << np.uint64(21)) ^ cp[2:]
-            bucket = ((key * mult) >> np.uint64(40)).astype(np.int64) % dims
-            v = np.bincount(bucket, minlength=dims).astype(np.float64)
-            v /= np.linalg.norm(v)
-        out.append(v)
-    return pd.Series(out)
+        if group and size + len(t or "") > batch_chars:
+            out += list(trigram_matrix(group, dims))
+            group, size = [], 0
+        group.append(t)
+        size += len(t or "")
+    if group:
+        out += list(trigram_matrix(group, dims))
+    return pd.Series(out, dtype=object)
 
 
 def text_features(df: DataFrame, text_col: str = "text", out_col: str = "features",
-                  dims: int = TEXT_DIMS, n: int = TEXT_NGRAM, min_partitions: int | None = None,
-                  method: str = "arrow") -> DataFrame:
+                  dims: int = TEXT_DIMS, n: int = TEXT_NGRAM, method: str = "arrow") -> DataFrame:
     """Lower-cased character n-grams of the whole text -> hashed counts -> unit
     length, as array<double>.
 
@@ -66,7 +75,7 @@ def text_features(df: DataFrame, text_col: str = "text", out_col: str = "feature
     Measured on 10,000 documents (24 M characters, local[8], warm): 1.6 s
     against 6.6 s -- the JVM path builds one string object per character and
     per n-gram."""
-    src = spread(df, min_partitions)
+    src = df
     if method == "arrow":
         if n != 3:
             raise ValueError("the Arrow featurizer builds trigrams; use method='jvm' for other n")

@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curvelab.operators.ordinal import dense_index
 from curvelab.session import bounded_broadcast
 
-# Largest class map joined back by broadcast (one short row per class).
-MAP_BROADCAST_ROWS = 1_000_000
-
 
 def label_map(df: DataFrame, class_col: str = "class_name") -> DataFrame:
-    """P7 map: ``label_idx`` 0..k-1 by class name (deterministic).
-
-    The ranking runs over the *distinct classes* only (one row per class
-    after a partial aggregate), never over data rows."""
-    classes = df.select(class_col).where(F.col(class_col).isNotNull()).distinct()
-    return classes.select(
-        (F.dense_rank().over(Window.orderBy(class_col)) - 1).cast("int").alias("label_idx"),
-        F.col(class_col).alias("class_name"),
-    )
+    """P7 map: ``label_idx`` 0..k-1 by class name (deterministic), over the *distinct classes* only."""
+    return dense_index(df, class_col, "label_idx").select("label_idx", F.col(class_col).alias("class_name"))
 
 
 def label_index(df: DataFrame, class_col: str = "class_name", mapping: DataFrame | None = None) -> DataFrame:
     """Add ``label_idx`` (double ``label`` too, as the labelled-line format wants)."""
     m = mapping if mapping is not None else label_map(df, class_col)
-    # the map has one row per class: written, counted, broadcast when bounded
-    m = bounded_broadcast(m.withColumnRenamed("class_name", "_lm_class"), "label_map", MAP_BROADCAST_ROWS)
+    # the map has one row per class: written, its bytes counted, broadcast when bounded
+    m = bounded_broadcast(m.withColumnRenamed("class_name", "_lm_class"), "label_map")
     joined = df.join(m, F.col(class_col) == F.col("_lm_class"), "left")
     return joined.drop("_lm_class").withColumn("label", F.col("label_idx").cast("double"))
 
@@ -35,5 +26,5 @@ def label_index(df: DataFrame, class_col: str = "class_name", mapping: DataFrame
 def label_decode(df: DataFrame, mapping: DataFrame, idx_col: str = "prediction", out_col: str = "predicted_class") -> DataFrame:
     """Index -> class name."""
     m = mapping.select(F.col("label_idx").alias("_ld_idx"), F.col("class_name").alias(out_col))
-    m = bounded_broadcast(m, "label_map", MAP_BROADCAST_ROWS)
+    m = bounded_broadcast(m, "label_map")
     return df.join(m, F.col(idx_col).cast("int") == F.col("_ld_idx"), "left").drop("_ld_idx")

@@ -2,7 +2,8 @@
 
 Rates are derived from integer counts with exact half-up rounding done in
 integer arithmetic, so every engine prints the same value:
-``success_pct = round_half_up(100 * (n - wrong) / n, 2)``; ``n = 0`` -> null.
+``success_pct = round_half_up(100 * (n - wrong) / n, 2)``; ``n = 0`` or an unknown
+``wrong`` -> null.
 """
 
 from __future__ import annotations
@@ -18,13 +19,12 @@ def _c(c) -> Column:
 def ratio_half_up(num, den, decimals: int, scale: int = 1) -> Column:
     """``round_half_up(scale * num / den, decimals)`` using integer arithmetic; null when den = 0."""
     unit = scale * 10 ** decimals
-    n = _c(num).cast("bigint")
-    d = _c(den).cast("bigint")
-    q = F.lit(2 * unit).cast("bigint") * n + d
-    two_d = F.lit(2).cast("bigint") * d
-    # exact floor division of non-negative integers: (q - q mod 2d) / 2d
-    idiv = ((q - F.pmod(q, two_d)) / two_d).cast("bigint")
-    return F.when(d > 0, idiv / F.lit(float(10 ** decimals)))
+    # 38-digit integers: exact for any bigint count
+    n = _c(num).cast("decimal(38,0)")
+    d = _c(den).cast("decimal(38,0)")
+    doubled = F.lit(2 * unit).cast("decimal(10,0)") * n.cast("decimal(20,0)") + d.cast("decimal(20,0)")
+    whole = F.call_function("div", doubled, F.lit(2).cast("decimal(1,0)") * d.cast("decimal(20,0)"))
+    return F.when(_c(den) > 0, whole / F.lit(float(10 ** decimals)))
 
 
 def success_pct(n_rows, n_wrong) -> Column:
@@ -48,8 +48,9 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 def error_counts(df: DataFrame, label: str = "label", prediction: str = "prediction", by=()) -> DataFrame:
-    """A2 in one pass: rows, wrong and rate (optionally per group)."""
-    wrong = F.sum((F.col(label) != F.col(prediction)).cast("bigint"))
+    """A2 in one pass: rows, wrong and rate (optionally per group).  A row without a
+    prediction is wrong."""
+    wrong = F.sum((~F.col(label).eqNullSafe(F.col(prediction))).cast("bigint"))
     g = df.groupBy(*by) if by else df.groupBy()
     return g.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(wrong, F.lit(0)).alias("n_wrong")).withColumn(
         "error_rate", error_rate("n_rows", "n_wrong")

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from curvelab.operators.svm import spec_frame
+from curvelab.session import materialize
+
 KEY_COLS = ["task_type", "class_a", "class_b", "size", "iters", "data_version"]
 TABLE_SCHEMA = (
     "task_type string, class_a string, class_b string, size int, iters int, data_version string, "
@@ -22,9 +25,8 @@ KEY_SCHEMA = "task_type string, class_a string, class_b string, size int, iters
 
 
 def keys_frame(spark: SparkSession, specs, data_version: str) -> DataFrame:
-    return spark.createDataFrame(
-        [(s.task_type, s.class_a, s.class_b, s.size, s.iters, data_version) for s in specs], KEY_SCHEMA
-    ).dropDuplicates()
+    """The keys of a request (a list of ``ModelSpec`` or a DataFrame) under one data version."""
+    return spec_frame(spark, specs).withColumn("data_version", F.lit(data_version))
 
 
 def key_match(left: DataFrame, right: DataFrame, cols=KEY_COLS):
@@ -50,10 +52,10 @@ def missing_models(requested: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def existing_models(requested: DataFrame, models: DataFrame) -> DataFrame:
-    """Models whose key was requested (left semi join; the key list is small).
+    """Models whose key was requested (left semi join, its form left to the planner).
     One row per key even if two runs appended the same model."""
     req = requested.select(*KEY_COLS)
-    return models.join(F.broadcast(req), key_match(models, req), "left_semi").dropDuplicates(KEY_COLS)
+    return models.join(req, key_match(models, req), "left_semi").dropDuplicates(KEY_COLS)
 
 
 def save_models(models: DataFrame, path: str, mode: str = "append") -> None:
@@ -70,16 +72,17 @@ def with_version(models: DataFrame, data_version: str) -> DataFrame:
 def get_or_train(rows: DataFrame, specs, path: str, data_version: str, train_fn) -> DataFrame:
     """M6: reuse stored models, train only the missing keys, append them, return all requested.
 
-    ``train_fn(rows, specs) -> DataFrame`` of trained models (svm.MODEL_SCHEMA).
-    """
-    from curvelab.operators.svm import ModelSpec
-
+    ``train_fn(rows, specs) -> DataFrame`` of trained models (svm.MODEL_SCHEMA); it gets the
+    missing keys as a DataFrame.  A key that has no training rows is not stored, so it is
+    tried again when rows have arrived; it is returned without weights."""
     spark = rows.sparkSession
     requested = keys_frame(spark, specs, data_version)
     stored = load_models(spark, path)
-    todo = missing_models(requested, stored).collect()  # bounded by the request
-    if todo:
-        new_specs = [ModelSpec(r["task_type"], r["class_a"], r["class_b"], r["size"], r["iters"]) for r in todo]
-        save_models(with_version(train_fn(rows, new_specs), data_version), path)
-        stored = load_models(spark, path)
-    return existing_models(requested, stored)
+    todo = materialize(missing_models(requested, stored), "missing_models", cluster_by=None)
+    if todo.isEmpty():
+        return existing_models(requested, stored)
+    new = materialize(with_version(train_fn(rows, todo.drop("data_version")), data_version), "new_models", cluster_by=None)
+    save_models(new.where(F.col("n_train") > 0), path)
+    columns = [f.split()[0] for f in TABLE_SCHEMA.split(", ")]
+    empty = new.where(F.col("n_train") == 0).select(*columns)
+    return existing_models(requested, load_models(spark, path)).select(*columns).unionByName(empty)

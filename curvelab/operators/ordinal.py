@@ -2,37 +2,47 @@
 
 A plain window partitioned by class puts every row of a class into one task;
 with ten classes and one of them holding a third of the table, that does not
-survive a large input.  This operator gives the same numbers with bounded
+survive a large input.  The operators here give the same numbers with bounded
 tasks:
 
-1. ``approxQuantile`` on the ordering key yields ``P - 1`` split points (the
-   driver receives only those ``P - 1`` numbers).
-2. ``Bucketizer`` (JVM binary search) maps each row to one of ``P`` key
-   ranges.  The mapping is monotone in the key, so ordering by
-   ``(bucket, key)`` equals ordering by ``key``.
-3. ``groupBy(class, bucket).count()`` -- partial aggregation, ``K x P`` rows.
-4. A running sum over that small table gives each (class, bucket) its offset.
-5. ``offset + row_number() over (partition by class, bucket order by key)``.
-   Every (class, bucket) window group holds about ``N / P`` rows whatever the
-   class sizes, and the join to the offsets is left to AQE (broadcast when
-   the materialised counts are small, shuffle join co-partitioned with the
-   window otherwise).
-
-``class_ordinal_head`` serves consumers that only compare the ordinal with
-thresholds up to ``n`` (learning curves): it ranks the keys of the per-class
-top ``n`` and never moves the wide rows.
+1. The ordering key is cut into ``P`` ranges: numeric keys at quantiles
+   (``approxQuantile``: the driver receives ``P - 1`` numbers), other keys at the
+   quantiles of a bounded sample.  The map from key to range is monotone, so
+   ordering by ``(range, key)`` equals ordering by ``key``.
+2. ``groupBy(class, range).count()`` -- partial aggregation, ``K x P`` rows,
+   written to the shared folder.
+3. A running sum over that small table gives each (class, range) its offset.
+4. ``offset + row_number() over (partition by class, range order by key)``.
+   Every (class, range) window group holds about ``N / P`` rows whatever the
+   class sizes.
+
+``class_ordinal`` numbers every row.  ``class_ordinal_head`` serves consumers
+that only compare the ordinal with thresholds up to ``n`` (quota splits, learning
+curves): ranges that begin after the ``n``-th row of their class are settled by
+their offset alone, so their (wide) rows meet no shuffle; only the ranges that
+hold the first ``n`` rows are numbered, whatever ``n`` is.
+
+Rows are numbered in place, never joined back by key, so repeated keys neither
+multiply nor share a number.  Rows with equal keys get an arbitrary but complete
+numbering, as with ``row_number``; they fall into one range, so a key should not
+repeat without bound.  Numbers are bigint.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from curvelab.session import materialize
 
-_BUCKET = "_ord_bucket"
+_RANGE = "_ord_range"
 _KEY = "_ord_key"
+# Keys drawn to place the range borders of non-numeric keys; borders decide how even the
+# ranges are, never the numbers.
+BORDER_SAMPLE = 4096
+MAX_TEXT_RANGES = 256
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -41,6 +51,48 @@ def default_buckets(df: DataFrame) -> int:
     return max(4, 4 * parts)
 
 
+def with_ranges(df: DataFrame, key_col: str, buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+    """``df`` with a column that is monotone in ``key_col`` and takes about ``buckets`` values
+    of nearly equal size; null for a null key."""
+    p = buckets or default_buckets(df)
+    if isinstance(df.schema[key_col].dataType, NumericType):
+        # rank error 1/(2P): each range stays near N/P rows (at most about 2N/P) and
+        # the quantile sketch stays O(P) entries even for tens of thousands of ranges
+        err = relative_error if relative_error is not None else 1.0 / (2 * p)
+        keyed = df.withColumn(_KEY, F.col(key_col).cast("double"))
+        cuts = keyed.approxQuantile(_KEY, [i / p for i in range(1, p)], err) if p > 1 else []
+        splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
+        ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
+        return ranged.drop(_KEY).withColumn(_RANGE, F.when(F.col(key_col).isNotNull(), F.col(_RANGE).cast("bigint")))
+    sample = df.select(key_col).where(F.col(key_col).isNotNull()).orderBy(F.xxhash64(key_col), key_col).limit(BORDER_SAMPLE)
+    keys = sorted((r[0] for r in sample.collect()), key=lambda k: k.encode() if isinstance(k, str) else k)
+    p = min(p, MAX_TEXT_RANGES)
+    borders = list(dict.fromkeys(keys[len(keys) * i // p] for i in range(1, p))) if keys else []
+    at = F.lit(0).cast("bigint")
+    if borders:
+        passed = F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= F.col(key_col))
+        at = F.size(passed).cast("bigint")
+    return df.withColumn(_RANGE, F.when(F.col(key_col).isNotNull(), at))
+
+
+def _offsets(ranged: DataFrame, class_col: str) -> DataFrame:
+    """(class, range, offset): rows of the class in earlier ranges; null keys come first."""
+    counts = materialize(
+        ranged.groupBy(class_col, _RANGE).agg(F.count(F.lit(1)).alias("_ord_n")), "range_counts", cluster_by=None
+    )
+    before = Window.partitionBy(class_col).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        F.col(class_col).alias("_ord_cls"),
+        F.col(_RANGE).alias("_ord_r"),
+        F.coalesce(F.sum("_ord_n").over(before), F.lit(0)).cast("bigint").alias("_ord_off"),
+    )
+
+
+def _numbered(rows: DataFrame, class_col: str, order_cols, out_col: str) -> DataFrame:
+    within = Window.partitionBy(class_col, _RANGE).orderBy(*[F.col(c) for c in order_cols])
+    return rows.withColumn(out_col, F.col("_ord_off") + F.row_number().over(within))
+
+
 def class_ordinal(
     df: DataFrame,
     class_col: str,
@@ -49,97 +101,63 @@ def class_ordinal(
     buckets: int | None = None,
     relative_error: float | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = 1-based position of each row inside its class by ``order_col``.
-
-    ``order_col`` must be numeric and should be unique inside a class (ties get
-    an arbitrary but complete numbering, as with ``row_number``).
-    """
-    p = buckets or default_buckets(df)
-    # rank error 1/(2P): each bucket stays near N/P rows (at most about 2N/P) and
-    # the quantile sketch stays O(P) entries even for tens of thousands of buckets
-    err = relative_error if relative_error is not None else 1.0 / (2 * p)
-    keyed = df.withColumn(_KEY, F.col(order_col).cast("double"))
-    probs = [i / p for i in range(1, p)]
-    cuts = keyed.approxQuantile(_KEY, probs, err) if probs else []
-    splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_BUCKET, handleInvalid="keep").transform(keyed)
-
-    counts = bucketed.groupBy(class_col, _BUCKET).agg(F.count(F.lit(1)).alias("_ord_n"))
-    before = Window.partitionBy(class_col).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(class_col).alias("_ord_cls"),
-        F.col(_BUCKET).alias("_ord_b"),
-        F.coalesce(F.sum("_ord_n").over(before), F.lit(0)).alias("_ord_off"),
-    )
+    """Add ``out_col`` = 1-based position of each row inside its class by ``order_col``."""
+    ranged = with_ranges(df, order_col, buckets, relative_error)
+    offsets = _offsets(ranged.select(class_col, _RANGE), class_col)
     # null-safe keys: rows with a null class or key are numbered like row_number does
-    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_BUCKET).eqNullSafe(F.col("_ord_b"))
-    within = Window.partitionBy(class_col, _BUCKET).orderBy(F.col(order_col))
-    return (
-        bucketed.join(offsets, on, "inner")
-        .withColumn(out_col, (F.col("_ord_off") + F.row_number().over(within)).cast("int"))
-        .drop(_BUCKET, _KEY, "_ord_off", "_ord_cls", "_ord_b")
-    )
-
+    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_RANGE).eqNullSafe(F.col("_ord_r"))
+    # the offsets are left to AQE: broadcast when the written counts are small, otherwise a
+    # shuffle join co-partitioned with the window
+    placed = ranged.join(offsets, on, "inner")
+    return _numbered(placed, class_col, [order_col], out_col).drop(_RANGE, "_ord_off", "_ord_cls", "_ord_r")
 
-def top_per_class(df: DataFrame, n: int, class_col: str, order_cols, key_cols=None,
-                  fan_in: int | None = None, rank_col: str = "_rn") -> DataFrame:
-    """The first ``n`` rows of each class by ``order_cols``: ``class, keys..., rank``.
 
-    ``row_number() <= n`` lets Spark put a partial ``WindowGroupLimit`` before
-    each shuffle, so a map task sends at most ``n`` rows per class.  With many
-    input partitions a first level keeps the top ``n`` per class within groups of
-    about ``sqrt(P)`` map partitions, so no task receives more than about
-    ``n * sqrt(P)`` candidates of one class however large that class is.  Only
-    the class, order and key columns are read.
-    """
-    keys = list(key_cols or order_cols)
-    order = [F.col(c) for c in order_cols]
-    cand = df.select(class_col, *dict.fromkeys(list(order_cols) + keys))
-    parts = df.rdd.getNumPartitions()
-    fan = fan_in if fan_in is not None else (math.ceil(math.sqrt(parts)) if parts > 64 else 0)
-    if fan and fan > 0:
-        grp = F.floor(F.spark_partition_id() / F.lit(fan))
-        w1 = Window.partitionBy(class_col, "_pg").orderBy(*order)
-        cand = (cand.withColumn("_pg", grp).withColumn("_rn1", F.row_number().over(w1))
-                .filter(F.col("_rn1") <= F.lit(n)).drop("_rn1", "_pg"))
-    w = Window.partitionBy(class_col).orderBy(*order)
-    return (cand.withColumn(rank_col, F.row_number().over(w))
-            .filter(F.col(rank_col) <= F.lit(n))
-            .select(class_col, *keys, rank_col))
-
-
-# Largest head (rows) joined back by broadcast; a head row is a class, a key and
-# a position (well under 100 bytes), so this bounds the broadcast near 100 MB.
-HEAD_BROADCAST_ROWS = 1_000_000
-
-
-def class_ordinal_head(df: DataFrame, class_col: str, order_col: str, n: int, out_col: str = "num",
-                       fan_in: int | None = None) -> DataFrame:
+def class_ordinal_head(
+    df: DataFrame,
+    class_col: str,
+    order_cols,
+    n: int,
+    out_col: str = "num",
+    buckets: int | None = None,
+) -> DataFrame:
     """Ordinal for consumers that compare it only with thresholds ``<= n``.
 
-    The first ``n`` rows of each class get their exact 1-based position by
-    ``order_col``; every later row gets ``n + 1``, which compares with every
-    threshold ``t <= n`` exactly as its true position does (``> t``).  No row is
-    dropped.  A learning curve with sizes up to ``n`` gives the same result on
-    this column as on the full ordinal.
-
-    Cost: the full ordinal must move every (wide) row through a shuffle; this
-    one ranks only ``(class, key)`` of the per-class top ``n`` (``top_per_class``:
-    partial limits before each shuffle, bounded per task even for a hot class)
-    and joins that head back.  The head holds at most ``n x classes`` rows; it is
-    written to the shared folder, its row count read from the file footers, and
-    it is broadcast only below ``HEAD_BROADCAST_ROWS`` (else a shuffle join).
-    ``order_col`` should be unique inside a class; tied keys share the first
-    position (the head is distinct on ``(class, key)``, so rows never multiply).
-    """
-    from curvelab.session import bounded_broadcast
+    The first ``n`` rows of each class get their exact 1-based position by ``order_cols``;
+    every later row gets ``n + 1``, which compares with every threshold ``t <= n`` exactly as
+    its true position does (``> t``).  No row is dropped.  A learning curve with sizes up to
+    ``n`` gives the same result on this column as on the full ordinal.
 
+    Ranges are cut on the first order column.  A row of a range that begins after its
+    class's ``n``-th row is settled by a join with the small offsets table; only rows
+    of the ranges before (about ``n + N / P`` a class) are shuffled and numbered.
+    """
     n = int(n)
-    head = (top_per_class(df, n, class_col, [order_col], fan_in=fan_in, rank_col="_oh_rank")
-            .groupBy(class_col, order_col).agg(F.min("_oh_rank").alias("_oh_rank"))
-            .select(F.col(class_col).alias("_oh_cls"), F.col(order_col).alias("_oh_key"), "_oh_rank"))
-    head = bounded_broadcast(head, "ordinal_head", HEAD_BROADCAST_ROWS)
-    on = df[class_col].eqNullSafe(head["_oh_cls"]) & df[order_col].eqNullSafe(head["_oh_key"])
-    return (df.join(head, on, "left")
-            .withColumn(out_col, F.coalesce(F.col("_oh_rank"), F.lit(n + 1)).cast("int"))
-            .drop("_oh_cls", "_oh_key", "_oh_rank"))
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    ranged = with_ranges(df, order_cols[0], buckets)
+    offsets = _offsets(ranged.select(class_col, _RANGE), class_col)
+    early = materialize(offsets.where(F.col("_ord_off") < n), "early_ranges", cluster_by=None)
+    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_RANGE).eqNullSafe(F.col("_ord_r"))
+    scratch = [_RANGE, "_ord_off", "_ord_cls", "_ord_r"]
+    head = _numbered(ranged.join(early, on, "inner"), class_col, order_cols, out_col)
+    head = head.withColumn(out_col, F.least(F.col(out_col), F.lit(n + 1).cast("bigint"))).drop(*scratch)
+    rest = ranged.join(early, on, "left_anti").drop(_RANGE).withColumn(out_col, F.lit(n + 1).cast("bigint"))
+    return head.unionByName(rest)
+
+
+def dense_index(df: DataFrame, col: str, out_col: str = "label_idx") -> DataFrame:
+    """(out_col, col): 0-based position of every distinct non-null value in ascending order.
+
+    The values are range-partitioned, numbered per partition and shifted by the counts of
+    the partitions before, so no task holds them all."""
+    values = df.select(col).where(F.col(col).isNotNull()).distinct().repartitionByRange(col)
+    parts = materialize(
+        values.sortWithinPartitions(col).select(
+            col, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")
+        ),
+        "values",
+        cluster_by=None,
+    )
+    first = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    shift = first.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return parts.join(shift, "_part").select((F.col("_id") + F.col("_shift")).cast("int").alias(out_col), col)

@@ -1,218 +1,226 @@
 """M2 / M9: scoring.
 
 * ``svm_predict``   -- one model, per-row prediction as a JVM expression
-  (weights inlined as an array literal; ``margin > threshold`` -> 1.0).
-* ``score_models``  -- many models over the whole table in one scan: the
-  weight matrix is broadcast, ``mapInArrow`` computes ``X @ W`` per Arrow
-  batch and emits only per-model partial counts per partition (map-side
-  combine), then a tiny ``groupBy`` sums them.  Test rows are never joined
-  with the model list.
-* ``classify_records`` -- k one-vs-all models, the class whose model gives
-  the **lowest** margin wins (the target class is label 0).
+  (``margin > threshold`` -> 1.0; no prediction for a bad vector).
+* ``score_models``  -- any number of models over the whole table in one scan.  The
+  models are a written table; each task holds a slice of rows, runs through the
+  models block by block (``shared_rows``), and emits only per-model counts
+  (map-side combine) before a ``groupBy``.  Rows are never joined with models, and
+  no model passes through the driver.
+* ``classify_records`` -- one-vs-all models of any number of classes, the class whose
+  model gives the **lowest** margin wins (the target class is label 0).  Each record
+  keeps its lowest margin while the blocks of models pass, so it stays one row and
+  needs no key; the same code runs on streams.
+
+Block and slice sizes bound the memory of a task; they change no result.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvelab.functions.vectors import dot
+from curvelab.operators.shared_rows import SharedRows, part_files
 from curvelab.operators.svm import (
     TASK_1VALL,
-    ModelSpec,
     arrow_codes,
     arrow_matrix,
-    class_index,
     masks,
-    spec_arrays,
+    row_slices,
+    slice_rows,
 )
+from curvelab.session import materialize
 
-# Upper bound for one broadcast weight matrix (models x dims x 8 bytes) and for the
-# models scored in one pass; larger model sets are scored in several passes.
-MAX_BROADCAST_WEIGHTS_BYTES = 256 << 20
-MAX_MODELS_PER_PASS = 1024
-# Rows of an Arrow batch multiplied at once: keeps rows x max(dims, models) x 8 bytes
-# near this size whatever the vector width.
-SLICE_BYTES = 32 << 20
-
-
-def slice_rows(width: int) -> int:
-    """Rows per matrix product for vectors / model sets of ``width`` (driver side)."""
-    return max(1, SLICE_BYTES // (8 * max(width, 1)))
-
-
-def row_slices(n: int, step: int):
-    for start in range(0, n, step):
-        yield start, min(n, start + step)
-
-
-def model_chunks(models, dims: int):
-    """Split a model list so each piece stays under both per-pass bounds."""
-    per = max(1, min(MAX_MODELS_PER_PASS, MAX_BROADCAST_WEIGHTS_BYTES // (8 * max(dims, 1))))
-    return [models[i:i + per] for i in range(0, len(models), per)]
-
-
-def margin_expr(features, weights, intercept: float = 0.0):
-    w = F.array(*[F.lit(float(v)) for v in weights])
-    return dot(features, w) + F.lit(float(intercept))
+# Weights held at once by a task: one block of models.
+BLOCK_BYTES = 16 << 20
+MODEL_COLUMNS = ["task_type", "class_a", "class_b", "size", "iters", "weights", "intercept", "threshold"]
+# Named classes up to this many also become a scan filter (a shortcut, results are the same).
+FILTER_CLASSES = 1000
 
 
 def svm_predict(df: DataFrame, weights, intercept: float = 0.0, threshold: float = 0.0,
                 features: str = "features", out: str = "prediction") -> DataFrame:
-    """M2: ``1.0`` when ``w . x + intercept > threshold`` else ``0.0``."""
-    m = margin_expr(F.col(features), weights, intercept)
-    return df.withColumn(out, F.when(m > F.lit(float(threshold)), F.lit(1.0)).otherwise(F.lit(0.0)))
-
-
-def _model_specs(models) -> tuple[list[ModelSpec], np.ndarray]:
-    specs = [ModelSpec(r["task_type"], r["class_a"], r["class_b"], int(r["size"]), int(r["iters"])) for r in models]
-    weights = [list(r["weights"]) for r in models]
-    dims = {len(w) for w in weights if len(w)}
-    if len(dims) > 1:
-        raise ValueError("models have different dimensions")
-    d = dims.pop() if dims else 0
-    W = np.zeros((d, len(models)))
-    for j, w in enumerate(weights):
-        if len(w):
-            W[:, j] = w
-    return specs, W
-
-
-def score_models(rows: DataFrame, models, split: str = "test") -> DataFrame:
-    """Per-model ``n_rows, n_wrong, n_pos`` on the test (``num > size``) or train split.
-
-    ``models``: collected model rows (task_type, class_a, class_b, size, iters, weights).
-    Model sets above the per-pass bounds are scored in several passes (union of
-    small aggregates).
-    """
+    """M2: ``1.0`` when ``w . x + intercept > threshold`` else ``0.0``; null when the vector is null, of
+    another length than the model, or holds nulls."""
+    w = F.from_json(F.lit(json.dumps([float(v) for v in weights])), "array<double>")  # one literal
+    x = F.col(features)
+    margin = dot(x, w) + F.lit(float(intercept or 0.0))
+    good = F.coalesce((F.size(x) == len(weights)) & ~F.exists(x, lambda v: v.isNull()), F.lit(False))
+    predicted = F.when(margin > F.lit(float(threshold or 0.0)), F.lit(1.0)).otherwise(F.lit(0.0))
+    return df.withColumn(out, F.when(good, predicted))
+
+
+def as_models(spark, models) -> DataFrame:
+    """Model rows as a DataFrame; takes a DataFrame or a list of rows."""
+    if isinstance(models, DataFrame):
+        return models
+    from curvelab.operators.svm import MODEL_SCHEMA
+
+    names = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
+    rows = [tuple((r if isinstance(r, dict) else r.asDict()).get(c) for c in names) for r in models]
+    return spark.createDataFrame(rows, MODEL_SCHEMA)
+
+
+class ModelBlock:
+    """One block of models as arrays; models without weights have a zero column and ``trained`` false."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.class_a = batch.column("class_a").to_pylist()
+        self.class_b = batch.column("class_b").to_pylist()
+        self.sizes = batch.column("size").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.is_all = np.array([t == TASK_1VALL for t in batch.column("task_type").to_pylist()])
+        self.intercept = batch.column("intercept").fill_null(0.0).to_numpy(zero_copy_only=False)
+        self.threshold = batch.column("threshold").fill_null(0.0).to_numpy(zero_copy_only=False)
+        weights = batch.column("weights")
+        lists = weights.to_numpy(zero_copy_only=False)
+        dims = {len(w) for w in lists if w is not None and len(w)}
+        if len(dims) > 1:
+            raise ValueError("models have different dimensions")
+        self.dims = dims.pop() if dims else None
+        self.trained = np.array([w is not None and len(w) > 0 for w in lists], dtype=bool)
+        self.W = np.zeros((self.dims or 0, len(lists)))
+        for j in np.flatnonzero(self.trained):
+            self.W[:, j] = lists[j]
+        names = sorted({*self.class_a, *(b for b in self.class_b if b is not None)})
+        self.index = {c: i for i, c in enumerate(names)}
+        self.a = np.array([self.index[c] for c in self.class_a], np.int64)
+        self.b = np.array([self.index[c] if c is not None else -2 for c in self.class_b], np.int64)
+        self.ids = batch.column("m").to_numpy(zero_copy_only=False) if "m" in batch.schema.names else None
+
+    def margins(self, X: np.ndarray) -> np.ndarray:
+        if self.dims is None:
+            return np.zeros((len(X), len(self.class_a)))
+        return X @ self.W + self.intercept[None, :]
+
+
+def _blocks(files: list[str], columns: list[str], block_models: int) -> SharedRows:
+    return SharedRows(files, columns, block_models)
+
+
+def _block_models(table: DataFrame, block_models: int | None) -> int:
+    if block_models:
+        return int(block_models)
+    dims = table.agg(F.max(F.size("weights"))).first()[0] or 1
+    return max(1, BLOCK_BYTES // (8 * max(1, dims)))
+
+
+def score_models(rows: DataFrame, models, split: str = "test", block_models: int | None = None) -> DataFrame:
+    """Every model's row (keys, ``n_train``) with ``n_rows, n_wrong, n_pos`` on the test
+    (``num > size``) or train split.
+
+    ``models``: model rows (``svm.MODEL_SCHEMA``) as a DataFrame or a list.  Rows without a
+    class take no part.  A model without weights has ``n_wrong`` null."""
     spark = rows.sparkSession
-    models = list(models)
-    out_schema = "task_type string, class_a string, class_b string, size int, iters int, " \
-                 "n_rows bigint, n_wrong bigint, n_pos bigint"
-    if not models:
-        return spark.createDataFrame([], out_schema)
-    dims = max(len(m["weights"]) for m in models)
-    parts = [_score_pass(rows, chunk, split) for chunk in model_chunks(models, dims)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _score_pass(rows: DataFrame, models, split: str) -> DataFrame:
-    spark = rows.sparkSession
-    specs, W = _model_specs(models)
-    index = class_index(specs)
-    a, b, is_all, sizes = spec_arrays(specs, index)
+    models = as_models(spark, models)
+    carried = [c for c in ("n_train", "data_version") if c in models.columns]
+    table = materialize(
+        models.select(*MODEL_COLUMNS, *carried, F.monotonically_increasing_id().alias("m")), "models", cluster_by=None
+    )
+    span = table.agg(
+        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max((F.col("task_type") == TASK_1VALL).cast("int")).alias("all")
+    ).first()
+    keys = ["task_type", "class_a", "class_b", "size", "iters"]
+    out = [*keys, *carried, "n_rows", "n_wrong", "n_pos"]
+    if span["lo"] is None:
+        empty = table.select(*keys, *carried)
+        return empty.selectExpr("*", "0L AS n_rows", "0L AS n_wrong", "0L AS n_pos").select(*out)
+    files, per_block = part_files(table), _block_models(table, block_models)
     train = split == "train"
-    bc = spark.sparkContext.broadcast((W, a, b, is_all, sizes, index, train, slice_rows(max(W.shape))))
+    columns = [*MODEL_COLUMNS, "m"]
 
     def count_batches(batches):
-        Wm, ta, tb, tall, tsz, idx, is_train, step = bc.value
-        n = np.zeros(Wm.shape[1], dtype=np.int64)
-        wrong = np.zeros_like(n)
-        pos = np.zeros_like(n)
-        seen = False
+        blocks = _blocks(files, columns, per_block)
+        counts: dict[int, list] = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            seen = True
-            feats = batch.column("features")
-            codes_all = arrow_codes(batch.column("class_name"), idx)
-            nums_all = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi in row_slices(batch.num_rows, step):
-                X = arrow_matrix(feats.slice(lo, hi - lo), Wm.shape[0] or None)
-                M, Y = masks(codes_all[lo:hi], nums_all[lo:hi], ta, tb, tall, tsz, train=is_train)
-                P = (X @ Wm) > 0.0
-                Yb = Y > 0.5
-                n += M.sum(0)
-                wrong += ((P != Yb) & M).sum(0)
-                pos += (Yb & M).sum(0)
-        if not seen:
-            return
-        yield pa.RecordBatch.from_pydict({
-            "m": pa.array(np.arange(len(n), dtype=np.int32)),
-            "n_rows": pa.array(n),
-            "n_wrong": pa.array(wrong),
-            "n_pos": pa.array(pos),
-        })
-
-    cond = (F.col("num") <= F.lit(int(sizes.max()))) if train else (F.col("num") > F.lit(int(sizes.min())))
-    if not any(s.task_type == TASK_1VALL for s in specs):
-        cond = cond & F.col("class_name").isin(sorted(index))
+            feats, names = batch.column("features"), batch.column("class_name")
+            nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, shared in enumerate(blocks):
+                blk = ModelBlock(shared)
+                n, wrong, pos = np.zeros((3, len(blk.a)), np.int64)
+                codes = arrow_codes(names, blk.index)
+                step = slice_rows(max(len(blk.a), blk.dims or 1))
+                for lo, hi in row_slices(batch.num_rows, step):
+                    X = arrow_matrix(feats.slice(lo, hi - lo), blk.dims)
+                    M, Y = masks(codes[lo:hi], nums[lo:hi], blk.a, blk.b, blk.is_all, blk.sizes, train=train)
+                    positive = Y > 0.5
+                    n += M.sum(0)
+                    pos += (positive & M).sum(0)
+                    wrong += (((blk.margins(X) > blk.threshold[None, :]) != positive) & M).sum(0)
+                if at in counts:
+                    for total, part in zip(counts[at][1:], (n, wrong, pos)):
+                        total += part
+                else:
+                    counts[at] = [blk.ids, n, wrong, pos]
+        for ids, n, wrong, pos in counts.values():
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids, n, wrong, pos)], names=["m", "n_rows", "n_wrong", "n_pos"])
+
+    cond = (F.col("num") <= span["hi"]) if train else (F.col("num") > span["lo"])
+    cond = cond & F.col("class_name").isNotNull()
+    if not span["all"]:
+        named = table.select(F.explode(F.array("class_a", "class_b")).alias("c")).where("c is not null").distinct()
+        some = [r["c"] for r in named.limit(FILTER_CLASSES + 1).collect()]
+        if len(some) <= FILTER_CLASSES:
+            cond = cond & F.col("class_name").isin(sorted(some))
     parts = rows.filter(cond).select("class_name", "num", "features").mapInArrow(
-        count_batches, "m int, n_rows bigint, n_wrong bigint, n_pos bigint"
+        count_batches, "m bigint, n_rows bigint, n_wrong bigint, n_pos bigint"
     )
     summed = parts.groupBy("m").agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_wrong", "n_pos")])
-    meta = spark.createDataFrame(
-        [(j, s.task_type, s.class_a, s.class_b, s.size, s.iters) for j, s in enumerate(specs)],
-        "m int, task_type string, class_a string, class_b string, size int, iters int",
-    )
-    # both sides have at most one row per model of this pass (MAX_MODELS_PER_PASS):
-    # the counts are the build side of the left join that keeps every model
+    info = table.select(*keys, *carried, "m", (F.coalesce(F.size("weights"), F.lit(-1)) > 0).alias("trained"))
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     return (
-        meta
-        .join(F.broadcast(summed), "m", "left")
-        .select(
-            "task_type", "class_a", "class_b", "size", "iters",
-            *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("n_rows", "n_wrong", "n_pos")],
-        )
+        info.join(summed, "m", "left")
+        .withColumn("n_wrong", F.when(F.col("trained"), count("n_wrong")))
+        .withColumn("n_rows", count("n_rows"))
+        .withColumn("n_pos", count("n_pos"))
+        .select(*out)
     )
 
 
-def classify_records(records: DataFrame, models, keep, features: str = "features") -> DataFrame:
-    """M9: predicted class name per record from k one-vs-all models (lowest margin wins).
+def classify_records(records: DataFrame, models, keep, features: str = "features", block_models: int | None = None) -> DataFrame:
+    """M9: ``keep`` columns, predicted class name and margin of every record from one-vs-all models
+    (lowest margin wins; ties go to the alphabetically first class).
 
-    ``models``: collected rows with ``class_a`` (the target class) and ``weights``.
-    Ties go to the alphabetically first class.  Above the per-pass bounds the
-    models are split into chunks, each chunk gives its best class per record,
-    and ``min_by`` over the chunks picks the overall one (then ``keep`` must
-    identify records).
-    """
-    models = sorted(models, key=lambda r: r["class_a"])
-    keep = [keep] if isinstance(keep, str) else list(keep)
-    dims = max(len(m["weights"]) for m in models)
-    chunks = model_chunks(models, dims)
-    if len(chunks) == 1:
-        return _classify_pass(records, chunks[0], keep, features)
-    best = None
-    for chunk in chunks:
-        part = _classify_pass(records, chunk, keep, features)
-        best = part if best is None else best.unionByName(part)
-    pick = F.min_by(F.struct(F.col("margin"), F.col("predicted_class")),
-                    F.struct(F.col("margin"), F.col("predicted_class")))
-    return best.groupBy(*keep).agg(pick.alias("_b")).select(
-        *keep, F.col("_b.predicted_class").alias("predicted_class"), F.col("_b.margin").alias("margin"))
-
-
-def _classify_pass(records: DataFrame, models, keep, features: str) -> DataFrame:
+    ``models``: model rows as a DataFrame or a list; those without weights take no part.
+    ``keep`` needs not identify records."""
     spark = records.sparkSession
-    names = [r["class_a"] for r in models]
-    W = np.column_stack([np.asarray(r["weights"], dtype=np.float64) for r in models])
-    icpt = np.array([float(r["intercept"] or 0.0) for r in models])
-    bc = spark.sparkContext.broadcast((W, icpt, names, slice_rows(max(W.shape))))
-    kept = ", ".join(f"`{c}` {records.schema[c].dataType.simpleString()}" for c in keep)
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    models = as_models(spark, models).where(F.size("weights") > 0)
+    table = materialize(models.select(*MODEL_COLUMNS), "models", cluster_by=None)
+    files, per_block = part_files(table), _block_models(table, block_models)
+    kept = "".join(f"`{c}` {records.schema[c].dataType.simpleString()}, " for c in keep)
 
     def predict_batches(batches):
-        Wm, b0, cls, step = bc.value
+        blocks = _blocks(files, MODEL_COLUMNS, per_block)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             feats = batch.column(features)
-            best = np.zeros(batch.num_rows, dtype=np.int64)
-            low = np.zeros(batch.num_rows)
-            for lo, hi in row_slices(batch.num_rows, step):
-                margins = arrow_matrix(feats.slice(lo, hi - lo), Wm.shape[0]) @ Wm + b0[None, :]
-                k = np.argmin(margins, axis=1)
-                best[lo:hi] = k
-                low[lo:hi] = margins[np.arange(hi - lo), k]
+            best = np.full(batch.num_rows, None, dtype=object)
+            low = np.full(batch.num_rows, np.inf)
+            for shared in blocks:
+                blk = ModelBlock(shared)
+                order = np.array(sorted(range(len(blk.class_a)), key=blk.class_a.__getitem__))
+                names = np.array(blk.class_a, dtype=object)[order]
+                for lo, hi in row_slices(batch.num_rows, slice_rows(max(len(names), blk.dims))):
+                    margins = blk.margins(arrow_matrix(feats.slice(lo, hi - lo), blk.dims))[:, order]
+                    k = np.argmin(margins, axis=1)
+                    value, name = margins[np.arange(hi - lo), k], names[k]
+                    tie = value == low[lo:hi]
+                    tie[tie] = [old is None or new < old for new, old in zip(name[tie], best[lo:hi][tie])]
+                    better = (value < low[lo:hi]) | tie
+                    best[lo:hi][better], low[lo:hi][better] = name[better], value[better]
             cols = {c: batch.column(c) for c in keep}
-            cols["predicted_class"] = pa.array([cls[k] for k in best], type=pa.string())
+            cols["predicted_class"] = pa.array(best, type=pa.string())
             cols["margin"] = pa.array(low)
             yield pa.RecordBatch.from_pydict(cols)
 
     return records.select(*keep, features).mapInArrow(
-        predict_batches, f"{kept}, predicted_class string, margin double"
+        predict_batches, f"{kept}predicted_class string, margin double"
     )

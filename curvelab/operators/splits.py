@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelab.operators.ordinal import HEAD_BROADCAST_ROWS, top_per_class
-from curvelab.session import bounded_broadcast
+from curvelab.operators.ordinal import class_ordinal_head
 
 
 def filter_two_classes(df: DataFrame, class_a: str, class_b: str, class_col: str = "class_name") -> DataFrame:
@@ -20,31 +19,15 @@ def split_threshold(df: DataFrame, size: int, num_col: str = "num") -> DataFrame
 
 
 def split_quota(df: DataFrame, n_train: int, class_col: str = "class_name", order_cols=("num", "file_name"),
-                key_cols=None, fan_in: int | None = None) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """the first ``n_train`` rows of each class (by ``order_cols``) train, the rest test.
 
-    Only the top ``n_train`` per class is ranked (``row_number() <= n`` lets Spark
-    insert a partial ``WindowGroupLimit`` before each shuffle).  With many input
-    partitions a first level keeps the top ``n`` per class within groups of about
-    ``sqrt(P)`` map partitions, so no task receives more than about
-    ``n * sqrt(P)`` candidates of one class however large that class is.  The
-    chosen keys (``n`` per class) are written to the shared folder, counted,
-    and broadcast back below ``HEAD_BROADCAST_ROWS`` (else a shuffle join).
-    """
-    keys = list(key_cols or order_cols)
-    chosen = (
-        top_per_class(df, int(n_train), class_col, order_cols, keys, fan_in)
-        .select(class_col, *keys)
-        .withColumn("_is_train", F.lit(True))
-        .withColumnsRenamed({c: f"_q_{c}" for c in [class_col] + keys})
-    )
-    chosen = bounded_broadcast(chosen, "quota_keys", HEAD_BROADCAST_ROWS)
-    return (
-        df.join(chosen,
-                [df[c].eqNullSafe(F.col(f"_q_{c}")) for c in [class_col] + keys], "left")
-        .withColumn("split", F.when(F.col("_is_train"), "train").otherwise("test"))
-        .drop("_is_train", *[f"_q_{c}" for c in [class_col] + keys])
-    )
+    Rows are ranked in place (``class_ordinal_head``), so names that repeat neither multiply
+    rows nor exceed the quota; only the key ranges that hold a class's first ``n_train``
+    rows are shuffled, whatever ``n_train`` is."""
+    n = int(n_train)
+    ranked = class_ordinal_head(df, class_col, list(order_cols), n, out_col="_quota_rank", buckets=buckets)
+    return ranked.withColumn("split", F.when(F.col("_quota_rank") <= n, "train").otherwise("test")).drop("_quota_rank")
 
 
 def misclassified(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

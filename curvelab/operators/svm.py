@@ -17,17 +17,21 @@ Every trainer here fits *many* models at once as a weight matrix
 (dims x models); a model is a (task, size) pair whose rows are picked by a
 mask, so a whole learning curve shares its passes over the data.
 
-Trainers:
-  * ``train_grouped``   -- rows joined to the (small) list of (size, model
-    bucket) keys, one ``applyInPandas`` group per key (at most
-    ``MODELS_PER_GROUP`` models); in memory per group:
-    ``size x classes x dims`` numbers.  Default for learning curves.
-  * ``train_iterative`` -- any training-set size: one Spark job per
-    iteration for all models (``mapInArrow`` partial gradients per partition,
-    then a JVM vector-sum aggregate -- or, when partitions x models x dims is
-    below a byte bound, a single stage summed on the driver); weights
-    broadcast; input checkpointed to the shared folder and packed into
-    partitions of a set byte size.
+A model whose training rows are none (its size lies below every ordinal of its
+classes) is returned too: ``n_train`` 0 and null weights.  Rows without a class
+take no part.  Requests (``specs``) are lists of ``ModelSpec`` or a DataFrame with
+the columns ``task_type, class_a, class_b, size, iters``, so a request derived from
+the data never needs to pass through the driver.
+
+Trainers (same models from each; which one runs changes no row):
+  * ``train_grouped``   -- groups of at most about ``MODELS_PER_GROUP`` models of one size
+    train in one task each.  The training rows are written once and read by the
+    tasks in slices (``shared_rows``), neither copied per group nor shuffled.
+    Default for learning curves.
+  * ``train_iterative`` -- spreads the rows of each model over the cluster: one Spark
+    job per iteration for a block of models (``mapInArrow`` partial gradients per
+    partition, a JVM vector-sum aggregate); the driver and the broadcast hold one
+    block of weights (``BLOCK_BYTES``); input checkpointed to the shared folder.
   * ``train_mllib``     -- MLlib ``SVMWithSGD`` on one model, parity checks only.
 """
 
@@ -37,13 +41,15 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curvelab.operators.shared_rows import SharedRows, part_files
+from curvelab.session import materialize, shared_path
+
 # Fixed defaults of the update rule (see module docstring).
 DEFAULT_ITERS = 100
 DEFAULT_STEP = 1.0
@@ -59,6 +65,26 @@ MODEL_SCHEMA = (
 )
 
 
+SPEC_SCHEMA = "task_type string, class_a string, class_b string, size int, iters int"
+SPEC_COLUMNS = ["task_type", "class_a", "class_b", "size", "iters"]
+
+# Weights of the models that the iterative trainer advances together.
+BLOCK_BYTES = 8 << 20
+# Rows multiplied at once: keeps rows x max(dims, models) x 8 bytes near this size
+# whatever the vector width.
+SLICE_BYTES = 32 << 20
+
+
+def slice_rows(width: int) -> int:
+    """Rows per matrix product for vectors / model sets of ``width``."""
+    return max(1, SLICE_BYTES // (8 * max(width, 1)))
+
+
+def row_slices(n: int, step: int):
+    for start in range(0, n, step):
+        yield start, min(n, start + step)
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     task_type: str
@@ -75,34 +101,41 @@ class ModelSpec:
 # numpy core
 
 
-def fit_matrix(X, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):
-    """Fit one model per column.
-
-    X: (n, d) float64; Y: (n, T) labels in {0, 1}; M: (n, T) bool row masks.
-    Returns (W (d, T), iters_run (T,), n_train (T,)).
-    """
-    n, d = X.shape
-    T = Y.shape[1]
-    S = np.where(M, 2.0 * Y - 1.0, 0.0)
-    n_t = M.sum(axis=0).astype(np.int64)
-    W = np.zeros((d, T))
+def fit_slices(slices, models: int, iters: int, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):
+    """Fit one model per column over rows that come in slices.
+
+    ``slices()`` yields (X (n, d) float64, Y (n, T) labels in {0, 1}, M (n, T) bool row
+    masks) anew for every pass.  Returns (W (d, T) or None without rows, iters_run (T,),
+    n_train (T,))."""
+    W, n_t = None, np.zeros(models, np.int64)
+    for X, _, M in slices():
+        n_t += M.sum(axis=0)
+        W = np.zeros((X.shape[1], models)) if W is None else W
     done = n_t == 0
-    iters_run = np.zeros(T, dtype=np.int32)
+    iters_run = np.zeros(models, dtype=np.int32)
     for i in range(1, iters + 1):
         todo = np.flatnonzero(~done)
         if todo.size == 0:
             break
         Wt = W[:, todo]
-        St = S[:, todo]
-        act = (St * (X @ Wt) < 1.0) & M[:, todo]
-        G = -(X.T @ np.where(act, St, 0.0)) / n_t[todo]
-        W[:, todo] = step_update(Wt, G, i, step, reg)
+        total = np.zeros_like(Wt)
+        for X, Y, M in slices():
+            St = np.where(M[:, todo], 2.0 * Y[:, todo] - 1.0, 0.0)
+            act = (St * (X @ Wt) < 1.0) & M[:, todo]
+            total += X.T @ np.where(act, St, 0.0)
+        W[:, todo] = step_update(Wt, -total / n_t[todo], i, step, reg)
         iters_run[todo] = i
         if i >= 2:
             done[todo] = converged(Wt, W[:, todo], tol)
     return W, iters_run, n_t
 
 
+def fit_matrix(X, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):
+    """``fit_slices`` on one slice: X (n, d) float64, Y (n, T), M (n, T)."""
+    W, iters_run, n_t = fit_slices(lambda: [(X, Y, M)], Y.shape[1], iters, step, reg, tol)
+    return W, iters_run, n_t
+
+
 def step_update(W, G, i, step=DEFAULT_STEP, reg=DEFAULT_REG):
     st = step / math.sqrt(i)
     return W * (1.0 - st * reg) - st * G
@@ -168,192 +201,208 @@ def arrow_codes(col, index: dict) -> np.ndarray:
 # Spark trainers
 
 
+def spec_frame(spark: SparkSession, specs) -> DataFrame:
+    """A request as a DataFrame without repeats."""
+    if isinstance(specs, DataFrame):
+        return specs.select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in SPEC_SCHEMA.split(", ")]).distinct()
+    return spark.createDataFrame([s.key() for s in dict.fromkeys(specs)], SPEC_SCHEMA)
+
+
 def _model_rows(specs, W, iters_run, n_t):
     out = []
     for j, s in enumerate(specs):
-        out.append(
-            (s.task_type, s.class_a, s.class_b, s.size, s.iters, int(n_t[j]), int(iters_run[j]),
-             [float(v) for v in W[:, j]], 0.0, 0.0)
-        )
+        weights = [float(v) for v in W[:, j]] if n_t[j] else None
+        out.append((*s.key(), int(n_t[j]), int(iters_run[j]), weights, 0.0, 0.0))
     return out
 
 
-def training_rows(rows: DataFrame, specs) -> DataFrame:
-    """Rows any model can train on: ``num <= max(size)`` and, without a 1-vs-all task,
+def _request_span(specs: DataFrame) -> tuple[int, int, int, bool]:
+    """(models, sizes, largest size, whether any model is 1-vs-all)."""
+    r = specs.agg(
+        F.count(F.lit(1)), F.count_distinct("size"), F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))
+    ).first()
+    return r[0], r[1], r[2], bool(r[3])
+
+
+def training_rows(rows: DataFrame, specs: DataFrame, max_size: int, has_all: bool) -> DataFrame:
+    """Rows any model can train on: ``num <= max(size)``, a class, and, without a 1-vs-all task,
     only the named classes.  Projection keeps the three columns the trainers read."""
-    max_size = max(s.size for s in specs)
-    cond = F.col("num") <= F.lit(max_size)
-    if not any(s.task_type == TASK_1VALL for s in specs):
-        names = sorted({s.class_a for s in specs} | {s.class_b for s in specs})
-        cond = cond & F.col("class_name").isin(names)
-    return rows.filter(cond).select("class_name", "num", "features")
+    train = rows.filter((F.col("num") <= F.lit(max_size)) & F.col("class_name").isNotNull()).select("class_name", "num", "features")
+    if not has_all:
+        named = specs.select(F.explode(F.array("class_a", "class_b")).alias("class_name")).distinct()
+        train = train.join(named, "class_name", "left_semi")
+    return train
 
 
-def grouped_memory_bytes(class_count: int, specs, dims: int) -> int:
-    """Upper bound of the largest grouped-trainer group in bytes."""
-    biggest = max(s.size for s in specs)
-    return biggest * class_count * dims * 8
+def grouped_memory_bytes(class_count: int, size: int, dims: int) -> int:
+    """Bytes of the training rows of the largest size, if every class has that many."""
+    return size * class_count * dims * 8
 
 
 # Models trained together in one grouped task; a size with more models is split
-# into several (size, bucket) groups that train in parallel.
+# into several groups that train in parallel.
 MODELS_PER_GROUP = 64
 
 
 def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                  models_per_group: int = MODELS_PER_GROUP) -> DataFrame:
-    """One ``applyInPandas`` group per (training size, model bucket); the models of a
-    group share one feature matrix of the rows with ``num <= size``."""
+                  models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One task per group of models of a size; each reads the written training rows with
+    ``num <= size`` slice by slice, once per iteration (from memory where they fit)."""
     spark = rows.sparkSession
-    specs = list(dict.fromkeys(specs))
-    index = class_index(specs)
-    groups = {}
-    for sz in sorted({s.size for s in specs}):
-        same = [s for s in specs if s.size == sz]
-        for b in range(0, len(same), models_per_group):
-            groups[(sz, b // models_per_group)] = same[b:b + models_per_group]
-    key_df = spark.createDataFrame(list(groups), "size int, bucket int")
-    train = training_rows(rows, specs)
-    # theta join against the (size, bucket) list of the request: small by construction
-    joined = train.join(F.broadcast(key_df), train["num"] <= key_df["size"]).select(
-        "size", "bucket", "class_name", "num", "features"
+    specs = spec_frame(spark, specs)
+    if specs.isEmpty():
+        return spark.createDataFrame([], MODEL_SCHEMA)
+    models, sizes, max_size, has_all = _request_span(specs)
+    table = materialize(training_rows(rows, specs, max_size, has_all), "training_rows")
+    files = part_files(table)
+    width = table.agg(F.max(F.size("features"))).first()[0] or 1
+    per_slice = max(1, slice_bytes // (8 * max(width, models_per_group)))
+    buckets = max(1, math.ceil(models / max(1, sizes) / models_per_group))
+    groups = (
+        specs.withColumn("bucket", F.pmod(F.xxhash64("class_a", "class_b", "task_type", "iters"), F.lit(buckets)))
+        .groupBy("size", "bucket")
+        .agg(F.sort_array(F.collect_list(F.struct(*SPEC_COLUMNS))).alias("specs"))
+        .select("specs")
     )
 
-    def fit_group(key, pdf):
-        group_specs = groups[(int(key[0]), int(key[1]))]
-        a, b, is_all, sz = spec_arrays(group_specs, index)
-        X = np.asarray(np.stack(pdf["features"].to_numpy()), dtype=np.float64)
-        codes = pdf["class_name"].map(index).fillna(-1).to_numpy(dtype=np.int64)
-        nums = pdf["num"].to_numpy(dtype=np.int64)
-        M, Y = masks(codes, nums, a, b, is_all, sz, train=True)
-        by_iters = {}
-        for j, s in enumerate(group_specs):
-            by_iters.setdefault(s.iters, []).append(j)
-        rows_out = []
-        for iters, cols in by_iters.items():
-            W, run, n_t = fit_matrix(X, Y[:, cols], M[:, cols], iters, step, reg, tol)
-            rows_out.extend(_model_rows([group_specs[j] for j in cols], W, run, n_t))
-        return pd.DataFrame(rows_out, columns=[f.split()[0] for f in MODEL_SCHEMA.split(", ")])
-
-    return joined.groupBy("size", "bucket").applyInPandas(fit_group, MODEL_SCHEMA)
+    def fit_groups(batches):
+        shared, shared_size = None, None
+        for batch in batches:
+            for group in batch.column("specs").to_pylist():
+                group_specs = [ModelSpec(**g) for g in group]
+                size = group_specs[0].size
+                if shared_size != size:
+                    shared_size = size
+                    shared = SharedRows(files, ["class_name", "num", "features"], per_slice,
+                                        filters=lambda b, size=size: pc.less_equal(b.column("num"), size))
+                index = class_index(group_specs)
+                out = []
+                for iters in sorted({s.iters for s in group_specs}):
+                    mine = [s for s in group_specs if s.iters == iters]
+                    a, b, is_all, sz = spec_arrays(mine, index)
+
+                    def slices(shared=shared, a=a, b=b, is_all=is_all, sz=sz, index=index):
+                        for part in shared:
+                            X = arrow_matrix(part.column("features"))
+                            nums = part.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+                            M, Y = masks(arrow_codes(part.column("class_name"), index), nums, a, b, is_all, sz, train=True)
+                            yield X, Y, M
+
+                    out += _model_rows(mine, *fit_slices(slices, len(mine), iters, step, reg, tol))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _MODEL_TYPES)], names=_MODEL_NAMES)
+
+    return groups.repartition(sizes * buckets).mapInArrow(fit_groups, MODEL_SCHEMA)
+
+
+_MODEL_NAMES = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
+_MODEL_TYPES = [
+    {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}[f.split()[1]]
+    for f in MODEL_SCHEMA.split(", ")
+]
+
+
+def _spec_blocks(specs: DataFrame, per_block: int):
+    """The request in blocks of at most ``per_block`` models; the driver holds one block."""
+    block: list[ModelSpec] = []
+    for r in specs.orderBy(*SPEC_COLUMNS).toLocalIterator():
+        block.append(ModelSpec(r["task_type"], r["class_a"], r["class_b"], r["size"], r["iters"]))
+        if len(block) == per_block:
+            yield block
+            block = []
+    if block:
+        yield block
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                    checkpoint: bool = True, partition_bytes: int = 64 << 20,
-                    direct_bytes: int = 32 << 20) -> DataFrame:
-    """One distributed pass per iteration for all models at once.
+                    partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One distributed pass per iteration for a block of models; the driver holds that block's
+    weights and receives its summed gradients, and finished blocks are written as a table."""
+    spark = rows.sparkSession
+    specs = spec_frame(spark, specs)
+    if specs.isEmpty():
+        return spark.createDataFrame([], MODEL_SCHEMA)
+    _, _, max_size, has_all = _request_span(specs)
+    # reliable copy in the shared checkpoint folder (a lost executor re-reads it
+    # instead of recomputing the plan)
+    train = training_rows(rows, specs, max_size, has_all).checkpoint(eager=True)
+    n_rows, dims = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    dims = dims or 1
+    # after the num <= max(size) filter most scan partitions are near empty; every pass
+    # would still launch one task each, so pack the rows into partitions of about
+    # ``partition_bytes`` (a no-op where there are no more partitions than that)
+    train = train.coalesce(max(1, math.ceil(n_rows * (8 * dims + 64) / partition_bytes)))
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    path = shared_path(spark, "trained")
+    for block in _spec_blocks(specs, max(1, block_bytes // (8 * dims))):
+        done = _train_block(spark, train, block, step, reg, tol)
+        spark.createDataFrame(done, MODEL_SCHEMA).write.mode("append").parquet(path)
+    train.unpersist()
+    return spark.read.schema(MODEL_SCHEMA).parquet(path)
 
-    The driver holds only the weight matrix (dims x models) and receives one
-    summed gradient per model per iteration.
-    """
+
+def _train_block(spark, train: DataFrame, specs: list[ModelSpec], step, reg, tol) -> list[tuple]:
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    spark = rows.sparkSession
     sc = spark.sparkContext
-    specs = list(specs)
     index = class_index(specs)
     a, b, is_all, sizes = spec_arrays(specs, index)
     T = len(specs)
-    max_iters = max(s.iters for s in specs)
     iters_of = np.array([s.iters for s in specs])
-    train = training_rows(rows, specs)
-    if checkpoint:
-        # reliable copy in the shared checkpoint folder (a lost executor re-reads it
-        # instead of recomputing the plan)
-        train = train.checkpoint(eager=True)
-    # after the num <= max(size) filter most scan partitions are near empty; every
-    # pass would still launch one task each, so pack the (checkpointed) rows into
-    # partitions of about ``partition_bytes`` -- after the checkpoint, so the scan
-    # itself keeps its full parallelism
-    n_rows = train.count()
-    first = train.select(F.size("features").alias("d")).limit(1).collect()
-    d_est = int(first[0]["d"]) if first else 1
-    want = max(1, math.ceil(n_rows * (8 * d_est + 64) / partition_bytes))
-    n_parts = train.rdd.getNumPartitions()
-    if want < n_parts:
-        train = train.coalesce(want)
-        n_parts = want
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    W = None
-    n_t = None
+    W, n_t = None, np.zeros(T, np.int64)
     done = np.zeros(T, dtype=bool)
     iters_run = np.zeros(T, dtype=np.int32)
-    for i in range(1, max_iters + 1):
+    for i in range(1, int(iters_of.max()) + 1):
         todo = np.flatnonzero(~done & (iters_of >= i))
         if todo.size == 0:
             break
-        W_todo = None if W is None else W[:, todo]
-        bc = sc.broadcast((W_todo, a[todo], b[todo], is_all[todo], sizes[todo], index))
+        bc = sc.broadcast((None if W is None else W[:, todo], a[todo], b[todo], is_all[todo], sizes[todo], index))
 
         def partial_gradients(batches, bc=bc):
             Wt, ta, tb, tall, tsz, idx = bc.value
-            g = None
-            cnt = None
+            g, cnt = None, np.zeros(len(ta), np.int64)
             for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                X = arrow_matrix(batch.column("features"))
+                feats = batch.column("features")
                 codes = arrow_codes(batch.column("class_name"), idx)
                 nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-                M, Y = masks(codes, nums, ta, tb, tall, tsz, train=True)
-                S = np.where(M, 2.0 * Y - 1.0, 0.0)
-                margins = np.zeros_like(S) if Wt is None else X @ Wt
-                act = (S * margins < 1.0) & M
-                part = X.T @ np.where(act, S, 0.0)
-                g = part if g is None else g + part
-                c = M.sum(axis=0)
-                cnt = c if cnt is None else cnt + c
+                for lo, hi in row_slices(batch.num_rows, slice_rows(len(ta))):
+                    X = arrow_matrix(feats.slice(lo, hi - lo))
+                    M, Y = masks(codes[lo:hi], nums[lo:hi], ta, tb, tall, tsz, train=True)
+                    S = np.where(M, 2.0 * Y - 1.0, 0.0)
+                    act = ((S * (X @ Wt) < 1.0) if Wt is not None else True) & M
+                    part = X.T @ np.where(act, S, 0.0)
+                    g = part if g is None else g + part
+                    cnt += M.sum(axis=0)
             if g is None:
                 return
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "t": pa.array(np.arange(g.shape[1], dtype=np.int32)),
-                    "n": pa.array(cnt.astype(np.int64)),
-                    "g": pa.array([list(g[:, j]) for j in range(g.shape[1])], type=pa.list_(pa.float64())),
-                }
-            )
-
-        parts = train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
-        if n_parts * todo.size * d_est * 8 <= direct_bytes:
-            # few partial rows: one stage, summed on the driver (size checked above)
-            summed = parts.collect()
-        else:
-            # partial sums combined by a JVM vector aggregate; driver gets one row per model
-            summed = (
-                parts.groupBy("t")
-                .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
-                .collect()
-            )
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, g.size + 1, len(g), dtype=np.int32)), pa.array(g.T.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(g.shape[1], dtype=np.int32)), pa.array(cnt), lists], names=["t", "n", "g"])
+
+        # partial sums combined by a JVM vector aggregate; the driver gets one row per model of the block
+        summed = (
+            train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
+            .groupBy("t")
+            .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
+            .collect()
+        )
         bc.destroy()
         if not summed:
             break
-        d = len(summed[0]["g"])
-        if W is None:
-            W = np.zeros((d, T))
-        G = np.zeros((d, todo.size))
-        n_now = np.zeros(todo.size, dtype=np.int64)
+        W = np.zeros((len(summed[0]["g"]), T)) if W is None else W
+        G, n_now = np.zeros((len(W), todo.size)), np.zeros(todo.size, np.int64)
         for r in summed:
-            g = r["g"]
-            G[:, r["t"]] += g.toArray() if hasattr(g, "toArray") else np.asarray(g, dtype=np.float64)
-            n_now[r["t"]] += r["n"]
-        if n_t is None:
-            n_t = np.zeros(T, dtype=np.int64)
+            G[:, r["t"]], n_now[r["t"]] = r["g"].toArray(), r["n"]
+        if i == 1:
             n_t[todo] = n_now
-            empty = n_t == 0
-            done |= empty
-            keep = ~empty[todo]
-            todo, G, n_now = todo[keep], G[:, keep], n_now[keep]
+            done |= n_t == 0
+            live = n_now > 0
+            todo, G, n_now = todo[live], G[:, live], n_now[live]
         Wt = W[:, todo]
         W[:, todo] = step_update(Wt, -G / n_now, i, step, reg)
         iters_run[todo] = i
         if i >= 2:
             done[todo] = converged(Wt, W[:, todo], tol)
-    train.unpersist()
-    if W is None:
-        W = np.zeros((0, T))
-        n_t = np.zeros(T, dtype=np.int64)
-    return spark.createDataFrame(_model_rows(specs, W, iters_run, n_t), MODEL_SCHEMA)
+    return _model_rows(specs, W, iters_run, n_t)
 
 
 def train_mllib(labeled: DataFrame, iters=DEFAULT_ITERS, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):
@@ -368,21 +417,24 @@ def train_mllib(labeled: DataFrame, iters=DEFAULT_ITERS, step=DEFAULT_STEP, reg=
     return list(model.weights.toArray()), float(model.intercept)
 
 
-def choose_trainer(class_count: int, specs, dims: int, limit_bytes: int = 256 << 20) -> str:
-    """'grouped' when the biggest per-size group fits under ``limit_bytes``, else 'iterative'."""
-    return "grouped" if grouped_memory_bytes(class_count, specs, dims) <= limit_bytes else "iterative"
+def choose_trainer(class_count: int, size: int, dims: int, limit_bytes: int = 256 << 20) -> str:
+    """'grouped' while a task can run through the training rows of the largest size quickly,
+    'iterative' where they are worth spreading.  Both give the same models."""
+    return "grouped" if grouped_memory_bytes(class_count, size, dims) <= limit_bytes else "iterative"
 
 
 def train(rows: DataFrame, specs, trainer: str = "auto", class_count: int | None = None,
           dims: int | None = None, **kw) -> DataFrame:
-    specs = list(specs)
+    """Models of a request; ``class_count`` and ``dims`` only help to choose the trainer."""
+    specs = spec_frame(rows.sparkSession, specs)
     if trainer == "auto":
         if dims is None:
             first = rows.select(F.size("features").alias("d")).limit(1).collect()
             dims = int(first[0]["d"]) if first else 0
+        span = specs.agg(F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))).first()
         if class_count is None:
-            class_count = len(class_index(specs))
-        trainer = choose_trainer(class_count, specs, dims)
+            class_count = rows.select("class_name").distinct().count() if span[1] else 2
+        trainer = choose_trainer(class_count, span[0] or 0, dims)
     if trainer == "grouped":
         return train_grouped(rows, specs, **kw)
     if trainer == "iterative":

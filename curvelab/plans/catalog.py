@@ -30,7 +30,8 @@ from curvelab.operators.featurize import text_features
 from curvelab.operators.ordinal import class_ordinal_head
 from curvelab.operators.svm import TASK_1V1, TASK_1VALL, ModelSpec
 from curvelab.plans import curves
-from curvelab.plans.fixtures import class_rows, curve_rows, files, lines, read_table
+from curvelab.plans.fixtures import class_rows, curve_rows, files, lines, plain_rows, read_table
+from curvelab.plans.requests import class_check
 from curvelab.sources.readers import parse_feature_json, parse_feature_lines, parse_labeled_lines
 
 # The training sizes of the published sweep.
@@ -123,7 +124,7 @@ def q_feature_json_parse(spark, sf_dir):
 
 
 def q_labeled_line_parse(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = plain_rows(spark, sf_dir)
     text = r.select("vec_id", encode_labeled_line(F.col("label"), quantize("features")).alias("value"))
     parsed = parse_labeled_lines(text)
     return parsed.select("vec_id", "label", *_vector_summary("features"))
@@ -133,20 +134,16 @@ def q_labeled_line_parse(spark, sf_dir):
 
 
 def q_count_rows(spark, sf_dir):
-    return metrics.count_rows(_rows(spark, sf_dir))
+    return metrics.count_rows(plain_rows(spark, sf_dir))
 
 
 def q_check_classes(spark, sf_dir):
     """F6 on the pass path: the requested classes exist; their row counts."""
-    from curvelab.plans.requests import check_classes
-
-    r = _rows(spark, sf_dir)
-    known = check_classes(r, ["breed_b", "breed_i"])
-    return spark.createDataFrame([(c, known[c]) for c in ("breed_b", "breed_i")], "class_name string, n_rows bigint")
+    return class_check(plain_rows(spark, sf_dir), ["breed_b", "breed_i"])
 
 
 def q_class_counts(spark, sf_dir):
-    return metrics.class_counts(_rows(spark, sf_dir))
+    return metrics.class_counts(plain_rows(spark, sf_dir))
 
 
 def q_split_threshold(spark, sf_dir):
@@ -164,24 +161,24 @@ def q_split_quota(spark, sf_dir):
 
 
 def q_filter_two_classes(spark, sf_dir):
-    return splits.filter_two_classes(_rows(spark, sf_dir), "breed_c", "breed_g").select("vec_id", "class_name")
+    return splits.filter_two_classes(plain_rows(spark, sf_dir), "breed_c", "breed_g").select("vec_id", "class_name")
 
 
 def q_label_1v1(spark, sf_dir):
-    r = splits.filter_two_classes(_rows(spark, sf_dir), "breed_c", "breed_g")
+    r = splits.filter_two_classes(plain_rows(spark, sf_dir), "breed_c", "breed_g")
     return r.select("vec_id", "class_name", label_1v1("class_name", "breed_c").alias("label"))
 
 
 def q_label_1vall(spark, sf_dir):
-    return _rows(spark, sf_dir).select("vec_id", "class_name", label_1vall("class_name", "breed_e").alias("label"))
+    return plain_rows(spark, sf_dir).select("vec_id", "class_name", label_1vall("class_name", "breed_e").alias("label"))
 
 
 def q_label_index(spark, sf_dir):
-    return lab.label_index(_rows(spark, sf_dir)).select("vec_id", "class_name", "label_idx")
+    return lab.label_index(plain_rows(spark, sf_dir)).select("vec_id", "class_name", "label_idx")
 
 
 def q_label_decode(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = plain_rows(spark, sf_dir)
     mapping = lab.label_map(r)
     indexed = lab.label_index(r, mapping=mapping).withColumn("prediction", F.col("label"))
     return lab.label_decode(indexed, mapping).select("vec_id", "prediction", "predicted_class")
@@ -202,24 +199,15 @@ def _weights_long(models) -> DataFrame:
              (F.col("dim0") + 1).cast("int").alias("dim"), F.round("w", 6).alias("weight"))
 
 
-def _vall_specs(classes, sizes, iters):
-    return [ModelSpec(TASK_1VALL, c, None, s, iters) for c in classes for s in sizes]
-
-
-def _classes(rows: DataFrame) -> list[str]:
-    return sorted(r[0] for r in rows.select("class_name").distinct().collect())
-
-
 def q_svm_weights_1iter(spark, sf_dir):
     r = _curve_rows(spark, sf_dir, [3, 10])
-    specs = _vall_specs(_classes(r), [3, 10], 1)
-    return _weights_long(svm.train_grouped(r, specs))
+    return _weights_long(svm.train_grouped(r, curves.all_targets(r, [3, 10], 1)))
 
 
 def q_svm_weights_2iter(spark, sf_dir):
     r = _curve_rows(spark, sf_dir, [3, 10, 5, 20])
-    specs = _vall_specs(_classes(r), [3, 10], 2)
-    specs += [ModelSpec(TASK_1V1, "breed_a", "breed_b", s, 2) for s in (5, 20)]
+    pairs = [ModelSpec(TASK_1V1, "breed_a", "breed_b", s, 2) for s in (5, 20)]
+    specs = curves.all_targets(r, [3, 10], 2).union(svm.spec_frame(spark, pairs))
     return _weights_long(svm.train_grouped(r, specs))
 
 
@@ -348,7 +336,7 @@ def _requested_keys(rows: DataFrame) -> DataFrame:
 
 
 def q_missing_models(spark, sf_dir):
-    r = _rows(spark, sf_dir)
+    r = plain_rows(spark, sf_dir)
     stored = spark.createDataFrame([k + ("v1",) for k in TRAINED_KEYS], model_table.KEY_SCHEMA)
     return model_table.missing_models(_requested_keys(r), stored).drop("data_version")
 
@@ -369,8 +357,7 @@ def q_get_or_train(spark, sf_dir):
 
 def q_classify_records(spark, sf_dir):
     r = _curve_rows(spark, sf_dir, [10])
-    specs = _vall_specs(_classes(r), [10], 1)
-    trained = svm.train_grouped(r, specs).collect()
+    trained = svm.train_grouped(r, curves.all_targets(r, [10], 1))
     records = r.filter(F.col("num") > 10)
     return scoring.classify_records(records, trained, "vec_id").select("vec_id", "predicted_class")
 
@@ -422,16 +409,15 @@ def q_featurize_text(spark, sf_dir):
 
 
 def lang_rows(spark, sf_dir, upto: int = max(LANG_SIZES)) -> DataFrame:
-    """Number each language's documents by ``doc_id`` (exact up to ``upto``, see
-    ``class_ordinal_head``: only keys are ranked, texts are never shuffled),
-    featurize every whole text once and keep the result as a written table in
-    the shared folder (training reads ``num <= max(size)`` with pushdown,
-    scoring streams the whole table)."""
+    """Featurize every whole text once where it is read, number each language's vectors by
+    ``doc_id`` (exact up to ``upto``, see ``class_ordinal_head``) and keep the result as a
+    written table in the shared folder (training reads ``num <= max(size)`` with pushdown,
+    scoring streams the whole table).  Texts are never shuffled."""
     from curvelab.session import materialize
 
-    numbered = class_ordinal_head(_documents(spark, sf_dir), "lang", "doc_id", upto, out_col="num")
-    feats = text_features(numbered)
-    return materialize(feats.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
+    feats = materialize(text_features(_documents(spark, sf_dir)).select("doc_id", "lang", "features"), "lang_features", cluster_by=None)
+    numbered = class_ordinal_head(feats, "lang", "doc_id", upto, out_col="num")
+    return materialize(numbered.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
 
 
 def q_learning_curve_lang(spark, sf_dir):
@@ -440,16 +426,14 @@ def q_learning_curve_lang(spark, sf_dir):
 
 def q_learning_curve_quality(spark, sf_dir):
     """``labels.quality`` as the class: 1 vs 1 between quality 0 and 1 on text features."""
-    docs = _documents(spark, sf_dir)
-    lbl = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    # labels holds one row per doc_id, far smaller than documents: AQE picks the join
-    joined = docs.join(lbl, "doc_id").withColumn("quality", F.concat(F.lit("q"), F.col("quality").cast("string")))
     from curvelab.session import materialize
 
+    # the texts become vectors where they are read; only vectors meet the labels
+    feats = text_features(_documents(spark, sf_dir)).select("doc_id", "features")
+    lbl = read_table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("quality"))
+    joined = materialize(feats.join(lbl, "doc_id"), "quality_features", cluster_by=None)
     numbered = class_ordinal_head(joined, "quality", "doc_id", max(LANG_SIZES), out_col="num")
-    rows = materialize(text_features(numbered).select(
-        F.col("quality").alias("class_name"), "num", "features"
-    ), "quality_rows")
+    rows = materialize(numbered.select(F.col("quality").alias("class_name"), "num", "features"), "quality_rows")
     return curves.learning_curve(rows, TASK_1V1, "q0,q1", LANG_SIZES)
 
 
@@ -479,6 +463,181 @@ def q_saved_model_test(spark, sf_dir):
     return test_saved(spark, out, classes=("breed_a", "breed_b"))
 
 
+def q_saved_model_test_all(spark, sf_dir):
+    """M8 with every class: one saved one-vs-all model a class, the lowest margin names the class."""
+    from curvelab.plans.local import test_saved, train_local
+    from curvelab.session import shared_path
+
+    r = _rows(spark, sf_dir)
+    named = r.select(
+        F.concat(F.col("class_name"), F.lit("_"), F.col("num").cast("string"), F.lit(".jpg.json")).alias("file_name"),
+        "features",
+    )
+    out = shared_path(spark, "local")
+    train_local(named, 10, out, classes=None, iters=20).collect()
+    return test_saved(spark, out)
+
+
+# The gap queries drop the first rows of each class, so the smaller size has no training rows.
+GAP_FROM, GAP_SIZES = 41, [3, 43]
+
+
+def _gap_rows(spark, sf_dir):
+    return _curve_rows(spark, sf_dir, GAP_SIZES + [GAP_FROM]).filter(F.col("num") >= GAP_FROM)
+
+
+def q_learning_curve_gap(spark, sf_dir):
+    """A curve with a size below every number: that size has no model and no rates."""
+    return curves.learning_curve(_gap_rows(spark, sf_dir), TASK_1VALL, "all", GAP_SIZES, iters=2, trainer="grouped")
+
+
+def q_learning_curve_gap_iterative(spark, sf_dir):
+    return curves.learning_curve(_gap_rows(spark, sf_dir), TASK_1VALL, "all", GAP_SIZES, iters=2, trainer="iterative")
+
+
+def q_split_quota_large(spark, sf_dir):
+    """F3 with a quota above a thousand rows a class."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return splits.split_quota(docs, 1001, class_col="lang", order_cols=("doc_id",))
+
+
+# ---------------------------------------------------------------- files: S1, S3-S5, K3, K5, F4, M11, M13
+
+
+def q_feature_line_files(spark, sf_dir):
+    """The feature table written as ``class,num,f1, f2`` text and read back from its files."""
+    from curvelab.session import shared_path
+    from curvelab.sinks.writers import write_features
+    from curvelab.sources.readers import read_feature_lines
+
+    r = _rows(spark, sf_dir).select("class_name", "num", quantize("features").alias("features"))
+    path = shared_path(spark, "feature_lines")
+    write_features(r, path, fmt="lines")
+    return read_feature_lines(spark, path, glob="*.txt").select("class_name", "num", *_vector_summary("features"))
+
+
+def _written_json(spark, sf_dir) -> str:
+    """One JSON file per vector, ``<class>_<num>.jpg.json``; returns the folder."""
+    from curvelab.session import shared_path
+    from curvelab.sinks.files import write_files
+
+    r = _rows(spark, sf_dir).select(
+        F.concat(F.col("class_name"), F.lit("_"), F.col("num").cast("string"), F.lit(".jpg.json")).alias("name"),
+        encode_feature_json(quantize("features")).alias("body"),
+    )
+    path = shared_path(spark, "json")
+    write_files(r, path, "name", "body")
+    return path
+
+
+def q_feature_json_files(spark, sf_dir):
+    """One JSON array per file, read back by a name pattern."""
+    from curvelab.sources.readers import read_feature_json
+
+    rows = read_feature_json(spark, _written_json(spark, sf_dir), glob="breed_[a-e]_*.jpg.json")
+    return rows.select("file_name", "class_name", "num", "class_first_digit", *_vector_summary("features"))
+
+
+def _written_images(spark, sf_dir) -> str:
+    """One file per vector, ``<class>_<num>.jpg``, whose bytes are the vector's text; returns the folder."""
+    from curvelab.session import shared_path
+    from curvelab.sinks.files import write_files
+
+    r = _rows(spark, sf_dir).select(
+        F.concat(F.col("class_name"), F.lit("_"), F.col("num").cast("string"), F.lit(".jpg")).alias("name"),
+        encode_feature_json(quantize("features")).alias("body"),
+    )
+    path = shared_path(spark, "images")
+    write_files(r, path, "name", "body")
+    return path
+
+
+def q_read_images(spark, sf_dir):
+    """Image files with class, number and bytes."""
+    from curvelab.sources.readers import read_images
+
+    images = read_images(spark, _written_images(spark, sf_dir))
+    return images.select(
+        base_name("path").alias("file_name"), "class_name", "num", "length", F.md5("content").alias("md5")
+    )
+
+
+def q_list_inputs(spark, sf_dir):
+    """Files listed by a name pattern, bodies unread."""
+    from curvelab.sources.readers import list_inputs
+
+    return list_inputs(spark, _written_images(spark, sf_dir), glob="breed_[f-j]_*.jpg").select("file_name", "length")
+
+
+def byte_sums_factory():
+    """Stand-in for a pretrained extractor of images: length and byte sum of a file."""
+    import numpy as np
+
+    return lambda batch: np.array([[float(len(b)), float(np.frombuffer(b, np.uint8).sum())] for b in batch])
+
+
+def q_new_image_features(spark, sf_dir):
+    """M11 over files: the images whose features the table lacks are opened and featurized."""
+    from curvelab.plans.jobs import new_image_features
+    from curvelab.session import shared_path
+
+    done = _rows(spark, sf_dir).where(F.col("num") % 2 == 0).select(
+        F.concat(F.col("class_name"), F.lit("_"), F.col("num").cast("string"), F.lit(".jpg")).alias("file_name")
+    )
+    table = shared_path(spark, "features")
+    done.write.parquet(table)
+    new = new_image_features(spark, _written_images(spark, sf_dir), table, byte_sums_factory, dims=2)
+    return new.select("file_name", "class_name", "num", F.element_at("features", 1).cast("bigint").alias("n_bytes"),
+                      F.element_at("features", 2).cast("bigint").alias("byte_sum"))
+
+
+def q_write_results(spark, sf_dir):
+    """K5: the curves of two targets written as ``size,success`` files and read back."""
+    from curvelab.session import shared_path
+    from curvelab.sinks.writers import read_results, write_results
+
+    curve = curves.learning_curve(_curve_rows(spark, sf_dir, [3, 10, 30]), TASK_1VALL, ["breed_a", "breed_d"], [3, 10, 30], iters=1)
+    path = shared_path(spark, "results")
+    write_results(curve, path)
+    return read_results(spark, path)
+
+
+def q_validate_request(spark, sf_dir):
+    """A request made of every row of the table, and why it is refused."""
+    from curvelab.plans.requests import request_verdict
+
+    r = plain_rows(spark, sf_dir)
+    n = F.col("vec_id")
+    other = F.concat(F.lit("breed_"), F.chr(F.lit(97) + n % 10))
+    requests = r.select(
+        "vec_id",
+        F.when(n % 3 != 0, F.when(n % 7 == 0, F.col("class_name")).otherwise(F.concat("class_name", F.lit(", "), other))).alias("pair"),
+        F.when((n % 3 == 0) | (n % 11 == 0), F.col("class_name")).alias("target"),
+        F.concat((n % 5).cast("string"), F.lit(","), F.when(n % 13 == 0, "x").otherwise(n.cast("string"))).alias("sizes"),
+        (n % 17 == 0).alias("train"),
+        (n % 2 == 0).alias("test"),
+        F.lit(False).alias("check"),
+    )
+    return requests.select("vec_id", request_verdict("pair", "target", "sizes", "train", "test", "check").alias("refused"))
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Rows that no model sees, with the reason: every ninth name, tenth number and eleventh vector is spoilt."""
+    from curvelab.plans.requests import rejected_rows
+
+    n = F.col("vec_id")
+    r = _rows(spark, sf_dir)
+    name = F.concat(F.col("class_name"), F.when(n % 9 == 0, "-").otherwise("_"), F.col("num").cast("string"), F.lit(".jpg"))
+    named = class_and_num(name)
+    spoilt = r.select(
+        "vec_id",
+        named.getField("class_name").alias("class_name"),
+        F.when(n % 10 != 0, named.getField("num")).alias("num"),
+        F.when(n % 11 != 0, F.col("features")).otherwise(F.slice("features", 1, 3)).alias("features"),
+    )
+    return rejected_rows(spoilt, 64).select("vec_id", "reason")
+
+
 QUERIES = {
     "class_rows": q_class_rows,
     "base_name": q_base_name,
@@ -525,4 +684,16 @@ QUERIES = {
     "learning_curve_quality": q_learning_curve_quality,
     "train_local": q_train_local,
     "saved_model_test": q_saved_model_test,
+    "saved_model_test_all": q_saved_model_test_all,
+    "learning_curve_gap": q_learning_curve_gap,
+    "learning_curve_gap_iterative": q_learning_curve_gap_iterative,
+    "split_quota_large": q_split_quota_large,
+    "feature_line_files": q_feature_line_files,
+    "feature_json_files": q_feature_json_files,
+    "read_images": q_read_images,
+    "list_inputs": q_list_inputs,
+    "new_image_features": q_new_image_features,
+    "write_results": q_write_results,
+    "validate_request": q_validate_request,
+    "rejected_rows": q_rejected_rows,
 }

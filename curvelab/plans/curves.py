@@ -1,13 +1,14 @@
 """M3-M5: one-vs-one / one-vs-all evaluation and learning curves.
 
 Plan for a whole curve (all sizes, all targets):
-  1. one small aggregate: class counts (request check, trainer choice);
-  2. training: rows with ``num <= max(size)`` only, all models of a size
-     trained together (grouped) or all models per distributed pass
-     (iterative) -- chosen by a memory bound;
-  3. scoring: one scan of the table, broadcast weight matrix, per-partition
-     partial counts, tiny final aggregate.
-The driver holds the weight matrix (models x dims) and the result rows.
+  1. the request as a table of model keys (with target ``all``: the distinct classes
+     times the sizes, never a list on the driver);
+  2. training: rows with ``num <= max(size)`` only, groups of models in parallel
+     (grouped) or a block of models per distributed pass (iterative);
+  3. the models as a written table; scoring: one scan of the rows, each task runs
+     through the models in blocks, per-partition partial counts, final aggregate.
+A size below every ordinal of its classes has no training rows: its row has
+``n_train`` 0 and null rates.
 """
 
 from __future__ import annotations
@@ -27,45 +28,44 @@ CURVE_COLUMNS = [
 ]
 
 
-def model_specs(task_type: str, classes, sizes, iters: int, known: dict) -> list[ModelSpec]:
+def model_specs(rows: DataFrame, task_type: str, classes, sizes, iters: int) -> DataFrame:
+    """The model keys of a curve request; named classes must exist."""
+    spark = rows.sparkSession
     sizes = parse_sizes(sizes)
     if task_type == TASK_1V1:
         a, b = parse_pair(classes)
-        check_classes(known, [a, b])
-        return list(dict.fromkeys(ModelSpec(TASK_1V1, a, b, s, iters) for s in sizes))
+        check_classes(rows, [a, b])
+        return svm.spec_frame(spark, [ModelSpec(TASK_1V1, a, b, s, iters) for s in sizes])
     if task_type == TASK_1VALL:
         if classes is None or classes == "all":
-            targets = sorted(known)
-        else:
-            targets = [classes] if isinstance(classes, str) else list(classes)
-            check_classes(known, targets)
-        return list(dict.fromkeys(ModelSpec(TASK_1VALL, t, None, s, iters) for t in targets for s in sizes))
+            return all_targets(rows, sizes, iters)
+        targets = [classes] if isinstance(classes, str) else list(classes)
+        check_classes(rows, targets)
+        return svm.spec_frame(spark, [ModelSpec(TASK_1VALL, t, None, s, iters) for t in targets for s in sizes])
     raise RequestError(f"unknown task type {task_type!r}")
 
 
-def feature_dims(rows: DataFrame) -> int:
-    got = rows.select(F.size("features").alias("d")).limit(1).collect()
-    if not got:
-        raise RequestError("no feature rows")
-    return int(got[0]["d"])
+def all_targets(rows: DataFrame, sizes, iters: int) -> DataFrame:
+    """One-vs-all keys of every class of ``rows`` at every size."""
+    return known_classes(rows).select(
+        F.lit(TASK_1VALL).alias("task_type"),
+        F.col("class_name").alias("class_a"),
+        F.lit(None).cast("string").alias("class_b"),
+        F.explode(F.array(*[F.lit(int(s)) for s in dict.fromkeys(sizes)])).alias("size"),
+        F.lit(int(iters)).alias("iters"),
+    )
 
 
-def fit_models(rows: DataFrame, specs, trainer: str = "auto", known: dict | None = None,
-               model_path: str | None = None, data_version: str = "v1", **kw) -> list:
-    """Train (or load) the models of ``specs``; returns the collected model rows."""
-    known = known if known is not None else known_classes(rows)
-    has_all = any(s.task_type == TASK_1VALL for s in specs)
-    class_count = len(known) if has_all else 2
-    dims = feature_dims(rows) if trainer == "auto" else None
+def fit_models(rows: DataFrame, specs: DataFrame, trainer: str = "auto",
+               model_path: str | None = None, data_version: str = "v1", **kw) -> DataFrame:
+    """Train (or load) the models of ``specs``."""
 
     def train_fn(r, sp):
-        return svm.train(r, sp, trainer=trainer, class_count=class_count, dims=dims, **kw)
+        return svm.train(r, sp, trainer=trainer, **kw)
 
     if model_path is not None:
-        trained = model_table.get_or_train(rows, specs, model_path, data_version, train_fn)
-    else:
-        trained = train_fn(rows, specs)
-    return trained.collect()  # models x dims numbers, bounded by the request
+        return model_table.get_or_train(rows, specs, model_path, data_version, train_fn)
+    return train_fn(rows, specs)
 
 
 def learning_curve(rows: DataFrame, task_type: str, classes, sizes, iters: int = DEFAULT_ITERS,
@@ -73,34 +73,21 @@ def learning_curve(rows: DataFrame, task_type: str, classes, sizes, iters: int =
                    **kw) -> DataFrame:
     """M5: ``(size, success)`` per requested size (and per target for 1-vs-all).
 
-    ``rows``: ``class_name string, num int, features array<double>``.
+    ``rows``: ``class_name string, num bigint, features array<double>``.
     """
-    known = known_classes(rows)
-    specs = model_specs(task_type, classes, sizes, iters, known)
-    trained = fit_models(rows, specs, trainer, known, model_path, data_version, **kw)
-    return curve_from_models(rows, trained)
+    specs = model_specs(rows, task_type, classes, sizes, iters)
+    return curve_from_models(rows, fit_models(rows, specs, trainer, model_path, data_version, **kw))
 
 
 def curve_from_models(rows: DataFrame, trained) -> DataFrame:
-    spark = rows.sparkSession
-    scores = scoring.score_models(rows, trained, split="test")
-    info = spark.createDataFrame(
-        [(r["task_type"], r["class_a"], r["class_b"], r["size"], r["iters"], r["n_train"]) for r in trained],
-        "task_type string, class_a string, class_b string, size int, iters int, n_train bigint",
-    )
-    keys = ["task_type", "class_a", "class_b", "size", "iters"]
-    cond = None
-    for k in keys:
-        e = scores[k].eqNullSafe(info[k])
-        cond = e if cond is None else cond & e
-    return scores.join(F.broadcast(info), cond).select(
-        *[scores[k] for k in keys],
-        info["n_train"],
-        scores["n_rows"].alias("n_test"),
-        scores["n_wrong"],
-        metrics.error_rate(scores["n_rows"], scores["n_wrong"]).alias("error_rate"),
-        metrics.success_pct(scores["n_rows"], scores["n_wrong"]).alias("success_pct"),
-        metrics.majority_pct(scores["n_rows"], scores["n_pos"]).alias("majority_pct"),
+    """The curve of trained models (a DataFrame or a list of model rows)."""
+    return scoring.score_models(rows, trained, split="test").select(
+        "task_type", "class_a", "class_b", "size", "iters", "n_train",
+        F.col("n_rows").alias("n_test"),
+        "n_wrong",
+        metrics.error_rate("n_rows", "n_wrong").alias("error_rate"),
+        metrics.success_pct("n_rows", "n_wrong").alias("success_pct"),
+        metrics.majority_pct("n_rows", "n_pos").alias("majority_pct"),
     )
 
 

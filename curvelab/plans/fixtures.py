@@ -4,6 +4,7 @@
   label ordered by ``vec_id`` and ``class_name = 'breed_' || letter``
   (label 0..9 -> a..j; letters because the first-digit rule needs names
   without digits).
+* ``plain_rows``: the same rows without ``num``.
 * ``curve_rows``: the same rows for learning curves with sizes up to ``upto``:
   ``num`` exact for the first ``upto`` rows of each label, ``upto + 1`` after
   (every comparison with a size <= ``upto`` is unchanged; no row is dropped).
@@ -41,14 +42,20 @@ def _named(numbered: DataFrame) -> DataFrame:
     )
 
 
+def plain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows without ``num``, for queries that need no ordinal: one scan, no shuffle."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", "label", class_name_of("label").alias("class_name"), F.col("embedding").alias("features"))
+
+
 def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     return _named(class_ordinal(emb, "label", "vec_id", out_col="num"))
 
 
 def curve_rows(spark: SparkSession, sf_dir: str, upto: int) -> DataFrame:
-    """Rows for curves with sizes <= ``upto``: the vectors are never shuffled (only
-    the per-label top ``upto`` of ``(label, vec_id)`` is ranked and joined back)."""
+    """Rows for curves with sizes <= ``upto``: only the vectors of the key ranges that hold
+    a label's first ``upto`` rows are shuffled."""
     emb = read_table(spark, sf_dir, "embeddings")
     return _named(class_ordinal_head(emb, "label", "vec_id", upto, out_col="num"))
 

@@ -13,18 +13,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from curvelab.functions.names import base_name, class_and_num
 from curvelab.operators import models as model_table
 from curvelab.operators import score as scoring
-from curvelab.operators.featurize import featurize, skip_if_featurized, spread
+from curvelab.operators.featurize import featurize, skip_if_featurized
+from curvelab.operators.shared_rows import open_uri
 from curvelab.operators.svm import DEFAULT_ITERS, TASK_1V1, TASK_1VALL
 from curvelab.plans import curves
 from curvelab.plans.requests import RequestError, validate_request
+from curvelab.session import materialize
 from curvelab.sinks.writers import write_results
-from curvelab.sources.readers import read_feature_json, read_images
+from curvelab.sources.readers import list_inputs, read_feature_json
 
 FEATURE_COLUMNS = ["file_name", "class_name", "num", "features"]
 
@@ -32,27 +36,45 @@ FEATURE_COLUMNS = ["file_name", "class_name", "num", "features"]
 def extract_features(spark: SparkSession, image_dir: str, table_path: str, model_factory: Callable,
                      dims: int | None = None, glob: str = "*.jpg") -> int:
     """Featurize the images under ``image_dir`` that ``table_path`` does not hold yet
-    and append them; returns the number of new rows."""
-    images = read_images(spark, image_dir, glob=glob).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "class_name", "num", "content"
+    and append them; returns the number of new rows.
+
+    The folder is listed without bodies, names that have features are taken out (anti
+    join on names), and only the remaining files are opened, inside the tasks that
+    featurize them."""
+    new = materialize(new_image_features(spark, image_dir, table_path, model_factory, dims, glob), "new_features", cluster_by=None)
+    new.write.mode("append").parquet(table_path)
+    return new.count()
+
+
+def new_image_features(spark: SparkSession, image_dir: str, table_path: str, model_factory: Callable,
+                       dims: int | None = None, glob: str = "*.jpg") -> DataFrame:
+    """Features of the images that ``table_path`` does not hold."""
+    named = class_and_num(base_name("path"))
+    todo = list_inputs(spark, image_dir, glob=glob).select(
+        "path", "file_name", named.getField("class_name").alias("class_name"), named.getField("num").alias("num")
     )
     try:
-        done = spark.read.parquet(table_path).select("file_name")
-        todo = skip_if_featurized(images, done, key="file_name")
+        todo = skip_if_featurized(todo, spark.read.parquet(table_path).select("file_name"), key="file_name")
     except AnalysisException:
-        todo = images
-    # the inner query lists files only; bodies are read for the new files alone
-    out = featurize(spread(todo), model_factory, "content", "features", dims).select(*FEATURE_COLUMNS)
-    before = _count(spark, table_path)
-    out.write.mode("append").parquet(table_path)
-    return _count(spark, table_path) - before
+        pass  # no table yet: everything is new
+    bodies = todo.mapInArrow(_read_bodies, "file_name string, class_name string, num bigint, content binary")
+    return featurize(bodies, model_factory, "content", "features", dims).select(*FEATURE_COLUMNS)
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.parquet(path).count()
-    except AnalysisException:
-        return 0
+def _read_bodies(batches, batch_files: int = 64):
+    """The bodies of listed files, a bounded number of files at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, batch_files):
+            part = batch.slice(at, batch_files)
+            content = []
+            for uri in part.column("path").to_pylist():
+                store, path = open_uri(uri)
+                with store.open_input_stream(path) as f:
+                    content.append(f.read())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("file_name"), part.column("class_name"), part.column("num"), pa.array(content, pa.binary())],
+                names=["file_name", "class_name", "num", "content"],
+            )
 
 
 def curve_job(spark: SparkSession, features: str | DataFrame, one_vs_one=None, one_vs_all=None,
@@ -67,7 +89,7 @@ def curve_job(spark: SparkSession, features: str | DataFrame, one_vs_one=None, o
     curve = curves.learning_curve(rows, task, classes, sizes, iters, trainer=trainer, model_path=model_path,
                                   data_version=data_version)
     if results_path is not None:
-        curve = curve.cache()  # a handful of rows, reused by the writer and the caller
+        curve = materialize(curve, "curve", cluster_by=None)  # read by the writer and the caller
         write_results(curve, results_path)
     return curve.orderBy("task_type", "class_a", "class_b", "size")
 
@@ -80,11 +102,15 @@ def classify_files(spark: SparkSession, json_dir: str, model_path: str, size: in
     for col, val in (("size", size), ("iters", iters), ("data_version", data_version)):
         if val is not None:
             saved = saved.filter(F.col(col) == F.lit(val))
-    models = saved.collect()  # one row per class
-    names = [m["class_a"] for m in models]
-    if not models:
+    one_model_per_class(saved)
+    records = read_feature_json(spark, json_dir, glob=glob)
+    return scoring.classify_records(records, saved, keep=["file_name"])
+
+
+def one_model_per_class(models: DataFrame) -> None:
+    """Raises unless there is at least one model and no class has two."""
+    n, classes = models.agg(F.count(F.lit(1)), F.count_distinct("class_a")).first()
+    if not n:
         raise RequestError("no saved one-vs-all models match")
-    if len(set(names)) != len(names):
+    if n != classes:
         raise RequestError("several saved models per class; pick size / iters / data_version")
-    records = read_feature_json(spark, json_dir, glob=glob)
-    return scoring.classify_records(records, models, keep=["file_name"])

@@ -19,7 +19,9 @@ from curvelab.operators import metrics, splits, svm
 from curvelab.operators import models as model_table
 from curvelab.operators import score as scoring
 from curvelab.operators.svm import DEFAULT_ITERS, TASK_1V1, TASK_1VALL, ModelSpec
+from curvelab.plans.curves import all_targets
 from curvelab.plans.requests import RequestError, check_classes, parse_pair
+from curvelab.session import materialize
 from curvelab.sinks.writers import write_label_map, write_labeled_features
 from curvelab.sources.readers import read_label_map, read_labeled_lines
 
@@ -50,7 +52,8 @@ def train_local(features: DataFrame, n_train: int, out_dir: str, classes=None, i
         rows = splits.filter_two_classes(rows, a, b)
         mapping = spark.createDataFrame([(0, a), (1, b)], "label_idx int, class_name string")
     else:
-        mapping = lab.label_map(rows)
+        # computed once: written, and read by the labels, the map file and the trainer
+        mapping = materialize(lab.label_map(rows), "label_map", cluster_by=None)
     split = splits.split_quota(rows, n_train, order_cols=("file_num", "file_name"))
     labelled = (
         split.withColumn("label", label_1v1("class_name", a)) if classes is not None
@@ -71,14 +74,13 @@ def train_local(features: DataFrame, n_train: int, out_dir: str, classes=None, i
         "class_name", "features",
         F.when(F.col("split") == "train", F.lit(1)).otherwise(F.lit(n + 1)).alias("num"),
     )
-    names = [r["class_name"] for r in mapping.orderBy("label_idx").collect()]  # one row per class
     if classes is not None:
-        specs = [ModelSpec(TASK_1V1, names[0], names[1], n, iters)]
+        specs = svm.spec_frame(spark, [ModelSpec(TASK_1V1, a, b, n, iters)])
     else:
-        specs = [ModelSpec(TASK_1VALL, c, None, n, iters) for c in names]
-    trained = svm.train(train_rows, specs, trainer=trainer, class_count=len(names))
+        specs = all_targets(mapping, [n], iters)
+    trained = svm.train(train_rows, specs, trainer=trainer)
     model_table.save_models(model_table.with_version(trained, "local"), p["models"], mode="overwrite")
-    saved = model_table.load_models(spark, p["models"]).collect()
+    saved = model_table.load_models(spark, p["models"])
     err = scoring.score_models(train_rows, saved, split="train")
     return err.select(
         "task_type", "class_a", "class_b", "size", "iters",
@@ -95,18 +97,16 @@ def test_saved(spark: SparkSession, out_dir: str, classes=None) -> DataFrame:
     saved = model_table.load_models(spark, p["models"])
     if classes is not None:
         a, b = parse_pair(classes)
-        known = {r["class_name"]: 1 for r in mapping.collect()}  # one row per class
-        check_classes(known, [a, b])
-        m = saved.filter((F.col("task_type") == TASK_1V1) & (F.col("class_a") == a) & (F.col("class_b") == b)).collect()
+        check_classes(mapping, [a, b])
+        m = saved.filter((F.col("task_type") == TASK_1V1) & (F.col("class_a") == a) & (F.col("class_b") == b)).limit(1).collect()
         if not m:
             raise RequestError(f"no saved model for {a} vs {b}")
         pred = scoring.svm_predict(test, m[0]["weights"], m[0]["intercept"], m[0]["threshold"])
         return metrics.error_counts(pred)
-    models = saved.filter(F.col("task_type") == TASK_1VALL).collect()
-    if not models:
+    models = saved.filter(F.col("task_type") == TASK_1VALL)
+    if models.isEmpty():
         raise RequestError("no saved one-vs-all models")
-    named = test.withColumn("label_idx", F.col("label").cast("int"))
-    pred = scoring.classify_records(named, models, keep=["label"])
+    pred = scoring.classify_records(test, models, keep=["label"])
     decoded = pred.join(mapping.select(F.col("label_idx").cast("double").alias("prediction"),
                                        F.col("class_name").alias("predicted_class")),
                         "predicted_class", "left")

@@ -14,7 +14,7 @@ PUBLISHED_SIZES = [3, 5, 7, 10, 13, 16, 20, 25, 30, 40, 50, 60, 70, 80, 90, 100]
 CLASS_ROWS = """
 class_rows AS (
   SELECT vec_id, label, 'breed_' || chr(97 + label) AS class_name,
-         CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) AS INTEGER) AS num,
+         row_number() OVER (PARTITION BY label ORDER BY vec_id) AS num,
          CAST(embedding AS DOUBLE[]) AS features
   FROM embeddings)"""
 
@@ -130,7 +130,7 @@ def _score_ctes(split: str = "test") -> list[str]:
   SELECT mid, vec_id, label, unnest(features) AS x, generate_subscripts(features, 1) AS dim FROM te)""",
         """mt AS (
   SELECT t.mid, t.vec_id, t.label, sum(t.x * w.w) AS margin
-  FROM tex t JOIN w ON t.mid = w.mid AND t.dim = w.dim GROUP BY t.mid, t.vec_id, t.label)""",
+  FROM tex t LEFT JOIN w ON t.mid = w.mid AND t.dim = w.dim GROUP BY t.mid, t.vec_id, t.label)""",
         """sc AS (
   SELECT mid, count(*) AS n_test,
          CAST(sum(CASE WHEN (CASE WHEN margin > 0 THEN 1 ELSE 0 END) <> label THEN 1 ELSE 0 END) AS BIGINT) AS n_wrong,
@@ -146,14 +146,15 @@ def _curve_sql(specs, iters: int, tol: float = 0.001, base: tuple = None) -> str
     else:
         body = "WITH RECURSIVE " + _with(*base, _models_cte(specs), *_svm_recursive_ctes(tol),
                                          *_score_ctes("test"))[len("WITH "):]
-    n_test, n_wrong, n_pos = "coalesce(sc.n_test, 0)", "coalesce(sc.n_wrong, 0)", "coalesce(sc.n_pos, 0)"
+    n_test, n_pos = "coalesce(sc.n_test, 0)", "coalesce(sc.n_pos, 0)"
+    n_wrong = "CASE WHEN ntr.n IS NOT NULL THEN coalesce(sc.n_wrong, 0) END"
     return body + f"""SELECT m.task_type, m.class_a, m.class_b, CAST(m.size AS INTEGER) AS size,
-       CAST(m.iters AS INTEGER) AS iters, CAST(ntr.n AS BIGINT) AS n_train,
+       CAST(m.iters AS INTEGER) AS iters, CAST(coalesce(ntr.n, 0) AS BIGINT) AS n_train,
        CAST({n_test} AS BIGINT) AS n_test, CAST({n_wrong} AS BIGINT) AS n_wrong,
        {_ratio(n_wrong, n_test, 6)} AS error_rate,
-       {_ratio(f'{n_test} - {n_wrong}', n_test, 2, 100)} AS success_pct,
+       {_ratio(f'{n_test} - ({n_wrong})', n_test, 2, 100)} AS success_pct,
        {_ratio(f'greatest({n_pos}, {n_test} - {n_pos})', n_test, 2, 100)} AS majority_pct
-FROM models m JOIN ntr ON m.mid = ntr.mid LEFT JOIN sc ON m.mid = sc.mid"""
+FROM models m LEFT JOIN ntr ON m.mid = ntr.mid LEFT JOIN sc ON m.mid = sc.mid"""
 
 
 CLASSES = [f"breed_{chr(97 + i)}" for i in range(10)]
@@ -189,13 +190,13 @@ tg_vec AS (
 LANG_ROWS = TRIGRAM_VECTORS + """,
 class_rows AS (
   SELECT d.doc_id AS vec_id, d.lang AS class_name,
-         CAST(row_number() OVER (PARTITION BY d.lang ORDER BY d.doc_id) AS INTEGER) AS num, t.features
+         row_number() OVER (PARTITION BY d.lang ORDER BY d.doc_id) AS num, t.features
   FROM documents d JOIN tg_vec t ON t.doc_id = d.doc_id)"""
 
 QUALITY_ROWS = TRIGRAM_VECTORS + """,
 class_rows AS (
   SELECT d.doc_id AS vec_id, 'q' || CAST(l.quality AS VARCHAR) AS class_name,
-         CAST(row_number() OVER (PARTITION BY l.quality ORDER BY d.doc_id) AS INTEGER) AS num, t.features
+         row_number() OVER (PARTITION BY l.quality ORDER BY d.doc_id) AS num, t.features
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN tg_vec t ON t.doc_id = d.doc_id)"""
 
 LANG_SIZES = [3, 5, 10, 16]
@@ -258,9 +259,9 @@ FROM (SELECT *, class_name || '_' || CAST(num AS VARCHAR) || '.jpg.json' AS file
     cn = r"'^(.*)_([0-9]+)[.]jpg$'"
     q["class_and_num"] = _with(CLASS_ROWS) + f"""SELECT vec_id,
        nullif(regexp_extract(good, {cn}, 1), '') AS class_name,
-       TRY_CAST(nullif(regexp_extract(good, {cn}, 2), '') AS INTEGER) AS num,
+       TRY_CAST(nullif(regexp_extract(good, {cn}, 2), '') AS BIGINT) AS num,
        nullif(regexp_extract(nosep, {cn}, 1), '') AS nosep_class,
-       TRY_CAST(nullif(regexp_extract(nosep, {cn}, 2), '') AS INTEGER) AS nosep_num,
+       TRY_CAST(nullif(regexp_extract(nosep, {cn}, 2), '') AS BIGINT) AS nosep_num,
        nullif(regexp_extract(png, {cn}, 1), '') AS png_class
 FROM (SELECT vec_id,
              class_name || '_' || CAST(num AS VARCHAR) || '.jpg' AS good,
@@ -268,7 +269,7 @@ FROM (SELECT vec_id,
              class_name || '_' || CAST(num AS VARCHAR) || '.png' AS png
       FROM class_rows)"""
     q["feature_line_roundtrip"] = _with(CLASS_ROWS) + f"""SELECT vec_id, trim(parts[1]) AS class_name,
-       TRY_CAST(trim(parts[2]) AS INTEGER) AS num, {_summary('f')}
+       TRY_CAST(trim(parts[2]) AS BIGINT) AS num, {_summary('f')}
 FROM (SELECT vec_id, parts,
              list_transform(list_slice(parts, 3, len(parts)), lambda x: CAST(trim(x) AS DOUBLE)) AS f
       FROM (SELECT vec_id, string_split(line, ',') AS parts
@@ -277,7 +278,7 @@ FROM (SELECT vec_id, parts,
                   FROM class_rows)))"""
     q["feature_json_parse"] = _with(CLASS_ROWS) + f"""SELECT vec_id, file_name,
        nullif(regexp_extract(stem, {cn}, 1), '') AS class_name,
-       TRY_CAST(nullif(regexp_extract(stem, {cn}, 2), '') AS INTEGER) AS num,
+       TRY_CAST(nullif(regexp_extract(stem, {cn}, 2), '') AS BIGINT) AS num,
        {first_digit.format('file_name')} AS class_first_digit, {_summary('f')}
 FROM (SELECT vec_id, file_name, regexp_replace(file_name, '[.]json$', '') AS stem,
              CAST(value AS DOUBLE[]) AS f
@@ -406,4 +407,49 @@ FROM models m JOIN ntr ON m.mid = ntr.mid"""
         FROM class_rows WHERE num > 10) x
   JOIN w ON w.dim = x.dim JOIN models m ON m.mid = w.mid
   GROUP BY x.vec_id, m.class_a)""") + "SELECT vec_id, arg_min(class_a, margin) AS predicted_class FROM mg GROUP BY vec_id"
+    # M8, every class: the lowest margin names the class
+    q["saved_model_test_all"] = "WITH RECURSIVE " + _with(
+        CLASS_ROWS, _models_cte(local_specs), *_svm_recursive_ctes(), """mg AS (
+  SELECT x.vec_id, x.class_name, m.class_a, sum(x.x * w.w) AS margin
+  FROM (SELECT vec_id, class_name, unnest(features) AS x, generate_subscripts(features, 1) AS dim
+        FROM class_rows WHERE num > 10) x
+  JOIN w ON w.dim = x.dim JOIN models m ON m.mid = w.mid GROUP BY ALL)""",
+        """pred AS (SELECT vec_id, class_name AS label, arg_min(class_a, margin) AS prediction FROM mg GROUP BY vec_id, class_name)""",
+    )[len("WITH "):] + _error_counts("pred")
+    gap = CLASS_ROWS.replace("class_rows AS (", "all_rows AS (") + ",\nclass_rows AS (SELECT * FROM all_rows WHERE num >= 41)"
+    q["learning_curve_gap"] = _curve_sql(_vall(CLASSES, [3, 43], 2), 2, base=(gap,))
+    q["learning_curve_gap_iterative"] = q["learning_curve_gap"]
+    q["split_quota_large"] = """SELECT doc_id, lang,
+       CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 1001 THEN 'train' ELSE 'test' END AS split
+FROM documents"""
+    q["feature_line_files"] = _with(CLASS_ROWS) + f"""SELECT class_name, num, {_summary('f')}
+FROM (SELECT class_name, num, list_transform({QUANT}, lambda v: CAST(v AS DOUBLE)) AS f FROM class_rows)"""
+    body = f"'[' || array_to_string(list_transform({QUANT}, lambda v: CAST(v AS VARCHAR)), ', ') || ']'"
+    named = f"SELECT *, class_name || '_' || CAST(num AS VARCHAR) || '.jpg' AS file_name, {body} AS body FROM class_rows"
+    q["feature_json_files"] = _with(CLASS_ROWS) + f"""SELECT file_name || '.json' AS file_name, class_name, num,
+       class_name AS class_first_digit, {_summary('f')}
+FROM (SELECT *, CAST(body AS DOUBLE[]) AS f FROM ({named})) WHERE class_name BETWEEN 'breed_a' AND 'breed_e'"""
+    q["read_images"] = _with(CLASS_ROWS) + f"""SELECT file_name, class_name, num, CAST(strlen(body) AS BIGINT) AS length,
+       md5(body) AS md5 FROM ({named})"""
+    q["list_inputs"] = _with(CLASS_ROWS) + f"""SELECT file_name, CAST(strlen(body) AS BIGINT) AS length
+FROM ({named}) WHERE class_name BETWEEN 'breed_f' AND 'breed_j'"""
+    q["new_image_features"] = _with(CLASS_ROWS) + f"""SELECT file_name, class_name, num, CAST(strlen(body) AS BIGINT) AS n_bytes,
+       CAST(list_sum(list_transform(string_split(body, ''), lambda c: unicode(c))) AS BIGINT) AS byte_sum
+FROM ({named}) WHERE num % 2 = 1"""
+    q["write_results"] = "SELECT task_type, class_a AS target, size, success_pct AS success FROM (" + _curve_sql(
+        _vall(["breed_a", "breed_d"], [3, 10, 30], 1), 1) + ")"
+    q["validate_request"] = """SELECT vec_id, CASE
+    WHEN (pair IS NULL) = (target IS NULL) THEN 'either a pair or a target'
+    WHEN train AND test THEN 'train, test and check are exclusive'
+    WHEN pair NOT LIKE '%,%' THEN 'a pair needs two classes'
+    WHEN split_part(pair, ', ', 1) = split_part(pair, ', ', 2) THEN 'a pair needs two different classes'
+    WHEN vec_id % 13 = 0 THEN 'sizes must be numbers'
+    WHEN vec_id % 5 = 0 THEN 'sizes must be greater than zero' END AS refused
+FROM (SELECT vec_id, c,
+        CASE WHEN vec_id % 3 <> 0 THEN CASE WHEN vec_id % 7 = 0 THEN c ELSE c || ', breed_' || chr(CAST(97 + vec_id % 10 AS INTEGER)) END END AS pair,
+        CASE WHEN vec_id % 3 = 0 OR vec_id % 11 = 0 THEN c END AS target, vec_id % 17 = 0 AS train, vec_id % 2 = 0 AS test
+      FROM (SELECT vec_id, 'breed_' || chr(97 + label) AS c FROM embeddings))"""
+    q["rejected_rows"] = """SELECT vec_id, CASE WHEN vec_id % 9 = 0 THEN 'no class' WHEN vec_id % 10 = 0 THEN 'no number'
+       ELSE 'vector length' END AS reason
+FROM embeddings WHERE vec_id % 9 = 0 OR vec_id % 10 = 0 OR vec_id % 11 = 0"""
     return q

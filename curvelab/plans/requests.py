@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvelab.operators.svm import TASK_1V1, TASK_1VALL
 
-# Upper bound on the number of distinct classes pulled to the driver.
-MAX_CLASSES = 100_000
-
-
 class RequestError(ValueError):
     pass
 
@@ -54,18 +50,56 @@ def validate_request(one_vs_one=None, one_vs_all=None, train=False, test=False,
     return TASK_1V1 if one_vs_one is not None else TASK_1VALL
 
 
-def known_classes(rows: DataFrame, class_col: str = "class_name") -> dict[str, int]:
-    """Distinct classes with their row counts (one small aggregate; bounded by MAX_CLASSES)."""
-    got = rows.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(got) > MAX_CLASSES:
-        raise RequestError(f"more than {MAX_CLASSES} classes")
-    return {r[class_col]: int(r["n"]) for r in got if r[class_col] is not None}
+def request_verdict(one_vs_one, one_vs_all, sizes, train, test, check) -> Column:
+    """M13 for a table of requests: why a request is refused, or null.
+
+    Columns or column names: the pair as ``a,b``, the target, the sizes as comma text,
+    and three flags.  The rules are those of ``validate_request``, ``parse_pair`` and ``parse_sizes``,
+    in that order."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    pair, target, text = col(one_vs_one), col(one_vs_all), col(sizes)
+    flags = sum((F.coalesce(col(c), F.lit(False)).cast("int") for c in (train, test, check)), F.lit(0))
+    names = F.transform(F.split(pair, ","), lambda x: F.trim(x))
+    numbers = F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("bigint"))
+    return (
+        F.when(pair.isNull() == target.isNull(), "either a pair or a target")
+        .when(flags > 1, "train, test and check are exclusive")
+        .when((F.size(names) != 2) | F.exists(names, lambda x: x == ""), "a pair needs two classes")
+        .when(F.element_at(names, 1) == F.try_element_at(names, F.lit(2)), "a pair needs two different classes")
+        .when(text.isNull() | F.exists(numbers, lambda x: x.isNull()), "sizes must be numbers")
+        .when(F.exists(numbers, lambda x: x <= 0), "sizes must be greater than zero")
+    )
+
+
+def known_classes(rows: DataFrame, class_col: str = "class_name") -> DataFrame:
+    """Distinct classes with their row counts, as a table."""
+    return rows.where(F.col(class_col).isNotNull()).groupBy(class_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def check_classes(rows_or_known, classes, class_col: str = "class_name") -> dict[str, int]:
-    """every named class must exist; raise otherwise."""
-    known = rows_or_known if isinstance(rows_or_known, dict) else known_classes(rows_or_known, class_col)
+def class_check(rows: DataFrame, classes, class_col: str = "class_name") -> DataFrame:
+    """rows per named class (a filter and one small aggregate; no class list is collected)."""
+    return known_classes(rows.where(F.col(class_col).isin(list(classes))), class_col)
+
+
+def check_classes(rows: DataFrame, classes, class_col: str = "class_name") -> dict[str, int]:
+    """every named class must exist; raise otherwise.  Returns the named classes' row counts."""
+    known = {r[class_col]: int(r["n_rows"]) for r in class_check(rows, classes, class_col).collect()}
     missing = [c for c in classes if c not in known]
     if missing:
         raise RequestError(f"no rows for class(es): {', '.join(missing)}")
     return known
+
+
+def rejected_rows(rows: DataFrame, dims: int) -> DataFrame:
+    """The rows that no model trains on or scores, with the reason: no class, no number
+    (a file name or line of the wrong form), or a vector that is missing, of another length than
+    ``dims`` or with nulls."""
+    f = F.col("features")
+    reason = (
+        F.when(F.col("class_name").isNull(), "no class")
+        .when(F.col("num").isNull(), "no number")
+        .when(f.isNull(), "no vector")
+        .when(F.size(f) != dims, "vector length")
+        .when(F.exists(f, lambda x: x.isNull()), "null in vector")
+    )
+    return rows.withColumn("reason", reason).where(F.col("reason").isNotNull())

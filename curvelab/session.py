@@ -124,14 +124,19 @@ def materialize(df, name: str = "table", cluster_by: str | None = "num"):
     return spark.read.parquet(path)
 
 
-def bounded_broadcast(df, name: str, max_rows: int):
+# Largest side that ``bounded_broadcast`` marks for broadcast, as the plain size of its values.
+BROADCAST_BYTES = 64 << 20
+
+
+def bounded_broadcast(df, name: str, max_bytes: int = BROADCAST_BYTES):
     """A join side whose size is known before the join is planned.
 
-    ``df`` is written to the shared folder (``materialize``) and its rows are
-    counted from the Parquet footers; the result carries a broadcast hint only
-    when it holds at most ``max_rows`` rows.  Otherwise the planner's shuffle
-    join is left in place."""
+    ``df`` is written to the shared folder (``materialize``) and the bytes of its values
+    are summed over the written rows; the result carries a broadcast hint only when
+    they are at most ``max_bytes``.  Otherwise the planner's shuffle join is left in place."""
     from pyspark.sql import functions as F
 
     side = materialize(df, name, cluster_by=None)
-    return F.broadcast(side) if side.count() <= max_rows else side
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + F.lit(16) for c in side.columns), F.lit(16))
+    total = side.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(side) if total <= max_bytes else side

@@ -90,7 +90,18 @@ def save_mllib_model(model: DataFrame, path: str, mode: str = "overwrite") -> No
 
 
 def write_results(curve: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K5: ``size,success`` CSV with a header, ordered by size (result rows are few)."""
-    curve.select("size", F.col("success_pct").alias("success")).orderBy("size").coalesce(1).write.mode(
-        mode
-    ).option("header", True).csv(path)
+    """K5: ``size,success`` CSV with a header, one folder ``task_type=.../target=...`` per curve
+    (target: the class, or the pair as ``a_vs_b``), ordered by size inside its file."""
+    target = F.concat_ws("_vs_", "class_a", "class_b")
+    rows = curve.select("size", F.col("success_pct").alias("success"), "task_type", target.alias("target"))
+    # the rows of one curve meet in one task: as many as it has sizes
+    rows.repartition("task_type", "target").sortWithinPartitions("task_type", "target", "size").write.mode(mode).option(
+        "header", True
+    ).partitionBy("task_type", "target").csv(path)
+
+
+def read_results(spark, path: str) -> DataFrame:
+    """The written curves: task_type, target, size, success."""
+    return spark.read.option("header", True).schema("size int, success double, task_type string, target string").csv(path).select(
+        "task_type", "target", "size", "success"
+    )

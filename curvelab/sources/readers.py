@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from curvelab.functions.names import base_name, class_and_num, class_from_first_digit
 from curvelab.functions.vectors import parse_vector
 
-FEATURE_LINE_SCHEMA = "class_name string, num int, features array<double>"
+FEATURE_LINE_SCHEMA = "class_name string, num bigint, features array<double>"
 
 
 def parse_feature_lines(df: DataFrame, col: str = "value") -> DataFrame:
@@ -17,7 +17,7 @@ def parse_feature_lines(df: DataFrame, col: str = "value") -> DataFrame:
     parts = F.split(F.col(col), ",")
     return df.select(
         F.trim(parts.getItem(0)).alias("class_name"),
-        F.trim(parts.getItem(1)).try_cast("int").alias("num"),
+        F.trim(parts.getItem(1)).try_cast("bigint").alias("num"),
         parse_vector(parts, 3).alias("features"),
         *[c for c in df.columns if c != col],
     )

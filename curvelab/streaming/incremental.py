@@ -18,12 +18,14 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from curvelab.functions.names import base_name, class_and_num
 from curvelab.operators import models as model_table
 from curvelab.operators import score as scoring
 from curvelab.operators.featurize import featurize
 from curvelab.operators.svm import TASK_1VALL
+from curvelab.session import materialize
 from curvelab.sources.readers import parse_feature_json
 
 
@@ -56,7 +58,7 @@ def featurize_new_files(spark: SparkSession, input_dir: str, output_dir: str, ch
                         kind: str = "json", glob: str | None = None, model_factory: Callable | None = None,
                         dims: int | None = None, max_files_per_trigger: int | None = None) -> int:
     """Process every file not seen by earlier runs, append features, return the
-    number of rows written by this run."""
+    number of rows written by this run (counted in the output's own file log)."""
     if kind == "json":
         stream = _json_stream(spark, input_dir, glob or "*.json", max_files_per_trigger)
     elif kind == "image":
@@ -65,18 +67,7 @@ def featurize_new_files(spark: SparkSession, input_dir: str, output_dir: str, ch
         stream = _image_stream(spark, input_dir, glob or "*.jpg", max_files_per_trigger, model_factory, dims)
     else:
         raise ValueError(f"unknown kind {kind!r}")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint_dir)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(output_dir)
-    )
-    query.awaitTermination()
-    written = 0
-    for p in query.recentProgress:
-        written += int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
-    return written
+    return _run(stream, output_dir, checkpoint_dir)
 
 
 def classify_new_files(spark: SparkSession, input_dir: str, model_path: str, output_dir: str, checkpoint_dir: str,
@@ -90,18 +81,40 @@ def classify_new_files(spark: SparkSession, input_dir: str, model_path: str, out
         saved = saved.filter(F.col("size") == F.lit(size))
     if iters is not None:
         saved = saved.filter(F.col("iters") == F.lit(iters))
-    models = saved.collect()  # one row per class
-    if not models or len({m["class_a"] for m in models}) != len(models):
+    models = materialize(saved, "stream_models", cluster_by=None)
+    n, classes = models.agg(F.count(F.lit(1)), F.count_distinct("class_a")).first()
+    if not n or n != classes:
         raise ValueError("need exactly one saved one-vs-all model per class")
     records = _json_stream(spark, input_dir, glob, max_files_per_trigger)
     predicted = scoring.classify_records(records, models, keep=["file_name"])
+    return _run(predicted, output_dir, checkpoint_dir)
+
+
+def _run(stream, output_dir: str, checkpoint_dir: str) -> int:
+    """Runs the stream until its input is used up; returns the rows it wrote, counted in the files
+    that the sink committed meanwhile."""
+    spark = stream.sparkSession
+    before = materialize(_committed_files(spark, output_dir), "files_before", cluster_by=None)
     query = (
-        predicted.writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(output_dir)
     )
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
-               for p in query.recentProgress)
+    new = _committed_files(spark, output_dir).join(before, "name", "left_anti")
+    try:
+        written = spark.read.parquet(output_dir)
+    except AnalysisException:  # nothing was ever written
+        return 0
+    return written.select(F.col("_metadata.file_name").alias("name")).join(new, "name", "left_semi").count()
+
+
+def _committed_files(spark: SparkSession, output_dir: str):
+    """Names of the sink's committed files; a listing, bodies are not read."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(output_dir)
+    except AnalysisException:
+        return spark.createDataFrame([], "name string")
+    return files.select(base_name("path").alias("name")).distinct()

@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as se
 from tests.conftest import SF_MID
 
-FAST = ["class_rows", "class_and_num", "feature_line_roundtrip", "split_quota", "label_decode", "sweep_rows",
+FAST = ["saved_model_test_all", "learning_curve_gap", "learning_curve_gap_iterative", "split_quota_large", "feature_line_files",
+        "feature_json_files", "read_images", "list_inputs", "new_image_features", "write_results", "validate_request",
+        "rejected_rows", "class_rows", "class_and_num", "feature_line_roundtrip", "split_quota", "label_decode", "sweep_rows",
         "svm_weights_2iter", "learning_curve_1v1", "missing_models", "classify_records"]
 
 

@@ -41,7 +41,8 @@ def test_class_and_num(spark):
     assert both("beagle12.jpg") == (None, None)              # no underscore before the number
     assert both("beagle_12.png") == (None, None)             # wrong suffix
     assert both("beagle_x.jpg") == (None, None)              # not a number
-    assert both("beagle_99999999999.jpg") == ("beagle", None)  # number overflows int
+    assert both("beagle_99999999999.jpg") == ("beagle", 99999999999)
+    assert both("beagle_99999999999999999999.jpg") == ("beagle", None)  # number overflows bigint
 
 
 def test_parse_vector_trims(spark):

@@ -81,11 +81,23 @@ def test_mllib_folder_roundtrip(spark, rows, shared):
     assert back["weights"] == want and back["threshold"] == 0.0
 
 
-def test_results_csv(spark, rows, shared):
+def test_results_keep_their_target(spark, rows, shared):
     from curvelab.plans.curves import learning_curve
+    from curvelab.sinks.writers import read_results
 
-    c = learning_curve(rows, "1vs1", "breed_a,breed_b", [3, 5], iters=2)
+    c = learning_curve(rows, "1vsall", ["breed_a", "breed_b"], [3, 5], iters=2)
     p = shared("res")
     sinks.write_results(c, p)
-    back = spark.read.option("header", True).csv(p).collect()
-    assert [int(r["size"]) for r in back] == [3, 5]
+    back = sorted(map(tuple, read_results(spark, p).collect()))
+    assert back == sorted((r["task_type"], r["class_a"], r["size"], r["success_pct"]) for r in c.collect())
+    folder = f"{p}/task_type=1vsall/target=breed_a"
+    assert [r["size"] for r in spark.read.option("header", True).csv(folder).collect()] == ["3", "5"]
+
+
+def test_write_files(spark, shared):
+    from curvelab.sinks.files import write_files
+
+    p = shared("files")
+    df = spark.createDataFrame([("a.txt", "one"), ("b.txt", ""), (None, "x"), ("c.txt", None)], "name string, body string")
+    assert sorted(map(tuple, write_files(df, p, "name", "body").collect())) == [("a.txt", 3), ("b.txt", 0)]
+    assert sorted(os.listdir(p.replace("file:", ""))) == ["a.txt", "b.txt"]

@@ -2,12 +2,13 @@
 
 import json
 import os
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curvelab.plans.jobs import classify_files, curve_job, extract_features
+from curvelab.plans.jobs import classify_files, curve_job, extract_features, new_image_features
 from curvelab.plans.requests import RequestError
 from curvelab.session import materialize
 
@@ -32,6 +33,10 @@ def test_extract_features_incremental(spark, shared):
     assert extract_features(spark, src, table, byte_model, dims=3) == 1
     got = sorted((r["class_name"], r["num"]) for r in spark.read.parquet(table).collect())
     assert got == [("beagle", 1), ("beagle", 2), ("pug", 1), ("pug", 2)]
+    # names are listed and compared without bodies
+    plan = new_image_features(spark, src, table, byte_model, dims=3)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"binaryFile \[([^\]]*)\]", plan)
+    assert scans and not any("content" in s for s in scans)
 
 
 def test_curve_job_and_classify(spark, rows, shared):

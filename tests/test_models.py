@@ -20,7 +20,7 @@ def test_get_or_train_trains_only_missing(spark, rows, shared):
     calls = []
 
     def train_fn(r, specs):
-        calls.append(sorted(s.size for s in specs))
+        calls.append(sorted(r["size"] for r in specs.collect()))
         return svm.train_grouped(r, specs)
 
     first = [ModelSpec(TASK_1V1, "breed_a", "breed_b", 3, 5)]

@@ -43,24 +43,60 @@ def test_head_matches_row_number_up_to_n(spark):
     _check_head(emb, "label", "vec_id", 20)
 
 
-def test_head_hot_class_nulls_and_fan_in(spark):
-    from curvelab.operators.ordinal import class_ordinal_head
-
+def test_head_hot_class_and_nulls(spark):
     rows = [(i, "hot" if i % 3 else ("cold" if i % 2 else None)) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, c string").repartition(12)
-    _check_head(df, "c", "k", 50)
-    # the sqrt(P) pre-level gives the same head
-    got = class_ordinal_head(df, "c", "k", 50, fan_in=3).filter(F.col("num") <= 50)
-    assert got.count() == 150
+    for n in (50, 1001, 1500, 5000):  # also beyond Spark's own limit for ranking windows
+        _check_head(df, "c", "k", n)
+
+
+def test_head_on_text_keys(spark):
+    rows = [(f"file_{i % 700:05d}_{i}", "a" if i % 5 else "b") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, c string").repartition(5)
+    _check_head(df, "c", "k", 1200)
+
+
+def test_head_tied_keys_are_numbered_apart(spark):
+    from curvelab.operators.ordinal import class_ordinal_head
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "a"), (None, "b"), (None, "b")], "k long, c string")
+    got = class_ordinal_head(df, "c", "k", 2, out_col="num").collect()
+    assert sorted(r["num"] for r in got if r["c"] == "a") == [1, 2, 3, 3]
+    assert sorted(r["num"] for r in got if r["c"] == "b") == [1, 2]
 
 
-def test_head_tied_keys_do_not_multiply_rows(spark):
+def test_late_ranges_are_not_shuffled(spark):
+    """Rows beyond the first n of their class are settled without an exchange of their own columns."""
     from curvelab.operators.ordinal import class_ordinal_head
 
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "a")], "k long, c string")
-    got = class_ordinal_head(df, "c", "k", 2, out_col="num")
-    assert got.count() == 4
-    assert sorted(r["num"] for r in got.collect()) == [1, 1, 3, 3]
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    out = class_ordinal_head(emb, "label", "vec_id", 5, buckets=50)
+    head = out.where("num <= 5")
+    assert head.count() == 50 and out.count() == emb.count()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 2  # one over the offsets table, one over the early ranges
+
+
+def test_ordinals_are_bigint_and_offsets_may_be_large(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from curvelab.operators import ordinal
+
+    df = spark.createDataFrame([(1, "a"), (2, "a")], "k long, c string")
+    real = ordinal._offsets
+    monkeypatch.setattr(ordinal, "_offsets", lambda r, c: real(r, c).withColumn("_ord_off", F.col("_ord_off") + 3_000_000_000))
+    got = class_ordinal(df, "c", "k", buckets=2)
+    assert dict(got.dtypes)["num"] == "bigint"
+    assert min(r["num"] for r in got.collect()) == 3_000_000_001
+
+
+def test_dense_index(spark):
+    from curvelab.operators.ordinal import dense_index
+
+    names = [f"c{i:04d}" for i in range(500)]
+    df = spark.createDataFrame([(n,) for n in names * 2] + [(None,)], "c string").repartition(7)
+    got = {r["c"]: r["label_idx"] for r in dense_index(df, "c").collect()}
+    assert got == {n: i for i, n in enumerate(names)}
 
 
 def test_bounded_broadcast_hints_only_under_the_bound(spark):
@@ -71,7 +107,9 @@ def test_bounded_broadcast_hints_only_under_the_bound(spark):
     def hinted(side):
         return "strategy=broadcast" in side._jdf.queryExecution().analyzed().toString()
 
-    small = bounded_broadcast(df, "t_small", 10)
-    big = bounded_broadcast(df, "t_big", 9)
+    small = bounded_broadcast(df, "t_small", 1000)
+    big = bounded_broadcast(df, "t_big", 50)
     assert hinted(small) and not hinted(big)
+    wide = spark.range(10).selectExpr("repeat('x', 1000) AS k")
+    assert not hinted(bounded_broadcast(wide, "t_wide", 1000))
     assert sorted(r["k"] for r in small.collect()) == list(range(10))

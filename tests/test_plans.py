@@ -70,3 +70,58 @@ def test_train_local_all(spark, rows, shared):
     assert len(err) == 10 and all(r["n_train"] == 60 for r in err)
     res = run_test_saved(spark, out).first()
     assert res["n_rows"] == rows.count() - 60
+
+
+def test_saved_all_class_error_is_the_brute_force_one(spark, rows, shared):
+    import numpy as np
+
+    from curvelab.operators.models import load_models
+
+    out = shared("local")
+    train_local(_named(rows), 10, out, classes=None, iters=10).collect()
+    models = sorted(load_models(spark, f"{out}/models").collect(), key=lambda m: m["class_a"])
+    W = np.array([m["weights"] for m in models])
+    test = rows.filter("num > 10").collect()
+    wrong = sum(models[int(np.argmin(W @ np.asarray(r["features"], float)))]["class_a"] != r["class_name"] for r in test)
+    res = run_test_saved(spark, out).first()
+    assert (res["n_rows"], res["n_wrong"]) == (len(test), wrong)
+
+
+def test_check_reads_only_the_named_classes(rows):
+    from curvelab.plans.requests import check_classes
+
+    assert set(check_classes(rows, ["breed_b"])) == {"breed_b"}
+    with pytest.raises(RequestError):
+        check_classes(rows, ["breed_b", "poodle"])
+
+
+def test_request_table_agrees_with_the_checks(spark):
+    from curvelab.plans.requests import parse_pair, request_verdict
+
+    requests = [
+        ("a,b", None, "3,5", False, False, False), (None, "a", "3", True, False, False), ("a,b", "a", "3", False, False, False),
+        (None, None, "3", False, False, False), ("a", None, "3", False, False, False), ("a,a", None, "3", False, False, False),
+        ("a, ", None, "3", False, False, False), ("a,b,c", None, "3", False, False, False), (None, "a", "3,x", False, False, False),
+        (None, "a", "0", False, False, False), (None, "a", None, False, False, False), (None, "a", "3", True, True, False),
+    ]
+    df = spark.createDataFrame(requests, "p string, t string, s string, tr boolean, te boolean, ch boolean")
+    got = [r[0] for r in df.select(request_verdict("p", "t", "s", "tr", "te", "ch")).collect()]
+    for (p, t, s, tr, te, ch), verdict in zip(requests, got):
+        try:
+            validate_request(p, t, tr, te, ch)
+            if p is not None:
+                parse_pair(p)
+            parse_sizes(s or "")
+            assert verdict is None
+        except RequestError:
+            assert verdict is not None
+
+
+def test_plans_without_needless_work(spark):
+    from curvelab.plans import catalog
+    from tests.conftest import SF_MID
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan(catalog.q_label_1vall(spark, SF_MID)) and "Window" not in plan(catalog.q_label_1vall(spark, SF_MID))
+    assert physical(catalog.q_count_rows(spark, SF_MID)).count("Exchange") == 1

@@ -46,16 +46,53 @@ def test_score_plan_has_no_model_join(rows):
     assert "CartesianProduct" not in plan
 
 
-def test_chunked_passes_and_slices_agree(rows, monkeypatch):
+def test_block_size_changes_nothing(rows):
     specs = [ModelSpec(TASK_1VALL, c, None, s, 5) for c in ("breed_a", "breed_b", "breed_c") for s in (3, 10)]
     models = svm.train_grouped(rows, specs).collect()
     whole = sorted(map(tuple, scoring.score_models(rows, models).collect()))
     records = rows.filter(F.col("num") > 20)
-    cls_whole = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id").collect()))
-    monkeypatch.setattr(scoring, "MAX_MODELS_PER_PASS", 2)
-    monkeypatch.setattr(scoring, "SLICE_BYTES", 8 * 64 * 7)  # 7-row slices
-    assert len(scoring.model_chunks(models, 64)) == 3
-    assert sorted(map(tuple, scoring.score_models(rows, models).collect())) == whole
-    chunked = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id").collect()))
-    assert [r[:2] for r in chunked] == [r[:2] for r in cls_whole]
-    assert np.allclose([r[2] for r in chunked], [r[2] for r in cls_whole], rtol=0, atol=1e-12)
+    best = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id").collect()))
+    for size in (1, 2):
+        assert sorted(map(tuple, scoring.score_models(rows, models, block_models=size).collect())) == whole
+        blocks = sorted(map(tuple, scoring.classify_records(records, models[::2], "vec_id", block_models=size).collect()))
+        assert [r[:2] for r in blocks] == [r[:2] for r in best]
+        assert np.allclose([r[2] for r in blocks], [r[2] for r in best], rtol=0, atol=1e-12)
+
+
+def test_classify_keeps_rows_that_share_their_kept_columns(rows):
+    specs = [ModelSpec(TASK_1VALL, c, None, 10, 3) for c in ("breed_a", "breed_b", "breed_c")]
+    models = svm.train_grouped(rows, specs)
+    one = scoring.classify_records(rows, models, ["label"]).collect()
+    split = scoring.classify_records(rows, models, ["label"], block_models=1).collect()
+    assert len(one) == len(split) == rows.count()
+    assert sorted((r["label"], r["predicted_class"]) for r in one) == sorted((r["label"], r["predicted_class"]) for r in split)
+
+
+def test_ties_go_to_the_first_name(spark):
+    models = [{"class_a": c, "weights": [1.0], "intercept": 0.0, "size": 1, "task_type": TASK_1VALL} for c in ("z", "b", "m")]
+    df = spark.createDataFrame([([2.0],)], "features array<double>")
+    for size in (1, 2, 10):
+        assert scoring.classify_records(df, models, [], block_models=size).first()["predicted_class"] == "b"
+
+
+def test_intercept_and_threshold_count(spark):
+    rows = spark.createDataFrame([("a", 5, [1.0]), ("b", 5, [7.0]), (None, 5, [7.0])], "class_name string, num long, features array<double>")
+    model = {"task_type": TASK_1V1, "class_a": "a", "class_b": "b", "size": 1, "iters": 1, "weights": [1.0],
+             "intercept": -5.0, "threshold": 0.5}
+    r = scoring.score_models(rows, [model]).first()
+    assert (r["n_rows"], r["n_wrong"], r["n_pos"]) == (2, 0, 1)
+    r = scoring.score_models(rows, [{**model, "threshold": 3.0}]).first()
+    assert r["n_wrong"] == 1
+
+
+def test_models_without_weights_keep_their_row(spark, rows):
+    model = {"task_type": TASK_1VALL, "class_a": "breed_a", "class_b": None, "size": 3, "iters": 1, "weights": None, "n_train": 0}
+    r = scoring.score_models(rows, [model]).first()
+    assert r["n_rows"] == rows.filter("num > 3").count() and r["n_wrong"] is None and r["n_train"] == 0
+    assert scoring.score_models(rows, []).count() == 0
+
+
+def test_bad_vectors_have_no_prediction(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), (None,), ([1.0],), ([1.0, None],), ([0.1, -0.3],)], "features array<double>")
+    got = [r["prediction"] for r in scoring.svm_predict(df, [0.1, 1 / 3]).collect()]
+    assert got == [1.0, None, None, None, 0.0]

@@ -69,10 +69,33 @@ def test_class_counts(rows):
     assert sum(got.values()) == rows.count() and len(got) == 10
 
 
-def test_split_quota_two_level_same_result(rows):
+def test_rates_are_exact_for_very_many_rows(spark):
+    from fractions import Fraction
+
+    pairs = [(4 * 10**11 + 7, 123_456_789_012), (9 * 10**15, 3 * 10**15 + 1), (2**62, 1), (10**10, 4_999_950_000)]
+    df = spark.createDataFrame(pairs, "n long, w long")
+    got = df.select(metrics.error_rate("n", "w"), metrics.success_pct("n", "w")).collect()
+    for (n, w), (rate, pct) in zip(pairs, got):
+        half_up = lambda x: (2 * x.numerator + x.denominator) // (2 * x.denominator)
+        assert rate == half_up(Fraction(w, n) * 10**6) / 10**6
+        assert pct == half_up(Fraction(n - w, n) * 10**4) / 100
+
+
+def test_missing_predictions_are_wrong(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (1.0, None), (0.0, 1.0)], "label double, prediction double")
+    assert metrics.error_counts(df).first()["n_wrong"] == 2
+
+
+def test_split_quota_of_repeated_names(spark):
+    df = spark.createDataFrame([("a", "x.jpg", 1), ("a", "x.jpg", 2), ("a", "x.jpg", 3), ("a", "y.jpg", 4)], "class_name string, file_name string, id int")
+    got = splits.split_quota(df, 2, order_cols=("file_name",)).collect()
+    assert sorted(r["id"] for r in got) == [1, 2, 3, 4]
+    assert sum(r["split"] == "train" for r in got) == 2 and {r["split"] for r in got if r["id"] == 4} == {"test"}
+
+
+def test_split_quota_partitions_do_not_matter(rows):
     named = rows.select("vec_id", "class_name",
                         F.concat("class_name", F.lit("_"), F.col("num").cast("string")).alias("file_name"))
-    spread = named.repartition(12)
-    one = {r["file_name"]: r["split"] for r in splits.split_quota(spread, 5, order_cols=("file_name",), fan_in=0).collect()}
-    two = {r["file_name"]: r["split"] for r in splits.split_quota(spread, 5, order_cols=("file_name",), fan_in=3).collect()}
+    one = {r["file_name"]: r["split"] for r in splits.split_quota(named.coalesce(1), 5, order_cols=("file_name",)).collect()}
+    two = {r["file_name"]: r["split"] for r in splits.split_quota(named.repartition(12), 5, order_cols=("file_name",), buckets=3).collect()}
     assert one == two and sum(v == "train" for v in one.values()) == 50

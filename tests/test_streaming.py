@@ -66,3 +66,20 @@ def test_classify_stream(spark, rows, shared):
     assert classify_new_files(spark, src, path, out, ck) == 1
     got = spark.read.parquet(out).collect()
     assert len(got) == 3 and {g["predicted_class"] for g in got} <= {"breed_a", "breed_b"}
+
+
+def test_every_row_is_counted_over_many_batches(spark, shared):
+    """More micro-batches than the progress window keeps."""
+    src = shared("in").replace("file:", "")
+    out, ck = shared("out"), shared("ck")
+    os.makedirs(src, exist_ok=True)
+    for i in range(1, 8):
+        with open(f"{src}/pug_{i}.jpg.json", "w") as f:
+            json.dump([float(i)], f)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "3")
+    try:
+        assert featurize_new_files(spark, src, out, ck, max_files_per_trigger=1) == 7
+    finally:
+        spark.conf.unset(key)
+    assert featurize_new_files(spark, src, out, ck) == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curvelab.operators import svm
 from curvelab.operators.svm import TASK_1V1, TASK_1VALL, ModelSpec, fit_matrix
+from curvelab.plans.curves import curve_from_models, learning_curve
 
 
 def _train_set(rows, spec):
@@ -50,12 +51,12 @@ def test_mllib_parity_late_stop(rows):
     assert np.max(np.abs(np.array(w_ml) - W[:, 0])) < 1e-12
 
 
-@pytest.mark.parametrize("direct_bytes", [0, 32 << 20])  # 0 forces the JVM vector-sum aggregate
-def test_grouped_equals_iterative(rows, direct_bytes):
+@pytest.mark.parametrize("block_bytes", [2 * 8 * 64, 8 << 20])  # blocks of two models, and all at once
+def test_grouped_equals_iterative(rows, block_bytes):
     specs = [ModelSpec(TASK_1VALL, c, None, s, 30) for c in ("breed_a", "breed_j") for s in (3, 25)]
     specs += [ModelSpec(TASK_1V1, "breed_b", "breed_d", 7, 30)]
     g = {tuple(r[:5]): r for r in svm.train_grouped(rows, specs).collect()}
-    it = {tuple(r[:5]): r for r in svm.train_iterative(rows, specs, direct_bytes=direct_bytes).collect()}
+    it = {tuple(r[:5]): r for r in svm.train_iterative(rows, specs, block_bytes=block_bytes).collect()}
     assert g.keys() == it.keys() == {s.key() for s in specs}
     for k in g:
         assert g[k]["n_train"] == it[k]["n_train"]
@@ -82,9 +83,43 @@ def test_empty_task_keeps_zero_weights():
 
 
 def test_auto_trainer_choice():
-    specs = [ModelSpec(TASK_1VALL, "a", None, 100, 100)]
-    assert svm.choose_trainer(10, specs, 64) == "grouped"
-    assert svm.choose_trainer(100_000, specs, 4096) == "iterative"
+    assert svm.choose_trainer(10, 100, 64) == "grouped"
+    assert svm.choose_trainer(100_000, 100, 4096) == "iterative"
+
+
+@pytest.mark.parametrize("trainer", ["grouped", "iterative"])
+def test_sizes_without_rows_and_rows_without_class(spark, rows, trainer):
+    late = rows.filter("num >= 30").select("class_name", "num", "features")
+    odd = late.withColumn("class_name", F.when(F.col("num") % 5 != 0, F.col("class_name")))
+    specs = [ModelSpec(TASK_1VALL, "breed_a", None, s, 3) for s in (3, 34)]
+    specs += [ModelSpec(TASK_1V1, "breed_a", "breed_b", s, 3) for s in (3, 34)]
+    got = {(r["task_type"], r["size"]): r for r in svm.train(odd, specs, trainer=trainer).collect()}
+    assert set(got) == {(t, s) for t in (TASK_1VALL, TASK_1V1) for s in (3, 34)}
+    assert all(got[t, 3]["n_train"] == 0 and got[t, 3]["weights"] is None and got[t, 3]["iters_run"] == 0 for t in (TASK_1VALL, TASK_1V1))
+    assert got[TASK_1VALL, 34]["n_train"] == odd.filter("num <= 34 AND class_name IS NOT NULL").count()
+    assert got[TASK_1V1, 34]["n_train"] == 8
+    curve = curve_from_models(odd, svm.train(odd, specs, trainer=trainer)).collect()
+    assert all((r["success_pct"] is None) == (r["size"] == 3) for r in curve) and all(r["n_test"] > 0 for r in curve)
+
+
+def test_slices_change_nothing(rows):
+    specs = [ModelSpec(TASK_1VALL, "breed_c", None, 30, 20)]
+    one = svm.train_grouped(rows, specs).first()
+    many = svm.train_grouped(rows, specs, slice_bytes=8 * 64 * 7).first()
+    assert one["iters_run"] == many["iters_run"] and np.allclose(one["weights"], many["weights"], rtol=0, atol=1e-12)
+
+
+def test_a_request_derived_from_many_classes(spark):
+    """Thousands of targets: the request stays a table, the models stay a table."""
+    n = 3000
+    df = spark.range(2 * n).select(
+        F.concat(F.lit("c"), (F.col("id") % n).cast("string")).alias("class_name"),
+        (F.floor(F.col("id") / n) + 1).alias("num"),
+        F.array(F.sin(F.col("id").cast("double")), F.cos(F.col("id").cast("double"))).alias("features"),
+    )
+    curve = learning_curve(df, TASK_1VALL, "all", [1], iters=1, trainer="grouped")
+    r = curve.agg(F.count("*"), F.min("n_train"), F.max("n_train"), F.min("n_test"), F.sum("n_test")).first()
+    assert tuple(r) == (n, n, n, n, n * n)
 
 
 def test_model_buckets_do_not_change_weights(rows):
