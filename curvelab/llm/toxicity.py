@@ -9,8 +9,9 @@ counterfactual: label unknown, but the score should not move.  Training minimise
 so that who is mentioned stops to matter and neutral mentions are not flagged, while the
 abusive words next to them still are.
 
-Fitting takes a bounded sample of labelled rows (``max_rows``); each row reaches the driver
-as the set of its words, never as text.  Scoring is one pass over the whole texts against a
+Fitting takes a bounded sample of labelled rows (``max_rows``).  Which features count is decided
+by an aggregation over the sample's features; the driver receives those, at most
+``max_words``, and each row's codes among them, never texts.  Scoring is one pass over the whole texts against a
 vocabulary of at most ``max_words`` features and the identity terms.
 
 Defined results: null and empty texts score the model's intercept; every input row gives
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelab.llm.common import wide_input
+from curvelab.llm.common import staged, wide_input
 from curvelab.llm.labelled import labelled_sample
 from curvelab.llm.pieces import small_batches
 from curvelab.llm.words import coded_words
@@ -84,29 +85,55 @@ def counterfactuals(text: str, swaps: dict[str, list[str]]) -> list[tuple[str, s
     return out
 
 
-def _word_sets(sample: DataFrame, swaps: dict[str, list[str]]) -> DataFrame:
-    """(y, words, gone, come): a labelled text's words, and for each counterfactual of its
-    sentences the words that leave and those that come."""
+FEATURES = "y int, features array<string>, gone array<string>, come array<string>"
+
+
+def feature_sets(sample: DataFrame, swaps: dict[str, list[str]]) -> DataFrame:
+    """``FEATURES``: a labelled text's features, and for each counterfactual of its sentences the
+    features that leave and those that come (space-separated)."""
+
+    def joined(words: set[str]) -> str:
+        return " ".join(sorted({f for w in words for f in features(w)}))
 
     def run(batches):
         for batch in small_batches(batches, "text"):
             owner, codes, names = coded_words(batch.column("text"))
-            words = [[] for _ in range(batch.num_rows)]
-            for i, c in zip(*np.unique(np.stack([owner, codes]), axis=1).tolist() if len(owner) else ([], [])):
-                words[i].append(names[c])
+            words = [set() for _ in range(batch.num_rows)]
+            for i, c in zip(owner.tolist(), codes.tolist()):
+                words[i].add(names[c])
             gone, come = [], []
             for text, held in zip(batch.column("text").to_pylist(), words):
-                pairs = counterfactuals(text, swaps) if swaps.keys() & set(held) else []
+                pairs = counterfactuals(text, swaps) if swaps.keys() & held else []
                 sets = [(set(re.findall(r"\w+", a)), set(re.findall(r"\w+", b))) for a, b in pairs]
-                gone.append([" ".join(sorted(a - b)) for a, b in sets])
-                come.append([" ".join(sorted(b - a)) for a, b in sets])
+                gone.append([joined(a - b) for a, b in sets])
+                come.append([joined(b - a) for a, b in sets])
+            own = [sorted({f for w in held for f in features(w)}) for held in words]
             text_list = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array(words, text_list), pa.array(gone, text_list), pa.array(come, text_list)],
-                names=["y", "words", "gone", "come"],
+                [batch.column("y"), pa.array(own, text_list), pa.array(gone, text_list), pa.array(come, text_list)],
+                names=["y", "features", "gone", "come"],
             )
 
-    return sample.mapInArrow(run, "y int, words array<string>, gone array<string>, come array<string>")
+    return sample.mapInArrow(run, FEATURES)
+
+
+def choose_features(sets: DataFrame, identity: set[str], min_rows: int, max_words: int) -> list[str]:
+    """The features whose presence tells most about the label (chi-square, p < 0.000001), and the
+    identity terms seen."""
+    n, ones = sets.agg(F.count("*"), F.sum("y")).first()
+    seen = sets.select("y", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("seen"), F.sum("y").alias("hits"))
+    seen = staged(seen.where((F.col("seen") >= min_rows) | F.col("f").isin(sorted(identity))), "feature_counts")
+    expect = F.col("seen") * (ones / n)
+    spread = F.greatest(expect * (1 - ones / n) * (1 - F.col("seen") / n), F.lit(1e-9))
+    best = (
+        seen.where(F.col("seen") >= min_rows)
+        .select("f", ((F.col("hits") - expect) ** 2 / spread).alias("chi"))
+        .where("chi > 23.9")
+        .orderBy(F.desc("chi"), "f")
+        .limit(max_words)
+    )
+    terms = seen.where(F.col("f").isin(sorted(identity)))
+    return sorted({r["f"] for r in best.collect()} | {r["f"] for r in terms.collect()})
 
 
 class WordModel:
@@ -136,50 +163,21 @@ class WordModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def choose_words(rows: list[tuple[int, list[str]]], identity: set[str], min_rows: int, max_words: int) -> list[str]:
-    """The features whose presence tells most about the label (chi-square), and the identity terms seen.
-    ``rows``: (y, features)."""
-    from collections import Counter
-
-    both, with_one = Counter(), Counter()
-    for y, words in rows:
-        both.update(words)
-        if y:
-            with_one.update(words)
-    n, ones = len(rows), sum(y for y, _ in rows)
-    score = {}
-    for w, seen in both.items():
-        if seen >= min_rows:
-            expect = seen * ones / n
-            spread = expect * (1 - ones / n) * (1 - seen / n)
-            score[w] = (with_one[w] - expect) ** 2 / max(spread, 1e-9)
-    best = sorted((w for w in score if score[w] > 10.83), key=lambda w: (-score[w], w))  # p < 0.001
-    return sorted({*best[:max_words], *(identity & both.keys())})
-
-
-def fit(rows, groups=IDENTITY_GROUPS, min_rows: int = 5, max_words: int = 1024, ridge: float = 1e-4, counterfactual: float = 1.0, steps: int = 500) -> WordModel:
-    """``rows``: (y, words, gone, come) as lists.  Accelerated gradient descent from zero."""
+def fit(rows, words: list[str], ridge: float = 1e-4, counterfactual: float = 1.0, steps: int = 500) -> WordModel:
+    """``rows``: (y, codes into ``words``, gone, come) as lists, both classes among them.  Accelerated
+    gradient descent from zero."""
     n = len(rows)
     ones = sum(r[0] for r in rows)
-    if n == 0 or ones in (0, n):
-        share = 0.0 if n == 0 else ones / n
-        return WordModel([], np.empty(0), np.log((share + 1e-9) / (1 - share + 1e-9)))
-    identity = {t for g in groups for t in g}
-    rows = [(y, {f for w in held for f in features(w)}, gone, come) for y, held, gone, come in rows]
-    words = choose_words([(r[0], r[1]) for r in rows], identity, min_rows, max_words)
     code = {w: i for i, w in enumerate(words)}
-    at, col = [], []
-    for i, r in enumerate(rows):
-        mine = sorted(code[w] for w in r[1] if w in code)
-        at += [i] * len(mine)
-        col += mine
-    at, col, y = np.array(at, np.int64), np.array(col, np.int64), np.array([r[0] for r in rows], float)
+    at = np.repeat(np.arange(n), [len(r[1]) for r in rows])
+    col = np.array([c for r in rows for c in r[1]], np.int64)
+    y = np.array([r[0] for r in rows], float)
     # differences x - x' of the counterfactuals, as (pair, word, +1 or -1)
     pair, word, sign, pairs = [], [], [], 0
     for r in rows:
         for gone, come in zip(r[2], r[3]):
             for side, s in ((gone, 1.0), (come, -1.0)):
-                for w in sorted({f for x in side.split() for f in features(x)}):
+                for w in side.split():
                     if w in code:
                         pair.append(pairs)
                         word.append(code[w])
@@ -224,12 +222,30 @@ def fit(rows, groups=IDENTITY_GROUPS, min_rows: int = 5, max_words: int = 1024,
     return WordModel(words, w, b)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, groups=IDENTITY_GROUPS, modulus: int = 5, held_out: int = 0, **options) -> WordModel:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, groups=IDENTITY_GROUPS, modulus: int = 5, held_out: int = 0, min_rows: int = 5, max_words: int = 1024, **options) -> WordModel:
     """The model of ``labels.toxic`` from rows outside the held-out remainder."""
     sample = labelled_sample(docs, labels, "toxic", modulus, held_out, max_rows)
-    rows = [(r["y"], r["words"], r["gone"], r["come"]) for r in _word_sets(sample, _swaps(groups)).collect()]
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return fit(rows, groups, **options)
+    sets = staged(feature_sets(sample, _swaps(groups)), "feature_sets")
+    n, ones = sets.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if ones in (0, n):
+        share = ones / n if n else 0.0
+        return WordModel([], np.empty(0), np.log((share + 1e-9) / (1 - share + 1e-9)))
+    words = choose_features(sets, {t for g in groups for t in g}, min_rows, max_words)
+
+    def coded(batches):
+        vocabulary = pa.array(words, pa.string())
+        for batch in batches:
+            lists = batch.column("features")
+            known = pc.index_in(lists.flatten(), vocabulary).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(int)
+            codes = [[int(c) for c in known[a:b] if c == c] for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("y"), pa.array(codes, pa.list_(pa.int32())), batch.column("gone"), batch.column("come")],
+                names=["y", "codes", "gone", "come"],
+            )
+
+    rows = sets.mapInArrow(coded, "y int, codes array<int>, gone array<string>, come array<string>").collect()
+    return fit(sorted((r["y"], r["codes"], r["gone"], r["come"]) for r in rows), words, **options)
 
 
 def score(docs: DataFrame, model: WordModel) -> DataFrame:
