@@ -105,7 +105,8 @@ def compare_with_hubs(star: DataFrame, docs: DataFrame, signatures: DataFrame, w
             yield batch.filter(pa.array(keep)).select(["hub", "doc_id", "members"])
 
     near = staged(near.mapInArrow(screen, "hub long, doc_id long, members long"), "star_pairs")
-    wanted = near.select("doc_id").union(near.select("hub")).distinct()
+    # the ids grow with the documents: one plan at every size, which shuffles the texts once
+    wanted = near.select("doc_id").union(near.select("hub")).distinct().hint("merge")
     texts = staged(wide_input(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").distinct(), "star_texts")
     both = (
         near.join(texts, "doc_id")
