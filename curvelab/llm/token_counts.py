@@ -42,6 +42,11 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob[8:], size, codec="zstd"), "<u4")
 
 
+def _one_list(values: pa.Array) -> pa.Array:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> DataFrame:
     """Step 1: one row a chunk (see ``CHUNKS``); ``codes`` holds each document's sorted codes as
     differences, ``ends`` where each document's codes end."""
@@ -54,8 +59,13 @@ def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> Da
             units, bounds = encoder.units(texts)
             coded = pc.dictionary_encode(units)
             width = max(1, len(coded.dictionary))
-            owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
-            keys, freqs = np.unique(owner * width + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            keys = np.repeat(np.arange(len(texts)) * width, np.diff(bounds))
+            keys += coded.indices.to_numpy(zero_copy_only=False)
+            del units
+            keys.sort()
+            new = np.flatnonzero(np.diff(keys, prepend=-1))
+            freqs = np.diff(new, append=len(keys))
+            keys = keys[new]
             ends = np.searchsorted(keys, np.arange(1, len(texts) + 1) * width)
             codes = keys % width
             steps = np.diff(codes, prepend=0)
@@ -65,12 +75,12 @@ def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> Da
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([base + number], pa.int64()),
-                    pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                    pa.array([sizes.to_pylist()], pa.list_(pa.int64())),
-                    pa.array([ends], pa.list_(pa.int64())),
+                    _one_list(batch.column("doc_id")),
+                    _one_list(sizes),
+                    _one_list(pa.array(ends, pa.int64())),
                     pa.array([_pack(steps)], pa.binary()),
                     pa.array([_pack(freqs)], pa.binary()),
-                    pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
+                    _one_list(coded.dictionary.cast(pa.string())),
                 ],
                 names=["chunk", "doc_id", "n_bytes", "ends", "codes", "freqs", "units"],
             )
@@ -96,7 +106,7 @@ def pieces_of_units(units: DataFrame, tokenizer: str) -> DataFrame:
     return units.repartition("unit").mapInArrow(run, "chunk long, code int, pieces int")
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, chunk_bytes: int = 8 << 20) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, chunk_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_bytes, n_tokens for every row of ``docs`` (doc_id, text)."""
     chunks = staged(chunked_frequencies(docs, tokenizer, chunk_bytes), "frequencies")
     units = chunks.select("chunk", F.posexplode("units").alias("code", "unit"))
