@@ -161,7 +161,7 @@ def item_groups(benchmark: DataFrame, group_chars: int) -> list[list[tuple[int |
     return groups
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 16, group_chars: int = 4 << 20) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, distance (edits of the
     best passage), match_end (where it ends in the plain text), item_chars."""
     slim = wide_input(docs, "doc_id", "text")
@@ -189,7 +189,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 16,
     return reduce(DataFrame.union, found)
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 16, group_chars: int = 4 << 20) -> DataFrame:
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
     names, schema = docs.columns, docs.schema
     for items in item_groups(benchmark, group_chars):

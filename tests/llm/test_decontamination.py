@@ -58,7 +58,7 @@ def test_same_as_all_pairs(spark, table):
     for d, text in docs:
         for i, item in items:
             p = D.plain(item)
-            if (e := distance_to_passage(p, D.plain(text))) <= D.errors(len(p), 16):
+            if (e := distance_to_passage(p, D.plain(text))) <= D.errors(len(p), 12):
                 want.add((d, i, e))
     assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got.collect()} == want
     assert len(want) > 12
