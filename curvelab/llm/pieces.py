@@ -131,8 +131,8 @@ class Pieces:
             follow = np.minimum(lead + 1, n - 1)
             sign = (data[follow] == 0x97) | (data[follow] == 0xB7)
             kind[follow[~sign]] = _WORD
-            odd = np.concatenate([[0], np.cumsum(kind == _OTHER)])
-            plain = (odd[edges[1:]] == odd[edges[:-1]]) & ~special
+            plain = ~special
+            plain[np.searchsorted(edges, np.flatnonzero(kind == _OTHER), side="right") - 1] = False
             space = kind == _SPACE
             word, mark = kind == _WORD, kind == _MARK
             cut[1:n] = (word[:-1] & mark[1:]) | (mark[:-1] & word[1:])
@@ -226,7 +226,7 @@ def pieces(path: str) -> Pieces:
     return _OPEN[path]
 
 
-def small_batches(batches, column: str, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches, column: str, budget: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``budget`` bytes of text; a longer text is a batch of its own."""
     for batch in batches:
         if batch.num_rows == 0:

@@ -56,12 +56,21 @@ def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> Da
         base = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(small_batches(batches, "text", chunk_bytes)):
             texts = batch.column("text")
-            units, bounds = encoder.units(texts)
-            coded = pc.dictionary_encode(units)
-            width = max(1, len(coded.dictionary))
-            keys = np.repeat(np.arange(len(texts)) * width, np.diff(bounds))
-            keys += coded.indices.to_numpy(zero_copy_only=False)
-            del units
+            # cut in small steps: what cutting needs beside the units stays small
+            parts, bounds = [], [np.zeros(1, np.int64)]
+            for some in small_batches([batch.select(["text"])], "text"):
+                units, ends = encoder.units(some.column("text"))
+                parts.append(units)
+                bounds.append(ends[1:] + bounds[-1][-1])
+            coded = pa.chunked_array(parts, pa.large_string()).dictionary_encode().unify_dictionaries()
+            dictionary = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.large_string())
+            width = max(1, len(dictionary))
+            keys = np.repeat(np.arange(len(texts)) * width, np.diff(np.concatenate(bounds)))
+            at = 0
+            for part in coded.chunks:
+                keys[at : at + len(part)] += part.indices.to_numpy(zero_copy_only=False)
+                at += len(part)
+            del parts, coded
             keys.sort()
             new = np.flatnonzero(np.diff(keys, prepend=-1))
             freqs = np.diff(new, append=len(keys))
@@ -80,10 +89,11 @@ def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> Da
                     _one_list(pa.array(ends, pa.int64())),
                     pa.array([_pack(steps)], pa.binary()),
                     pa.array([_pack(freqs)], pa.binary()),
-                    _one_list(coded.dictionary.cast(pa.string())),
+                    _one_list(dictionary.cast(pa.string())),
                 ],
                 names=["chunk", "doc_id", "n_bytes", "ends", "codes", "freqs", "units"],
             )
+            pa.default_memory_pool().release_unused()
 
     return wide_input(docs, "doc_id", "text").mapInArrow(run, CHUNKS)
 

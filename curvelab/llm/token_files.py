@@ -58,7 +58,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         store.create_dir(path)
         n_docs = n_null = n_ids = 0
         out = None
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 4 << 20):
             if out is None:
                 out = {x: store.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "offsets", "docs")}
                 out["offsets"].write(np.zeros(1, "<i8").tobytes())
