@@ -33,13 +33,16 @@ def trigram_matrix(texts, dims: int = TEXT_DIMS) -> np.ndarray:
     The code points of a whole batch lie in one buffer; a trigram key is made at every
     position that has two more characters of the same text behind it, hashed
     multiplicatively, and counted by (text, bucket) in one ``bincount``."""
-    drop = str.maketrans("", "", LINE_BREAKS)
-    clean = [(t or "").lower().translate(drop) for t in texts]
+    clean = [(t or "").lower() for t in texts]
     sizes = np.array([len(t) for t in clean], np.int64)
     points = np.frombuffer("".join(clean).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    row = np.repeat(np.arange(len(clean)), sizes)
+    keep = np.ones(len(points), dtype=bool)
+    for c in LINE_BREAKS:
+        keep &= points != ord(c)
+    points, row = points[keep], row[keep]
     out = np.zeros((len(clean), dims))
     if len(points) >= 3:
-        row = np.repeat(np.arange(len(clean)), sizes)
         inside = row[2:] == row[:-2]
         wide = points.astype(np.uint64)
         key = (wide[:-2] << np.uint64(42)) ^ (wide[1:-1] << np.uint64(21)) ^ wide[2:]

@@ -409,15 +409,16 @@ def q_featurize_text(spark, sf_dir):
 
 
 def lang_rows(spark, sf_dir, upto: int = max(LANG_SIZES)) -> DataFrame:
-    """Featurize every whole text once where it is read, number each language's vectors by
-    ``doc_id`` (exact up to ``upto``, see ``class_ordinal_head``) and keep the result as a
-    written table in the shared folder (training reads ``num <= max(size)`` with pushdown,
-    scoring streams the whole table).  Texts are never shuffled."""
+    """Number each language's documents by ``doc_id`` (exact up to ``upto``, see
+    ``class_ordinal_head``: only texts of the key ranges that hold a language's first rows are
+    shuffled), featurize every whole text once and keep the result as a written table in the
+    shared folder (training reads ``num <= max(size)`` with pushdown, scoring streams the
+    whole table)."""
     from curvelab.session import materialize
 
-    feats = materialize(text_features(_documents(spark, sf_dir)).select("doc_id", "lang", "features"), "lang_features", cluster_by=None)
-    numbered = class_ordinal_head(feats, "lang", "doc_id", upto, out_col="num")
-    return materialize(numbered.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
+    numbered = class_ordinal_head(_documents(spark, sf_dir), "lang", "doc_id", upto, out_col="num")
+    feats = text_features(numbered)
+    return materialize(feats.select(F.col("lang").alias("class_name"), "num", "features", "doc_id"), "lang_rows")
 
 
 def q_learning_curve_lang(spark, sf_dir):
