@@ -8,8 +8,12 @@
     vectors are candidates if they agree on a whole string (so every pair within fewer
     different bits than tables is), compared at the first string on which they agree, and
     only if their codes differ in at most ``radius`` bits.  Width grows with the logarithm of
-    the number of vectors, and the number of tables is chosen from it so that a pair at
-    the threshold is missed with probability ``miss`` at most.
+    the number of vectors.  Tables and radius are measured: pairs of the sample at the
+    threshold, and pairs planted there, are coded, and tables added until at most the share ``miss``
+    of either kind meets in none (centring widens the angle of a pair by as much as the
+    vectors have in common).  Where that takes more than ``BITS`` bits at every width that
+    still tells vectors apart, or for at most ``FEW`` vectors, all pairs of a label are
+    compared, in blocks.
 3.  *Rerank.*  Candidates' cosines are computed in double precision on the original vectors.
 
 Equal vectors of a label are one node with a count, so copies are never paired.  Links are
@@ -35,6 +39,10 @@ from curvelab.llm.common import staged
 from curvelab.llm.components import components
 
 
+#: Longest code, fewest vectors that are worth tables, and vectors in a block where all pairs are compared.
+BITS, FEW, BLOCK = 4096, 256, 1024
+
+
 class Quantiser:
     """Mean, and the projections whose signs are the code bits."""
 
@@ -67,6 +75,67 @@ def table_plan(n: int, threshold: float, miss: float) -> tuple[int, int]:
     return width, max(1, math.ceil(math.log(miss) / math.log(1 - agree)))
 
 
+def pairs_at(x: np.ndarray, threshold: float, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Kinds of pairs of unit vectors at the threshold: planted ones, whose difference points
+    anywhere, then to another vector of ``x``; and those of ``x`` itself that lie little above it."""
+    rng = np.random.default_rng(seed)
+    most = max(1024, (1 << 19) // x.shape[1])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    one = np.tile(x, (-(-most // len(x)), 1))[:most]
+    kinds = []
+    for b in (rng.normal(size=one.shape), x[rng.integers(len(x), size=len(one))]):
+        b = b - np.einsum("ij,ij->i", one, b)[:, None] * one
+        size = np.linalg.norm(b, axis=1)
+        ok = size > 1e-6
+        kinds.append((one[ok], threshold * one[ok] + math.sqrt(1 - threshold**2) * b[ok] / size[ok, None]))
+    found = []
+    for start in range(0, len(x), 512):
+        cosine = x[start : start + 512] @ x.T
+        a, b = np.nonzero((cosine >= threshold) & (cosine <= threshold + (1 - threshold) / 4))
+        later = np.flatnonzero(a + start < b)
+        if len(later) > most:
+            later = rng.choice(later, most, replace=False)
+        found.append(np.stack([a[later] + start, b[later]]))
+    near = np.concatenate(found, axis=1)
+    if near.shape[1] > most:
+        near = near[:, rng.choice(near.shape[1], most, replace=False)]
+    kinds.append((x[near[0]], x[near[1]]))
+    return [k for k in kinds if len(k[0])]
+
+
+def measured_plan(x: np.ndarray, n: int, threshold: float, miss: float) -> tuple[Quantiser, int, int, int] | None:
+    """(quantiser, bits a string, tables, radius) by which pairs at the threshold are missed with
+    at most the share ``miss``, or None where that takes too long a code or spares little."""
+    if n <= FEW:
+        return None
+    rng = np.random.default_rng(11)
+    kinds = pairs_at(x, threshold)
+    strangers = x[rng.integers(len(x), size=(2, 4096))]
+    start, least = table_plan(n, threshold, miss)
+    quantiser = Quantiser(x, max(512, start * least))
+    differ = [quantiser.codes(a) != quantiser.codes(b) for a, b in kinds]
+    share = [d.mean(axis=1) for d in differ]
+    alike = (quantiser.codes(strangers[0]) == quantiser.codes(strangers[1])).mean(axis=1)
+    for width in range(start, 3, -1):
+        # the share of missed pairs falls with the tables: from an estimate on, by measurement
+        tables, most = least if width == start else 1, BITS // width
+        while tables <= most and any(((1 - (1 - p) ** width) ** tables).mean() > miss for p in share):
+            tables = tables + 1 + tables // 16
+        while tables <= most and tables * (alike**width).mean() < 0.25:
+            bits = width * tables
+            if len(quantiser.map.T) < bits:
+                quantiser = Quantiser(x, bits)
+                differ = [quantiser.codes(a) != quantiser.codes(b) for a, b in kinds]
+            missed = [d[:, :bits].reshape(len(d), tables, width).any(axis=2).all(axis=1).mean() for d in differ]
+            if max(missed) <= miss:
+                apart = max(int(d[:, :bits].sum(axis=1).max()) for d in differ)
+                radius = math.ceil(apart + 4 * math.sqrt(apart))
+                quantiser.map = quantiser.map[:, :bits]
+                return quantiser, width, tables, radius
+            tables += 1 + tables // 16
+    return None
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -116,6 +185,24 @@ def _candidates(coded: DataFrame, tables: int, radius: int, words: int) -> DataF
     ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
+def _all_pairs(nodes: DataFrame, n: int) -> DataFrame:
+    """Every pair of a label.  Nodes are dealt to groups; a pair meets in the cell of its two groups."""
+    groups = -(-n // BLOCK)
+    group = F.pmod(F.xxhash64("node"), F.lit(groups)).cast("int")
+    rows = nodes.select("label", "node", group.alias("g")).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    rows = rows.select("label", "node", "g", F.least("g", "h").alias("low"), F.greatest("g", "h").alias("high"))
+    left, right = rows.alias("l"), rows.alias("r")
+    return left.join(
+        right,
+        (F.col("l.label") == F.col("r.label"))
+        & (F.col("l.low") == F.col("r.low"))
+        & (F.col("l.high") == F.col("r.high"))
+        & (F.col("l.node") < F.col("r.node"))
+        # nodes of one group meet in all its cells: only its own counts
+        & ((F.col("l.g") != F.col("r.g")) | (F.col("l.low") == F.col("l.high"))),
+    ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+
 def _rerank(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     vectors = nodes.select("node", "embedding")
     both = pairs.join(vectors.toDF("a", "va"), "a").join(vectors.toDF("b", "vb"), "b").select("a", "b", "va", "vb")
@@ -153,14 +240,14 @@ def linked_vectors(vectors: DataFrame, threshold: float = 0.93, sample: int = 40
     links = None
     for length, n in sorted((r[0], r[1]) for r in nodes.groupBy(F.size("embedding")).count().collect()):
         mine = nodes.where(F.size("embedding") == length)
-        width, tables = table_plan(n, threshold, miss)
         some = mine.orderBy(F.xxhash64("embedding"), "label").limit(sample).select("embedding").toPandas()["embedding"]
-        quantiser = Quantiser(np.array([np.asarray(v, float) for v in some]), width * tables)
-        share = math.acos(threshold) / math.pi
-        bits = width * tables
-        radius = math.ceil(bits * share + 8 * math.sqrt(bits * share))
-        coded = staged(_encode(mine, quantiser, width, tables), "codes")
-        pairs = staged(_candidates(coded, tables, radius, -(-bits // 64)), "candidates")
+        plan = measured_plan(np.array([np.asarray(v, float) for v in some]), n, threshold, miss)
+        if plan is None:
+            pairs = _all_pairs(mine, n)
+        else:
+            quantiser, width, tables, radius = plan
+            coded = staged(_encode(mine, quantiser, width, tables), "codes")
+            pairs = staged(_candidates(coded, tables, radius, -(-width * tables // 64)), "candidates")
         found = _rerank(pairs, mine, threshold)
         links = found if links is None else links.union(found)
     if links is None:

@@ -87,3 +87,27 @@ def test_table_plan_keeps_the_miss_bound(n):
     width, tables = hamming.table_plan(n, 0.93, 1e-3)
     agree = (1 - np.arccos(0.93) / np.pi) ** width
     assert (1 - agree) ** tables <= 1e-3 and 8 <= width <= 20
+
+
+@pytest.mark.parametrize("norm, n", [(0.83, 2000), (0.9, 500)])
+def test_recall_with_a_common_direction(spark, norm, n):
+    """Vectors whose mean is long: centring widens the angles of pairs; the tables must follow."""
+    rng = np.random.default_rng(6)
+    rest = np.sqrt(1 - norm**2)
+    c = (0.935 - norm**2) / rest**2
+    u, b = rng.normal(size=(2, n, 63))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    b -= (u * b).sum(axis=1, keepdims=True) * u
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    x = np.concatenate([u, c * u + np.sqrt(1 - c * c) * b]) * rest
+    x = np.concatenate([np.full((2 * n, 1), norm), x], axis=1)
+    true = ((x @ x.T) >= 0.93).sum() - 2 * n
+    df = spark.createDataFrame([(i, v.tolist(), 1, 0, "") for i, v in enumerate(x)], SCHEMA.replace("float", "double"))
+    got = sum(r["n_links"] for r in hamming.linked_vectors(df).collect())
+    assert 0.99 * true <= got <= true and true >= 2 * n
+
+
+def test_a_few_vectors(spark):
+    a, b = [1.0, 0.0], [0.94, np.sqrt(1 - 0.94**2)]
+    df = spark.createDataFrame([(1, a, 1, 0, ""), (2, [float(x) for x in b], 1, 0, "")], SCHEMA)
+    assert [r["n_links"] for r in hamming.linked_vectors(df).collect()] == [1, 1]
