@@ -7,7 +7,9 @@ goes through the library once, and the ids are gathered with numpy.
 
 Only *plain* texts are cut: printable ASCII, tab, line feed, carriage return and the
 Latin-1 letters, without ``<|`` (the start of special strings).  There the library's
-character classes are certain.  Any other text is one unit, encoded by the library whole.
+character classes are certain.  Any other text is cut by the library: at its added tokens
+(units of their own), and between them by its normalizer and pre-tokenizer.  Such a unit is
+a pre-token in the model's alphabet, marked by ``_READY``, which no plain text holds.
 Cuts in a plain text:
 
 * between a letter or digit and ASCII punctuation other than the apostrophe (which
@@ -18,7 +20,8 @@ Cuts in a plain text:
   character of a longer run that a word follows, and after a last character that is
   no space (a single leading space belongs to its word).
 
-A tokenizer file of another kind gets whole texts as units.
+A tokenizer file of another kind, or with added tokens that take their surroundings
+along, gets whole texts as units.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHED_UNITS = 600_000
+#: Bytes of cached units and their ids.
+CACHED_BYTES = 64 << 20
+
+_READY = "\ue000"
 
 _OTHER, _WORD, _MARK, _SPACE, _QUOTE, _LEAD = range(6)
 
@@ -66,6 +73,9 @@ def _cut_rule(spec: dict) -> str:
     pre = spec.get("pre_tokenizer") or {}
     steps = pre.get("pretokenizers", [pre])
     first = steps[0] if steps else {}
+    around = ("single_word", "lstrip", "rstrip", "normalized")
+    if any(t.get(k) for t in spec.get("added_tokens") or [] for k in around):
+        return "whole"
     if first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert"):
         return "spaces dropped"
     plain = first.get("type") == "ByteLevel" and first.get("use_regex") and not first.get("add_prefix_space")
@@ -89,7 +99,8 @@ def _byte_symbols() -> dict[int, str]:
 
 
 class Pieces:
-    """Encoder of one tokenizer file.  Holds about ``CACHED_UNITS`` units between batches."""
+    """Encoder of one tokenizer file.  Holds about ``CACHED_UNITS`` units and ``CACHED_BYTES`` between
+    batches; a batch's own units are held whatever their size."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -103,14 +114,30 @@ class Pieces:
         self.vocabulary_size = self.library.get_vocab_size(with_added_tokens=True)
         self.one_token = _ONE_TOKEN.get(self.rule)
         self.symbols = _byte_symbols()
+        added = sorted((t["content"] for t in spec.get("added_tokens") or []), key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self._forget()
 
     def _forget(self) -> None:
         self.codes: dict[str, int] = {}
+        self.held = 0
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
+    def _pre_tokens(self, text: str) -> list[str]:
+        """Units of a text that is not plain."""
+        if self.rule == "whole":
+            return [text]
+        normalizer, out = self.library.normalizer, []
+        for k, part in enumerate(self.added.split(text) if self.added else [text]):
+            if k % 2:
+                out.append(part)
+            elif part:
+                part = normalizer.normalize_str(part) if normalizer else part
+                out.extend(_READY + piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(part))
+        return out
+
     def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Units of all texts in order, and ``len(texts) + 1`` offsets into them."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -124,6 +151,7 @@ class Pieces:
         edges = bounds - begin
         n = len(data)
         cut = np.zeros(n + 1, dtype=bool)
+        plain = np.full(len(texts), self.rule == "whole")
         if self.rule != "whole" and n:
             kind = _KIND[data]
             lead = np.flatnonzero(kind == _LEAD)
@@ -150,7 +178,16 @@ class Pieces:
         if n == 0:
             return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
         units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
-        return units, np.searchsorted(at, edges)
+        bounds = np.searchsorted(at, edges)
+        if plain.all():
+            return units, bounds
+        parts, counts, done = [], np.diff(bounds), 0
+        for i in np.flatnonzero(~plain & (counts > 0)).tolist():
+            own = self._pre_tokens(texts[i].as_py())
+            parts += [units.slice(done, int(bounds[i]) - done), pa.array(own, pa.large_string())]
+            done, counts[i] = int(bounds[i + 1]), len(own)
+        parts.append(units.slice(done))
+        return pa.concat_arrays(parts), np.concatenate([[0], np.cumsum(counts)])
 
     def _one(self, unit: str) -> str | None:
         """The unit in the model's alphabet if it is one pre-token, else None."""
@@ -169,7 +206,7 @@ class Pieces:
         out: list = [None] * len(units)
         rest = []
         for i, u in enumerate(units):
-            own = self._one(u)
+            own = u[1:] if u.startswith(_READY) and self.rule != "whole" else self._one(u)
             if own is None:
                 rest.append(i)
             else:
@@ -183,7 +220,8 @@ class Pieces:
     def _learn(self, units: list[str]) -> np.ndarray:
         new = [u for u in units if u not in self.codes]
         if new:
-            if self.codes and len(self.codes) + len(new) > CACHED_UNITS:
+            size = sum(map(len, new))
+            if self.codes and (len(self.codes) + len(new) > CACHED_UNITS or self.held + size > CACHED_BYTES):
                 self._forget()
                 new = units
             codes = self.codes
@@ -195,6 +233,7 @@ class Pieces:
             self.starts = np.concatenate([self.starts, starts])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, flat])
+            self.held += sum(map(len, new)) + flat.nbytes
         return np.fromiter(map(self.codes.__getitem__, units), np.int64, len(units))
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:

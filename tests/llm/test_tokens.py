@@ -31,6 +31,36 @@ def test_units_encode_like_the_library(path, texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
 
 
+OTHER_SCRIPTS = [
+    "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 50,
+    "\u201cIt\u2019s fine\u201d \u2014 they\u2019ve said, don't  we?\u3000 \n\n x\u00a0 y \U0001f600\U0001f600 " * 50,
+    "日本語の文章です。 中文 字符 " * 50 + "<|endoftext|> H\u0331 J\u030c ΟΔΟΣ İ \ue000a <|end <|startoftext|>tail ",
+    "plain words between",
+    "",
+]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_units_of_other_scripts(path):
+    encoder, texts = pieces(path), pa.array(OTHER_SCRIPTS)
+    ids, offsets = encoder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [ids_of(path, t) for t in OTHER_SCRIPTS]
+    units, bounds = encoder.units(texts)
+    assert len(bounds) == len(texts) + 1 and bounds[-1] == len(units)
+    assert max(map(len, units.to_pylist())) <= 60 and len(set(units.to_pylist())) < 120
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    import curvelab.llm.pieces as module
+
+    monkeypatch.setattr(module, "CACHED_BYTES", 2000)
+    encoder = module.Pieces(BYTE)
+    for k in range(50):
+        text = " ".join(f"слово{k}x{j}" for j in range(10))
+        assert encoder.encode(pa.array([text]))[0].tolist() == ids_of(BYTE, text)
+        assert encoder.held < 4000 and len(encoder.codes) < 200
+
+
 def test_sliced_batches(table):
     text = table("documents").select("text").toArrow().column("text").combine_chunks().slice(50, 60)
     ids, offsets = pieces(BYTE).encode(text)
