@@ -88,4 +88,80 @@ LEFT JOIN (SELECT a, count(*) AS n FROM both_ways GROUP BY a) n ON n.a = v.vec_i
 """
 )
 
-ORACLE = {"op1_minhash_dedup": OP1, "op7_preference_format": OP7, "op9_vector_dedup": OP9}
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), anchors AS (
+  SELECT row_number() OVER () AS anchor, * FROM v WHERE vec_id % 100 = 0
+), scores AS (
+  SELECT a.anchor, a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+    list_inner_product(a.e, r.e)::BIGINT AS score
+  FROM anchors a JOIN v r ON len(a.e) = len(r.e)
+), positives AS (
+  SELECT anchor, anchor_id, other_id AS positive_id, score,
+    row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) AS number
+  FROM scores WHERE same AND other_id <> anchor_id
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.number ORDER BY n.score DESC, n.other_id) AS rank
+  FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+  WHERE p.number <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+# one round: every part goes to its nearest entry, then every entry becomes the floor of its parts' mean
+_OP13_ASSIGNED = """
+a{r} AS MATERIALIZED (
+  SELECT x.vec_id, x.p, min(list_sum(list_transform(range(1, len(x.s) + 1), lambda i: (x.s[i] - c.s[i]) * (x.s[i] - c.s[i])))::BIGINT
+    * 16 + c.k) AS best
+  FROM x JOIN c{r} c ON c.p = x.p GROUP BY x.vec_id, x.p
+)"""
+_OP13_ROUND = """
+m{r} AS (
+  SELECT p, k, list(floor(total / n)::BIGINT ORDER BY i) AS s FROM (
+    SELECT x.p, a.best % 16 AS k, i, sum(x.s[i]) AS total, count(*) AS n
+    FROM x JOIN a{r} a ON a.vec_id = x.vec_id AND a.p = x.p, range(1, 65) t(i) WHERE i <= len(x.s) GROUP BY 1, 2, 3
+  ) GROUP BY p, k
+), c{next} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.s, c.s) AS s FROM c{r} c LEFT JOIN m{r} m ON m.p = c.p AND m.k = c.k
+)"""
+
+OP13 = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT vec_id, p, e[p * (len(e) // 8) + 1 : (p + 1) * (len(e) // 8)] AS s FROM v, range(8) t(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, s
+  FROM x WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 16)
+),"""
+    + ",".join(_OP13_ASSIGNED.format(r=r) + "," + _OP13_ROUND.format(r=r, next=r + 1) for r in range(6))
+    + ","
+    + _OP13_ASSIGNED.format(r=6)
+    + """,
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', best % 16), '' ORDER BY p) AS code, sum(best // 16)::BIGINT AS error FROM a6 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(s, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c6
+)
+SELECT c.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY v.label))::BIGINT AS label_error, d.codebooks_sha256
+FROM codes c JOIN v ON v.vec_id = c.vec_id, digest d
+"""
+)
+
+ORACLE = {
+    "op1_minhash_dedup": OP1,
+    "op7_preference_format": OP7,
+    "op9_vector_dedup": OP9,
+    "op12_hard_negatives": OP12,
+    "op13_vector_codes": OP13,
+}

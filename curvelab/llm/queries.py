@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelab.llm import chat, decontamination, hamming, main_text, minhash, packing, quality, token_counts, token_files, toxicity
+from curvelab.llm import (
+    chat,
+    decontamination,
+    hamming,
+    language,
+    main_text,
+    minhash,
+    negatives,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+    vector_codes,
+)
 from curvelab.llm.common import in_remainder, table
 from curvelab.llm.pieces import vocabulary_path
 
@@ -74,6 +88,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest, folder, with_ids=False)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", in_remainder("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return negatives.hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.product_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,5 +117,8 @@ QUERIES = {
         op8_quality,
         op9_vector_dedup,
         op10_token_files,
+        op11_language_id,
+        op12_hard_negatives,
+        op13_vector_codes,
     )
 }
