@@ -14,6 +14,8 @@ import zlib
 import numpy as np
 
 NAMES, WORDS, NUMBERS = 2048, 4096, 6
+#: Steps whose inputs are prepared together, and cells (pages x longest page) of a batch.
+STEPS, BATCH_CELLS = 1024, 60_000
 
 Block = tuple[tuple[str, ...], str, float]
 
@@ -25,35 +27,32 @@ def _code(word: str, size: int) -> int:
 class Vocabulary:
     """Hash codes, remembered for repeated names and words."""
 
-    def __init__(self):
-        self.known: dict[tuple[str, int], int] = {}
+    def __init__(self, size: int, most: int = 200_000):
+        self.size, self.most, self.known = size, most, {}
 
-    def codes(self, words, size: int) -> list[int]:
-        out = []
+    def codes(self, words) -> list[int]:
+        known, out = self.known, []
         for w in words:
-            c = self.known.get((w, size))
+            c = known.get(w)
             if c is None:
-                if len(self.known) > 200_000:
-                    self.known.clear()
-                c = self.known[(w, size)] = _code(w, size)
+                if len(known) > self.most:
+                    known.clear()
+                c = known[w] = _code(w, self.size)
             out.append(c)
         return out
 
 
-_VOCABULARY = Vocabulary()
+_PATH_CODES, _WORD_CODES = Vocabulary(NAMES), Vocabulary(WORDS)
 
 
-def encode_page(blocks: list[Block], sample_words: int = 24) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-    """Path codes, word codes and numbers of a page's blocks.  Words are taken at even steps through
-    the block, at most ``sample_words`` of them: a block's label does not hang on one word, its
-    length is among the numbers."""
+def encode_page(blocks: list[Block]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    """Path codes, word codes and numbers of a page's blocks, all words of each block among them."""
     paths, words, numbers = [], [], np.zeros((len(blocks), NUMBERS))
     for i, (path, text, linked) in enumerate(blocks):
-        # the path as a bag, and its last elements once more as such
-        paths.append(_VOCABULARY.codes([*path, *("last:" + p for p in path[-3:])], NAMES) or [0])
+        # the path as a set, and its last elements once more as such
+        paths.append(_PATH_CODES.codes(dict.fromkeys([*path, *("last:" + p for p in path[-3:])])) or [0])
         all_words = text.lower().split()
-        step = max(1, len(all_words) // sample_words)
-        words.append(_VOCABULARY.codes(all_words[::step], WORDS))
+        words.append(_WORD_CODES.codes(all_words))
         marks = sum(text.count(c) for c in ".,;!?")
         numbers[i] = (
             math.log1p(len(text)) / 6,
@@ -70,6 +69,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _batches(order: list[int], pages, most: int) -> list[list[int]]:
+    """Pages of like length together, at most ``most`` and ``BATCH_CELLS`` cells (a longer page alone)."""
+    out: list[list[int]] = []
+    for k in order:
+        if out and len(out[-1]) < most and (len(out[-1]) + 1) * len(pages[k][0]) <= BATCH_CELLS:
+            out[-1].append(k)
+        else:
+            out.append([k])
+    return out
+
+
 class BlockLabeller:
     """Parameters and passes.  Batches are (time, page) matrices padded at the end."""
 
@@ -116,11 +126,13 @@ class BlockLabeller:
     def _run(self, way: str, x: np.ndarray, live: np.ndarray, keep: bool):
         steps, count, _ = x.shape
         n = self.hidden
-        pre = x @ self.p[f"x{way}"] + self.p[f"c{way}"]
         h, c = np.zeros((count, n)), np.zeros((count, n))
         states, memory = np.zeros((steps, count, n)), []
-        for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
-            z = pre[t] + h @ self.p[f"h{way}"]
+        for k, t in enumerate(range(steps) if way == "f" else range(steps - 1, -1, -1)):
+            if k % STEPS == 0:  # the part that needs no state, for the next steps at once
+                low = t if way == "f" else max(0, t + 1 - STEPS)
+                pre = x[low : low + STEPS] @ self.p[f"x{way}"] + self.p[f"c{way}"]
+            z = pre[t - low] + h @ self.p[f"h{way}"]
             gates = _sigmoid(z[:, : 3 * n])
             f, i, o, g = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :], np.tanh(z[:, 3 * n :])
             new = f * c + i * g
@@ -144,16 +156,10 @@ class BlockLabeller:
         """Probability of main text for every block of every page (pages without blocks: empty)."""
         out: list = [np.empty(0)] * len(pages)
         order = sorted((k for k in range(len(pages)) if pages[k][0]), key=lambda k: len(pages[k][0]))
-        at = 0
-        while at < len(order):
-            # pages of like length together, at most so many cells a batch
-            some = [k for k in order[at : at + 256]]
-            while len(some) > 1 and len(some) * len(pages[some[-1]][0]) > 60_000:
-                some = some[: len(some) // 2]
+        for some in _batches(order, pages, 256):
             prob = self._forward([pages[k] for k in some], False)[0]
             for j, k in enumerate(some):
                 out[k] = prob[: len(pages[k][0]), j]
-            at += len(some)
         return out
 
     # -- training
@@ -197,15 +203,15 @@ class BlockLabeller:
         return float(loss), grad
 
     def fit(self, pages, labels, epochs: int = 6, batch: int = 32, rate: float = 0.02, seed: int = 13) -> list[float]:
-        """Adam; returns the mean loss of each epoch."""
+        """Adam, the last third of the epochs at a fifth of the rate; returns the mean loss of each epoch."""
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         losses, step = [], 0
-        order = np.array(sorted(range(len(pages)), key=lambda k: len(pages[k][0])))
-        groups = [order[a : a + batch] for a in range(0, len(order), batch)]
-        for _ in range(epochs):
+        groups = _batches(sorted(range(len(pages)), key=lambda k: len(pages[k][0])), pages, batch)
+        for epoch in range(epochs):
             total = 0.0
+            now = rate / 5 if 3 * epoch >= 2 * epochs else rate
             for g in rng.permutation(len(groups)):
                 step += 1
                 loss, grad = self.gradients([pages[k] for k in groups[g]], [labels[k] for k in groups[g]])
@@ -213,6 +219,6 @@ class BlockLabeller:
                 for k, v in grad.items():
                     first[k] += 0.1 * (v - first[k])
                     second[k] += 0.001 * (v * v - second[k])
-                    self.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                    self.p[k] -= now * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
             losses.append(total / max(1, len(groups)))
         return losses

@@ -6,7 +6,7 @@
 3.  The labelled blocks are joined by line feeds.
 
 Training has no labelled pages to learn from, so it labels its own: a bounded sample
-(``max_pages``) of the pages, where the elements that HTML defines for it say what is article
+(``max_pages``, ``max_page_chars``, ``max_chars``) of the pages, where the elements that HTML defines for it say what is article
 and what is not, and rearrangements of these pages' blocks into layouts without such elements
 (``LAYOUTS``), where class names and order must tell.  Only block sequences of the sample
 reach the driver.
@@ -84,13 +84,24 @@ def own_label(path: tuple[str, ...]) -> int:
 
 
 def rearranged(texts: list[str], others: list[str], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
-    """A page of these paragraphs in a random layout, among parts made of other pages' text."""
+    """A page of these paragraphs in a random layout, among parts made of other pages' text.  Two pages of
+    five have class words of their own, so that text and order must tell."""
+    own = rng.random() < 0.4
+    made = lambda: "." + "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(1, 6))))
+    words_of: dict[str, str] = {}
+    common = (made(),) if rng.random() < 0.5 else ()  # a word that all of them begin with
+
+    def names(path: tuple[str, ...]) -> tuple[str, ...]:
+        if not own:
+            return path
+        return tuple(w for n in path for w in ((*common, words_of.setdefault(n, made())) if n[0] == "." else (n,)))
+
     pick = lambda some: some[int(rng.integers(len(some)))]
     blocks: list[Block] = []
     labels: list[int] = []
 
     def put(kind: str, around: tuple[str, ...] = ()) -> None:
-        path = ("html", "body", *around, *pick(LAYOUTS[kind]))
+        path = ("html", "body", *around, *names(pick(LAYOUTS[kind])))
         for _ in range(int(rng.integers(1, 7 if kind in ("menu", "sidebar", "comments") else 3))):
             words = pick(others).split()
             long = kind == "comments" or (kind in ("sidebar", "notice") and rng.random() < 0.3)
@@ -105,7 +116,7 @@ def rearranged(texts: list[str], others: list[str], rng: np.random.Generator) ->
     for kind in _BEFORE:
         if rng.random() < 0.45:
             put(kind)
-    around = pick(LAYOUTS["text"])
+    around = names(pick(LAYOUTS["text"]))
     for k, text in enumerate(texts):
         leaf = ("h",) if k == 0 and rng.random() < 0.7 else pick((("p",), ("p",), ("p",), ("li",), ("blockquote", "p"), ()))
         blocks.append((("html", "body", *around, *leaf), text, 0.0))
@@ -127,31 +138,45 @@ def page_blocks(page: str | None) -> list[Block]:
     return [(_headings(path), text, linked) for path, text, linked in leaf_blocks(page)]
 
 
-def sample_blocks(pages: DataFrame, max_pages: int, max_blocks: int = 60) -> list[list[Block]]:
-    """Block sequences of the pages with the smallest hashes; long texts shortened to 400 characters,
-    long pages to ``max_blocks`` blocks (a training sample only)."""
-    marked = pages.select("html", F.xxhash64("html").alias("mark"))
-    chosen = marked.select("mark").distinct().orderBy("mark").limit(max_pages)
+def sample_blocks(pages: DataFrame, max_pages: int, max_page_chars: int, max_chars: int) -> list[list[Block]]:
+    """Whole block sequences of at most ``max_pages`` pages of at most ``max_page_chars`` characters of
+    HTML, those with the smallest hashes, as far as they fit ``max_chars`` characters in all."""
+    size = F.length("html")
+    marked = pages.select("html", F.xxhash64("html").alias("mark"), size.alias("size")).where(size <= max_page_chars)
+    chosen = marked.groupBy("mark").agg(F.min("size").alias("size")).orderBy("mark").limit(max_pages).collect()
+    marks, left = [], max_chars
+    for r in chosen:
+        if r["size"] <= left:
+            marks.append((r["mark"],))
+            left -= r["size"]
+    spark = pages.sparkSession
     # at most ``max_pages`` hashes meet the pages, so pages are not shuffled; of copies one counts
-    some = marked.join(F.broadcast(chosen), "mark").groupBy("mark").agg(F.min("html").alias("html")).select("html")
+    some = marked.join(F.broadcast(spark.createDataFrame(marks, "mark long")), "mark")
+    some = some.groupBy("mark").agg(F.min("html").alias("html")).select("html")
 
     def run(batches):
         for batch in batches:
             for page in batch.column("html").to_pylist():
-                blocks = [(" ".join(p), t[:400], k) for p, t, k in page_blocks(page)]
-                if len(blocks) > max_blocks:
-                    blocks = blocks[: max_blocks // 2] + blocks[-(max_blocks // 2) :]
-                yield pa.RecordBatch.from_pylist([{"blocks": [{"path": p, "text": t, "linked": k} for p, t, k in blocks]}], schema=kind)
+                blocks = [{"path": " ".join(p), "text": t, "linked": k} for p, t, k in page_blocks(page)]
+                yield pa.RecordBatch.from_pylist([{"blocks": blocks}], schema=kind)
 
     kind = pa.schema([("blocks", pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("linked", pa.float64())])))])
     rows = some.mapInArrow(run, "blocks array<struct<path:string,text:string,linked:double>>").collect()
     return [[(tuple(b["path"].split()), b["text"], b["linked"]) for b in r["blocks"]] for r in rows]
 
 
-def train(pages: DataFrame, max_pages: int = 400, rearrangements: int = 2, epochs: int = 6, seed: int = 17) -> BlockLabeller:
+def train(
+    pages: DataFrame,
+    max_pages: int = 400,
+    rearrangements: int = 2,
+    epochs: int = 6,
+    seed: int = 17,
+    max_page_chars: int = 256 << 10,
+    max_chars: int = 16 << 20,
+) -> BlockLabeller:
     """The labeller for these pages."""
     rng = np.random.default_rng(seed)
-    sample = [blocks for blocks in sample_blocks(pages, max_pages) if blocks]
+    sample = [blocks for blocks in sample_blocks(pages, max_pages, max_page_chars, max_chars) if blocks]
     sample.sort(key=lambda blocks: [b[1] for b in blocks])
     others = [text for blocks in sample for _, text, _ in blocks]
     sequences, labels = [], []
@@ -162,7 +187,7 @@ def train(pages: DataFrame, max_pages: int = 400, rearrangements: int = 2, epoch
             sequences.append(blocks)
             labels.append(own)
         for _ in range(rearrangements):
-            new, y = rearranged((texts or [b[1] for b in blocks])[:30], others, rng)
+            new, y = rearranged(texts or [b[1] for b in blocks], others, rng)
             sequences.append(new)
             labels.append(y)
     model = BlockLabeller()

@@ -1,11 +1,14 @@
 import html
 import re
+import time
 
 import numpy as np
+import pytest
 
 from curvelab.llm import main_text
 from curvelab.llm.blocks import leaf_blocks
 from curvelab.llm.labeller import BlockLabeller, encode_page
+from tests.llm import layouts
 
 
 def article(page):
@@ -118,3 +121,103 @@ def test_context_decides():
     model.fit([encode_page(p) for p in pages], labels, epochs=12)
     got = model.label([encode_page([one, same, same]), encode_page([two, same, same]), encode_page([])])
     assert got[0][1:].min() > 0.8 and got[1][1:].max() < 0.2 and len(got[2]) == 0
+
+
+def said(page):
+    return [t for _, t, _ in leaf_blocks(page)]
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p>a</p><option>x<p>b long text</p>", ["a", "x", "b long text"]),
+        ("<div><select name=a><option>1</div><p>rest of the page</p>", ["rest of the page"]),
+        ("<p>a<select><option>1<optgroup><option>2</select>b</p>", ["ab"]),
+        ("<select><option>1<p>b</p>", ["b"]),
+        ("<p>a<datalist><option>1</datalist>b", ["ab"]),
+        ('<p class="x"">hello there</p>', ["hello there"]),
+        ("<p title=it's>hello</p>", ["hello"]),
+        ("<p title=it's>hello</p><p>world</p><p>don't</p>", ["hello", "world", "don't"]),
+        ("<p title='a>b' class = \"c'd\" e='f'g>hello</p>", ["hello"]),
+        ('<p title="x>hello</p><p>world</p>', ["hello", "world"]),
+        ('<p title="x>hello</p><p id="y">world</p>', ["world"]),  # the value runs to the next quote
+        ("a < b and <c", ["a < b and <c"]),
+        ("<!--><p>a</p><!-- <p>b --!>c<!-- d", ["a", "c"]),
+        ("</ x>a<? b>c<!d>e", ["ace"]),
+        ("<b><p>a</b>b</p>c", ["ab", "c"]),
+        ("<p>x &amp<b>lt;</b></p>", ["x &lt;"]),
+        ("<svg><foreignObject><p>x</p></foreignObject></svg><p>y", ["y"]),
+        ("<div><template><p>x</div><p>y</p></template>z</div>", ["z"]),
+        ("<script>a</script >b<SCRIPT>c</Script/>d<script>e", ["bd"]),
+    ],
+)
+def test_tags_as_browsers_read_them(page, texts):
+    assert said(page) == texts
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        ("<a ' " * 200_000, 1),
+        ("<a ' " * 200_000 + ">", 0),
+        ('<p a="' * 170_000, 1),
+        ('<p a="x>t ' * 100_000, 50_000),
+        ("<div>x" * 20_000, 20_000),
+        ("<div>" * 20_000 + "</p>" * 20_000 + "</div>" * 20_000, 0),
+        ("<dl><dd><div>" + "<b>" * 20_000 + "<dt>x</dt>" * 20_000, 20_000),
+        ("<" * 500_000 + ">", 1),
+        ("<svg>" * 100_000, 0),
+        ("<select><option>" * 60_000, 0),
+        ("<script></script " * 60_000, 1),
+    ],
+)
+def test_long_odd_pages(page, blocks):
+    start = time.process_time()
+    assert len(leaf_blocks(page)) == blocks
+    assert time.process_time() - start < 5
+
+
+def test_all_words_count():
+    """No word of a block is passed over, whatever its length."""
+    for n in (1, 47, 48, 960, 5000):
+        text = " ".join(f"w{i}" for i in range(n))
+        assert len(encode_page([(("p",), text, 0.0)])[1][0]) == n
+
+
+def test_batches_give_what_single_pages_give():
+    rng = np.random.default_rng(8)
+    pages = [[(("body", "p"), "word " * int(rng.integers(1, 9)), 0.0)] * int(rng.integers(0, 3000)) for _ in range(30)]
+    model, encoded = BlockLabeller(), [encode_page(p) for p in pages]
+    for page, got in zip(encoded, model.label(encoded)):
+        assert np.allclose(model.label([page])[0], got)
+
+
+def test_held_out_layouts(table):
+    """Twelve layouts that training does not hold, block by block against the text they were made from."""
+    rows = table("pages")
+    model = main_text.train(table("pages", "/root/testdata/sf0.1"))
+    blocks = [b for r in rows.collect() for b in main_text.page_blocks(r["html"])]
+    texts = sorted({t for p, t, _ in blocks if main_text.own_label(p) and len(t.split()) >= 8})
+    figures = {}
+    for name, page, want in layouts.pages(texts, 20, seed=1):
+        found = main_text.page_blocks(page)
+        labels = model.label([encode_page(found)])[0] >= 0.5
+        got, want = [t for (_, t, _), y in zip(found, labels) if y], want.split("\n")
+        right, n, m = figures.get(name, (0, 0, 0))
+        figures[name] = (right + sum(t in want for t in got), n + len(got), m + len(want))
+    precision = {k: right / n for k, (right, n, _) in figures.items()}
+    recall = {k: right / m for k, (right, _, m) in figures.items()}
+    print({k: (round(precision[k], 3), round(recall[k], 3)) for k in figures})
+    assert len(figures) == 12 and min(precision.values()) > 0.7 and min(recall.values()) > 0.4
+    assert np.mean([*precision.values()]) > 0.95 and np.mean([*recall.values()]) > 0.93
+
+
+def test_training_takes_whole_pages(spark):
+    """Pages are taken or left, never cut."""
+    small, large = "<p>" + "a " * 100, "<p>" + "b " * 1000
+    rows = spark.createDataFrame([(small,), (small,), (large,), (None,)], "html string")
+    read = lambda **k: sorted(len(b[0][1]) for b in main_text.sample_blocks(rows, **k))
+    assert read(max_pages=9, max_page_chars=5000, max_chars=9000) == [199, 1999]
+    assert read(max_pages=9, max_page_chars=1000, max_chars=9000) == [199]
+    assert read(max_pages=9, max_page_chars=5000, max_chars=300) == [199]
+    assert read(max_pages=9, max_page_chars=5, max_chars=300) == []
