@@ -82,11 +82,22 @@ def test_rotation_is_orthogonal_and_bits_are_balanced():
     assert np.abs(q.codes(x).mean(axis=0) - 0.5).max() < 0.15
 
 
-@pytest.mark.parametrize("n", [2, 1000, 10**6, 10**12])
-def test_table_plan_keeps_the_miss_bound(n):
-    width, tables = hamming.table_plan(n, 0.93, 1e-3)
-    agree = (1 - np.arccos(0.93) / np.pi) ** width
-    assert (1 - agree) ** tables <= 1e-3 and 8 <= width <= 20
+@pytest.mark.parametrize("n", [2, 1000, 10**6, 10**8])
+def test_plan_keeps_the_miss_bound(n):
+    """Pairs planted anew at the threshold meet in some table, however many vectors the plan is for."""
+    rng = np.random.default_rng(1)
+    x, direction = rng.normal(size=(2, 3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    plan = hamming.measured_plan(x[:1500], n, 0.93, 1e-3)
+    direction -= (x * direction).sum(axis=1, keepdims=True) * x
+    direction /= np.linalg.norm(direction, axis=1, keepdims=True)
+    y = 0.93 * x + np.sqrt(1 - 0.93**2) * direction
+    differ = plan.quantiser.codes(x) != plan.quantiser.codes(y)
+    strings = differ[:, : plan.width * plan.tables].reshape(len(x), plan.tables, plan.width)
+    assert strings.any(axis=2).all(axis=1).mean() <= 1e-2  # half of the vectors are outside the sample
+    assert (differ[:, : hamming.SKETCH].sum(axis=1) > plan.radius).mean() <= 2e-3
+    # wider strings for more vectors: what meets by chance grows slower than the table
+    assert n < 1000 or n * 2.0**-plan.width < 300
 
 
 @pytest.mark.parametrize("norm, n", [(0.83, 2000), (0.9, 500)])
@@ -111,3 +122,36 @@ def test_a_few_vectors(spark):
     a, b = [1.0, 0.0], [0.94, np.sqrt(1 - 0.94**2)]
     df = spark.createDataFrame([(1, a, 1, 0, ""), (2, [float(x) for x in b], 1, 0, "")], SCHEMA)
     assert [r["n_links"] for r in hamming.linked_vectors(df).collect()] == [1, 1]
+
+
+def near_copies(n, spread, seed=8):
+    rng = np.random.default_rng(seed)
+    center = rng.normal(size=64)
+    x = center / np.linalg.norm(center) + rng.normal(size=(n, 64)) * spread / 8
+    other = rng.normal(size=(n, 64))
+    return [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, other]))] + [(2 * n + i, v.tolist(), 2) for i, v in enumerate(x[: n // 3])]
+
+
+@pytest.mark.parametrize("spread", [0.12, 0.25])
+def test_groups_of_near_copies(spark, spread):
+    """Tight, middling and wide groups beside unrelated vectors, the same group under two labels."""
+    rows = near_copies(240, spread)
+    got = found(hamming.linked_vectors(spark.createDataFrame([(*r, 0, "") for r in rows], SCHEMA.replace("float", "double"))))
+    want = brute(rows)
+    assert [(i, c) for i, _, c in got] == [(i, c) for i, _, c in want]
+    assert sum(n for _, n, _ in got) >= 0.995 * sum(n for _, n, _ in want)
+    assert all(a <= b for (_, a, _), (_, b, _) in zip(got, want))
+
+
+def test_a_tight_group_is_not_listed(spark, monkeypatch):
+    """Candidate pairs of a group of near copies grow with its members, not with their square."""
+    listed = {}
+    for n in (200, 800):
+        seen = []
+        candidates = hamming._candidates
+        monkeypatch.setattr(hamming, "_candidates", lambda *a: seen.append(candidates(*a)) or seen[-1])
+        rows = near_copies(n, 0.1)
+        hamming.linked_vectors(spark.createDataFrame([(*r, 0, "") for r in rows], SCHEMA.replace("float", "double")))
+        listed[n] = seen[0].count()
+        monkeypatch.setattr(hamming, "_candidates", candidates)
+    assert listed[800] < 3 * 800
