@@ -7,14 +7,17 @@ or exchanged).
 *Pigeonhole.*  An item is cut into errors + 1 pieces.  A passage within that many edits
 leaves at least one piece untouched, so an exact search for all pieces of all items (one
 Aho-Corasick automaton) finds every passage.  *Verification.*  Around each hit Myers'
-bit-parallel algorithm computes the edit distance of the whole item to the best passage.
+bit-parallel algorithm computes the edit distance of the whole item to the best passage; the
+windows of an item that overlap are one window, so no character is compared twice with it.
 
 The error budget leaves pieces of at least ``piece_chars`` characters.  Items too short for
 two pieces must be met exactly, between word boundaries.
 
-The documents are read once for every ``group_chars`` characters of benchmark text: the
-items of a group, at most that many characters, travel with the tasks; a larger benchmark
-takes more passes, not more memory.
+The items are written to the shared folder as a table, dealt by hash to groups of about
+``group_chars`` characters and sorted by group.  The documents are read once: a task gathers
+rows up to ``buffer_bytes``, reads the items from the folder, and searches the gathered rows for one group
+after another.  A benchmark of one group stays in the task's memory.  The driver learns the number
+of characters only.
 
 Defined results: null or blank texts and items match nothing; repeated items match each;
 an item with a null id is reported with a null id; repeated documents give a row each; empty
@@ -23,14 +26,14 @@ tables give an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelab.llm.common import wide_input
-from curvelab.llm.pieces import small_batches
+from curvelab.llm.common import staged, wide_input
+from curvelab.operators.shared_rows import SharedRows, part_files
 
 MATCHES = "doc_id long, item_id long, distance int, match_end long, item_chars int"
 
@@ -110,71 +113,118 @@ class Finder:
         if self.empty or not text:
             return []
         best: dict[int, tuple[int, int]] = {}
-        tried: dict[int, list[tuple[int, int]]] = {}
+        windows: dict[int, list[list[int]]] = {}
         for last, (size, where) in self.search.iter(text):
             for k, at in where:
-                if best.get(k, (1,))[0] == 0:
-                    continue
-                n, budget = len(self.items[k][1]), self.budget[k]
-                start = last + 1 - size - at
-                lo, hi = max(0, start - budget), min(len(text), start + n + budget)
-                if hi - lo < n - budget:
+                if k in best:
                     continue
+                item, budget = self.items[k][1], self.budget[k]
+                n, start = len(item), last + 1 - size - at
+                if at == 0 and text.startswith(item, start):
+                    end = start + n
+                    ends = (start == 0 or not text[start - 1].isalnum()) and (end == len(text) or not text[end].isalnum())
+                    if budget or n >= 32 or ends:
+                        best[k] = (0, end)
+                        continue
                 if budget == 0:
-                    ends = (lo == 0 or not text[lo - 1].isalnum()) and (hi == len(text) or not text[hi].isalnum())
-                    if text[lo:hi] == self.items[k][1] and (n >= 32 or ends):
-                        best[k] = (0, hi)
                     continue
-                if any(a <= lo and hi <= b for a, b in tried.get(k, ())):
+                lo, hi = max(0, start - budget), min(len(text), start + n + budget)
+                if hi - lo < n - budget:
                     continue
-                if k not in self.myers:
-                    self.myers[k] = Myers(self.items[k][1])
-                distance, end = self.myers[k].best(text[lo:hi])
-                tried.setdefault(k, []).append((lo, hi))
-                if distance <= budget and distance < best.get(k, (budget + 1,))[0]:
+                found = windows.setdefault(k, [])
+                while found and found[-1][0] <= hi and lo <= found[-1][1]:
+                    before = found.pop()
+                    lo, hi = min(lo, before[0]), max(hi, before[1])
+                found.append([lo, hi])
+        for k, found in windows.items():
+            if k in best:
+                continue
+            if k not in self.myers:
+                self.myers[k] = Myers(self.items[k][1])
+            myers = self.myers[k]
+            for lo, hi in sorted(found):
+                distance, end = myers.best(text[lo:hi])
+                if distance <= self.budget[k] and distance < best.get(k, (distance + 1,))[0]:
                     best[k] = (distance, lo + end)
         return [(self.items[k][0], d, e, len(self.items[k][1])) for k, (d, e) in sorted(best.items())]
 
 
-_FINDERS: dict[tuple, Finder] = {}
-
-
-def _finder(items: list[tuple[int | None, str]], piece_chars: int) -> Finder:
-    """Built once per Python worker and group."""
-    key = (hash(tuple(items)), piece_chars)
-    if key not in _FINDERS:
-        _FINDERS.clear()
-        _FINDERS[key] = Finder(items, piece_chars)
-    return _FINDERS[key]
-
-
-def item_groups(benchmark: DataFrame, group_chars: int) -> list[list[tuple[int | None, str]]]:
-    """The items in groups of at most ``group_chars`` characters (a longer item is a group alone)."""
-    groups, size = [], group_chars
-    rows = benchmark.where(F.length(F.trim("text")) > 0).select("item_id", "text").distinct()
-    for row in rows.orderBy("item_id", "text").toLocalIterator():
-        if size + len(row["text"]) > group_chars:
-            groups.append([])
-            size = 0
-        groups[-1].append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    return groups
-
-
-def find_passages(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20) -> DataFrame:
+class Items:
+    """The written items, group after group; the finder of a single group is kept by the Python worker."""
+
+    kept: dict[tuple, Finder] = {}
+
+    def __init__(self, files: list[str], groups: int, piece_chars: int):
+        self.files, self.groups, self.piece_chars = files, groups, piece_chars
+
+    def finders(self) -> Iterator[Finder]:
+        key = (tuple(self.files), self.piece_chars)
+        if key in Items.kept:
+            yield Items.kept[key]
+            return
+        group, items = None, []
+        for batch in SharedRows(self.files, ["item_id", "text", "item_group"], 1024, keep_bytes=0):
+            for item, text, g in zip(*(batch.column(c).to_pylist() for c in ("item_id", "text", "item_group"))):
+                if items and g != group:
+                    yield Finder(items, self.piece_chars)
+                    items = []
+                group = g
+                items.append((item, text))
+        if items:
+            finder = Finder(items, self.piece_chars)
+            if self.groups == 1:
+                Items.kept.clear()
+                Items.kept[key] = finder
+            yield finder
+
+
+def written_items(benchmark: DataFrame, group_chars: int, piece_chars: int) -> Items | None:
+    """The distinct items that are not blank, in groups of about ``group_chars`` characters (None without any)."""
+    rows = benchmark.select("item_id", "text").where(F.length(F.trim("text")) > 0).distinct()
+    chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0]
+    if not chars:
+        return None
+    groups = -(-chars // group_chars)
+    dealt = rows.withColumn("item_group", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
+    # files in order of their groups
+    parts = max(1, min(groups, -(-chars // (64 << 20))))
+    ordered = dealt.repartitionByRange(parts, "item_group").sortWithinPartitions("item_group", "item_id", "text")
+    return Items(part_files(staged(ordered, "items")), groups, piece_chars)
+
+
+def _gathered(batches, budget: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches together, of about ``budget`` bytes."""
+    some, size = [], 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        some.append(batch)
+        size += batch.nbytes
+        if size >= budget:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def find_passages(
+    docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20, buffer_bytes: int = 32 << 20
+) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, distance (edits of the
     best passage), match_end (where it ends in the plain text), item_chars."""
     slim = wide_input(docs, "doc_id", "text")
-    found = []
-    for items in item_groups(benchmark, group_chars):
+    items = written_items(benchmark, group_chars, piece_chars)
+    if items is None:
+        return slim.sparkSession.createDataFrame([], MATCHES)
 
-        def run(batches, items=items):
-            finder = _finder(items, piece_chars)
-            for batch in small_batches(batches, "text"):
+    def run(batches):
+        for some in _gathered(batches, buffer_bytes):
+            for finder in items.finders():
                 out = [
                     (doc, item, distance, end, n)
-                    for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-                    for item, distance, end, n in finder.matches(plain(text))
+                    for batch in some
+                    for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"))
+                    for item, distance, end, n in finder.matches(plain(text.as_py()))
                 ]
                 columns = list(zip(*out)) or [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
@@ -183,22 +233,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12,
                     names=["doc_id", "item_id", "distance", "match_end", "item_chars"],
                 )
 
-        found.append(slim.mapInArrow(run, MATCHES))
-    if not found:
-        return slim.sparkSession.createDataFrame([], MATCHES)
-    return reduce(DataFrame.union, found)
+    return slim.mapInArrow(run, MATCHES)
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20) -> DataFrame:
+def keep_uncontaminated(
+    docs: DataFrame, benchmark: DataFrame, piece_chars: int = 12, group_chars: int = 4 << 20, buffer_bytes: int = 32 << 20
+) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
-    names, schema = docs.columns, docs.schema
-    for items in item_groups(benchmark, group_chars):
-
-        def run(batches, items=items):
-            finder = _finder(items, piece_chars)
-            for batch in small_batches(batches, "text"):
-                clean = [not finder.matches(plain(t)) for t in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(clean, pa.bool_())).select(names)
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    items = written_items(benchmark, group_chars, piece_chars)
+    if items is None:
+        return docs
+    names = docs.columns
+
+    def run(batches):
+        for some in _gathered(batches, buffer_bytes):
+            for finder in items.finders():
+                clean = [[not finder.matches(plain(t.as_py())) for t in batch.column("text")] for batch in some]
+                some = [batch.filter(pa.array(c, pa.bool_())) for batch, c in zip(some, clean)]
+            yield from (batch.select(names) for batch in some)
+
+    return docs.mapInArrow(run, docs.schema)

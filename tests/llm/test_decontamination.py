@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -89,3 +90,26 @@ def test_pieces_cover_the_item(parts):
     item = "a benchmark item of some length"
     assert "".join(p for _, p in D.cut(item, parts)) == item
     assert all(item[a : a + len(p)] == p for a, p in D.cut(item, parts))
+
+
+def test_one_pass_however_many_groups(spark, table):
+    """One Python pass over the documents, and no text of the benchmark in the plan or on the driver."""
+    docs, items = table("documents"), table("benchmark")
+    kept = D.keep_uncontaminated(docs, items, group_chars=400)
+    assert D.written_items(items, 400, 12).groups > 5
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    want = {r["doc_id"] for r in D.keep_uncontaminated(docs, items).collect()}
+    assert {r["doc_id"] for r in kept.collect()} == want
+    assert {r["doc_id"] for r in D.keep_uncontaminated(docs, items, group_chars=400, buffer_bytes=1).collect()} == want
+
+
+def test_a_repeated_piece_is_compared_once():
+    """A text that repeats a piece of a long item: one comparison a character, not one a hit."""
+    item = " ".join(f"word{i}" for i in range(70))
+    finder = D.Finder([(1, item)], 12)
+    text = (item[100:130] + " and ") * 6000
+    start = time.process_time()
+    assert finder.matches(text) == []
+    assert time.process_time() - start < 5
+    assert finder.matches(text + item[:200] + item[203:])[0][:2] == (1, 3)
