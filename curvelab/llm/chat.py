@@ -15,9 +15,11 @@ large as its text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvelab.llm.common import staged
+
 HEAD, TAIL = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -73,22 +75,45 @@ def format_preferences(pairs: DataFrame, key: str = "pair_id", chosen: str = "ch
     )
 
 
-def neighbour_pairs(conversations: DataFrame) -> DataFrame:
-    """Preference pairs (pair_id, chosen, rejected) out of plain conversations.
-
-    Chosen is a conversation up to its last assistant turn; rejected is the same with that answer
-    exchanged for the last answer of its neighbour (conv_id with the lowest bit flipped), an answer
-    to something else.  Conversations without an assistant turn, or whose neighbour has none,
-    have no pair."""
-    turns = turns_of(conversations)
-    said = F.transform("turns", lambda t: t["role"] == "assistant")
-    last = F.size("turns") + 1 - F.array_position(F.reverse(said), True).cast("int")
-    ended = turns.withColumn("last", last).where(F.array_contains(said, True)).select(
-        "conv_id", F.slice("turns", F.lit(1), F.col("last")).alias("chosen"), F.element_at("turns", F.col("last")).alias("answer")
-    )
-    other = ended.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("answer").alias("other"))
-    return ended.join(other, "conv_id").select(
+def answered(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turns up to the last assistant turn, spots: places of the assistant turns) of the
+    conversations that have one."""
+    said = F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1))
+    spots = turns_of(conversations).withColumn("spots", F.filter(said, lambda i: i.isNotNull())).where(F.size("spots") > 0)
+    return spots.select("conv_id", F.slice("turns", F.lit(1), F.element_at("spots", -1)).alias("turns"), "spots")
+
+
+def followers(ids: DataFrame) -> DataFrame:
+    """(conv_id, follower): the next larger conv_id, the smallest for the largest; none for an only one.
+
+    The ids are dealt by ranges; inside a range the next one is a window's, and the last of a range
+    is followed by the first of the next (one row a range)."""
+    ranged = staged(ids.repartitionByRange("conv_id").select("conv_id", F.spark_partition_id().alias("range")), "ranges")
+    heads = ranged.groupBy("range").agg(F.min("conv_id").alias("head"))
+    after = F.lead("head").over(Window.orderBy("range"))
+    heads = heads.select("range", F.coalesce(after, F.min("head").over(Window.partitionBy())).alias("after"))
+    inside = F.lead("conv_id").over(Window.partitionBy("range").orderBy("conv_id"))
+    followed = ranged.withColumn("inside", inside).join(heads, "range")
+    return followed.select("conv_id", F.coalesce("inside", "after").alias("follower")).where("follower <> conv_id")
+
+
+def following_pairs(conversations: DataFrame) -> DataFrame:
+    """Preference pairs (pair_id, chosen, rejected) out of plain conversations, one for each that has an
+    assistant turn, as long as two have.
+
+    Chosen is a conversation up to its last assistant turn.  Rejected parts from it at its assistant turn
+    number ``conv_id mod their count`` and goes on as the next answered conversation (by conv_id; the
+    first after the last) does from its assistant turn of that number, or its last: an answer to something else.
+    Conversations without an assistant turn have no pair."""
+    ended = staged(answered(conversations), "answered")
+    place = F.pmod("conv_id", F.size("spots")).cast("int")
+    mine = ended.join(followers(ended.select("conv_id")), "conv_id").withColumn("place", place)
+    other = ended.select(F.col("conv_id").alias("follower"), F.col("turns").alias("others"), F.col("spots").alias("other_spots"))
+    start = F.element_at("other_spots", F.least(F.col("place"), F.size("other_spots") - 1) + 1)
+    return mine.join(other, "follower").select(
         F.col("conv_id").alias("pair_id"),
-        "chosen",
-        F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array("other")).alias("rejected"),
+        F.col("turns").alias("chosen"),
+        F.concat(
+            F.slice("turns", F.lit(1), F.element_at("spots", F.col("place") + 1) - 1), F.slice("others", start, F.size("others"))
+        ).alias("rejected"),
     )

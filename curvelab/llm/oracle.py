@@ -44,13 +44,15 @@ WITH turns AS (
   SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
     ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
-), marked AS (
-  SELECT conv_id, t, list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')) AS last FROM turns
+), spotted AS (
+  SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS s FROM turns
 ), ended AS (
-  SELECT conv_id, t[1:last] AS c, t[last] AS answer FROM marked WHERE last IS NOT NULL
+  SELECT conv_id, t[1:list_max(s)] AS c, s, ((conv_id % len(s)) + len(s)) % len(s) AS place,
+    coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS follower
+  FROM spotted WHERE len(s) > 0
 ), pairs AS (
-  SELECT e.conv_id, e.c AS a, list_append(e.c[1:len(e.c) - 1], o.answer) AS b
-  FROM ended e JOIN ended o ON o.conv_id = xor(e.conv_id, 1)
+  SELECT e.conv_id, e.c AS a, list_concat(e.c[1:e.s[e.place + 1] - 1], o.c[o.s[least(e.place, len(o.s) - 1) + 1]:]) AS b
+  FROM ended e JOIN ended o ON o.conv_id = e.follower AND o.conv_id <> e.conv_id
 ), split AS (
   SELECT conv_id, a, b, coalesce(list_min(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] <> b[i])) - 1,
     least(len(a), len(b))) AS n

@@ -65,7 +65,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_preferences(chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
+    return chat.format_preferences(chat.following_pairs(table(spark, sf_dir, "conversations")))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,18 +29,22 @@ def test_whole_table(spark, small):
     for c, turns in by.items():
         said = [i for i, (role, _) in enumerate(turns) if role == "assistant"]
         if said:
-            ended[c] = turns[: said[-1] + 1]
+            ended[c] = turns[: said[-1] + 1], said
     want = {}
-    for c, turns in ended.items():
-        if c ^ 1 in ended:
-            other = turns[:-1] + [ended[c ^ 1][-1]]
-            n = next((i for i, (x, y) in enumerate(zip(turns, other)) if x != y), len(turns))
-            want[c] = (n, render(turns[:n]), render(turns[n:]), render(other[n:]))
-    got = chat.format_preferences(chat.neighbour_pairs(conversations)).collect()
+    order = sorted(ended)
+    for c, follower in zip(order, [*order[1:], order[0]]):
+        (turns, said), (others, other_said) = ended[c], ended[follower]
+        place = c % len(said)
+        other = turns[: said[place]] + others[other_said[min(place, len(other_said) - 1)] :]
+        n = next((i for i, (x, y) in enumerate(zip(turns, other)) if x != y), min(len(turns), len(other)))
+        want[c] = (n, render(turns[:n]), render(turns[n:]), render(other[n:]))
+    assert len(want) == len(ended) and len({n - len(ended[c][0]) for c, (n, *_) in want.items()}) > 2  # they part at many turns
+    got = chat.format_preferences(chat.following_pairs(conversations)).collect()
     assert {r["pair_id"]: (r["n_prompt_turns"], r["prompt"], r["chosen"], r["rejected"]) for r in got} == want
+    trained = lambda turns: "".join(f"{t}<|im_end|>\n" for role, t in turns if role == "assistant")
     for r in got:
-        if r["chosen"]:
-            assert apply_mask(r["chosen"], r["chosen_mask"]) == r["chosen"].split("\n", 1)[1]
+        assert apply_mask(r["chosen"], r["chosen_mask"]) == trained(ended[r["pair_id"]][0][r["n_prompt_turns"] :])
+        apply_mask(r["rejected"], r["rejected_mask"])
 
 
 def test_pairs_of_unlike_length(spark):
@@ -68,14 +72,24 @@ def test_edges(spark):
         (None, 0, "assistant", "n"), (4, 1, "assistant", "b"), (4, 1, "assistant", "a"), (5, 0, "assistant", "b"), (5, 0, "assistant", "b"),
     ]
     df = table(spark, rows)
-    got = {r["pair_id"]: r for r in chat.format_preferences(chat.neighbour_pairs(df)).collect()}
-    assert set(got) == {0, 1, 4, 5}
+    got = {r["pair_id"]: r for r in chat.format_preferences(chat.following_pairs(df)).collect()}
+    assert set(got) == {0, 1, 3, 4, 5}  # 2 has no answer; 5 is followed by 0
     assert got[0]["prompt"] == render([("user", ""), ("", "x")]) and got[0]["rejected"] == render([("assistant", "é" * 50_000)])
-    assert got[4]["n_prompt_turns"] == 2 and got[4]["chosen"] == ""  # the same answer: all is prompt
-    assert chat.format_preferences(chat.neighbour_pairs(df.where("false"))).count() == 0
+    assert got[1]["rejected"] == render([("assistant", "z")]) and got[1]["n_prompt_turns"] == 0
+    assert got[4]["n_prompt_turns"] == 0 and got[4]["chosen"] == render([("assistant", "a"), ("assistant", "b")])
+    assert got[5]["n_prompt_turns"] == 1 and got[5]["rejected"] == render([("assistant", "y")])
+    assert chat.format_preferences(chat.following_pairs(df.where("false"))).count() == 0
+    assert chat.following_pairs(df.where("conv_id = 1")).count() == 0  # nothing to pair it with
+
+
+def test_followers(spark):
+    for ids in ([], [7], [3, -5, 10, 2**40], list(range(0, 3000, 7))):
+        got = {r["conv_id"]: r["follower"] for r in chat.followers(spark.createDataFrame([(i,) for i in ids], "conv_id long")).collect()}
+        order = sorted(ids)
+        assert got == {a: b for a, b in zip(order, [*order[1:], *order[:1]]) if a != b}
 
 
 def test_no_python_in_the_plan(spark, small):
-    df = chat.format_preferences(chat.neighbour_pairs(spark.read.parquet(f"{small}/conversations.parquet")))
+    df = chat.format_preferences(chat.following_pairs(spark.read.parquet(f"{small}/conversations.parquet")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
