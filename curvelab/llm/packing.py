@@ -2,13 +2,16 @@
 
 1.  Each document is tokenized once and cut at multiples of ``capacity``: pieces of
     ``capacity`` ids and one shorter tail.  Pieces are written with their ids, a length
-    class (length rounded up to ``grain``) and their rank among the class's pieces of the
-    same partition.
-2.  Pieces per class are counted: at most ``capacity / grain`` numbers, whatever the input.
-    ``cutting_stock.plan`` turns this histogram into patterns and how often to use them.
+    class (the length itself up to ``capacity / grain``, beyond that rounded up to ``grain``) and
+    their rank among the class's pieces of the same partition.
+2.  Pieces per class are counted: at most ``capacity / grain`` numbers of either kind, whatever the
+    input.  Short pieces of one length go in bundles that fill whole grains (``grain`` pieces of an
+    odd length), so a corpus of very short documents loses nothing by rounding; what is left of a
+    length, less than a bundle, is rounded up.  ``cutting_stock.plan`` turns the histogram of
+    bundles and pieces by grains into patterns and how often to use them.
 3.  Ranked pieces take the patterns' places: base rank of the partition in the class
-    (prefix sums over (class, partition) counts) plus own rank is the piece's rank; the
-    plan gives each rank of a class its sequence and its slot.
+    (prefix sums over (class, partition) counts) plus own rank is the piece's rank; it gives the
+    bundle, and the plan gives each bundle or piece its sequence and its slot.
 4.  Inside a sequence (at most ``capacity`` pieces) slots are laid end to end.
 
 Only the metadata of pieces is shuffled, never their ids; no step needs a class, however
@@ -21,6 +24,8 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,7 +49,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, g
         encoder = pieces(tokenizer)
         kind = np.dtype("<u2") if encoder.vocabulary_size <= 1 << 16 else np.dtype("<u4")
         part = TaskContext.get().partitionId()
-        used = np.zeros(-(-capacity // grain) + 1, np.int64)
+        used = np.zeros(capacity + 1, np.int64)
         done = 0
         for batch in small_batches(batches, "text", 1 << 20):
             ids, offsets = encoder.encode(batch.column("text"), end_id)
@@ -55,7 +60,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, g
             number = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
             start = number * capacity
             length = np.minimum(capacity, tokens[row] - start)
-            size = -(-length // grain)
+            size = np.where(length <= capacity // grain, length, -(-length // grain) * grain)
             rank = np.empty(total, np.int64)
             order = np.argsort(size, kind="stable")
             values, first, each = np.unique(size[order], return_index=True, return_counts=True)
@@ -84,20 +89,39 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, g
     return wide_input(docs, "doc_id", "text").mapInArrow(run, PIECES)
 
 
-def _places(spark, patterns: list[tuple[dict[int, int], int]]) -> DataFrame:
-    """Rows (size, from_rank, to_rank, sequence, per, slot): a piece of this size whose rank lies in
-    the range goes to ``sequence + (rank - from_rank) div per``.  As many rows as the patterns have
+def bundles(demand: dict[int, int], capacity: int, grain: int) -> tuple[list[tuple], dict[int, int]]:
+    """(ranges of ranks, units by grains).  A range is (size, from_rank, to_rank, grains, each, from_unit): every
+    ``each`` pieces of this size from the rank on are one unit of so many grains, numbered from
+    ``from_unit`` among the units of these grains."""
+    ranges, units = [], {}
+
+    def add(size: int, begin: int, end: int, grains: int, each: int) -> None:
+        if end > begin:
+            ranges.append((size, begin, end, grains, each, units.get(grains, 0)))
+            units[grains] = units.get(grains, 0) + (end - begin) // each
+
+    for size, n in sorted(demand.items()):
+        each = grain // math.gcd(size, grain) if size <= capacity // grain else 1
+        whole = n - n % each
+        add(size, 0, whole, size * each // grain, each)
+        add(size, whole, n, -(-size // grain), 1)
+    return ranges, units
+
+
+def _places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple]:
+    """(grains, from_unit, to_unit, sequence, per, slot): a unit of these grains whose number lies in
+    the range goes to ``sequence + (unit - from_unit) div per``.  As many rows as the patterns have
     sizes, so at most a few thousand."""
     rows, taken, sequence = [], {}, 0
     for counts, times in patterns:
         slot = 0
-        for size, per in sorted(counts.items(), reverse=True):
-            begin = taken.get(size, 0)
-            taken[size] = begin + per * times
-            rows.append((size, begin, taken[size], sequence, per, slot))
+        for grains, per in sorted(counts.items(), reverse=True):
+            begin = taken.get(grains, 0)
+            taken[grains] = begin + per * times
+            rows.append((grains, begin, taken[grains], sequence, per, slot))
             slot += per
         sequence += times
-    return spark.createDataFrame(rows, "size int, from_rank long, to_rank long, sequence long, per long, slot long")
+    return rows
 
 
 def place_pieces(cut: DataFrame, capacity: int, grain: int) -> DataFrame:
@@ -105,7 +129,13 @@ def place_pieces(cut: DataFrame, capacity: int, grain: int) -> DataFrame:
     spark = cut.sparkSession
     counts = staged(cut.groupBy("part", "size").agg(F.count("*").alias("n")), "piece_counts")
     demand = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}
-    places = _places(spark, plan(demand, capacity // grain))
+    ranges, units = bundles(demand, capacity, grain)
+    ranges = spark.createDataFrame(
+        ranges, "range_size int, from_rank long, to_rank long, grains int, each long, from_unit long"
+    )
+    places = spark.createDataFrame(
+        _places(plan(units, capacity // grain)), "place_grains int, first long, last long, sequence long, per long, place long"
+    )
     before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "size", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = (
@@ -114,17 +144,18 @@ def place_pieces(cut: DataFrame, capacity: int, grain: int) -> DataFrame:
         .withColumn("rank", F.col("base") + F.col("rank"))
         .drop("base")
     )
-    sized = places.withColumnRenamed("size", "place_size")
-    fits = (F.col("size") == F.col("place_size")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
-    put = ranked.join(F.broadcast(sized), fits).select(
+    of_rank = (F.col("size") == F.col("range_size")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
+    bundled = ranked.join(F.broadcast(ranges), of_rank).withColumn("unit", F.expr("from_unit + (rank - from_rank) div each"))
+    fits = (F.col("grains") == F.col("place_grains")) & (F.col("unit") >= F.col("first")) & (F.col("unit") < F.col("last"))
+    put = bundled.join(F.broadcast(places), fits).select(
         "part",
         "piece",
         "doc_id",
         "start",
         "length",
         "doc_tokens",
-        (F.col("sequence") + F.expr("(rank - from_rank) div per")).alias("sequence_id"),
-        (F.col("slot") + F.expr("(rank - from_rank) % per")).alias("slot"),
+        (F.col("sequence") + F.expr("(unit - first) div per")).alias("sequence_id"),
+        F.struct((F.col("place") + F.expr("(unit - first) % per")), F.expr("(rank - from_rank) % each")).alias("slot"),
     )
     inside = Window.partitionBy("sequence_id")
     earlier = inside.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -145,7 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
     """(pieces with ids, placed pieces), both keyed by (part, piece).
 
     ``capacity`` must be a multiple of ``grain``.  Rounding up to ``grain`` costs half a grain
-    a piece on average."""
+    a piece on average, and only pieces longer than ``capacity / grain``."""
     if capacity % grain:
         raise ValueError("capacity must be a multiple of grain")
     cut = staged(cut_documents(docs, tokenizer, end_id, capacity, grain), "pieces")

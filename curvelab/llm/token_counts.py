@@ -98,7 +98,7 @@ def chunked_frequencies(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> Da
     return wide_input(docs, "doc_id", "text").mapInArrow(run, CHUNKS)
 
 
-def pieces_of_units(units: DataFrame, tokenizer: str) -> DataFrame:
+def pieces_of_units(units: DataFrame, tokenizer: str, tasks: int) -> DataFrame:
     """Step 2: (chunk, code, pieces) of (chunk, code, unit), each distinct unit counted in one task."""
 
     def run(batches):
@@ -113,14 +113,19 @@ def pieces_of_units(units: DataFrame, tokenizer: str) -> DataFrame:
                     names=["chunk", "code", "pieces"],
                 )
 
-    return units.repartition("unit").mapInArrow(run, "chunk long, code int, pieces int")
+    return units.repartition(tasks, "unit").mapInArrow(run, "chunk long, code int, pieces int")
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, chunk_bytes: int = 16 << 20) -> DataFrame:
-    """doc_id, n_bytes, n_tokens for every row of ``docs`` (doc_id, text)."""
+def count_tokens(docs: DataFrame, tokenizer: str, chunk_bytes: int = 16 << 20, task_bytes: int = 32 << 20) -> DataFrame:
+    """doc_id, n_bytes, n_tokens for every row of ``docs`` (doc_id, text).  The chunks' pre-tokens are dealt
+    to tasks of about ``task_bytes``, however many there are."""
     chunks = staged(chunked_frequencies(docs, tokenizer, chunk_bytes), "frequencies")
     units = chunks.select("chunk", F.posexplode("units").alias("code", "unit"))
-    counted = pieces_of_units(units, tokenizer)
+    # a pre-token comes with two numbers and the overhead of a row
+    size = F.aggregate("units", F.lit(0).cast("long"), lambda a, u: a + F.octet_length(u) + 40)
+    total_bytes = chunks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    tasks = max(chunks.sparkSession.sparkContext.defaultParallelism, -(-total_bytes // task_bytes))
+    counted = pieces_of_units(units, tokenizer, tasks)
     per_chunk = counted.groupBy("chunk").agg(F.collect_list("code").alias("code"), F.collect_list("pieces").alias("pieces"))
     # a chunk of empty texts has no units
     both = chunks.drop("units").join(per_chunk, "chunk", "left")

@@ -14,7 +14,7 @@ read back memory-mapped (in stores without a file path, by plain reads).
 The folder must be one that all executors reach; paths go through ``pyarrow.fs``.
 
 Defined results: null text is an empty text, which still has its end id; ties in doc_id
-(repeated rows) are ordered by text; null doc_ids come first; an empty table gives no
+are ordered by a hash of the text; null doc_ids come first; an empty table gives no
 files and an empty result; other columns are ignored.
 """
 

@@ -139,6 +139,25 @@ def test_packing(table):
     assert tokens > 0.95 * 4096 * sequences
 
 
+@pytest.mark.parametrize("words", [1, 2, 6, 16])
+def test_short_documents_fill_their_sequences(spark, words):
+    """A corpus of documents of a few ids: 95 % of the places are filled, the last sequence apart."""
+    docs = spark.createDataFrame([(i, " ".join(["the"] * words)) for i in range(20_000 // words)], "doc_id long, text string")
+    _, placed = packing.pack(docs, WORD, 2)
+    tokens, sequences = placed.agg({"length": "sum"}).first()[0], placed.select("sequence_id").distinct().count()
+    assert sequences <= -(-tokens // int(0.95 * 4096)), (tokens, sequences)
+
+
+def test_bundles():
+    ranges, units = packing.bundles({2: 21, 5: 40, 16: 3, 256: 2, 272: 7, 4096: 1}, 4096, 16)
+    assert units == {1: 2 + 5 + 3 + 8, 5: 2, 16: 2, 17: 7, 256: 1}
+    covered = {}
+    for size, begin, end, grains, each, _ in ranges:
+        assert begin == covered.get(size, 0) and (end - begin) % each == 0 and each * size <= 16 * grains
+        covered[size] = end
+    assert covered == {2: 21, 5: 40, 16: 3, 256: 2, 272: 7, 4096: 1}
+
+
 def test_packing_edges(edge_docs, no_docs):
     check_packing(edge_docs, 64, 4)
     cut, placed = packing.pack(no_docs, WORD)
