@@ -332,7 +332,19 @@ def near_duplicates(
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each near-duplicate group does."""
-    groups = near_duplicates(docs, **options)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` that stay when one row of each near-duplicate group does: the one of the
+    smallest doc_id (null behind all others); of repeated rows any one.  Every row counts as a document
+    of its own here, also one that shares its doc_id or has none."""
+    row = "row"
+    while any(c.lower() == row for c in docs.columns):
+        row = "_" + row
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), **options)
+    groups = groups.select(F.col("doc_id").alias("member"), "component_id")
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    groups = groups.join(several.select("component_id"), "component_id")
+    ids = rows.select(F.col(row).alias("member"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("member")).alias("order"))
+    groups = staged(groups.join(ids, "member"), "groups")
+    first = groups.groupBy("component_id").agg(F.min("order").alias("first"))
+    gone = groups.join(first, "component_id").where(F.col("member") != F.col("first.member"))
+    return rows.join(gone.select(F.col("member").alias(row)), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

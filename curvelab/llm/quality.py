@@ -126,17 +126,20 @@ def text_statistics(texts: pa.Array, run_words: int = 5) -> np.ndarray:
     return np.stack([out[s] for s in STATISTICS], axis=1)
 
 
-def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and one double column ``stat_<name>`` per statistic."""
+PREFIX = "stat_"
+
+
+def with_statistics(docs: DataFrame, keep: list[str], prefix: str = PREFIX) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and one double column ``<prefix><name>`` per statistic."""
     kept = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [f"stat_{s} double" for s in STATISTICS])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [f"`{prefix}{s}` double" for s in STATISTICS])
 
     def run(batches):
         for batch in small_batches(batches, "text"):
             values = text_statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + [pa.array(values[:, i]) for i in range(len(STATISTICS))],
-                names=keep + [f"stat_{s}" for s in STATISTICS],
+                names=keep + [prefix + s for s in STATISTICS],
             )
 
     return kept.mapInArrow(run, schema)
@@ -221,13 +224,13 @@ class RuleEnsemble:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.intercept + rule_matrix(x, self.rules) @ np.array(self.weights))))
 
-    def column(self) -> Column:
-        """The score as a Spark expression over the ``stat_`` columns."""
+    def column(self, prefix: str = PREFIX) -> Column:
+        """The score as a Spark expression over the columns of ``with_statistics``."""
         z = F.lit(float(self.intercept))
         for rule, weight in zip(self.rules, self.weights):
             test = None
             for j, above, limit in rule:
-                value = F.col(f"stat_{STATISTICS[j]}")
+                value = F.col(f"`{prefix}{STATISTICS[j]}`")
                 part = value > F.lit(limit) if above else value <= F.lit(limit)
                 test = part if test is None else test & part
             z = z + F.when(test, F.lit(float(weight))).otherwise(F.lit(0.0))
@@ -271,4 +274,8 @@ def score(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, limit: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score at least ``limit``, with their columns."""
-    return with_statistics(docs, docs.columns).where(model.column() >= limit).select(*docs.columns)
+    prefix = PREFIX
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    kept = with_statistics(docs, docs.columns, prefix).where(model.column(prefix) >= limit)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -115,3 +115,55 @@ def test_statistics():
     repeated = dict(zip(quality.STATISTICS, quality.text_statistics(pa.array(["a b c d e f\n" * 4]))[0]))
     assert repeated["repeated_line_share"] == pytest.approx(3 / 4) and repeated["repeated_run_share"] > 0.6
     assert not quality.text_statistics(pa.array([None, ""], pa.string())).any()
+
+
+def test_columns_that_clash_with_the_statistics(spark):
+    docs = spark.createDataFrame([(1, "some words here", 2.0, 3)], "doc_id long, text string, stat_n_bytes double, STAT_x int")
+    model = quality.RuleEnsemble([((0, True, 3.0),)], [2.0], 1.0)
+    assert [tuple(r) for r in quality.keep_good(docs, model).collect()] == [(1, "some words here", 2.0, 3)]
+    assert quality.keep_good(docs, quality.RuleEnsemble([], [], -5.0)).count() == 0
+
+
+def test_toxicity_fit_is_the_optimum():
+    """At the fitted weights the gradient, worked out by plain loops over the rows, is zero."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(9)]
+    rows = []
+    for _ in range(60):
+        codes = sorted(int(c) for c in rng.choice(9, 3, replace=False))
+        y = int(rng.random() < (0.8 if 0 in codes else 0.3))
+        pairs = [(f"w{codes[0]}", f"w{(codes[0] + 1) % 9} other")] if rng.random() < 0.5 else []
+        rows.append((y, codes, [p[0] for p in pairs], [p[1] for p in pairs]))
+    ridge, weight = 1e-2, 0.7
+    model = toxicity.fit(rows, words, ridge=ridge, counterfactual=weight, steps=4000)
+    w, n = model.weights, len(rows)
+    gradient, at_intercept = ridge * w, 0.0
+    for y, codes, _, _ in rows:
+        p = 1 / (1 + np.exp(-(model.intercept + sum(w[c] for c in codes))))
+        at_intercept += (p - y) / n
+        for c in codes:
+            gradient[c] += (p - y) / n
+    swaps = [(g.split(), c.split()) for _, _, gone, come in rows for g, c in zip(gone, come)]
+    for gone, come in swaps:
+        change = {k: gone.count(v) - come.count(v) for k, v in enumerate(words)}
+        gap = sum(w[k] * d for k, d in change.items())
+        for k, d in change.items():
+            gradient[k] += weight * gap * d / len(swaps)
+    assert len(swaps) > 10 and np.abs(w).max() > 0.3
+    assert np.abs(gradient).max() < 1e-4 and abs(at_intercept) < 1e-4
+
+
+def test_rule_weights_are_the_lasso_optimum():
+    """Conditions of the L1-penalised optimum, by plain loops: where a weight is not zero the gradient is
+    the penalty against its sign, elsewhere it is at most the penalty."""
+    rng = np.random.default_rng(6)
+    m = (rng.random((80, 12)) < 0.4).astype(float)
+    y = (rng.random(80) < 1 / (1 + np.exp(-(2 * m[:, 0] - 1.5 * m[:, 1])))).astype(float)
+    penalty = 0.02
+    w, b = quality.lasso_logistic(m, y, penalty, steps=5000)
+    p = [1 / (1 + np.exp(-(b + sum(w[j] * m[i, j] for j in range(12))))) for i in range(80)]
+    assert abs(sum(p[i] - y[i] for i in range(80)) / 80) < 1e-5
+    for j in range(12):
+        g = sum((p[i] - y[i]) * m[i, j] for i in range(80)) / 80
+        assert abs(g + penalty * np.sign(w[j])) < 1e-5 if w[j] else abs(g) <= penalty + 1e-5
+    assert 0 < np.count_nonzero(w) < 12

@@ -84,6 +84,16 @@ def test_keep_one_of_each(edge_docs, spark):
     assert minhash.keep_one_of_each(edge_docs).columns == edge_docs.columns
 
 
+def test_one_row_of_each_group(spark):
+    """Rows that share a doc_id or have none are rows like others: of each group one stays."""
+    a, b = "a b c d e f g h", "other words here now yes indeed so"
+    rows = [(5, a, 1), (5, a, 2), (None, a, 3), (None, a, 4), (5, b, 5), (None, b, 6), (None, "", 7), (None, None, 8), (9, "", 9), (4, a + " i", 10)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, row int, component_id long").repartition(4)
+    got = minhash.keep_one_of_each(docs, percent=70).select("doc_id", "text", "row", "component_id").collect()
+    assert sorted((r["row"] for r in got)) == [5, 7, 8, 9, 10]
+    assert minhash.keep_one_of_each(docs.where("false")).columns == docs.columns
+
+
 def test_signature_estimates_similarity():
     import numpy as np
     import pyarrow as pa
