@@ -65,12 +65,12 @@ class Cells:
         near = np.maximum(np.maximum(low[:, None] - book, book - high[:, None]), 0)
         far = np.maximum(np.abs(book - low[:, None]), np.abs(book - high[:, None]))
         keep = (near * near).sum(axis=2) <= (far * far).sum(axis=2).min(axis=1)[:, None]
-        size = (book * book).sum(axis=1)
+        # |x - k|^2 - |x - j|^2 is linear in x: its greatest value over the box is that of the middle and,
+        # as all boxes have the same sides, an amount for each pair of entries
+        middle = (low + high) @ book.T - (book * book).sum(axis=1)
+        reach = (np.abs(book[:, None] - book) * (self.side - 1)).sum(axis=2)
         for k in range(len(book)):
-            # greatest value over the box of |x - k|^2 - |x - j|^2, for every j
-            slope = 2 * (book - book[k])
-            most = size[k] - size + np.maximum(slope * low[:, None], slope * high[:, None]).sum(axis=2)
-            keep &= most >= 0
+            keep &= middle - middle[:, k : k + 1] + reach[k] >= 0
         return keep
 
     def _masks(self, cells: np.ndarray) -> np.ndarray:
