@@ -128,6 +128,42 @@ def featurize(df: DataFrame, model_factory: Callable[[], Callable], input_col: s
     return df.withColumn(out_col, run(F.col(input_col)))
 
 
+def _apart(model: Callable, batch: pd.Series, dims: int | None) -> list[tuple]:
+    """(vector, reason) of every input; a batch that raises is halved until the failing inputs are alone."""
+    try:
+        out = np.asarray(model(batch), dtype=np.float64)
+        if out.ndim != 2 or len(out) != len(batch) or (dims is not None and out.shape[1] != dims):
+            raise ValueError(f"model returned shape {out.shape} for {len(batch)} inputs")
+        return [(v, None) for v in out]
+    except Exception as error:  # noqa: BLE001 - whatever a model raises is the input's reason
+        if len(batch) == 1:
+            return [(None, f"{type(error).__name__}: {error}")]
+        half = len(batch) // 2
+        return _apart(model, batch.iloc[:half], dims) + _apart(model, batch.iloc[half:], dims)
+
+
+def featurize_apart(df: DataFrame, model_factory: Callable[[], Callable], input_col: str, out_col: str = "features",
+                    reason_col: str = "reason", dims: int | None = None) -> DataFrame:
+    """``featurize`` that no input can end: one whose model raises, or gives no vector of ``dims``
+    components, has a null vector and the reason; the others of its batch keep theirs.  A batch with
+    k failing inputs of n costs about 2 k log n calls."""
+
+    @F.pandas_udf("struct<vector: array<double>, reason: string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = model_factory()
+        for s in batches:
+            found = _apart(model, s, dims) if len(s) else []
+            yield pd.DataFrame({"vector": pd.Series([v for v, _ in found], dtype=object), "reason": pd.Series([r for _, r in found], dtype=object)})
+
+    both = "_fz_found"
+    return (
+        df.withColumn(both, run(F.col(input_col)))
+        .withColumn(out_col, F.col(both)["vector"])
+        .withColumn(reason_col, F.col(both)["reason"])
+        .drop(both)
+    )
+
+
 def skip_if_featurized(inputs: DataFrame, features: DataFrame, key: str = "path") -> DataFrame:
     """Inputs whose key has no feature row yet."""
     return inputs.join(features.select(key), key, "left_anti")

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from curvelab.operators.svm import spec_frame
 from curvelab.session import materialize
+from curvelab.sources.optional import read_if_there
 
 KEY_COLS = ["task_type", "class_a", "class_b", "size", "iters", "data_version"]
 TABLE_SCHEMA = (
@@ -39,10 +39,10 @@ def key_match(left: DataFrame, right: DataFrame, cols=KEY_COLS):
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:
     """The model table, or an empty frame when none was written yet."""
-    try:
-        return spark.read.schema(TABLE_SCHEMA).parquet(path).select(*[f.split()[0] for f in TABLE_SCHEMA.split(", ")])
-    except AnalysisException:
+    stored = read_if_there(lambda: spark.read.schema(TABLE_SCHEMA).parquet(path))
+    if stored is None:
         return spark.createDataFrame([], TABLE_SCHEMA)
+    return stored.select(*[f.split()[0] for f in TABLE_SCHEMA.split(", ")])
 
 
 def missing_models(requested: DataFrame, models: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 * ``svm_predict``   -- one model, per-row prediction as a JVM expression
   (``margin > threshold`` -> 1.0; no prediction for a bad vector).
-* ``score_models``  -- any number of models over the whole table in one scan.  The
-  models are a written table; each task holds a slice of rows, runs through the
-  models block by block (``shared_rows``), and emits only per-model counts
-  (map-side combine) before a ``groupBy``.  Rows are never joined with models, and
-  no model passes through the driver.
+* ``score_models``  -- any number of models over the whole table in one scan, blocked on
+  two levels: a task gathers rows up to ``ROW_BYTES``, then runs them through the models
+  block by block (``BLOCK_BYTES`` of weights, ``shared_rows``), so models that do not fit
+  its memory are read once for that many rows and not for every Arrow batch.  It emits
+  only per-model counts (map-side combine) before a ``groupBy``.  Rows are never joined with
+  models, and no model passes through the driver.
 * ``classify_records`` -- one-vs-all models of any number of classes, the class whose
   model gives the **lowest** margin wins (the target class is label 0).  Each record
   keeps its lowest margin while the blocks of models pass, so it stays one row and
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvelab.functions.vectors import dot
-from curvelab.operators.shared_rows import SharedRows, part_files
+from curvelab.operators.shared_rows import SharedRows, gathered, part_files
 from curvelab.operators.svm import (
     TASK_1VALL,
     arrow_codes,
@@ -38,6 +39,8 @@ from curvelab.session import materialize
 
 # Weights held at once by a task: one block of models.
 BLOCK_BYTES = 16 << 20
+# Rows that a task gathers for one pass over the models.
+ROW_BYTES = 64 << 20
 MODEL_COLUMNS = ["task_type", "class_a", "class_b", "size", "iters", "weights", "intercept", "threshold"]
 # Named classes up to this many also become a scan filter (a shortcut, results are the same).
 FILTER_CLASSES = 1000
@@ -91,6 +94,8 @@ class ModelBlock:
         self.a = np.array([self.index[c] for c in self.class_a], np.int64)
         self.b = np.array([self.index[c] if c is not None else -2 for c in self.class_b], np.int64)
         self.ids = batch.column("m").to_numpy(zero_copy_only=False) if "m" in batch.schema.names else None
+        self.by_name = np.array(sorted(range(len(lists)), key=self.class_a.__getitem__), np.int64)
+        self.names = np.array(self.class_a, dtype=object)[self.by_name]
 
     def margins(self, X: np.ndarray) -> np.ndarray:
         if self.dims is None:
@@ -99,17 +104,61 @@ class ModelBlock:
 
 
 def _blocks(files: list[str], columns: list[str], block_models: int) -> SharedRows:
-    return SharedRows(files, columns, block_models)
+    return SharedRows(files, columns, block_models, make=ModelBlock)
 
 
-def _block_models(table: DataFrame, block_models: int | None) -> int:
-    if block_models:
-        return int(block_models)
-    dims = table.agg(F.max(F.size("weights"))).first()[0] or 1
-    return max(1, BLOCK_BYTES // (8 * max(1, dims)))
+def _block_models(dims: int | None, block_models: int | None) -> int:
+    return int(block_models) if block_models else max(1, BLOCK_BYTES // (8 * max(1, dims or 1)))
 
 
-def score_models(rows: DataFrame, models, split: str = "test", block_models: int | None = None) -> DataFrame:
+def count_rows(batches, blocks, train: bool, row_bytes: int):
+    """(model ids, rows, wrong rows, rows of label 1) of every block of models, over all batches."""
+    counts: dict[int, list] = {}
+    for some in gathered(batches, row_bytes):
+        for at, blk in enumerate(blocks):
+            n, wrong, pos = np.zeros((3, len(blk.a)), np.int64)
+            step = slice_rows(max(len(blk.a), blk.dims or 1))
+            for batch in some:
+                feats = batch.column("features")
+                codes = arrow_codes(batch.column("class_name"), blk.index)
+                nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+                for lo, hi in row_slices(batch.num_rows, step):
+                    X = arrow_matrix(feats.slice(lo, hi - lo), blk.dims)
+                    M, Y = masks(codes[lo:hi], nums[lo:hi], blk.a, blk.b, blk.is_all, blk.sizes, train=train)
+                    positive = Y > 0.5
+                    n += M.sum(0)
+                    pos += (positive & M).sum(0)
+                    wrong += (((blk.margins(X) > blk.threshold[None, :]) != positive) & M).sum(0)
+            if at in counts:
+                for total, part in zip(counts[at][1:], (n, wrong, pos)):
+                    total += part
+            else:
+                counts[at] = [blk.ids, n, wrong, pos]
+    return counts.values()
+
+
+def lowest_margins(batches, blocks, features: str, row_bytes: int):
+    """(batch, name of the model with the lowest margin, that margin) of every batch."""
+    for some in gathered(batches, row_bytes):
+        best = [np.full(b.num_rows, None, dtype=object) for b in some]
+        low = [np.full(b.num_rows, np.inf) for b in some]
+        for blk in blocks:
+            for batch, names, margin in zip(some, best, low):
+                feats = batch.column(features)
+                for lo, hi in row_slices(batch.num_rows, slice_rows(max(len(blk.names), blk.dims))):
+                    margins = blk.margins(arrow_matrix(feats.slice(lo, hi - lo), blk.dims))[:, blk.by_name]
+                    k = np.argmin(margins, axis=1)
+                    value, name = margins[np.arange(hi - lo), k], blk.names[k]
+                    tie = value == margin[lo:hi]
+                    tie[tie] = [old is None or new < old for new, old in zip(name[tie], names[lo:hi][tie])]
+                    better = (value < margin[lo:hi]) | tie
+                    names[lo:hi][better], margin[lo:hi][better] = name[better], value[better]
+        yield from zip(some, best, low)
+
+
+def score_models(
+    rows: DataFrame, models, split: str = "test", block_models: int | None = None, row_bytes: int = ROW_BYTES
+) -> DataFrame:
     """Every model's row (keys, ``n_train``) with ``n_rows, n_wrong, n_pos`` on the test
     (``num > size``) or train split.
 
@@ -121,51 +170,34 @@ def score_models(rows: DataFrame, models, split: str = "test", block_models: int
     table = materialize(
         models.select(*MODEL_COLUMNS, *carried, F.monotonically_increasing_id().alias("m")), "models", cluster_by=None
     )
+    a, b = F.col("class_a"), F.coalesce("class_b", "class_a")
     span = table.agg(
-        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max((F.col("task_type") == TASK_1VALL).cast("int")).alias("all")
+        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max((F.col("task_type") == TASK_1VALL).cast("int")).alias("all"),
+        F.max(F.size("weights")).alias("dims"), F.array(F.min(a), F.max(a), F.min(b), F.max(b)).alias("named"),
+        ((F.min(a) == F.max(a)) & (F.min(b) == F.max(b))).alias("one_pair"),
     ).first()
     keys = ["task_type", "class_a", "class_b", "size", "iters"]
     out = [*keys, *carried, "n_rows", "n_wrong", "n_pos"]
     if span["lo"] is None:
         empty = table.select(*keys, *carried)
         return empty.selectExpr("*", "0L AS n_rows", "0L AS n_wrong", "0L AS n_pos").select(*out)
-    files, per_block = part_files(table), _block_models(table, block_models)
+    files, per_block = part_files(table), _block_models(span["dims"], block_models)
     train = split == "train"
     columns = [*MODEL_COLUMNS, "m"]
 
     def count_batches(batches):
         blocks = _blocks(files, columns, per_block)
-        counts: dict[int, list] = {}
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            feats, names = batch.column("features"), batch.column("class_name")
-            nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-            for at, shared in enumerate(blocks):
-                blk = ModelBlock(shared)
-                n, wrong, pos = np.zeros((3, len(blk.a)), np.int64)
-                codes = arrow_codes(names, blk.index)
-                step = slice_rows(max(len(blk.a), blk.dims or 1))
-                for lo, hi in row_slices(batch.num_rows, step):
-                    X = arrow_matrix(feats.slice(lo, hi - lo), blk.dims)
-                    M, Y = masks(codes[lo:hi], nums[lo:hi], blk.a, blk.b, blk.is_all, blk.sizes, train=train)
-                    positive = Y > 0.5
-                    n += M.sum(0)
-                    pos += (positive & M).sum(0)
-                    wrong += (((blk.margins(X) > blk.threshold[None, :]) != positive) & M).sum(0)
-                if at in counts:
-                    for total, part in zip(counts[at][1:], (n, wrong, pos)):
-                        total += part
-                else:
-                    counts[at] = [blk.ids, n, wrong, pos]
-        for ids, n, wrong, pos in counts.values():
+        for ids, n, wrong, pos in count_rows(batches, blocks, train, row_bytes):
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids, n, wrong, pos)], names=["m", "n_rows", "n_wrong", "n_pos"])
 
     cond = (F.col("num") <= span["hi"]) if train else (F.col("num") > span["lo"])
     cond = cond & F.col("class_name").isNotNull()
     if not span["all"]:
-        named = table.select(F.explode(F.array("class_a", "class_b")).alias("c")).where("c is not null").distinct()
-        some = [r["c"] for r in named.limit(FILTER_CLASSES + 1).collect()]
+        some = span["named"]
+        if not span["one_pair"]:
+            named = table.select(F.explode(F.array("class_a", "class_b")).alias("c")).where("c is not null").distinct()
+            some = [r["c"] for r in named.limit(FILTER_CLASSES + 1).collect()]
+        some = {c for c in some if c is not None}
         if len(some) <= FILTER_CLASSES:
             cond = cond & F.col("class_name").isin(sorted(some))
     parts = rows.filter(cond).select("class_name", "num", "features").mapInArrow(
@@ -183,7 +215,9 @@ def score_models(rows: DataFrame, models, split: str = "test", block_models: int
     )
 
 
-def classify_records(records: DataFrame, models, keep, features: str = "features", block_models: int | None = None) -> DataFrame:
+def classify_records(
+    records: DataFrame, models, keep, features: str = "features", block_models: int | None = None, row_bytes: int = ROW_BYTES
+) -> DataFrame:
     """M9: ``keep`` columns, predicted class name and margin of every record from one-vs-all models
     (lowest margin wins; ties go to the alphabetically first class).
 
@@ -193,29 +227,13 @@ def classify_records(records: DataFrame, models, keep, features: str = "features
     keep = [keep] if isinstance(keep, str) else list(keep)
     models = as_models(spark, models).where(F.size("weights") > 0)
     table = materialize(models.select(*MODEL_COLUMNS), "models", cluster_by=None)
-    files, per_block = part_files(table), _block_models(table, block_models)
+    dims = None if block_models else table.agg(F.max(F.size("weights"))).first()[0]
+    files, per_block = part_files(table), _block_models(dims, block_models)
     kept = "".join(f"`{c}` {records.schema[c].dataType.simpleString()}, " for c in keep)
 
     def predict_batches(batches):
         blocks = _blocks(files, MODEL_COLUMNS, per_block)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            feats = batch.column(features)
-            best = np.full(batch.num_rows, None, dtype=object)
-            low = np.full(batch.num_rows, np.inf)
-            for shared in blocks:
-                blk = ModelBlock(shared)
-                order = np.array(sorted(range(len(blk.class_a)), key=blk.class_a.__getitem__))
-                names = np.array(blk.class_a, dtype=object)[order]
-                for lo, hi in row_slices(batch.num_rows, slice_rows(max(len(names), blk.dims))):
-                    margins = blk.margins(arrow_matrix(feats.slice(lo, hi - lo), blk.dims))[:, order]
-                    k = np.argmin(margins, axis=1)
-                    value, name = margins[np.arange(hi - lo), k], names[k]
-                    tie = value == low[lo:hi]
-                    tie[tie] = [old is None or new < old for new, old in zip(name[tie], best[lo:hi][tie])]
-                    better = (value < low[lo:hi]) | tie
-                    best[lo:hi][better], low[lo:hi][better] = name[better], value[better]
+        for batch, best, low in lowest_margins(batches, blocks, features, row_bytes):
             cols = {c: batch.column(c) for c in keep}
             cols["predicted_class"] = pa.array(best, type=pa.string())
             cols["margin"] = pa.array(low)

@@ -9,7 +9,7 @@ in between.  The folder must be one whose URI ``pyarrow.fs`` opens.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -33,12 +33,14 @@ def open_uri(uri: str):
 
 
 class SharedRows:
-    """The batches of a written table; iterating again reads again, or takes the kept batches."""
+    """The batches of a written table, or what ``make`` makes of each; iterating again reads again, or
+    takes what was kept.  ``reads`` counts the passes over the files."""
 
-    def __init__(self, files: list[str], columns: list[str], batch_rows: int, filters=None, keep_bytes: int = KEEP_BYTES):
+    def __init__(self, files: list[str], columns: list[str], batch_rows: int, filters=None, keep_bytes: int = KEEP_BYTES, make=None):
         self.files, self.columns, self.batch_rows = files, columns, max(1, batch_rows)
-        self.filters, self.keep_bytes = filters, keep_bytes
-        self.kept: list[pa.RecordBatch] | None = None
+        self.filters, self.keep_bytes, self.make = filters, keep_bytes, make
+        self.kept: list | None = None
+        self.reads = 0
 
     def _read(self) -> Iterator[pa.RecordBatch]:
         for uri in self.files:
@@ -50,14 +52,35 @@ class SharedRows:
                     if batch.num_rows:
                         yield batch
 
-    def __iter__(self) -> Iterator[pa.RecordBatch]:
+    def __iter__(self) -> Iterator:
         if self.kept is not None:
             yield from self.kept
             return
+        self.reads += 1
         kept, size = [], 0
         for batch in self._read():
+            made = batch if self.make is None else self.make(batch)
             if kept is not None:
                 size += batch.nbytes
-                kept = [*kept, batch] if size <= self.keep_bytes else None
-            yield batch
+                if size <= self.keep_bytes:
+                    kept.append(made)
+                else:
+                    kept = None
+            yield made
         self.kept = kept
+
+
+def gathered(batches: Iterable[pa.RecordBatch], budget: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches together, of about ``budget`` bytes, so that what must meet every row is read once for
+    so many of them; empty batches are left out."""
+    some: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            size += batch.nbytes
+        if size >= budget:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some

@@ -28,10 +28,15 @@ Trainers (same models from each; which one runs changes no row):
     train in one task each.  The training rows are written once and read by the
     tasks in slices (``shared_rows``), neither copied per group nor shuffled.
     Default for learning curves.
+  * ``train_gram``      -- the weights stay combinations of training rows, so one matrix of
+    inner products of the rows of the largest size trains the models of all smaller
+    sizes as its leading submatrices; the vectors are read once to make it and once to turn
+    the combinations into weights, by no iteration.  For vectors that are longer than the
+    training rows are many.
   * ``train_iterative`` -- spreads the rows of each model over the cluster: one Spark
     job per iteration for a block of models (``mapInArrow`` partial gradients per
     partition, a JVM vector-sum aggregate); the driver and the broadcast hold one
-    block of weights (``BLOCK_BYTES``); input checkpointed to the shared folder.
+    block of weights (``BLOCK_BYTES``); input written to the shared folder.
   * ``train_mllib``     -- MLlib ``SVMWithSGD`` on one model, parity checks only.
 """
 
@@ -136,6 +141,33 @@ def fit_matrix(X, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_T
     return W, iters_run, n_t
 
 
+def fit_gram(K, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):
+    """Fit one model per column from inner products alone.
+
+    K (n, n) inner products of the rows, Y (n, T) labels, M (n, T) row masks.  Returns (C (n, T),
+    iters_run, n_train): the weights of model t are ``X.T @ C[:, t]``.  The margins of all rows are
+    ``K @ C``; they serve the next step's test for activity and, with C, the norms of the stop rule."""
+    n_t = M.sum(axis=0)
+    C, margins = np.zeros(M.shape), np.zeros(M.shape)
+    done = n_t == 0
+    iters_run = np.zeros(M.shape[1], dtype=np.int32)
+    S = np.where(M, 2.0 * Y - 1.0, 0.0)
+    for i in range(1, iters + 1):
+        todo = np.flatnonzero(~done)
+        if todo.size == 0:
+            break
+        old, reach, St = C[:, todo], margins[:, todo], S[:, todo]
+        act = (St * reach < 1.0) & M[:, todo]
+        new = step_update(old, -np.where(act, St, 0.0) / n_t[todo], i, step, reg)
+        now = K @ new
+        C[:, todo], margins[:, todo], iters_run[todo] = new, now, i
+        if i >= 2:
+            moved = ((new - old) * (now - reach)).sum(axis=0)
+            size = (new * now).sum(axis=0)
+            done[todo] = np.sqrt(np.maximum(moved, 0)) < tol * np.maximum(np.sqrt(np.maximum(size, 0)), 1.0)
+    return C, iters_run, n_t
+
+
 def step_update(W, G, i, step=DEFAULT_STEP, reg=DEFAULT_REG):
     st = step / math.sqrt(i)
     return W * (1.0 - st * reg) - st * G
@@ -216,21 +248,61 @@ def _model_rows(specs, W, iters_run, n_t):
     return out
 
 
-def _request_span(specs: DataFrame) -> tuple[int, int, int, bool]:
-    """(models, sizes, largest size, whether any model is 1-vs-all)."""
-    r = specs.agg(
-        F.count(F.lit(1)), F.count_distinct("size"), F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))
-    ).first()
-    return r[0], r[1], r[2], bool(r[3])
+@dataclass
+class Prepared:
+    """A request and its training rows, written once; what a trainer needs to know of both."""
 
+    specs: DataFrame
+    models: int
+    sizes: int  # distinct sizes
+    table: DataFrame | None = None
+    files: list[str] | None = None
+    n_rows: int = 0
+    width: int = 1
 
-def training_rows(rows: DataFrame, specs: DataFrame, max_size: int, has_all: bool) -> DataFrame:
+
+def prepared(rows: DataFrame, specs) -> Prepared:
+    """Request and training rows (``class_name, num, features``), each evaluated once.  A request that comes
+    as a list needs no job of its own."""
+    spark = rows.sparkSession
+    if isinstance(specs, DataFrame):
+        frame = materialize(spec_frame(spark, specs), "request", cluster_by=None)
+        models, sizes, max_size, has_all = frame.agg(
+            F.count(F.lit(1)), F.count_distinct("size"), F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))
+        ).first()
+        named = frame
+    else:
+        distinct = list(dict.fromkeys(specs))
+        frame, models = spec_frame(spark, distinct), len(distinct)
+        sizes, max_size = len({s.size for s in distinct}), max((s.size for s in distinct), default=0)
+        has_all = any(s.task_type == TASK_1VALL for s in distinct)
+        named = {c for s in distinct for c in (s.class_a, s.class_b) if c is not None}
+    out = Prepared(frame, models, sizes)
+    if models:
+        train = training_rows(rows, None if has_all else named, max_size)
+        out.table = materialize(train, "training_rows")
+        out.files = part_files(out.table)
+        n, width = out.table.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+        out.n_rows, out.width = n, max(1, width or 1)
+    return out
+
+
+# Named classes up to this many are a scan filter, more are a join.
+FILTER_CLASSES = 1000
+
+
+def training_rows(rows: DataFrame, named, max_size: int) -> DataFrame:
     """Rows any model can train on: ``num <= max(size)``, a class, and, without a 1-vs-all task,
-    only the named classes.  Projection keeps the three columns the trainers read."""
+    only the named classes (a set, or a DataFrame of specs).  Projection keeps the three columns the
+    trainers read."""
     train = rows.filter((F.col("num") <= F.lit(max_size)) & F.col("class_name").isNotNull()).select("class_name", "num", "features")
-    if not has_all:
-        named = specs.select(F.explode(F.array("class_a", "class_b")).alias("class_name")).distinct()
-        train = train.join(named, "class_name", "left_semi")
+    if isinstance(named, set) and len(named) > FILTER_CLASSES:
+        named = rows.sparkSession.createDataFrame([(c, None) for c in sorted(named)], "class_a string, class_b string")
+    if isinstance(named, set):
+        train = train.filter(F.col("class_name").isin(sorted(named)))
+    elif named is not None:
+        names = named.select(F.explode(F.array("class_a", "class_b")).alias("class_name")).distinct()
+        train = train.join(names, "class_name", "left_semi")
     return train
 
 
@@ -244,26 +316,105 @@ def grouped_memory_bytes(class_count: int, size: int, dims: int) -> int:
 MODELS_PER_GROUP = 64
 
 
+# Training rows up to which a task holds their inner products (128 MB), and the shortest vectors for which
+# ``auto`` takes them.
+GRAM_ROWS, GRAM_DIMS = 4096, 512
+
+
+def _groups(request: Prepared, buckets: int, *keys: str) -> DataFrame:
+    """Specs dealt to buckets, one list for each bucket (and key)."""
+    bucket = F.pmod(F.xxhash64("class_a", "class_b", "task_type", "iters"), F.lit(buckets))
+    lists = request.specs.withColumn("bucket", bucket).groupBy(*keys, "bucket")
+    return lists.agg(F.sort_array(F.collect_list(F.struct(*SPEC_COLUMNS))).alias("specs")).select("specs")
+
+
+def _model_batch(rows) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _MODEL_TYPES)], names=_MODEL_NAMES)
+
+
+def inner_products(slices: SharedRows, n: int) -> tuple[np.ndarray, np.ndarray, list]:
+    """(inner products of all rows, their nums, their class names), in the order of the slices, two
+    slices in memory at a time."""
+    K, nums, names = np.empty((n, n)), [], []
+    low = 0
+    for part in slices:
+        X = arrow_matrix(part.column("features"))
+        nums.append(part.column("num").to_numpy(zero_copy_only=False).astype(np.int64))
+        names += part.column("class_name").to_pylist()
+        high, start = low + len(X), 0
+        for other in slices:
+            if start <= low:
+                Z = X if start == low else arrow_matrix(other.column("features"))
+                K[low:high, start : start + len(Z)] = X @ Z.T
+                K[start : start + len(Z), low:high] = K[low:high, start : start + len(Z)].T
+            start += other.num_rows
+        low = high
+    return K, np.concatenate(nums) if nums else np.empty(0, np.int64), names
+
+
+def train_gram(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
+               models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None) -> DataFrame:
+    """One task per group of classes with all their sizes.  Rows in order of ``num``: those of a size are the
+    first ones, its inner products a leading submatrix.  At most ``GRAM_ROWS`` training rows."""
+    spark = rows.sparkSession
+    request = request or prepared(rows, specs)
+    if not request.models:
+        return spark.createDataFrame([], MODEL_SCHEMA)
+    if request.n_rows > GRAM_ROWS:
+        raise ValueError(f"{request.n_rows} training rows; inner products are held for at most {GRAM_ROWS}")
+    files, n, width = request.files, request.n_rows, request.width
+    per_slice = max(1, slice_bytes // (8 * width))
+    buckets = max(1, math.ceil(request.models / max(1, request.sizes) / models_per_group))
+
+    def fit_groups(batches):
+        made = None
+        for batch in batches:
+            for group in batch.column("specs").to_pylist():
+                if made is None:
+                    shared = SharedRows(files, ["class_name", "num", "features"], per_slice)
+                    K, nums, names = inner_products(shared, n)
+                    order = np.argsort(nums, kind="stable")
+                    made = shared, K[np.ix_(order, order)], nums[order], [names[k] for k in order]
+                    del K
+                shared, K, nums, names = made
+                group_specs = [ModelSpec(**g) for g in group]
+                index = class_index(group_specs)
+                codes = np.array([index.get(c, -1) for c in names], np.int64)
+                mine, fitted, coefficients = [], [], []
+                for size, iters in sorted({(s.size, s.iters) for s in group_specs}):
+                    some = [s for s in group_specs if (s.size, s.iters) == (size, iters)]
+                    first = int(np.searchsorted(nums, size, side="right"))
+                    a, b, is_all, sizes = spec_arrays(some, index)
+                    M, Y = masks(codes[:first], nums[:first], a, b, is_all, sizes, train=True)
+                    C, run, n_t = fit_gram(K[:first, :first], Y, M, iters, step, reg, tol)
+                    mine += some
+                    fitted.append((run, n_t))
+                    whole = np.zeros((n, len(some)))
+                    whole[order[:first]] = C
+                    coefficients.append(whole)
+                C = np.concatenate(coefficients, axis=1)
+                W, low = np.zeros((width, C.shape[1])), 0
+                for part in shared:
+                    W += arrow_matrix(part.column("features")).T @ C[low : low + part.num_rows]
+                    low += part.num_rows
+                run, n_t = (np.concatenate(v) for v in zip(*fitted))
+                yield _model_batch(_model_rows(mine, W, run, n_t))
+
+    return _groups(request, buckets).repartition(buckets).mapInArrow(fit_groups, MODEL_SCHEMA)
+
+
 def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                  models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                  models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None) -> DataFrame:
     """One task per group of models of a size; each reads the written training rows with
     ``num <= size`` slice by slice, once per iteration (from memory where they fit)."""
     spark = rows.sparkSession
-    specs = spec_frame(spark, specs)
-    if specs.isEmpty():
+    request = request or prepared(rows, specs)
+    if not request.models:
         return spark.createDataFrame([], MODEL_SCHEMA)
-    models, sizes, max_size, has_all = _request_span(specs)
-    table = materialize(training_rows(rows, specs, max_size, has_all), "training_rows")
-    files = part_files(table)
-    width = table.agg(F.max(F.size("features"))).first()[0] or 1
-    per_slice = max(1, slice_bytes // (8 * max(width, models_per_group)))
+    models, sizes, files = request.models, request.sizes, request.files
+    per_slice = max(1, slice_bytes // (8 * max(request.width, models_per_group)))
     buckets = max(1, math.ceil(models / max(1, sizes) / models_per_group))
-    groups = (
-        specs.withColumn("bucket", F.pmod(F.xxhash64("class_a", "class_b", "task_type", "iters"), F.lit(buckets)))
-        .groupBy("size", "bucket")
-        .agg(F.sort_array(F.collect_list(F.struct(*SPEC_COLUMNS))).alias("specs"))
-        .select("specs")
-    )
+    groups = _groups(request, buckets, "size")
 
     def fit_groups(batches):
         shared, shared_size = None, None
@@ -289,7 +440,7 @@ def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, to
                             yield X, Y, M
 
                     out += _model_rows(mine, *fit_slices(slices, len(mine), iters, step, reg, tol))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _MODEL_TYPES)], names=_MODEL_NAMES)
+                yield _model_batch(out)
 
     return groups.repartition(sizes * buckets).mapInArrow(fit_groups, MODEL_SCHEMA)
 
@@ -314,23 +465,18 @@ def _spec_blocks(specs: DataFrame, per_block: int):
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                    partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES, request: Prepared | None = None) -> DataFrame:
     """One distributed pass per iteration for a block of models; the driver holds that block's
     weights and receives its summed gradients, and finished blocks are written as a table."""
     spark = rows.sparkSession
-    specs = spec_frame(spark, specs)
-    if specs.isEmpty():
+    request = request or prepared(rows, specs)
+    if not request.models:
         return spark.createDataFrame([], MODEL_SCHEMA)
-    _, _, max_size, has_all = _request_span(specs)
-    # reliable copy in the shared checkpoint folder (a lost executor re-reads it
-    # instead of recomputing the plan)
-    train = training_rows(rows, specs, max_size, has_all).checkpoint(eager=True)
-    n_rows, dims = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    dims = dims or 1
-    # after the num <= max(size) filter most scan partitions are near empty; every pass
-    # would still launch one task each, so pack the rows into partitions of about
+    specs, dims = request.specs, request.width
+    # read from the shared folder (a lost executor reads it again instead of computing the plan again);
+    # every pass launches one task a partition, so the rows are packed into partitions of about
     # ``partition_bytes`` (a no-op where there are no more partitions than that)
-    train = train.coalesce(max(1, math.ceil(n_rows * (8 * dims + 64) / partition_bytes)))
+    train = request.table.coalesce(max(1, math.ceil(request.n_rows * (8 * dims + 64) / partition_bytes)))
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     path = shared_path(spark, "trained")
     for block in _spec_blocks(specs, max(1, block_bytes // (8 * dims))):
@@ -423,20 +569,17 @@ def choose_trainer(class_count: int, size: int, dims: int, limit_bytes: int = 25
     return "grouped" if grouped_memory_bytes(class_count, size, dims) <= limit_bytes else "iterative"
 
 
-def train(rows: DataFrame, specs, trainer: str = "auto", class_count: int | None = None,
-          dims: int | None = None, **kw) -> DataFrame:
-    """Models of a request; ``class_count`` and ``dims`` only help to choose the trainer."""
-    specs = spec_frame(rows.sparkSession, specs)
+def train(rows: DataFrame, specs, trainer: str = "auto", **kw) -> DataFrame:
+    """Models of a request.  ``auto`` chooses by the written training rows: inner products where the vectors
+    are long and the rows fewer than their dimensions, groups in tasks while a task can run through the rows
+    quickly, else passes over the cluster."""
+    request = prepared(rows, specs)
     if trainer == "auto":
-        if dims is None:
-            first = rows.select(F.size("features").alias("d")).limit(1).collect()
-            dims = int(first[0]["d"]) if first else 0
-        span = specs.agg(F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))).first()
-        if class_count is None:
-            class_count = rows.select("class_name").distinct().count() if span[1] else 2
-        trainer = choose_trainer(class_count, span[0] or 0, dims)
-    if trainer == "grouped":
-        return train_grouped(rows, specs, **kw)
-    if trainer == "iterative":
-        return train_iterative(rows, specs, **kw)
-    raise ValueError(f"unknown trainer {trainer!r}")
+        n, width = request.n_rows, request.width
+        trainer = choose_trainer(1, n, width)
+        if trainer == "grouped" and width >= GRAM_DIMS and n <= min(width, GRAM_ROWS):
+            trainer = "gram"
+    trainers = {"grouped": train_grouped, "gram": train_gram, "iterative": train_iterative}
+    if trainer not in trainers:
+        raise ValueError(f"unknown trainer {trainer!r}")
+    return trainers[trainer](rows, specs, request=request, **kw)

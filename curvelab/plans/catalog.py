@@ -639,6 +639,44 @@ def q_rejected_rows(spark, sf_dir):
     return rejected_rows(spoilt, 64).select("vec_id", "reason")
 
 
+def q_label_index_appended(spark, sf_dir):
+    """P7 with a stored dictionary: three loads, the second and third with classes that sort between old ones."""
+    from curvelab.session import shared_path
+
+    r = plain_rows(spark, sf_dir)
+    path = shared_path(spark, "label_map")
+    for load in (r.where(F.col("label").isin(2, 5, 7)), r.where(F.col("label") != 0), r):
+        mapping = lab.update_label_map(load, path)
+    return lab.label_index(r, mapping=mapping).select("vec_id", "class_name", "label_idx")
+
+
+def strict_number_factory():
+    """A model that refuses a whole batch for one bad input."""
+    import numpy as np
+
+    def model(batch):
+        return np.array([[float(int(x))] for x in batch])
+
+    return model
+
+
+def q_featurize_failures(spark, sf_dir):
+    """M10 with planted inputs that the model refuses: they come back with the reason, all others with vectors."""
+    from curvelab.operators.featurize import featurize_apart
+
+    r = plain_rows(spark, sf_dir).select(
+        "vec_id", F.when(F.col("vec_id") % 13 == 5, "broken").otherwise(F.col("vec_id").cast("string")).alias("raw")
+    )
+    found = featurize_apart(r, strict_number_factory, "raw", dims=1)
+    return found.select("vec_id", F.element_at("features", 1).alias("value"), "reason")
+
+
+def q_curve_1vall_gram(spark, sf_dir):
+    """M5 through the trainer in the space of inner products."""
+    rows = _curve_rows(spark, sf_dir, [3, 10])
+    return curves.learning_curve(rows, TASK_1VALL, "all", [3, 10], iters=100, trainer="gram")
+
+
 QUERIES = {
     "class_rows": q_class_rows,
     "base_name": q_base_name,
@@ -656,6 +694,7 @@ QUERIES = {
     "label_1v1": q_label_1v1,
     "label_1vall": q_label_1vall,
     "label_index": q_label_index,
+    "label_index_appended": q_label_index_appended,
     "label_decode": q_label_decode,
     "sweep_rows": q_sweep_rows,
     "svm_weights_1iter": q_svm_weights_1iter,
@@ -697,4 +736,6 @@ QUERIES = {
     "write_results": q_write_results,
     "validate_request": q_validate_request,
     "rejected_rows": q_rejected_rows,
+    "featurize_failures": q_featurize_failures,
+    "curve_1vall_gram": q_curve_1vall_gram,
 }

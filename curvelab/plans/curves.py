@@ -4,7 +4,7 @@ Plan for a whole curve (all sizes, all targets):
   1. the request as a table of model keys (with target ``all``: the distinct classes
      times the sizes, never a list on the driver);
   2. training: rows with ``num <= max(size)`` only, groups of models in parallel
-     (grouped) or a block of models per distributed pass (iterative);
+     (grouped; gram for long vectors) or a block of models per distributed pass (iterative);
   3. the models as a written table; scoring: one scan of the rows, each task runs
      through the models in blocks, per-partition partial counts, final aggregate.
 A size below every ordinal of its classes has no training rows: its row has
@@ -28,20 +28,19 @@ CURVE_COLUMNS = [
 ]
 
 
-def model_specs(rows: DataFrame, task_type: str, classes, sizes, iters: int) -> DataFrame:
-    """The model keys of a curve request; named classes must exist."""
-    spark = rows.sparkSession
+def model_specs(rows: DataFrame, task_type: str, classes, sizes, iters: int) -> DataFrame | list[ModelSpec]:
+    """The model keys of a curve request: a list for named classes, which must exist, else a DataFrame."""
     sizes = parse_sizes(sizes)
     if task_type == TASK_1V1:
         a, b = parse_pair(classes)
         check_classes(rows, [a, b])
-        return svm.spec_frame(spark, [ModelSpec(TASK_1V1, a, b, s, iters) for s in sizes])
+        return [ModelSpec(TASK_1V1, a, b, s, iters) for s in sizes]
     if task_type == TASK_1VALL:
         if classes is None or classes == "all":
             return all_targets(rows, sizes, iters)
         targets = [classes] if isinstance(classes, str) else list(classes)
         check_classes(rows, targets)
-        return svm.spec_frame(spark, [ModelSpec(TASK_1VALL, t, None, s, iters) for t in targets for s in sizes])
+        return [ModelSpec(TASK_1VALL, t, None, s, iters) for t in targets for s in sizes]
     raise RequestError(f"unknown task type {task_type!r}")
 
 
@@ -56,7 +55,7 @@ def all_targets(rows: DataFrame, sizes, iters: int) -> DataFrame:
     )
 
 
-def fit_models(rows: DataFrame, specs: DataFrame, trainer: str = "auto",
+def fit_models(rows: DataFrame, specs: DataFrame | list[ModelSpec], trainer: str = "auto",
                model_path: str | None = None, data_version: str = "v1", **kw) -> DataFrame:
     """Train (or load) the models of ``specs``."""
 

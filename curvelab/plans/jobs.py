@@ -16,7 +16,6 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from curvelab.functions.names import base_name, class_and_num
 from curvelab.operators import models as model_table
@@ -28,9 +27,10 @@ from curvelab.plans import curves
 from curvelab.plans.requests import RequestError, validate_request
 from curvelab.session import materialize
 from curvelab.sinks.writers import write_results
+from curvelab.sources.optional import read_if_there
 from curvelab.sources.readers import list_inputs, read_feature_json
 
-FEATURE_COLUMNS = ["file_name", "class_name", "num", "features"]
+FEATURE_COLUMNS = ["path", "file_name", "class_name", "num", "features"]
 
 
 def extract_features(spark: SparkSession, image_dir: str, table_path: str, model_factory: Callable,
@@ -38,11 +38,14 @@ def extract_features(spark: SparkSession, image_dir: str, table_path: str, model
     """Featurize the images under ``image_dir`` that ``table_path`` does not hold yet
     and append them; returns the number of new rows.
 
-    The folder is listed without bodies, names that have features are taken out (anti
-    join on names), and only the remaining files are opened, inside the tasks that
-    featurize them."""
+    The folder is listed without bodies, paths that have features are taken out (anti
+    join on paths; equal names in different folders are different images), and only the
+    remaining files are opened, inside the tasks that featurize them.  A table without a
+    ``path`` column is matched by ``file_name``, and rows without a path are appended to it."""
     new = materialize(new_image_features(spark, image_dir, table_path, model_factory, dims, glob), "new_features", cluster_by=None)
-    new.write.mode("append").parquet(table_path)
+    there = read_if_there(lambda: spark.read.parquet(table_path))
+    columns = new.columns if there is None or "path" in there.columns else new.columns[1:]
+    new.select(*columns).write.mode("append").parquet(table_path)
     return new.count()
 
 
@@ -53,11 +56,10 @@ def new_image_features(spark: SparkSession, image_dir: str, table_path: str, mod
     todo = list_inputs(spark, image_dir, glob=glob).select(
         "path", "file_name", named.getField("class_name").alias("class_name"), named.getField("num").alias("num")
     )
-    try:
-        todo = skip_if_featurized(todo, spark.read.parquet(table_path).select("file_name"), key="file_name")
-    except AnalysisException:
-        pass  # no table yet: everything is new
-    bodies = todo.mapInArrow(_read_bodies, "file_name string, class_name string, num bigint, content binary")
+    there = read_if_there(lambda: spark.read.parquet(table_path))
+    if there is not None:
+        todo = skip_if_featurized(todo, there, key="path" if "path" in there.columns else "file_name")
+    bodies = todo.mapInArrow(_read_bodies, "path string, file_name string, class_name string, num bigint, content binary")
     return featurize(bodies, model_factory, "content", "features", dims).select(*FEATURE_COLUMNS)
 
 
@@ -72,8 +74,8 @@ def _read_bodies(batches, batch_files: int = 64):
                 with store.open_input_stream(path) as f:
                     content.append(f.read())
             yield pa.RecordBatch.from_arrays(
-                [part.column("file_name"), part.column("class_name"), part.column("num"), pa.array(content, pa.binary())],
-                names=["file_name", "class_name", "num", "content"],
+                [*(part.column(c) for c in ("path", "file_name", "class_name", "num")), pa.array(content, pa.binary())],
+                names=["path", "file_name", "class_name", "num", "content"],
             )
 
 

@@ -320,6 +320,13 @@ FROM class_rows WHERE class_name IN ('breed_c', 'breed_g')"""
     q["label_decode"] = _with(CLASS_ROWS, label_map) + """SELECT r.vec_id, CAST(lm.label_idx AS DOUBLE) AS prediction,
        d.class_name AS predicted_class
 FROM class_rows r LEFT JOIN lm ON r.class_name = lm.class_name LEFT JOIN lm d ON d.label_idx = lm.label_idx"""
+    q["label_index_appended"] = _with(CLASS_ROWS) + """SELECT vec_id, class_name,
+       CAST(dense_rank() OVER (ORDER BY CASE WHEN class_name IN ('breed_c', 'breed_f', 'breed_h') THEN 1
+         WHEN class_name <> 'breed_a' THEN 2 ELSE 3 END, class_name) - 1 AS INTEGER) AS label_idx
+FROM class_rows"""
+    q["featurize_failures"] = """SELECT vec_id, CASE WHEN vec_id % 13 <> 5 THEN CAST(vec_id AS DOUBLE) END AS value,
+       CASE WHEN vec_id % 13 = 5 THEN 'ValueError: invalid literal for int() with base 10: ''broken''' END AS reason
+FROM embeddings"""
     sizes = _values([(s,) for s in PUBLISHED_SIZES], ["size"])
     q["sweep_rows"] = _with(CLASS_ROWS) + f"""SELECT CAST(c.size AS INTEGER) AS size, c.class_name, sp.split,
        CAST(CASE WHEN sp.split = 'train' THEN c.n_train ELSE c.n_total - c.n_train END AS BIGINT) AS n_rows
@@ -354,6 +361,7 @@ CROSS JOIN (VALUES ('train'), ('test')) AS sp(split)"""
     q["learning_curve_iterative"] = q["learning_curve_1vall"]
     q["learning_curve_1vall_100"] = _curve_sql(_vall(CLASSES, PUBLISHED_SIZES, 100), 100)
     q["learning_curve_1v1_100"] = _curve_sql([("1vs1", "breed_c", "breed_h", s, 100) for s in PUBLISHED_SIZES], 100)
+    q["curve_1vall_gram"] = _curve_sql(_vall(CLASSES, [3, 10], 100), 100)
     q["learning_curve_iterative_100"] = q["learning_curve_1vall_100"]
     stop_specs = [("1vsall", c, None, s, 100) for c in ("breed_a", "breed_f") for s in (5, 30)]
     stop_specs += [("1vs1", "breed_b", "breed_c", 20, 100)]

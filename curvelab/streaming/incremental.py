@@ -18,7 +18,6 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from curvelab.functions.names import base_name, class_and_num
 from curvelab.operators import models as model_table
@@ -27,6 +26,7 @@ from curvelab.operators.featurize import featurize
 from curvelab.operators.svm import TASK_1VALL
 from curvelab.session import materialize
 from curvelab.sources.readers import parse_feature_json
+from curvelab.sources.optional import read_if_there
 
 
 def _json_stream(spark: SparkSession, input_dir: str, glob: str, max_files: int | None):
@@ -104,17 +104,15 @@ def _run(stream, output_dir: str, checkpoint_dir: str) -> int:
     )
     query.awaitTermination()
     new = _committed_files(spark, output_dir).join(before, "name", "left_anti")
-    try:
-        written = spark.read.parquet(output_dir)
-    except AnalysisException:  # nothing was ever written
+    written = read_if_there(lambda: spark.read.parquet(output_dir))
+    if written is None:  # nothing was ever written
         return 0
     return written.select(F.col("_metadata.file_name").alias("name")).join(new, "name", "left_semi").count()
 
 
 def _committed_files(spark: SparkSession, output_dir: str):
     """Names of the sink's committed files; a listing, bodies are not read."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(output_dir)
-    except AnalysisException:
+    files = read_if_there(lambda: spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(output_dir))
+    if files is None:
         return spark.createDataFrame([], "name string")
     return files.select(base_name("path").alias("name")).distinct()

@@ -62,3 +62,26 @@ def test_trigram_vectors_whole_text_and_breaks():
     assert np.array_equal(v[2], v[3])        # line breaks are skipped like a regex '.'
     # the last trigram of a long text counts: it changes the vector
     assert not np.array_equal(v[0], trigram_vectors(pd.Series(["abc" * 50_000]), 16)[0])
+
+
+def test_failing_inputs_come_back_alone(spark):
+    from curvelab.operators.featurize import featurize_apart
+
+    def factory():
+        def model(batch):
+            if any("bad" in x for x in batch):
+                raise RuntimeError("cannot read it")
+            return np.array([[float(len(x)), 1.0] for x in batch])
+
+        return model
+
+    texts = ["bad" if i % 97 == 3 else "x" * (i % 7) for i in range(1000)]
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "i int, raw string, other string").repartition(3)
+    got = {r["i"]: r for r in featurize_apart(df, factory, "raw", dims=2).collect()}
+    assert len(got) == 1000 and all(r["other"] == "kept" for r in got.values())
+    for i, t in enumerate(texts):
+        want = (None, "RuntimeError: cannot read it") if t == "bad" else ([float(len(t)), 1.0], None)
+        assert (got[i]["features"], got[i]["reason"]) == want
+    wrong = featurize_apart(df.limit(3), factory, "raw", dims=5).collect()
+    assert all(r["features"] is None and r["reason"].startswith("ValueError") or r["reason"].startswith("RuntimeError") for r in wrong)
+    assert featurize_apart(df.where("false"), factory, "raw").count() == 0

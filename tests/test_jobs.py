@@ -39,6 +39,48 @@ def test_extract_features_incremental(spark, shared):
     assert scans and not any("content" in s for s in scans)
 
 
+def test_equal_names_in_different_folders(spark, shared):
+    src, table = shared("img").replace("file:", ""), shared("features")
+
+    def put(name):
+        os.makedirs(os.path.dirname(f"{src}/{name}"), exist_ok=True)
+        with open(f"{src}/{name}", "wb") as f:
+            f.write(b"\xff\xd8" + name.encode())
+
+    put("a/cat_1.jpg")
+    assert extract_features(spark, src, table, byte_model, dims=3) == 1
+    put("b/cat_1.jpg")
+    assert extract_features(spark, src, table, byte_model, dims=3) == 1
+    assert extract_features(spark, src, table, byte_model, dims=3) == 0
+    got = spark.read.parquet(table).collect()
+    assert [r["file_name"] for r in got] == ["cat_1.jpg"] * 2 and len({r["path"] for r in got}) == 2
+
+
+def test_a_table_of_another_kind_is_an_error(spark, shared):
+    """Only a missing table counts as none; one without the key column is not taken for absent."""
+    from pyspark.errors import AnalysisException
+
+    src, table = shared("img").replace("file:", ""), shared("features")
+    os.makedirs(src)
+    with open(f"{src}/cat_1.jpg", "wb") as f:
+        f.write(b"x")
+    spark.range(3).write.parquet(table)
+    with pytest.raises(AnalysisException):
+        extract_features(spark, src, table, byte_model, dims=3)
+    assert spark.read.parquet(table).columns == ["id"]
+
+
+def test_tables_of_names_only_still_work(spark, shared):
+    src, table = shared("img").replace("file:", ""), shared("features")
+    os.makedirs(src)
+    for name in ("cat_1.jpg", "cat_2.jpg"):
+        with open(f"{src}/{name}", "wb") as f:
+            f.write(b"xy")
+    spark.createDataFrame([("cat_1.jpg", "cat", 1, [1.0])], "file_name string, class_name string, num long, features array<double>").write.parquet(table)
+    assert extract_features(spark, src, table, byte_model, dims=3) == 1
+    assert sorted(r["file_name"] for r in spark.read.parquet(table).collect()) == ["cat_1.jpg", "cat_2.jpg"]
+
+
 def test_curve_job_and_classify(spark, rows, shared):
     table = materialize(rows.select(
         F.concat("class_name", F.lit("_"), F.col("num").cast("string"), F.lit(".jpg")).alias("file_name"),

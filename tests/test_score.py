@@ -96,3 +96,39 @@ def test_bad_vectors_have_no_prediction(spark):
     df = spark.createDataFrame([([1.0, 2.0],), (None,), ([1.0],), ([1.0, None],), ([0.1, -0.3],)], "features array<double>")
     got = [r["prediction"] for r in scoring.svm_predict(df, [0.1, 1 / 3]).collect()]
     assert got == [1.0, None, None, None, 0.0]
+
+
+def test_models_are_read_once_for_many_batches(rows, tmp_path):
+    """Two-level blocking: models that a task cannot keep are read once for each ``row_bytes`` of rows."""
+    import pyarrow as pa
+
+    from curvelab.operators.shared_rows import SharedRows, part_files
+    from curvelab.session import materialize
+
+    models = svm.train_grouped(rows, [ModelSpec(TASK_1VALL, f"breed_{c}", None, 5, 2) for c in "abcdefghij"])
+    numbered = models.select(*scoring.MODEL_COLUMNS, F.monotonically_increasing_id().alias("m"))
+    files = part_files(materialize(numbered, "models", cluster_by=None))
+    local = [(r["class_name"], r["num"], list(r["features"])) for r in rows.collect()]
+    kind = pa.schema([("class_name", pa.string()), ("num", pa.int64()), ("features", pa.list_(pa.float64()))])
+    batches = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*local), kind)], schema=kind).to_batches(max_chunksize=50)
+    size = sum(b.nbytes for b in batches)
+    want = None
+    for row_bytes, passes in ((size, 1), (size // 2 + 1, 2), (1, len(batches))):
+        blocks = SharedRows(files, [*scoring.MODEL_COLUMNS, "m"], 3, keep_bytes=0, make=scoring.ModelBlock)
+        got = sorted((int(m), int(n), int(w)) for ids, ns, ws, _ in scoring.count_rows(batches, blocks, False, row_bytes) for m, n, w in zip(ids, ns, ws))
+        assert blocks.reads == passes and len(got) == 10
+        want = want or got
+        assert got == want
+        blocks = SharedRows(files, scoring.MODEL_COLUMNS, 3, keep_bytes=0, make=scoring.ModelBlock)
+        found = [n for _, names, _ in scoring.lowest_margins(batches, blocks, "features", row_bytes) for n in names]
+        assert blocks.reads == passes and len(found) == len(local)
+    kept = SharedRows(files, scoring.MODEL_COLUMNS, 3, make=scoring.ModelBlock)
+    assert len(list(scoring.lowest_margins(batches, kept, "features", 1))) == len(batches) and kept.reads == 1
+
+
+def test_row_budget_changes_nothing(rows):
+    models = svm.train_grouped(rows, [ModelSpec(TASK_1VALL, f"breed_{c}", None, 5, 2) for c in "abcdefghij"]).collect()
+    key = lambda r: (r["class_a"], r["n_rows"], r["n_wrong"], r["n_pos"])
+    assert sorted(map(key, scoring.score_models(rows, models, row_bytes=1, block_models=3).collect())) == sorted(
+        map(key, scoring.score_models(rows, models).collect())
+    )

@@ -99,3 +99,16 @@ def test_split_quota_partitions_do_not_matter(rows):
     one = {r["file_name"]: r["split"] for r in splits.split_quota(named.coalesce(1), 5, order_cols=("file_name",)).collect()}
     two = {r["file_name"]: r["split"] for r in splits.split_quota(named.repartition(12), 5, order_cols=("file_name",), buckets=3).collect()}
     assert one == two and sum(v == "train" for v in one.values()) == 50
+
+
+def test_stored_label_map_keeps_its_indexes(spark, shared):
+    from curvelab.operators import labels as lab
+
+    path = shared("labels")
+    load = lambda *names: spark.createDataFrame([(n,) for n in names], "class_name string")
+    read = lambda m: {r["class_name"]: r["label_idx"] for r in m.collect()}
+    assert read(lab.update_label_map(load("m", "f", "f", None), path)) == {"f": 0, "m": 1}
+    assert read(lab.update_label_map(load("a", "m", "z"), path)) == {"f": 0, "m": 1, "a": 2, "z": 3}
+    assert read(lab.update_label_map(load("f"), path)) == {"f": 0, "m": 1, "a": 2, "z": 3}
+    assert read(lab.update_label_map(load("b", "g", "a"), path)) == {"f": 0, "m": 1, "a": 2, "z": 3, "b": 4, "g": 5}
+    assert read(spark.read.parquet(path)) == {"f": 0, "m": 1, "a": 2, "z": 3, "b": 4, "g": 5}

@@ -1,5 +1,7 @@
 """M1: the update rule against MLlib SVMWithSGD, and trainer agreement."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +78,55 @@ def test_matrix_form_equals_single_models():
         assert np.max(np.abs(Wj[:, 0] - W[:, j])) < 1e-12
 
 
+@pytest.mark.parametrize("tol", [0.001, 0.2])
+def test_inner_products_train_the_same_models(spark, tol):
+    """Long vectors: weights from inner products are those of the grouped trainer, at 100 iterations, with an early
+    stop, for pairs and for all, and with a size that has no rows."""
+    rng = np.random.default_rng(5)
+    data = [(f"c{k % 4}", k // 4 + 2, (rng.normal(size=700) + 0.2 * (k % 4)).tolist()) for k in range(60)]
+    rows = spark.createDataFrame(data, "class_name string, num long, features array<double>").repartition(3)
+    specs = [ModelSpec(TASK_1VALL, f"c{k}", None, s, 100) for k in range(4) for s in (1, 3, 9, 40)]
+    specs += [ModelSpec(TASK_1V1, "c0", "c3", s, i) for s in (1, 5, 40) for i in (7, 100)]
+    grouped = {tuple(r[:5]): r for r in svm.train_grouped(rows, specs, tol=tol).collect()}
+    gram = {tuple(r[:5]): r for r in svm.train_gram(rows, specs, tol=tol, slice_bytes=8 * 700 * 7, models_per_group=3).collect()}
+    assert grouped.keys() == gram.keys() == {s.key() for s in specs}
+    for k, one in grouped.items():
+        other = gram[k]
+        assert (one["n_train"], one["iters_run"]) == (other["n_train"], other["iters_run"])
+        assert (one["weights"] is None) == (other["weights"] is None) == (k[3] == 1)
+        if one["weights"]:
+            assert np.max(np.abs(np.array(one["weights"]) - np.array(other["weights"]))) < 1e-9
+    assert tol < 0.1 or min(r["iters_run"] for r in gram.values() if r["n_train"]) < 100
+
+
+def test_inner_products_are_the_choice_for_long_vectors(spark, rows, monkeypatch):
+    seen = []
+    for name in ("train_gram", "train_grouped"):
+        monkeypatch.setattr(svm, name, lambda *a, name=name, **k: seen.append(name) or name)
+    long = spark.createDataFrame([("a", 1, [0.5] * 600), ("b", 1, [0.1] * 600)], "class_name string, num long, features array<double>")
+    svm.train(long, [ModelSpec(TASK_1V1, "a", "b", 1, 2)])
+    svm.train(rows, [ModelSpec(TASK_1V1, "breed_a", "breed_b", 5, 2)])
+    assert seen == ["train_gram", "train_grouped"]
+
+
+def test_gram_is_faster_on_long_vectors():
+    """The core alone: 100 iterations of eight sizes at 4,096 dimensions."""
+    rng = np.random.default_rng(2)
+    X, labels = rng.normal(size=(160, 4096)), np.arange(160) % 8
+    Y = (labels[:, None] != np.arange(8)).astype(float)
+    sizes = range(20, 161, 20)
+    start = time.perf_counter()
+    direct = [svm.fit_matrix(X[:n], Y[:n], np.ones((n, 8), bool), 100) for n in sizes]
+    between = time.perf_counter()
+    K = X @ X.T
+    fitted = [svm.fit_gram(K[:n, :n], Y[:n], np.ones((n, 8), bool), 100) for n in sizes]
+    weights = [X[:n].T @ C for n, (C, _, _) in zip(sizes, fitted)]
+    end = time.perf_counter()
+    for (W, run, _), V, (_, other, _) in zip(direct, weights, fitted):
+        assert (run == other).all() and np.abs(W - V).max() < 1e-9
+    assert end - between < between - start
+
+
 def test_empty_task_keeps_zero_weights():
     X = np.ones((4, 2))
     W, run, n = fit_matrix(X, np.zeros((4, 1)), np.zeros((4, 1), bool), 10)
@@ -87,7 +138,7 @@ def test_auto_trainer_choice():
     assert svm.choose_trainer(100_000, 100, 4096) == "iterative"
 
 
-@pytest.mark.parametrize("trainer", ["grouped", "iterative"])
+@pytest.mark.parametrize("trainer", ["grouped", "iterative", "gram"])
 def test_sizes_without_rows_and_rows_without_class(spark, rows, trainer):
     late = rows.filter("num >= 30").select("class_name", "num", "features")
     odd = late.withColumn("class_name", F.when(F.col("num") % 5 != 0, F.col("class_name")))
