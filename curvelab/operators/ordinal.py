@@ -77,9 +77,7 @@ def with_ranges(df: DataFrame, key_col: str, buckets: int | None = None, relativ
 
 def _offsets(ranged: DataFrame, class_col: str) -> DataFrame:
     """(class, range, offset): rows of the class in earlier ranges; null keys come first."""
-    counts = materialize(
-        ranged.groupBy(class_col, _RANGE).agg(F.count(F.lit(1)).alias("_ord_n")), "range_counts", cluster_by=None
-    )
+    counts = ranged.groupBy(class_col, _RANGE).agg(F.count(F.lit(1)).alias("_ord_n"))
     before = Window.partitionBy(class_col).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         F.col(class_col).alias("_ord_cls"),
@@ -103,7 +101,7 @@ def class_ordinal(
 ) -> DataFrame:
     """Add ``out_col`` = 1-based position of each row inside its class by ``order_col``."""
     ranged = with_ranges(df, order_col, buckets, relative_error)
-    offsets = _offsets(ranged.select(class_col, _RANGE), class_col)
+    offsets = materialize(_offsets(ranged.select(class_col, _RANGE), class_col), "range_offsets", cluster_by=None)
     # null-safe keys: rows with a null class or key are numbered like row_number does
     on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_RANGE).eqNullSafe(F.col("_ord_r"))
     # the offsets are left to AQE: broadcast when the written counts are small, otherwise a

@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from curvelab.functions.vectors import dot
 from curvelab.operators.shared_rows import SharedRows, gathered, part_files
 from curvelab.operators.svm import (
+    FILTER_CLASSES,
     TASK_1VALL,
+    Prepared,
     arrow_codes,
     arrow_matrix,
     masks,
@@ -42,8 +44,6 @@ BLOCK_BYTES = 16 << 20
 # Rows that a task gathers for one pass over the models.
 ROW_BYTES = 64 << 20
 MODEL_COLUMNS = ["task_type", "class_a", "class_b", "size", "iters", "weights", "intercept", "threshold"]
-# Named classes up to this many also become a scan filter (a shortcut, results are the same).
-FILTER_CLASSES = 1000
 
 
 def svm_predict(df: DataFrame, weights, intercept: float = 0.0, threshold: float = 0.0,
@@ -157,31 +157,33 @@ def lowest_margins(batches, blocks, features: str, row_bytes: int):
 
 
 def score_models(
-    rows: DataFrame, models, split: str = "test", block_models: int | None = None, row_bytes: int = ROW_BYTES
+    rows: DataFrame, models, split: str = "test", block_models: int | None = None, row_bytes: int = ROW_BYTES,
+    request: Prepared | None = None,
 ) -> DataFrame:
     """Every model's row (keys, ``n_train``) with ``n_rows, n_wrong, n_pos`` on the test
     (``num > size``) or train split.
 
     ``models``: model rows (``svm.MODEL_SCHEMA``) as a DataFrame or a list.  Rows without a
-    class take no part.  A model without weights has ``n_wrong`` null."""
+    class take no part.  A model without weights has ``n_wrong`` null.  ``request``: what these models were
+    trained from, if at hand; its sizes, width and classes are then not asked of the models again."""
     spark = rows.sparkSession
     models = as_models(spark, models)
     carried = [c for c in ("n_train", "data_version") if c in models.columns]
     table = materialize(
         models.select(*MODEL_COLUMNS, *carried, F.monotonically_increasing_id().alias("m")), "models", cluster_by=None
     )
-    a, b = F.col("class_a"), F.coalesce("class_b", "class_a")
-    span = table.agg(
-        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max((F.col("task_type") == TASK_1VALL).cast("int")).alias("all"),
-        F.max(F.size("weights")).alias("dims"), F.array(F.min(a), F.max(a), F.min(b), F.max(b)).alias("named"),
-        ((F.min(a) == F.max(a)) & (F.min(b) == F.max(b))).alias("one_pair"),
-    ).first()
+    if request is None:
+        lo, hi, has_all, dims = table.agg(
+            F.min("size"), F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int")), F.max(F.size("weights"))
+        ).first()
+    else:
+        lo, hi, has_all, dims = request.least, request.most, request.has_all, request.width
     keys = ["task_type", "class_a", "class_b", "size", "iters"]
     out = [*keys, *carried, "n_rows", "n_wrong", "n_pos"]
-    if span["lo"] is None:
+    if lo is None:
         empty = table.select(*keys, *carried)
         return empty.selectExpr("*", "0L AS n_rows", "0L AS n_wrong", "0L AS n_pos").select(*out)
-    files, per_block = part_files(table), _block_models(span["dims"], block_models)
+    files, per_block = part_files(table), _block_models(dims, block_models)
     train = split == "train"
     columns = [*MODEL_COLUMNS, "m"]
 
@@ -190,14 +192,13 @@ def score_models(
         for ids, n, wrong, pos in count_rows(batches, blocks, train, row_bytes):
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids, n, wrong, pos)], names=["m", "n_rows", "n_wrong", "n_pos"])
 
-    cond = (F.col("num") <= span["hi"]) if train else (F.col("num") > span["lo"])
+    cond = (F.col("num") <= hi) if train else (F.col("num") > lo)
     cond = cond & F.col("class_name").isNotNull()
-    if not span["all"]:
-        some = span["named"]
-        if not span["one_pair"]:
+    if not has_all:
+        some = request.named if request else None
+        if some is None:
             named = table.select(F.explode(F.array("class_a", "class_b")).alias("c")).where("c is not null").distinct()
             some = [r["c"] for r in named.limit(FILTER_CLASSES + 1).collect()]
-        some = {c for c in some if c is not None}
         if len(some) <= FILTER_CLASSES:
             cond = cond & F.col("class_name").isin(sorted(some))
     parts = rows.filter(cond).select("class_name", "num", "features").mapInArrow(

@@ -248,6 +248,10 @@ def _model_rows(specs, W, iters_run, n_t):
     return out
 
 
+# Named classes up to this many are a scan filter, more are a join.
+FILTER_CLASSES = 1000
+
+
 @dataclass
 class Prepared:
     """A request and its training rows, written once; what a trainer needs to know of both."""
@@ -255,6 +259,11 @@ class Prepared:
     specs: DataFrame
     models: int
     sizes: int  # distinct sizes
+    least: int | None  # smallest and largest size
+    most: int | None
+    has_all: bool
+    named: list[str] | None  # classes that a request given as a list names
+    present: list[str] | None = None  # those of them that have training rows
     table: DataFrame | None = None
     files: list[str] | None = None
     n_rows: int = 0
@@ -267,30 +276,30 @@ def prepared(rows: DataFrame, specs) -> Prepared:
     spark = rows.sparkSession
     if isinstance(specs, DataFrame):
         frame = materialize(spec_frame(spark, specs), "request", cluster_by=None)
-        models, sizes, max_size, has_all = frame.agg(
-            F.count(F.lit(1)), F.count_distinct("size"), F.max("size"), F.max((F.col("task_type") == TASK_1VALL).cast("int"))
+        models, sizes, least, most, has_all = frame.agg(
+            F.count(F.lit(1)), F.count_distinct("size"), F.min("size"), F.max("size"),
+            F.max((F.col("task_type") == TASK_1VALL).cast("int")),
         ).first()
-        named = frame
+        named, names = frame, None
     else:
         distinct = list(dict.fromkeys(specs))
         frame, models = spec_frame(spark, distinct), len(distinct)
-        sizes, max_size = len({s.size for s in distinct}), max((s.size for s in distinct), default=0)
+        all_sizes = {s.size for s in distinct}
+        sizes, least, most = len(all_sizes), min(all_sizes, default=None), max(all_sizes, default=None)
         has_all = any(s.task_type == TASK_1VALL for s in distinct)
         named = {c for s in distinct for c in (s.class_a, s.class_b) if c is not None}
-    out = Prepared(frame, models, sizes)
+        names = sorted(named) if len(named) <= FILTER_CLASSES else None
+    out = Prepared(frame, models, sizes, least, most, bool(has_all), names)
     if models:
-        train = training_rows(rows, None if has_all else named, max_size)
+        train = training_rows(rows, None if has_all else named, most)
         out.table = materialize(train, "training_rows")
         out.files = part_files(out.table)
-        n, width = out.table.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-        out.n_rows, out.width = n, max(1, width or 1)
+        known = F.collect_set(F.when(F.col("class_name").isin(names or []), F.col("class_name")))  # at most the named ones
+        n, width, present = out.table.agg(F.count(F.lit(1)), F.max(F.size("features")), known).first()
+        out.n_rows, out.width, out.present = n, max(1, width or 1), present
     return out
 
 
-# Named classes up to this many are a scan filter, more are a join.
-FILTER_CLASSES = 1000
-
-
 def training_rows(rows: DataFrame, named, max_size: int) -> DataFrame:
     """Rows any model can train on: ``num <= max(size)``, a class, and, without a 1-vs-all task,
     only the named classes (a set, or a DataFrame of specs).  Projection keeps the three columns the
@@ -569,11 +578,11 @@ def choose_trainer(class_count: int, size: int, dims: int, limit_bytes: int = 25
     return "grouped" if grouped_memory_bytes(class_count, size, dims) <= limit_bytes else "iterative"
 
 
-def train(rows: DataFrame, specs, trainer: str = "auto", **kw) -> DataFrame:
+def train(rows: DataFrame, specs, trainer: str = "auto", request: Prepared | None = None, **kw) -> DataFrame:
     """Models of a request.  ``auto`` chooses by the written training rows: inner products where the vectors
     are long and the rows fewer than their dimensions, groups in tasks while a task can run through the rows
     quickly, else passes over the cluster."""
-    request = prepared(rows, specs)
+    request = request or prepared(rows, specs)
     if trainer == "auto":
         n, width = request.n_rows, request.width
         trainer = choose_trainer(1, n, width)

@@ -29,17 +29,15 @@ CURVE_COLUMNS = [
 
 
 def model_specs(rows: DataFrame, task_type: str, classes, sizes, iters: int) -> DataFrame | list[ModelSpec]:
-    """The model keys of a curve request: a list for named classes, which must exist, else a DataFrame."""
+    """The model keys of a curve request: a list for named classes, else a DataFrame."""
     sizes = parse_sizes(sizes)
     if task_type == TASK_1V1:
         a, b = parse_pair(classes)
-        check_classes(rows, [a, b])
         return [ModelSpec(TASK_1V1, a, b, s, iters) for s in sizes]
     if task_type == TASK_1VALL:
         if classes is None or classes == "all":
             return all_targets(rows, sizes, iters)
         targets = [classes] if isinstance(classes, str) else list(classes)
-        check_classes(rows, targets)
         return [ModelSpec(TASK_1VALL, t, None, s, iters) for t in targets for s in sizes]
     raise RequestError(f"unknown task type {task_type!r}")
 
@@ -75,12 +73,27 @@ def learning_curve(rows: DataFrame, task_type: str, classes, sizes, iters: int =
     ``rows``: ``class_name string, num bigint, features array<double>``.
     """
     specs = model_specs(rows, task_type, classes, sizes, iters)
-    return curve_from_models(rows, fit_models(rows, specs, trainer, model_path, data_version, **kw))
-
-
-def curve_from_models(rows: DataFrame, trained) -> DataFrame:
-    """The curve of trained models (a DataFrame or a list of model rows)."""
-    return scoring.score_models(rows, trained, split="test").select(
+    if model_path is not None:
+        if isinstance(specs, list):
+            check_classes(rows, named_classes(specs))
+        return curve_from_models(rows, fit_models(rows, specs, trainer, model_path, data_version, **kw))
+    request = svm.prepared(rows, specs)
+    if isinstance(specs, list):
+        # a class with training rows exists; only for others need the whole table be asked
+        unseen = sorted(set(named_classes(specs)) - set(request.present or []))
+        if unseen:
+            check_classes(rows, unseen)
+    return curve_from_models(rows, svm.train(rows, specs, trainer=trainer, request=request, **kw), request)
+
+
+def named_classes(specs: list[ModelSpec]) -> list[str]:
+    return sorted({c for s in specs for c in (s.class_a, s.class_b) if c is not None})
+
+
+def curve_from_models(rows: DataFrame, trained, request: svm.Prepared | None = None) -> DataFrame:
+    """The curve of trained models (a DataFrame or a list of model rows; ``request`` is what they were
+    trained from, if at hand)."""
+    return scoring.score_models(rows, trained, split="test", request=request).select(
         "task_type", "class_a", "class_b", "size", "iters", "n_train",
         F.col("n_rows").alias("n_test"),
         "n_wrong",
