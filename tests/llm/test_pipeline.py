@@ -3,7 +3,7 @@ import corpus_pipeline
 from curvelab.llm import decontamination, minhash, quality, toxicity
 from curvelab.llm.pieces import pieces, vocabulary_path
 
-OPS = {f"op{n}_" for n in range(1, 11)}
+OPS = {f"op{n}_" for n in range(1, 14)}
 
 
 def test_registered():
