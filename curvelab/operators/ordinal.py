@@ -5,10 +5,11 @@ with ten classes and one of them holding a third of the table, that does not
 survive a large input.  The operators here give the same numbers with bounded
 tasks:
 
-1. The ordering key is cut into ``P`` ranges: numeric keys at quantiles
-   (``approxQuantile``: the driver receives ``P - 1`` numbers), other keys at the
-   quantiles of a bounded sample.  The map from key to range is monotone, so
-   ordering by ``(range, key)`` equals ordering by ``key``.
+1. The ordering columns, taken together, are cut into ``P`` ranges at the quantiles of
+   about 16 sampled rows a range.  The ``P - 1`` borders are a sorted literal array in which
+   every row finds its range by binary search, so the cost of a row grows with ``log P``.
+   The map from key to range is monotone, so ordering by ``(range, key)`` equals ordering
+   by ``key``.
 2. ``groupBy(class, range).count()`` -- partial aggregation, ``K x P`` rows,
    written to the shared folder.
 3. A running sum over that small table gives each (class, range) its offset.
@@ -24,25 +25,28 @@ hold the first ``n`` rows are numbered, whatever ``n`` is.
 
 Rows are numbered in place, never joined back by key, so repeated keys neither
 multiply nor share a number.  Rows with equal keys get an arbitrary but complete
-numbering, as with ``row_number``; they fall into one range, so a key should not
-repeat without bound.  Numbers are bigint.
+numbering, as with ``row_number``.  Where a key fills whole ranges (seen as a border that
+occurs twice), a hash of the other columns becomes the last ordering column and the key
+is cut by it; only rows equal in every column stay together.  Numbers are bigint.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from curvelab.session import materialize
 
 _RANGE = "_ord_range"
-_KEY = "_ord_key"
-# Keys drawn to place the range borders of non-numeric keys; borders decide how even the
-# ranges are, never the numbers.
+_TIE = "_ord_tie"
+_SCRATCH = [_RANGE, _TIE, "_ord_off", "_ord_cls", "_ord_r"]
+# Rows drawn to place the borders: at least BORDER_SAMPLE, SAMPLES_PER_RANGE for each range.
+# Borders decide how even the ranges are, never the numbers.
 BORDER_SAMPLE = 4096
-MAX_TEXT_RANGES = 256
+SAMPLES_PER_RANGE = 16
+BORDER_SEED = 7
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -51,32 +55,73 @@ def default_buckets(df: DataFrame) -> int:
     return max(4, 4 * parts)
 
 
-def with_ranges(df: DataFrame, key_col: str, buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
-    """``df`` with a column that is monotone in ``key_col`` and takes about ``buckets`` values
-    of nearly equal size; null for a null key."""
+def _key(order_cols) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+
+
+def _key_type(df: DataFrame, order_cols) -> str:
+    return df.select(_key(order_cols).alias("k")).schema["k"].dataType.simpleString()
+
+
+def range_borders(df: DataFrame, order_cols, buckets: int | None = None) -> tuple[str, bool]:
+    """Borders of about ``buckets`` ranges of nearly equal size over the ordering columns, as
+    JSON text, and whether some key fills a whole range or more."""
     p = buckets or default_buckets(df)
-    if isinstance(df.schema[key_col].dataType, NumericType):
-        # rank error 1/(2P): each range stays near N/P rows (at most about 2N/P) and
-        # the quantile sketch stays O(P) entries even for tens of thousands of ranges
-        err = relative_error if relative_error is not None else 1.0 / (2 * p)
-        keyed = df.withColumn(_KEY, F.col(key_col).cast("double"))
-        cuts = keyed.approxQuantile(_KEY, [i / p for i in range(1, p)], err) if p > 1 else []
-        splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
-        return ranged.drop(_KEY).withColumn(_RANGE, F.when(F.col(key_col).isNotNull(), F.col(_RANGE).cast("bigint")))
-    sample = df.select(key_col).where(F.col(key_col).isNotNull()).orderBy(F.xxhash64(key_col), key_col).limit(BORDER_SAMPLE)
-    keys = sorted((r[0] for r in sample.collect()), key=lambda k: k.encode() if isinstance(k, str) else k)
-    p = min(p, MAX_TEXT_RANGES)
-    borders = list(dict.fromkeys(keys[len(keys) * i // p] for i in range(1, p))) if keys else []
-    at = F.lit(0).cast("bigint")
-    if borders:
-        passed = F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= F.col(key_col))
-        at = F.size(passed).cast("bigint")
-    return df.withColumn(_RANGE, F.when(F.col(key_col).isNotNull(), at))
+    keys = df.select(_key(order_cols).alias("k"))
+    total = keys.count()
+    if p < 2 or total == 0:
+        return "[]", False
+    wanted = max(BORDER_SAMPLE, SAMPLES_PER_RANGE * p)
+    drawn = keys if total <= wanted else keys.sample(wanted / total, BORDER_SEED)
+    ranked = drawn.agg(F.sort_array(F.collect_list("k")).alias("all")).where(F.size("all") > 0)
+    place = lambda i: F.get("all", F.floor(F.size("all").cast("bigint") * i / p).cast("int"))
+    cuts = ranked.select(F.transform(F.sequence(F.lit(1), F.lit(p - 1)), place).alias("cuts"), F.size("all").alias("n"))
+    row = cuts.select(
+        F.to_json(F.array_distinct("cuts")).alias("borders"),
+        # fewer rows than ranges repeat borders without any key being frequent
+        ((F.size(F.array_distinct("cuts")) < F.size("cuts")) & (F.col("n") >= 2 * p)).alias("tied"),
+    ).first()
+    return (row["borders"], row["tied"]) if row else ("[]", False)
+
+
+def with_borders(df: DataFrame, order_cols, borders: str) -> DataFrame:
+    """``df`` with the range of each row: the number of borders at or below its key, found by
+    binary search.  Null keys sort first, as in ``orderBy``."""
+    # folded into one literal; sorted by Spark's own order, whatever the round trip through text did
+    cuts = F.sort_array(F.from_json(F.lit(borders), f"array<{_key_type(df, order_cols)}>"))
+    count = len(json.loads(borders))
+
+    def halve(found, width):
+        last = found["lo"] + width
+        here = (last <= count) & (F.get(cuts, last - 1) <= found["key"])
+        return F.struct(F.when(here, last).otherwise(found["lo"]).alias("lo"), found["key"].alias("key"))
+
+    widths = F.array(*[F.lit(1 << i) for i in reversed(range(count.bit_length()))]) if count else F.array(F.lit(1))
+    start = F.struct(F.lit(0).alias("lo"), _key(order_cols).alias("key"))
+    return df.withColumn(_RANGE, F.aggregate(widths, start, halve, lambda found: found["lo"].cast("bigint")))
+
+
+def _tie_hash(df: DataFrame, order_cols) -> Column | None:
+    """A hash of the columns that do not order the rows; None where there is none to hash."""
+    unhashable = ("map<", "variant")
+    rest = [f.name for f in df.schema if f.name not in order_cols and not any(t in f.dataType.simpleString() for t in unhashable)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else None
+
+
+def with_ranges(df: DataFrame, order_cols, buckets: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with a range column that is monotone in the ordering columns and takes about
+    ``buckets`` values of nearly equal size, and the columns that order the rows inside a range."""
+    order = list(order_cols)
+    borders, tied = range_borders(df, order, buckets)
+    tie = _tie_hash(df, order) if tied else None
+    if tie is not None:
+        df, order = df.withColumn(_TIE, tie), [*order, _TIE]
+        borders, _ = range_borders(df, order, buckets)
+    return with_borders(df, order, borders), order
 
 
 def _offsets(ranged: DataFrame, class_col: str) -> DataFrame:
-    """(class, range, offset): rows of the class in earlier ranges; null keys come first."""
+    """(class, range, offset): rows of the class in earlier ranges."""
     counts = ranged.groupBy(class_col, _RANGE).agg(F.count(F.lit(1)).alias("_ord_n"))
     before = Window.partitionBy(class_col).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
@@ -94,20 +139,20 @@ def _numbered(rows: DataFrame, class_col: str, order_cols, out_col: str) -> Data
 def class_ordinal(
     df: DataFrame,
     class_col: str,
-    order_col: str,
+    order_cols,
     out_col: str = "num",
     buckets: int | None = None,
-    relative_error: float | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = 1-based position of each row inside its class by ``order_col``."""
-    ranged = with_ranges(df, order_col, buckets, relative_error)
+    """Add ``out_col`` = 1-based position of each row inside its class by ``order_cols``."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    ranged, order = with_ranges(df, order_cols, buckets)
     offsets = materialize(_offsets(ranged.select(class_col, _RANGE), class_col), "range_offsets", cluster_by=None)
-    # null-safe keys: rows with a null class or key are numbered like row_number does
-    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_RANGE).eqNullSafe(F.col("_ord_r"))
+    # null-safe keys: rows with a null class are numbered like row_number does
+    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & (F.col(_RANGE) == F.col("_ord_r"))
     # the offsets are left to AQE: broadcast when the written counts are small, otherwise a
     # shuffle join co-partitioned with the window
     placed = ranged.join(offsets, on, "inner")
-    return _numbered(placed, class_col, [order_col], out_col).drop(_RANGE, "_ord_off", "_ord_cls", "_ord_r")
+    return _numbered(placed, class_col, order, out_col).drop(*_SCRATCH)
 
 
 def class_ordinal_head(
@@ -125,20 +170,19 @@ def class_ordinal_head(
     its true position does (``> t``).  No row is dropped.  A learning curve with sizes up to
     ``n`` gives the same result on this column as on the full ordinal.
 
-    Ranges are cut on the first order column.  A row of a range that begins after its
+    A row of a range that begins after its
     class's ``n``-th row is settled by a join with the small offsets table; only rows
     of the ranges before (about ``n + N / P`` a class) are shuffled and numbered.
     """
     n = int(n)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    ranged = with_ranges(df, order_cols[0], buckets)
+    ranged, order = with_ranges(df, order_cols, buckets)
     offsets = _offsets(ranged.select(class_col, _RANGE), class_col)
     early = materialize(offsets.where(F.col("_ord_off") < n), "early_ranges", cluster_by=None)
-    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & F.col(_RANGE).eqNullSafe(F.col("_ord_r"))
-    scratch = [_RANGE, "_ord_off", "_ord_cls", "_ord_r"]
-    head = _numbered(ranged.join(early, on, "inner"), class_col, order_cols, out_col)
-    head = head.withColumn(out_col, F.least(F.col(out_col), F.lit(n + 1).cast("bigint"))).drop(*scratch)
-    rest = ranged.join(early, on, "left_anti").drop(_RANGE).withColumn(out_col, F.lit(n + 1).cast("bigint"))
+    on = F.col(class_col).eqNullSafe(F.col("_ord_cls")) & (F.col(_RANGE) == F.col("_ord_r"))
+    head = _numbered(ranged.join(early, on, "inner"), class_col, order, out_col)
+    head = head.withColumn(out_col, F.least(F.col(out_col), F.lit(n + 1).cast("bigint"))).drop(*_SCRATCH)
+    rest = ranged.join(early, on, "left_anti").drop(_RANGE, _TIE).withColumn(out_col, F.lit(n + 1).cast("bigint"))
     return head.unionByName(rest)
 
 

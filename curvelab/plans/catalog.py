@@ -502,6 +502,18 @@ def q_split_quota_large(spark, sf_dir):
     return splits.split_quota(docs, 1001, class_col="lang", order_cols=("doc_id",))
 
 
+def q_split_quota_appended(spark, sf_dir):
+    """F3 over three loads whose keys fall between each other's, by stored counts."""
+    from curvelab.operators.stored_ordinals import append_counts, split_quota_stored
+    from curvelab.session import shared_path
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("doc_id").cast("string").alias("file_name"))
+    path = shared_path(spark, "ordinals")
+    for load in range(3):
+        append_counts(docs.where(F.col("doc_id") % 3 == load), path, str(load), "lang", ["file_name"])
+    return split_quota_stored(docs, path, 60, "lang", ["file_name"]).select("doc_id", "lang", "split")
+
+
 # ---------------------------------------------------------------- files: S1, S3-S5, K3, K5, F4, M11, M13
 
 
@@ -728,6 +740,7 @@ QUERIES = {
     "learning_curve_gap": q_learning_curve_gap,
     "learning_curve_gap_iterative": q_learning_curve_gap_iterative,
     "split_quota_large": q_split_quota_large,
+    "split_quota_appended": q_split_quota_appended,
     "feature_line_files": q_feature_line_files,
     "feature_json_files": q_feature_json_files,
     "read_images": q_read_images,

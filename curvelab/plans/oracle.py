@@ -429,6 +429,9 @@ FROM models m JOIN ntr ON m.mid = ntr.mid"""
     q["learning_curve_gap_iterative"] = q["learning_curve_gap"]
     q["split_quota_large"] = """SELECT doc_id, lang,
        CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 1001 THEN 'train' ELSE 'test' END AS split
+FROM documents"""
+    q["split_quota_appended"] = """SELECT doc_id, lang,
+       CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY CAST(doc_id AS VARCHAR)) <= 60 THEN 'train' ELSE 'test' END AS split
 FROM documents"""
     q["feature_line_files"] = _with(CLASS_ROWS) + f"""SELECT class_name, num, {_summary('f')}
 FROM (SELECT class_name, num, list_transform({QUANT}, lambda v: CAST(v AS DOUBLE)) AS f FROM class_rows)"""
