@@ -42,6 +42,7 @@ Trainers (same models from each; which one runs changes no row):
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass
 
@@ -169,7 +170,8 @@ def fit_gram(K, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL
 
 
 def step_update(W, G, i, step=DEFAULT_STEP, reg=DEFAULT_REG):
-    st = step / math.sqrt(i)
+    """Step ``i`` of every column; ``i`` may hold a number for each."""
+    st = step / np.sqrt(i)
     return W * (1.0 - st * reg) - st * G
 
 
@@ -461,103 +463,104 @@ _MODEL_TYPES = [
 ]
 
 
-def _spec_blocks(specs: DataFrame, per_block: int):
-    """The request in blocks of at most ``per_block`` models; the driver holds one block."""
-    block: list[ModelSpec] = []
-    for r in specs.orderBy(*SPEC_COLUMNS).toLocalIterator():
-        block.append(ModelSpec(r["task_type"], r["class_a"], r["class_b"], r["size"], r["iters"]))
-        if len(block) == per_block:
-            yield block
-            block = []
-    if block:
-        yield block
+def _waiting(specs: DataFrame):
+    """The request as a queue, models with the most iterations first; the driver fetches it as it goes."""
+    for r in specs.orderBy(F.desc("iters"), *SPEC_COLUMNS).toLocalIterator():
+        yield ModelSpec(r["task_type"], r["class_a"], r["class_b"], r["size"], r["iters"])
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
                     partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES, request: Prepared | None = None) -> DataFrame:
-    """One distributed pass per iteration for a block of models; the driver holds that block's
-    weights and receives its summed gradients, and finished blocks are written as a table."""
+    """Distributed passes over the training rows, each one iteration of every model that holds a slot.
+
+    There are as many slots as weights fit ``block_bytes``.  A model that has converged or reached its
+    iterations leaves its slot to the next one of the queue, so no pass waits for the stragglers of a block.
+    The driver holds the slots' weights and receives their summed gradients; finished models are written
+    as a table, a block at a time."""
     spark = rows.sparkSession
     request = request or prepared(rows, specs)
     if not request.models:
         return spark.createDataFrame([], MODEL_SCHEMA)
-    specs, dims = request.specs, request.width
+    dims = request.width
     # read from the shared folder (a lost executor reads it again instead of computing the plan again);
     # every pass launches one task a partition, so the rows are packed into partitions of about
     # ``partition_bytes`` (a no-op where there are no more partitions than that)
     train = request.table.coalesce(max(1, math.ceil(request.n_rows * (8 * dims + 64) / partition_bytes)))
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     path = shared_path(spark, "trained")
-    for block in _spec_blocks(specs, max(1, block_bytes // (8 * dims))):
-        done = _train_block(spark, train, block, step, reg, tol)
-        spark.createDataFrame(done, MODEL_SCHEMA).write.mode("append").parquet(path)
+
+    def write(models):
+        spark.createDataFrame(models, MODEL_SCHEMA).write.mode("append").parquet(path)
+
+    slots = max(1, block_bytes // (8 * dims))
+    waiting, finished = _waiting(request.specs), []
+    live, W, at = [], np.zeros((dims, 0)), np.zeros(0, np.int64)
+    while True:
+        joining = list(itertools.islice(waiting, slots - len(live)))
+        live += joining
+        W = np.concatenate([W, np.zeros((dims, len(joining)))], axis=1)
+        at = np.concatenate([at, np.zeros(len(joining), np.int64)])
+        if not live:
+            break
+        G, n_t = _gradient_pass(train, live, W)
+        wanted = np.array([s.iters for s in live])
+        steps = (n_t > 0) & (wanted > 0)
+        now = W.copy()
+        at[steps] += 1
+        now[:, steps] = step_update(W[:, steps], -G[:, steps] / n_t[steps], at[steps], step, reg)
+        done = ~steps | (at >= wanted) | ((at >= 2) & converged(W, now, tol))
+        W = now
+        left = np.flatnonzero(done)
+        finished += _model_rows([live[j] for j in left], W[:, left], at[left], n_t[left])
+        if len(finished) >= slots:
+            write(finished)
+            finished = []
+        live, W, at = [s for s, out in zip(live, done) if not out], W[:, ~done], at[~done]
+    if finished:
+        write(finished)
     train.unpersist()
     return spark.read.schema(MODEL_SCHEMA).parquet(path)
 
 
-def _train_block(spark, train: DataFrame, specs: list[ModelSpec], step, reg, tol) -> list[tuple]:
+def _gradient_pass(train: DataFrame, specs: list[ModelSpec], W) -> tuple[np.ndarray, np.ndarray]:
+    """One pass over the training rows: (sums of the active rows' signed vectors (d, T), training rows (T,))."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    sc = spark.sparkContext
     index = class_index(specs)
-    a, b, is_all, sizes = spec_arrays(specs, index)
-    T = len(specs)
-    iters_of = np.array([s.iters for s in specs])
-    W, n_t = None, np.zeros(T, np.int64)
-    done = np.zeros(T, dtype=bool)
-    iters_run = np.zeros(T, dtype=np.int32)
-    for i in range(1, int(iters_of.max()) + 1):
-        todo = np.flatnonzero(~done & (iters_of >= i))
-        if todo.size == 0:
-            break
-        bc = sc.broadcast((None if W is None else W[:, todo], a[todo], b[todo], is_all[todo], sizes[todo], index))
-
-        def partial_gradients(batches, bc=bc):
-            Wt, ta, tb, tall, tsz, idx = bc.value
-            g, cnt = None, np.zeros(len(ta), np.int64)
-            for batch in batches:
-                feats = batch.column("features")
-                codes = arrow_codes(batch.column("class_name"), idx)
-                nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-                for lo, hi in row_slices(batch.num_rows, slice_rows(len(ta))):
-                    X = arrow_matrix(feats.slice(lo, hi - lo))
-                    M, Y = masks(codes[lo:hi], nums[lo:hi], ta, tb, tall, tsz, train=True)
-                    S = np.where(M, 2.0 * Y - 1.0, 0.0)
-                    act = ((S * (X @ Wt) < 1.0) if Wt is not None else True) & M
-                    part = X.T @ np.where(act, S, 0.0)
-                    g = part if g is None else g + part
-                    cnt += M.sum(axis=0)
-            if g is None:
-                return
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, g.size + 1, len(g), dtype=np.int32)), pa.array(g.T.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(g.shape[1], dtype=np.int32)), pa.array(cnt), lists], names=["t", "n", "g"])
-
-        # partial sums combined by a JVM vector aggregate; the driver gets one row per model of the block
-        summed = (
-            train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
-            .groupBy("t")
-            .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
-            .collect()
-        )
-        bc.destroy()
-        if not summed:
-            break
-        W = np.zeros((len(summed[0]["g"]), T)) if W is None else W
-        G, n_now = np.zeros((len(W), todo.size)), np.zeros(todo.size, np.int64)
-        for r in summed:
-            G[:, r["t"]], n_now[r["t"]] = r["g"].toArray(), r["n"]
-        if i == 1:
-            n_t[todo] = n_now
-            done |= n_t == 0
-            live = n_now > 0
-            todo, G, n_now = todo[live], G[:, live], n_now[live]
-        Wt = W[:, todo]
-        W[:, todo] = step_update(Wt, -G / n_now, i, step, reg)
-        iters_run[todo] = i
-        if i >= 2:
-            done[todo] = converged(Wt, W[:, todo], tol)
-    return _model_rows(specs, W, iters_run, n_t)
+    bc = train.sparkSession.sparkContext.broadcast((W, *spec_arrays(specs, index), index))
+
+    def partial_gradients(batches, bc=bc):
+        Wt, ta, tb, tall, tsz, idx = bc.value
+        g, cnt = np.zeros_like(Wt), np.zeros(len(ta), np.int64)
+        for batch in batches:
+            feats = batch.column("features")
+            codes = arrow_codes(batch.column("class_name"), idx)
+            nums = batch.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in row_slices(batch.num_rows, slice_rows(len(ta))):
+                X = arrow_matrix(feats.slice(lo, hi - lo))
+                M, Y = masks(codes[lo:hi], nums[lo:hi], ta, tb, tall, tsz, train=True)
+                S = np.where(M, 2.0 * Y - 1.0, 0.0)
+                act = (S * (X @ Wt) < 1.0) & M
+                g += X.T @ np.where(act, S, 0.0)
+                cnt += M.sum(axis=0)
+        if not cnt.any():
+            return
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, g.size + 1, len(g), dtype=np.int32)), pa.array(g.T.ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(g.shape[1], dtype=np.int32)), pa.array(cnt), lists], names=["t", "n", "g"])
+
+    # partial sums combined by a JVM vector aggregate; the driver gets one row per model in a slot
+    summed = (
+        train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
+        .groupBy("t")
+        .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
+        .collect()
+    )
+    bc.destroy()
+    G, n_t = np.zeros(W.shape), np.zeros(len(specs), np.int64)
+    for r in summed:
+        G[:, r["t"]], n_t[r["t"]] = r["g"].toArray(), r["n"]
+    return G, n_t
 
 
 def train_mllib(labeled: DataFrame, iters=DEFAULT_ITERS, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):

@@ -180,3 +180,25 @@ def test_model_buckets_do_not_change_weights(rows):
     assert one.keys() == many.keys() and len(one) == 10
     for k in one:
         assert np.max(np.abs(np.array(one[k]) - np.array(many[k]))) < 1e-12
+
+
+def test_slots_are_refilled_and_weights_stay_the_same(spark, monkeypatch):
+    """One long model and ten short ones through three slots: twelve passes, where blocks one after the other
+    take 12 + 2 + 2 + 2; early stops free slots too."""
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame(
+        [(f"c{k % 6}", k // 6 + 1, [float(x) for x in rng.normal(size=7) + (k % 6)]) for k in range(90)],
+        "class_name string, num int, features array<double>")
+    specs = [svm.ModelSpec(svm.TASK_1VALL, "c0", None, 10, 12)]
+    specs += [svm.ModelSpec(svm.TASK_1VALL, f"c{k % 5 + 1}", None, 3 + k // 5, 2) for k in range(10)]
+    passes, real = [], svm._gradient_pass
+    monkeypatch.setattr(svm, "_gradient_pass", lambda *a: passes.append(len(a[1])) or real(*a))
+    for tol, most in ((0.0, 12), (svm.DEFAULT_TOL, 12), (0.5, 11)):
+        passes.clear()
+        one = {(r["class_a"], r["size"]): r for r in svm.train_iterative(rows, specs, tol=tol, block_bytes=3 * 8 * 7).collect()}
+        assert len(passes) <= most and max(passes) == 3
+        two = {(r["class_a"], r["size"]): r for r in svm.train_grouped(rows, specs, tol=tol).collect()}
+        assert one.keys() == two.keys() and len(one) == 11
+        for key, r in one.items():
+            assert (r["n_train"], r["iters_run"]) == (two[key]["n_train"], two[key]["iters_run"])
+            assert np.allclose(r["weights"], two[key]["weights"], atol=1e-9)
