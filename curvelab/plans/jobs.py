@@ -13,15 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvelab.functions.names import base_name, class_and_num
 from curvelab.operators import models as model_table
 from curvelab.operators import score as scoring
-from curvelab.operators.featurize import featurize, skip_if_featurized
-from curvelab.operators.shared_rows import open_uri
+from curvelab.operators.featurize import skip_if_featurized
+from curvelab.operators.files_by_bytes import featurize_files
 from curvelab.operators.svm import DEFAULT_ITERS, TASK_1V1, TASK_1VALL
 from curvelab.plans import curves
 from curvelab.plans.requests import RequestError, validate_request
@@ -51,32 +50,15 @@ def extract_features(spark: SparkSession, image_dir: str, table_path: str, model
 
 def new_image_features(spark: SparkSession, image_dir: str, table_path: str, model_factory: Callable,
                        dims: int | None = None, glob: str = "*.jpg") -> DataFrame:
-    """Features of the images that ``table_path`` does not hold."""
+    """Features of the images that ``table_path`` does not hold; files are dealt to tasks by their bytes."""
     named = class_and_num(base_name("path"))
     todo = list_inputs(spark, image_dir, glob=glob).select(
-        "path", "file_name", named.getField("class_name").alias("class_name"), named.getField("num").alias("num")
+        "path", "length", "file_name", named.getField("class_name").alias("class_name"), named.getField("num").alias("num")
     )
     there = read_if_there(lambda: spark.read.parquet(table_path))
     if there is not None:
         todo = skip_if_featurized(todo, there, key="path" if "path" in there.columns else "file_name")
-    bodies = todo.mapInArrow(_read_bodies, "path string, file_name string, class_name string, num bigint, content binary")
-    return featurize(bodies, model_factory, "content", "features", dims).select(*FEATURE_COLUMNS)
-
-
-def _read_bodies(batches, batch_files: int = 64):
-    """The bodies of listed files, a bounded number of files at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, batch_files):
-            part = batch.slice(at, batch_files)
-            content = []
-            for uri in part.column("path").to_pylist():
-                store, path = open_uri(uri)
-                with store.open_input_stream(path) as f:
-                    content.append(f.read())
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in ("path", "file_name", "class_name", "num")), pa.array(content, pa.binary())],
-                names=["path", "file_name", "class_name", "num", "content"],
-            )
+    return featurize_files(todo, model_factory, "features", dims).select(*FEATURE_COLUMNS)
 
 
 def curve_job(spark: SparkSession, features: str | DataFrame, one_vs_one=None, one_vs_all=None,

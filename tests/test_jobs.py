@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from curvelab.plans.jobs import classify_files, curve_job, extract_features, new_image_features
 from curvelab.plans.requests import RequestError
+from curvelab.operators.files_by_bytes import dealt_by_bytes, featurize_files, groups_by_bytes
 from curvelab.session import materialize
+from curvelab.sources.readers import list_inputs
 
 
 def byte_model():
@@ -34,9 +36,10 @@ def test_extract_features_incremental(spark, shared):
     got = sorted((r["class_name"], r["num"]) for r in spark.read.parquet(table).collect())
     assert got == [("beagle", 1), ("beagle", 2), ("pug", 1), ("pug", 2)]
     # names are listed and compared without bodies
-    plan = new_image_features(spark, src, table, byte_model, dims=3)._jdf.queryExecution().executedPlan().toString()
+    plan = list_inputs(spark, src, glob="*.jpg").select("path", "length")._jdf.queryExecution().executedPlan().toString()
     scans = re.findall(r"binaryFile \[([^\]]*)\]", plan)
     assert scans and not any("content" in s for s in scans)
+    assert new_image_features(spark, src, table, byte_model, dims=3).count() == 0
 
 
 def test_equal_names_in_different_folders(spark, shared):
@@ -102,3 +105,37 @@ def test_curve_job_and_classify(spark, rows, shared):
         classify_files(spark, src, models)
     got = classify_files(spark, src, models, size=5).collect()
     assert len(got) == 10 and {g["predicted_class"] for g in got} <= {"breed_a", "breed_b", "breed_c"}
+
+
+def test_files_are_dealt_by_bytes(spark):
+    """One huge file and 10,000 small ones: no task holds more than its bytes and one file."""
+    huge, each, opened = 5 << 30, 64 << 20, 64 << 10
+    files = spark.range(10_001, numPartitions=3).select(
+        F.concat(F.lit("p"), "id").alias("path"),
+        F.when(F.col("id") == 4000, huge).when(F.col("id") % 1000 != 7, 1000 + F.col("id") % 50_000).alias("length"))
+    dealt = dealt_by_bytes(files, each, opened).withColumn("task", F.spark_partition_id())
+    tasks = dealt.groupBy("task").agg(F.sum(F.coalesce("length", F.lit(0)) + opened).alias("bytes"), F.max("length").alias("top")).collect()
+    assert dealt.count() == 10_001 and dealt.select("path").distinct().count() == 10_001
+    assert max(t["bytes"] - ((t["top"] or 0) + opened) for t in tasks) < each  # the one file more is opened too
+    assert sum((t["top"] or 0) == huge for t in tasks) == 1 and len(tasks) > 8
+    assert dealt_by_bytes(files.where("id < 0")).count() == 0
+    assert list(groups_by_bytes([5, 5, 5, 90, None, 3, 3], 10)) == [(0, 2), (2, 3), (3, 4), (4, 7)]
+    assert list(groups_by_bytes([], 10)) == []
+
+
+def test_bodies_are_read_in_groups_of_bounded_bytes(spark, shared):
+    src = shared("img").replace("file:", "")
+    os.makedirs(src)
+    sizes = {f"cat_{i}.jpg": 20_000 if i == 5 else 100 + i for i in range(40)} | {"cat_99.jpg": 0}
+    for name, n in sizes.items():
+        with open(f"{src}/{name}", "wb") as f:
+            f.write(b"x" * n)
+
+    def group_size():
+        return lambda bodies: np.array([[len(b), sum(map(len, bodies)), len(bodies)] for b in bodies], dtype=float)
+
+    got = featurize_files(list_inputs(spark, src), group_size, dims=3, task_bytes=1 << 20, group_bytes=1000).collect()
+    assert {r["file_name"]: r["features"][0] for r in got} == sizes
+    assert all(r["features"][1] <= 1000 or r["features"][2] == 1 for r in got)
+    with pytest.raises(Exception, match="expected 2"):
+        featurize_files(list_inputs(spark, src), group_size, dims=2).collect()
