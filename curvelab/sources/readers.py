@@ -82,7 +82,8 @@ def read_images(spark: SparkSession, path: str, glob: str = "*.jpg", recursive:
 
 
 def list_inputs(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """Listing only -- ``content`` is never selected, so file bodies are not read."""
+    """Listing only -- ``content`` is never selected, so file bodies are not read.  Spark's
+    file sources list no empty files, so those do not appear."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
