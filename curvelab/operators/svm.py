@@ -38,6 +38,10 @@ Trainers (same models from each; which one runs changes no row):
     partition, a JVM vector-sum aggregate); the driver and the broadcast hold one
     block of weights (``BLOCK_BYTES``); input written to the shared folder.
   * ``train_mllib``     -- MLlib ``SVMWithSGD`` on one model, parity checks only.
+
+With ``errors=True`` a trainer adds ``n_wrong`` (A4): the training rows that the final weights predict wrongly,
+counted where the rows are at hand (grouped, gram) or in one more pass of the model's slot (iterative), so the
+training error needs no scan of its own.  Models without training rows have null there.
 """
 
 from __future__ import annotations
@@ -169,6 +173,14 @@ def fit_gram(K, Y, M, iters, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL
     return C, iters_run, n_t
 
 
+def wrong_rows(slices, W) -> np.ndarray:
+    """Training rows of each model that its weights predict wrongly; ``slices()`` as in ``fit_slices``."""
+    wrong = np.zeros(W.shape[1], np.int64)
+    for X, Y, M in slices():
+        wrong += (((X @ W > 0) != (Y > 0.5)) & M).sum(axis=0)
+    return wrong
+
+
 def step_update(W, G, i, step=DEFAULT_STEP, reg=DEFAULT_REG):
     """Step ``i`` of every column; ``i`` may hold a number for each."""
     st = step / np.sqrt(i)
@@ -242,14 +254,19 @@ def spec_frame(spark: SparkSession, specs) -> DataFrame:
     return spark.createDataFrame([s.key() for s in dict.fromkeys(specs)], SPEC_SCHEMA)
 
 
-def _model_rows(specs, W, iters_run, n_t):
+def _model_rows(specs, W, iters_run, n_t, wrong=None):
     out = []
     for j, s in enumerate(specs):
         weights = [float(v) for v in W[:, j]] if n_t[j] else None
-        out.append((*s.key(), int(n_t[j]), int(iters_run[j]), weights, 0.0, 0.0))
+        errors = () if wrong is None else (int(wrong[j]) if n_t[j] else None,)
+        out.append((*s.key(), int(n_t[j]), int(iters_run[j]), weights, 0.0, 0.0, *errors))
     return out
 
 
+def _schema(errors: bool) -> str:
+    return f"{MODEL_SCHEMA}, n_wrong bigint" if errors else MODEL_SCHEMA
+
+
 # Named classes up to this many are a scan filter, more are a join.
 FILTER_CLASSES = 1000
 
@@ -340,7 +357,8 @@ def _groups(request: Prepared, buckets: int, *keys: str) -> DataFrame:
 
 
 def _model_batch(rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _MODEL_TYPES)], names=_MODEL_NAMES)
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), [*_MODEL_TYPES, pa.int64()])]
+    return pa.RecordBatch.from_arrays(columns, names=[*_MODEL_NAMES, "n_wrong"][: len(columns)])
 
 
 def inner_products(slices: SharedRows, n: int) -> tuple[np.ndarray, np.ndarray, list]:
@@ -364,13 +382,14 @@ def inner_products(slices: SharedRows, n: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def train_gram(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-               models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None) -> DataFrame:
+               models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None,
+               errors: bool = False) -> DataFrame:
     """One task per group of classes with all their sizes.  Rows in order of ``num``: those of a size are the
     first ones, its inner products a leading submatrix.  At most ``GRAM_ROWS`` training rows."""
     spark = rows.sparkSession
     request = request or prepared(rows, specs)
     if not request.models:
-        return spark.createDataFrame([], MODEL_SCHEMA)
+        return spark.createDataFrame([], _schema(errors))
     if request.n_rows > GRAM_ROWS:
         raise ValueError(f"{request.n_rows} training rows; inner products are held for at most {GRAM_ROWS}")
     files, n, width = request.files, request.n_rows, request.width
@@ -409,19 +428,33 @@ def train_gram(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=D
                     W += arrow_matrix(part.column("features")).T @ C[low : low + part.num_rows]
                     low += part.num_rows
                 run, n_t = (np.concatenate(v) for v in zip(*fitted))
-                yield _model_batch(_model_rows(mine, W, run, n_t))
+                wrong = None
+                if errors:
+                    wrong = wrong_rows(lambda: masked_slices(shared, mine, index), W)
+                yield _model_batch(_model_rows(mine, W, run, n_t, wrong))
+
+    return _groups(request, buckets).repartition(buckets).mapInArrow(fit_groups, _schema(errors))
 
-    return _groups(request, buckets).repartition(buckets).mapInArrow(fit_groups, MODEL_SCHEMA)
+
+def masked_slices(shared, specs, index):
+    """Vectors, labels and masks of the written training rows, slice by slice, for models of a request."""
+    a, b, is_all, sizes = spec_arrays(specs, index)
+    for part in shared:
+        X = arrow_matrix(part.column("features"))
+        nums = part.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
+        M, Y = masks(arrow_codes(part.column("class_name"), index), nums, a, b, is_all, sizes, train=True)
+        yield X, Y, M
 
 
 def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                  models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None) -> DataFrame:
+                  models_per_group: int = MODELS_PER_GROUP, slice_bytes: int = SLICE_BYTES, request: Prepared | None = None,
+                  errors: bool = False) -> DataFrame:
     """One task per group of models of a size; each reads the written training rows with
     ``num <= size`` slice by slice, once per iteration (from memory where they fit)."""
     spark = rows.sparkSession
     request = request or prepared(rows, specs)
     if not request.models:
-        return spark.createDataFrame([], MODEL_SCHEMA)
+        return spark.createDataFrame([], _schema(errors))
     models, sizes, files = request.models, request.sizes, request.files
     per_slice = max(1, slice_bytes // (8 * max(request.width, models_per_group)))
     buckets = max(1, math.ceil(models / max(1, sizes) / models_per_group))
@@ -441,19 +474,18 @@ def train_grouped(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, to
                 out = []
                 for iters in sorted({s.iters for s in group_specs}):
                     mine = [s for s in group_specs if s.iters == iters]
-                    a, b, is_all, sz = spec_arrays(mine, index)
 
-                    def slices(shared=shared, a=a, b=b, is_all=is_all, sz=sz, index=index):
-                        for part in shared:
-                            X = arrow_matrix(part.column("features"))
-                            nums = part.column("num").to_numpy(zero_copy_only=False).astype(np.int64)
-                            M, Y = masks(arrow_codes(part.column("class_name"), index), nums, a, b, is_all, sz, train=True)
-                            yield X, Y, M
+                    def slices(shared=shared, mine=mine, index=index):
+                        return masked_slices(shared, mine, index)
 
-                    out += _model_rows(mine, *fit_slices(slices, len(mine), iters, step, reg, tol))
+                    W, run, n_t = fit_slices(slices, len(mine), iters, step, reg, tol)
+                    wrong = None
+                    if errors:
+                        wrong = wrong_rows(slices, W) if W is not None else n_t
+                    out += _model_rows(mine, W, run, n_t, wrong)
                 yield _model_batch(out)
 
-    return groups.repartition(sizes * buckets).mapInArrow(fit_groups, MODEL_SCHEMA)
+    return groups.repartition(sizes * buckets).mapInArrow(fit_groups, _schema(errors))
 
 
 _MODEL_NAMES = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
@@ -470,17 +502,19 @@ def _waiting(specs: DataFrame):
 
 
 def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL,
-                    partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES, request: Prepared | None = None) -> DataFrame:
+                    partition_bytes: int = 64 << 20, block_bytes: int = BLOCK_BYTES, request: Prepared | None = None,
+                    errors: bool = False) -> DataFrame:
     """Distributed passes over the training rows, each one iteration of every model that holds a slot.
 
     There are as many slots as weights fit ``block_bytes``.  A model that has converged or reached its
     iterations leaves its slot to the next one of the queue, so no pass waits for the stragglers of a block.
     The driver holds the slots' weights and receives their summed gradients; finished models are written
-    as a table, a block at a time."""
+    as a table, a block at a time.  With ``errors`` a finished model keeps its slot for one more pass, whose
+    margins are those of its final weights."""
     spark = rows.sparkSession
     request = request or prepared(rows, specs)
     if not request.models:
-        return spark.createDataFrame([], MODEL_SCHEMA)
+        return spark.createDataFrame([], _schema(errors))
     dims = request.width
     # read from the shared folder (a lost executor reads it again instead of computing the plan again);
     # every pass launches one task a partition, so the rows are packed into partitions of about
@@ -490,40 +524,43 @@ def train_iterative(rows: DataFrame, specs, step=DEFAULT_STEP, reg=DEFAULT_REG,
     path = shared_path(spark, "trained")
 
     def write(models):
-        spark.createDataFrame(models, MODEL_SCHEMA).write.mode("append").parquet(path)
+        spark.createDataFrame(models, _schema(errors)).write.mode("append").parquet(path)
 
     slots = max(1, block_bytes // (8 * dims))
     waiting, finished = _waiting(request.specs), []
-    live, W, at = [], np.zeros((dims, 0)), np.zeros(0, np.int64)
+    live, W, at, closing = [], np.zeros((dims, 0)), np.zeros(0, np.int64), np.zeros(0, bool)
     while True:
         joining = list(itertools.islice(waiting, slots - len(live)))
         live += joining
         W = np.concatenate([W, np.zeros((dims, len(joining)))], axis=1)
         at = np.concatenate([at, np.zeros(len(joining), np.int64)])
+        closing = np.concatenate([closing, np.zeros(len(joining), bool)])
         if not live:
             break
-        G, n_t = _gradient_pass(train, live, W)
+        G, n_t, wrong = _gradient_pass(train, live, W)
         wanted = np.array([s.iters for s in live])
-        steps = (n_t > 0) & (wanted > 0)
+        steps = (n_t > 0) & (wanted > 0) & ~closing
         now = W.copy()
         at[steps] += 1
         now[:, steps] = step_update(W[:, steps], -G[:, steps] / n_t[steps], at[steps], step, reg)
         done = ~steps | (at >= wanted) | ((at >= 2) & converged(W, now, tol))
         W = now
-        left = np.flatnonzero(done)
-        finished += _model_rows([live[j] for j in left], W[:, left], at[left], n_t[left])
+        leaves = ~steps if errors else done
+        left = np.flatnonzero(leaves)
+        finished += _model_rows([live[j] for j in left], W[:, left], at[left], n_t[left], wrong[left] if errors else None)
         if len(finished) >= slots:
             write(finished)
             finished = []
-        live, W, at = [s for s, out in zip(live, done) if not out], W[:, ~done], at[~done]
+        live, W, at, closing = [s for s, out in zip(live, leaves) if not out], W[:, ~leaves], at[~leaves], done[~leaves]
     if finished:
         write(finished)
     train.unpersist()
-    return spark.read.schema(MODEL_SCHEMA).parquet(path)
+    return spark.read.schema(_schema(errors)).parquet(path)
 
 
-def _gradient_pass(train: DataFrame, specs: list[ModelSpec], W) -> tuple[np.ndarray, np.ndarray]:
-    """One pass over the training rows: (sums of the active rows' signed vectors (d, T), training rows (T,))."""
+def _gradient_pass(train: DataFrame, specs: list[ModelSpec], W) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One pass over the training rows: (sums of the active rows' signed vectors (d, T), training rows (T,), those
+    that the weights predict wrongly (T,))."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
@@ -532,7 +569,7 @@ def _gradient_pass(train: DataFrame, specs: list[ModelSpec], W) -> tuple[np.ndar
 
     def partial_gradients(batches, bc=bc):
         Wt, ta, tb, tall, tsz, idx = bc.value
-        g, cnt = np.zeros_like(Wt), np.zeros(len(ta), np.int64)
+        g, cnt, wrong = np.zeros_like(Wt), np.zeros(len(ta), np.int64), np.zeros(len(ta), np.int64)
         for batch in batches:
             feats = batch.column("features")
             codes = arrow_codes(batch.column("class_name"), idx)
@@ -541,26 +578,30 @@ def _gradient_pass(train: DataFrame, specs: list[ModelSpec], W) -> tuple[np.ndar
                 X = arrow_matrix(feats.slice(lo, hi - lo))
                 M, Y = masks(codes[lo:hi], nums[lo:hi], ta, tb, tall, tsz, train=True)
                 S = np.where(M, 2.0 * Y - 1.0, 0.0)
-                act = (S * (X @ Wt) < 1.0) & M
+                margins = X @ Wt
+                act = (S * margins < 1.0) & M
                 g += X.T @ np.where(act, S, 0.0)
                 cnt += M.sum(axis=0)
+                wrong += (((margins > 0) != (Y > 0.5)) & M).sum(axis=0)
         if not cnt.any():
             return
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, g.size + 1, len(g), dtype=np.int32)), pa.array(g.T.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(g.shape[1], dtype=np.int32)), pa.array(cnt), lists], names=["t", "n", "g"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(g.shape[1], dtype=np.int32)), pa.array(cnt), pa.array(wrong), lists], names=["t", "n", "wrong", "g"]
+        )
 
     # partial sums combined by a JVM vector aggregate; the driver gets one row per model in a slot
     summed = (
-        train.mapInArrow(partial_gradients, "t int, n bigint, g array<double>")
+        train.mapInArrow(partial_gradients, "t int, n bigint, wrong bigint, g array<double>")
         .groupBy("t")
-        .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("g")).alias("g"))
+        .agg(F.sum("n").alias("n"), F.sum("wrong").alias("wrong"), Summarizer.sum(array_to_vector("g")).alias("g"))
         .collect()
     )
     bc.destroy()
-    G, n_t = np.zeros(W.shape), np.zeros(len(specs), np.int64)
+    G, n_t, wrong = np.zeros(W.shape), np.zeros(len(specs), np.int64), np.zeros(len(specs), np.int64)
     for r in summed:
-        G[:, r["t"]], n_t[r["t"]] = r["g"].toArray(), r["n"]
-    return G, n_t
+        G[:, r["t"]], n_t[r["t"]], wrong[r["t"]] = r["g"].toArray(), r["n"], r["wrong"]
+    return G, n_t, wrong
 
 
 def train_mllib(labeled: DataFrame, iters=DEFAULT_ITERS, step=DEFAULT_STEP, reg=DEFAULT_REG, tol=DEFAULT_TOL):

@@ -243,6 +243,13 @@ def q_training_error(spark, sf_dir):
     return metrics.error_counts(pred)
 
 
+def q_training_error_fit(spark, sf_dir):
+    """A4 as the trainer counts it, every class at two sizes."""
+    r = _curve_rows(spark, sf_dir, [3, 20])
+    trained = svm.train_grouped(r, curves.all_targets(r, [3, 20], 1), errors=True)
+    return trained.select("class_a", "size", "n_train", "n_wrong", metrics.error_rate("n_train", "n_wrong").alias("error_rate"))
+
+
 def q_success_pct(spark, sf_dir):
     r = _curve_rows(spark, sf_dir, [10])
     return curves.learning_curve(r, TASK_1VALL, "all", [10], iters=1).select(
@@ -362,6 +369,25 @@ def q_classify_records(spark, sf_dir):
     return scoring.classify_records(records, trained, "vec_id").select("vec_id", "predicted_class")
 
 
+def q_classify_sub_classes(spark, sf_dir):
+    """M9 with up to 100 classes a label: a class is the rows of a label with one remainder of ``vec_id``, its model
+    the negated sum of their whole-number vectors, with their number as intercept; all rows are classified by ball trees."""
+    whole = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double")).alias("features")
+    )
+    name = F.concat_ws("_", "label", F.lpad(F.pmod("vec_id", F.lit(100)).cast("string"), 2, "0"))
+    entries = whole.select(name.alias("class_a"), "vec_id", F.posexplode("features").alias("at", "x"))
+    sums = entries.groupBy("class_a", "at").agg(F.sum("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    models = sums.groupBy("class_a").agg(
+        F.sort_array(F.collect_list(F.struct("at", "x"))).alias("w"), F.max("n").cast("double").alias("intercept")
+    )
+    models = models.select(
+        F.lit(TASK_1VALL).alias("task_type"), "class_a", F.lit(None).cast("string").alias("class_b"), F.lit(0).alias("size"),
+        F.lit(0).alias("iters"), F.transform("w", lambda e: 0.0 - e["x"]).alias("weights"), "intercept", F.lit(0.0).alias("threshold"),
+    )
+    return scoring.classify_records(whole, models, "vec_id", search="tree")
+
+
 # ---------------------------------------------------------------- M10, text curves, M7, M8
 
 
@@ -715,6 +741,7 @@ QUERIES = {
     "misclassified": q_misclassified,
     "error_rate": q_error_rate,
     "training_error": q_training_error,
+    "training_error_fit": q_training_error_fit,
     "success_pct": q_success_pct,
     "eval_1v1": q_eval_1v1,
     "eval_1vall": q_eval_1vall,
@@ -729,6 +756,7 @@ QUERIES = {
     "missing_models": q_missing_models,
     "get_or_train": q_get_or_train,
     "classify_records": q_classify_records,
+    "classify_sub_classes": q_classify_sub_classes,
     "featurize_model": q_featurize_model,
     "skip_if_featurized": q_skip_if_featurized,
     "featurize_text": q_featurize_text,

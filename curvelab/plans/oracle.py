@@ -350,6 +350,17 @@ CROSS JOIN (VALUES ('train'), ('test')) AS sp(split)"""
         FROM class_rows WHERE num <= 20) x JOIN w ON w.dim = x.dim
   GROUP BY x.vec_id, x.class_name)""",
     ) + _error_counts("pred")
+    q["training_error_fit"] = _with(
+        CLASS_ROWS, _models_cte(_vall(CLASSES, [3, 20], 1)), *_svm_ctes(1),
+        """pred AS (
+  SELECT m.class_a, m.size, x.vec_id, (sum(x.x * w.w) > 0) <> (x.class_name <> m.class_a) AS wrong
+  FROM (SELECT vec_id, class_name, num, unnest(features) AS x, generate_subscripts(features, 1) AS dim FROM class_rows) x
+  JOIN w ON w.dim = x.dim JOIN models m ON m.mid = w.mid AND x.num <= m.size
+  GROUP BY m.class_a, m.size, x.vec_id, x.class_name)""",
+        """counted AS (
+  SELECT class_a, CAST(size AS INTEGER) AS size, count(*) AS n_train, CAST(sum(CAST(wrong AS INTEGER)) AS BIGINT) AS n_wrong
+  FROM pred GROUP BY class_a, size)""",
+    ) + f"SELECT class_a, size, n_train, n_wrong, {_ratio('n_wrong', 'n_train', 6)} AS error_rate FROM counted"
     q["success_pct"] = (
         "SELECT class_a, n_test, n_wrong, success_pct FROM ("
         + _curve_sql(_vall(CLASSES, [10], 1), 1) + ")"
@@ -415,6 +426,17 @@ FROM models m JOIN ntr ON m.mid = ntr.mid"""
         FROM class_rows WHERE num > 10) x
   JOIN w ON w.dim = x.dim JOIN models m ON m.mid = w.mid
   GROUP BY x.vec_id, m.class_a)""") + "SELECT vec_id, arg_min(class_a, margin) AS predicted_class FROM mg GROUP BY vec_id"
+    q["classify_sub_classes"] = """WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS features FROM embeddings),
+entries AS (
+  SELECT label || '_' || lpad(CAST(vec_id % 100 AS VARCHAR), 2, '0') AS class_a, unnest(features) AS x,
+         generate_subscripts(features, 1) AS dim FROM whole),
+sums AS (SELECT class_a, dim, sum(x) AS x, count(*) AS n FROM entries GROUP BY class_a, dim),
+models AS (SELECT class_a, list(0.0 - x ORDER BY dim) AS weights, CAST(max(n) AS DOUBLE) AS intercept FROM sums GROUP BY class_a),
+margins AS (
+  SELECT r.vec_id, m.class_a, list_dot_product(r.features, m.weights) + m.intercept AS margin FROM whole r CROSS JOIN models m)
+SELECT vec_id, class_a AS predicted_class, margin FROM margins
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY margin, class_a) = 1"""
     # M8, every class: the lowest margin names the class
     q["saved_model_test_all"] = "WITH RECURSIVE " + _with(
         CLASS_ROWS, _models_cte(local_specs), *_svm_recursive_ctes(), """mg AS (
